@@ -1 +1,141 @@
-QUERIES = {}
+"""Rule reports, schema conformance and exact duplicates."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepool.functions import rules as R
+from tidepool.operators import quality as ops
+from tidepool.operators.quality import Property
+from tidepool.plans import Query, table
+from tidepool.plans.crawl import quoted
+
+
+def _tokens(spark, sf):
+    docs = table(spark, sf, "documents")
+    return docs.select("doc_id", F.explode(F.split("text", r"\s+")).alias("token")).filter(
+        "token <> ''")
+
+
+def rule_report(spark, sf):
+    t = F.col("token")
+    return ops.rule_report(_tokens(spark, sf), {
+        "text_3_to_12": R.is_text(t, minlength=3, maxlength=12), "number": R.in_range(t),
+        "to_1000": R.in_range(t, 0, 1000), "ip": R.ip_address(t), "email": R.email(t),
+        "email_list": R.email_list(t), "url": R.url(t), "zip": R.number_format(t, R.US_ZIP),
+        "visa": R.credit_card(t, "vi"), "state": R.us_state(t), "province": R.ca_province(t),
+        "phone_tail": R.number_format(t, ["###-####"])})
+
+
+def rule_failures(spark, sf):
+    c = table(spark, sf, "customer").withColumn("digits", F.substring("c_name", 10, 9))
+    return ops.rule_failures(c, {
+        "luhn": R.luhn("digits"), "isbn": R.isbn(F.concat(F.lit("0"), F.col("digits"))),
+        "balance": R.in_range("c_acctbal", 0, 9000), "short": R.number_format(
+            "digits", ["0000000##"])}, "c_custkey")
+
+
+SPEC = {
+    "o_orderkey": Property("integer", minimum=10),
+    "o_orderstatus": Property("string", pattern="^[FO]$", max_length=1),
+    "o_totalprice": Property("number", maximum=300000.0, max_decimal=1),
+    "o_orderpriority": Property("string", min_length=6, enum=("1-URGENT", "2-HIGH", "3-MEDIUM",
+                                                              "4-NOT SPECIFIED")),
+    "clerk": Property("string"),
+    "tags": Property("array", min_items=3, items=Property("string", max_length=9)),
+}
+
+
+def schema_conformance(spark, sf):
+    o = table(spark, sf, "orders").withColumn("tags", F.split("o_orderpriority", "[- ]")).withColumn(
+        "clerk", F.when(F.col("o_custkey") % 4 > 0, F.col("o_orderstatus")))
+    return ops.schema_conformance(o, SPEC, "o_orderkey")
+
+
+def content_fingerprint(spark, sf):
+    docs = ops.content_fingerprints(table(spark, sf, "documents"), "text")
+    return docs.select("doc_id", "md5", "sha1", "sha256")
+
+
+def exact_duplicates(spark, sf):
+    return ops.exact_duplicates(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def _whole(pattern: str) -> str:
+    return f"regexp_matches(token, {quoted(f'(?i)^(?:{pattern})$')})"
+
+
+_NUM = "TRY_CAST(token AS DOUBLE)"
+_IP = (f"({_whole('|'.join([R.IPV4, R.IPV4_HEX, R.IPV4_OCTAL, '0x0*[0-9a-f]{1,8}', R.IPV6, R.IPV6_MIXED]))}"
+       " OR (regexp_matches(token, '^(?:0|[1-9][0-9]{0,9})$') AND TRY_CAST(token AS BIGINT) <= 4294967295))")
+
+
+def _luhn_sql(text: str) -> str:
+    """Sum of the digits from the right, every second one doubled and its digits added."""
+    return f"""(list_sum(list_transform(generate_series(1, length({text})),
+      lambda i: CASE WHEN i % 2 = 1 THEN CAST(substr(reverse({text}), i, 1) AS INTEGER)
+        ELSE (CAST(substr(reverse({text}), i, 1) AS INTEGER) * 2) % 10
+           + (CAST(substr(reverse({text}), i, 1) AS INTEGER) * 2) // 10 END)) % 10 = 0)"""
+
+
+_RULES = {
+    "text_3_to_12": "length(token) BETWEEN 3 AND 12",
+    "number": f"{_NUM} IS NOT NULL AND NOT isnan({_NUM})",
+    "to_1000": f"coalesce({_NUM} BETWEEN 0 AND 1000, false)",
+    "ip": _IP, "email": _whole(R.EMAIL),
+    "email_list": _whole(rf"(?:{R.EMAIL}\s*[\s;,]\s*)*{R.EMAIL}\s*[\s;,]?\s*"),
+    "url": _whole(R.URL), "zip": _whole(R.number_format_pattern(R.US_ZIP)),
+    "visa": "CASE WHEN regexp_matches(token, '^[- ]*4([- ]*[0-9]){12}(([- ]*[0-9]){3})?[- ]*$') THEN "
+            + _luhn_sql("replace(token, '-', '')") + " ELSE false END",
+    "state": _whole("|".join(R.US_STATES + R.US_TERRITORIES + R.US_MILITARY)),
+    "province": _whole("|".join(R.CA_PROVINCES)),
+    "phone_tail": r"regexp_matches(token, '^\d{3}-\d{4}$')",
+}
+
+QUERIES = {
+    "rule_report": Query(rule_report, """
+        WITH t AS (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS token FROM documents),
+        n AS (SELECT count(*) AS n, """ + ", ".join(
+            f"count(*) FILTER (WHERE {cond}) AS {name}" for name, cond in _RULES.items())
+        + " FROM t WHERE token <> '')\n" + " UNION ALL ".join(
+            f"SELECT '{name}' AS rule, n, {name} AS n_pass, n - {name} AS n_fail FROM n"
+            for name in _RULES)),
+    "rule_failures": Query(rule_failures, f"""
+        WITH c AS (SELECT *, substr(c_name, 10, 9) AS digits, '0' || substr(c_name, 10, 9) AS book
+                   FROM customer)
+        SELECT c_custkey, 'luhn' AS rule FROM c WHERE NOT {_luhn_sql('digits')}
+        UNION ALL SELECT c_custkey, 'isbn' FROM c WHERE list_sum(list_transform(
+          generate_series(1, 10), lambda i: (11 - i) * CAST(substr(book, i, 1) AS INTEGER))) % 11 <> 0
+        UNION ALL SELECT c_custkey, 'balance' FROM c WHERE NOT (c_acctbal BETWEEN 0 AND 9000)
+        UNION ALL SELECT c_custkey, 'short' FROM c
+          WHERE NOT regexp_matches(digits, '^0000000\\d\\d$')"""),
+    "schema_conformance": Query(schema_conformance, """
+        WITH o AS (SELECT *, CASE WHEN o_custkey % 4 > 0 THEN o_orderstatus END AS clerk,
+                     regexp_split_to_array(o_orderpriority, '[- ]') AS tags FROM orders),
+        e AS (
+          SELECT 'o_orderkey' AS property, 'must have a minimum value of 10' AS message FROM o
+            WHERE o_orderkey < 10
+          UNION ALL SELECT 'o_orderstatus', 'does not match the regex pattern ^[FO]$' FROM o
+            WHERE o_orderstatus NOT IN ('F', 'O')
+          UNION ALL SELECT 'o_totalprice', 'must have a maximum value of 300000.0' FROM o
+            WHERE o_totalprice > 300000
+          UNION ALL SELECT 'o_totalprice', 'may only have 1 digits of decimal places' FROM o
+            WHERE round(o_totalprice * 100) % 10 <> 0
+          UNION ALL SELECT 'o_orderpriority', 'must be at least 6 characters long' FROM o
+            WHERE length(o_orderpriority) < 6
+          UNION ALL SELECT 'o_orderpriority',
+            'does not have a value in the enumeration 1-URGENT, 2-HIGH, 3-MEDIUM, 4-NOT SPECIFIED'
+            FROM o WHERE o_orderpriority = '5-LOW'
+          UNION ALL SELECT 'clerk', 'is missing and it is not optional' FROM o WHERE clerk IS NULL
+          UNION ALL SELECT 'tags', 'There must be a minimum of 3 in the array' FROM o
+            WHERE len(tags) < 3
+          UNION ALL SELECT 'tags', 'an item: may only be 9 characters long' FROM o
+            WHERE len(list_filter(tags, lambda t: length(t) > 9)) > 0)
+        SELECT property, message, count(*) AS n FROM e GROUP BY property, message"""),
+    "content_fingerprint": Query(content_fingerprint, """
+        SELECT doc_id, md5(text) AS md5, sha1(text) AS sha1, sha256(text) AS sha256
+        FROM documents"""),
+    "exact_duplicates": Query(exact_duplicates, """
+        SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_key
+        FROM documents GROUP BY text HAVING count(*) > 1"""),
+}
