@@ -25,6 +25,11 @@ def epoch_us(ts: Column | str) -> Column:
     return day_number(ts) * 86_400_000_000 + micros_of_day(ts)
 
 
+def instant(ts: Column | str) -> Column:
+    """The clock reading taken as UTC; event time of a stream must be an instant."""
+    return F.timestamp_micros(epoch_us(ts))
+
+
 def floor_us(ts: Column | str, unit: str, steps: int = 1, first_day: int = 0) -> Column:
     """Start of the bucket, in microseconds since 1970.
 

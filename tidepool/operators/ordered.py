@@ -237,7 +237,7 @@ def greedy_starts(chunked: DataFrame, keys: Sequence[str], order: Sequence[str],
                 state = int(leave[at])
         return pd.DataFrame(rows, columns=entry_type.fieldNames())
 
-    walker = summary.groupBy(*keys) if keys else summary.groupBy(F.lit(0))
+    walker = summary.withColumn("_all", F.lit(0)).groupBy(*(keys or ["_all"]))
     entries = materialize(walker.applyInPandas(walk, entry_type), "entries")
     entry = entries.select(F.col(CHUNK).alias("_c"),
                            *[F.col(k).alias(f"_k_{k}") for k in keys], "enter")

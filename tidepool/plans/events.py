@@ -1 +1,271 @@
-QUERIES = {}
+"""Time and stream queries over ``events``, ``pages`` and ``lineitem``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepool.config import IndexConfig
+from tidepool.functions.dates import epoch_us, instant
+from tidepool.functions.urls import acceptable_path
+from tidepool.operators import index as index_ops
+from tidepool.operators import timing as ops
+from tidepool.operators.crawl import extract_links
+from tidepool.operators.records import sort_key
+from tidepool.plans import Query, changes, table
+from tidepool.plans.crawl import LINKS_SQL, ROOTS, accept, scope
+from tidepool.plans.index import CFG, POSTINGS_SQL
+from tidepool.schemas import EVENTS, PAGES
+from tidepool.storage import scratch_path
+from tidepool.streaming import common
+from tidepool.streaming import crawl as crawl_streams
+from tidepool.streaming import events as streams
+
+HOUR = 3_600_000_000
+
+
+def _events(spark, sf):
+    return table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", epoch_us("ts").alias("us"))
+
+
+def _event_stream(spark, sf):
+    return common.parquet_stream(spark, sf, EVENTS, "events.parquet")
+
+
+def _page_stream(spark, sf):
+    return common.parquet_stream(spark, sf, PAGES, "pages.parquet")
+
+
+def _collected(spark, stream, mode="append"):
+    """Run a stream to the end of its input into a table and read that back."""
+    path = scratch_path(spark, "stream")
+    writer = stream.writeStream.outputMode(mode).format("parquet").option("path", path)
+    common.run_available(writer, spark=spark)
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+def flow_rate(spark, sf):
+    rates = ops.flow_rate(table(spark, sf, "events"), "ts", 21_600,
+                          F.round(F.col("value") * 100).cast("long"), ["event_type"])
+    return rates.select("event_type", epoch_us("window.start").alias("start_us"),
+                        F.round("rate", 9).alias("rate"))
+
+
+def debounce(spark, sf):
+    out = ops.debounce(_events(spark, sf), ["user_id"], "us", "event_id", HOUR)
+    return out.select("event_id", "user_id", "fired_us")
+
+
+def throttle(spark, sf):
+    out = ops.throttle(_events(spark, sf), ["event_type"], "us", "event_id", HOUR)
+    return out.select("event_id", "event_type", "us")
+
+
+def idle_sessions(spark, sf):
+    return ops.idle_sessions(_events(spark, sf), ["user_id"], "us", "event_id", 2 * HOUR)
+
+
+def _body():
+    return F.concat_ws(" ", "event_id", "user_id", "event_type", "props")
+
+
+def event_batch_sink(spark, sf):
+    out = ops.event_packets(table(spark, sf, "events"), "event_id", _body(), 2000)
+    return out.groupBy("packet").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"),
+                                     F.min("event_id").alias("first_id"))
+
+
+def event_packet_stream(spark, sf):
+    path = scratch_path(spark, "packets")
+    streams.packet_sink(_event_stream(spark, sf), path, "event_id", _body(), 2000)
+    sent = spark.read.parquet(path)
+    return sent.groupBy("packet").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"),
+                                      F.min("event_id").alias("first_id"))
+
+
+def frontier_stream(spark, sf):
+    path = scratch_path(spark, "frontier")
+    links = extract_links(_page_stream(spark, sf), ROOTS).select(F.col("dst").alias("url"))
+    crawl_streams.frontier_stream(links, path)
+    return spark.read.schema(crawl_streams.FRONTIER).parquet(path).select("url")
+
+
+def incremental_index(spark, sf):
+    path = scratch_path(spark, "postings")
+    crawl_streams.incremental_index(_page_stream(spark, sf), path, CFG)
+    return crawl_streams.read_postings(spark, path)
+
+
+def crawl_stream(spark, sf):
+    frontier, index = scratch_path(spark, "frontier"), scratch_path(spark, "postings")
+    crawl_streams.crawl_stream(_page_stream(spark, sf), frontier, index, ROOTS, CFG)
+    found = spark.read.schema(crawl_streams.FRONTIER).parquet(frontier).select(
+        F.lit("frontier").alias("part"), F.col("url").alias("name"), F.lit(1).cast("long").alias("n"))
+    terms = index_ops.term_stats(crawl_streams.read_postings(spark, index)).select(
+        F.lit("index").alias("part"), F.col("term").alias("name"), F.col("freq").alias("n"))
+    return found.unionByName(terms)
+
+
+def fan_out(spark, sf):
+    outputs = {}
+
+    def sink(name, make):
+        def run(rows):
+            path = scratch_path(spark, name)
+            make(rows).write.parquet(path)
+            outputs[name] = spark.read.parquet(path)
+        return run
+
+    pages = table(spark, sf, "pages")
+    crawl_streams.fan_out(pages, [
+        sink("links", lambda p: extract_links(p).groupBy(F.lit("links").alias("branch")).agg(
+            F.count(F.lit(1)).alias("n"))),
+        sink("accepted", lambda p: p.filter(acceptable_path("url")).groupBy(
+            F.lit("accepted").alias("branch")).agg(F.count(F.lit(1)).alias("n"))),
+        sink("postings", lambda p: index_ops.document_index(
+            index_ops.page_text(p), IndexConfig()).groupBy(F.lit("postings").alias("branch")).agg(
+                F.count(F.lit(1)).alias("n")))])
+    return outputs["links"].unionByName(outputs["accepted"]).unionByName(outputs["postings"])
+
+
+def flow_rate_stream(spark, sf):
+    events = _event_stream(spark, sf).withColumn("ts", instant("ts"))
+    rates = streams.flow_rate_stream(events, "ts", 21_600)
+    path = scratch_path(spark, "rates")
+
+    def keep(batch, batch_id):
+        common.write_batch(batch, path, batch_id)
+
+    # Update mode hands over every window that changed; the last version of each is the result.
+    common.run_available(rates.writeStream.outputMode("update").foreachBatch(keep), spark=spark)
+    done = spark.read.parquet(path)
+    latest = done.groupBy("window").agg(F.max_by("rate", "batch").alias("rate"))
+    return latest.select(F.unix_micros("window.start").alias("start_us"), F.round("rate", 9).alias("rate"))
+
+
+def meter(spark, sf):
+    stream = streams.meter_stream(_event_stream(spark, sf), "elements")
+    writer = stream.writeStream.format("noop")
+    query = common.run_available(writer, spark=spark)
+    counts = [p.observedMetrics["elements"].n for p in query.recentProgress
+              if "elements" in p.observedMetrics]
+    return spark.createDataFrame([(sum(counts),)], "n BIGINT")
+
+
+def throttle_stream(spark, sf):
+    events = _event_stream(spark, sf).withColumn("us", epoch_us("ts"))
+    return _collected(spark, streams.throttle_stream(events, "event_type", "us", "event_id", HOUR))
+
+
+def session_stream(spark, sf):
+    events = _event_stream(spark, sf).withColumn("ts", instant("ts"))
+    sessions = streams.session_stream(events, ["user_id"], "ts", "event_id", "2 hours")
+    path = scratch_path(spark, "sessions")
+
+    def keep(batch, batch_id):
+        common.write_batch(batch, path, batch_id)
+
+    common.run_available(sessions.writeStream.outputMode("complete").foreachBatch(keep), spark=spark)
+    done = spark.read.parquet(path)
+    last = done.select(F.max("batch").alias("batch"))
+    return done.join(last, "batch", "left_semi").select(
+        "user_id", F.unix_micros("active_at").alias("active_us"),
+        F.unix_micros("idle_at").alias("idle_us"),
+        "event_id", "n")
+
+
+def buffered_replay(spark, sf):
+    path = scratch_path(spark, "replay")
+    streams.buffered_replay(_event_stream(spark, sf), path)
+    return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def live_query(spark, sf):
+    path = scratch_path(spark, "live")
+    lines = common.parquet_stream(spark, sf, table(spark, sf, "lineitem").schema, "lineitem.parquet")
+    stream = changes.log_of(lines)
+    base = changes.base(spark, sf)
+    keys = [sort_key("cents", descending=True), sort_key("key")]
+    streams.live_query(base, stream, lambda df: df.filter("cents > 2500000"), ["cents"], keys,
+                       path, order=changes.ORDER)
+    return spark.read.parquet(f"{path}/diff").select("key", "removed_from", "inserted_into")
+
+
+_USER = "PARTITION BY user_id ORDER BY ts, event_id"
+_PACKETS = """
+  WITH RECURSIVE e AS (SELECT event_id, strlen(concat_ws(' ', event_id, user_id, event_type, props))
+                         AS bytes FROM events),
+  s AS (SELECT event_id, bytes, sum(bytes) OVER (ORDER BY event_id) AS hi,
+          row_number() OVER (ORDER BY event_id) AS nr FROM e),
+  p(nr, lo, packet) AS (
+    SELECT CAST(1 AS BIGINT), CAST(0 AS HUGEINT), CAST(1 AS BIGINT)
+    UNION ALL
+    SELECT n.nr, n.hi - n.bytes, n.packet FROM (
+      SELECT s.nr, s.hi, s.bytes, p.packet + 1 AS packet,
+        row_number() OVER (ORDER BY s.nr) AS k
+      FROM p JOIN s ON s.nr > p.nr AND s.hi > p.lo + 2000) n WHERE n.k = 1),
+  filled AS (SELECT s.*, (SELECT max(packet) FROM p WHERE p.nr <= s.nr) AS packet FROM s)
+  SELECT packet, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes, min(event_id) AS first_id
+  FROM filled GROUP BY packet"""
+_THROTTLED = """
+  WITH RECURSIVE e AS (SELECT event_id, event_type, epoch_us(ts) AS us,
+      row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS nr FROM events),
+  t(event_id, event_type, us, nr) AS (
+    SELECT event_id, event_type, us, nr FROM e WHERE nr = 1
+    UNION ALL
+    SELECT n.event_id, n.event_type, n.us, n.nr FROM (
+      SELECT e.*, row_number() OVER (PARTITION BY e.event_type ORDER BY e.nr) AS k
+      FROM t JOIN e ON e.event_type = t.event_type AND e.nr > t.nr AND e.us >= t.us + 3600000000
+    ) n WHERE n.k = 1)
+  SELECT event_id, event_type, us FROM t"""
+
+
+def _sessions(gap: str, cols: str) -> str:
+    return f"""
+        WITH e AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER ({_USER}) {gap} 7200000000
+                     THEN 0 ELSE 1 END AS fresh FROM events),
+        s AS (SELECT *, sum(fresh) OVER ({_USER} ROWS UNBOUNDED PRECEDING) AS session FROM e)
+        SELECT user_id, {cols}, min(epoch_us(ts)) AS active_us,
+          max(epoch_us(ts)) + 7200000000 AS idle_us, count(*) AS n FROM s GROUP BY user_id, session"""
+
+
+QUERIES = {
+    "flow_rate": Query(flow_rate, """
+        SELECT event_type, CAST(epoch_us(ts) // 21600000000 * 21600000000 AS BIGINT) AS start_us,
+          round(sum(CAST(round(value * 100) AS BIGINT)) / 21600.0, 9) AS rate
+        FROM events GROUP BY 1, 2"""),
+    "flow_rate_stream": Query(flow_rate_stream, """
+        SELECT CAST(epoch_us(ts) // 21600000000 * 21600000000 AS BIGINT) AS start_us,
+          round(count(*) / 21600.0, 9) AS rate FROM events GROUP BY 1"""),
+    "meter": Query(meter, "SELECT count(*) AS n FROM events"),
+    "debounce": Query(debounce, f"""
+        WITH e AS (SELECT event_id, user_id, epoch_us(ts) AS us,
+                     lead(epoch_us(ts)) OVER ({_USER}) AS next FROM events)
+        SELECT event_id, user_id, us + 3600000000 AS fired_us FROM e
+        WHERE next IS NULL OR next - us > 3600000000"""),
+    "throttle": Query(throttle, _THROTTLED),
+    "throttle_stream": Query(throttle_stream, _THROTTLED),
+    "idle_sessions": Query(idle_sessions, _sessions("<=", "CAST(session AS BIGINT) AS session")),
+    "session_stream": Query(session_stream, _sessions(
+        "<=", "max_by(event_id, (ts, event_id)) AS event_id")),
+    "event_batch_sink": Query(event_batch_sink, _PACKETS),
+    "event_packet_stream": Query(event_packet_stream, _PACKETS),
+    "frontier_stream": Query(frontier_stream, f"""
+        WITH {LINKS_SQL} SELECT DISTINCT dst AS url FROM links
+        WHERE {accept('dst')} AND {scope('dst')}"""),
+    "incremental_index": Query(incremental_index,
+                               f"WITH {POSTINGS_SQL} SELECT url, term, tf FROM postings"),
+    "crawl_stream": Query(crawl_stream, f"""
+        WITH {LINKS_SQL}, {POSTINGS_SQL}
+        SELECT DISTINCT 'frontier' AS part, dst AS name, CAST(1 AS BIGINT) AS n FROM links
+        WHERE {accept('dst')} AND {scope('dst')}
+        UNION ALL SELECT 'index', term, CAST(sum(tf) AS BIGINT) FROM postings GROUP BY term"""),
+    "fan_out": Query(fan_out, f"""
+        WITH {LINKS_SQL}, {POSTINGS_SQL}
+        SELECT 'links' AS branch, count(*) AS n FROM links
+        UNION ALL SELECT 'accepted', count(*) FROM pages WHERE {accept('url')}
+        UNION ALL SELECT 'postings', count(*) FROM postings"""),
+    "buffered_replay": Query(buffered_replay, """
+        SELECT event_type, count(*) AS n FROM events GROUP BY event_type"""),
+    "live_query": Query(live_query, f"WITH {changes.LOG_SQL}, {changes.DIFF_SQL}"),
+}
