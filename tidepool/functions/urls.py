@@ -57,26 +57,37 @@ def remove_dot_segments(path: Column) -> Column:
     return F.when(path.contains("/."), whole).otherwise(path)
 
 
+def base_parts(base: Column | str) -> Column:
+    """What resolving needs of a page's URL; null when the URL is not absolute."""
+    base = _col(base)
+    scheme, authority, path = (url_part(base, p) for p in ("scheme", "authority", "path"))
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    parts = F.struct(
+        scheme.alias("scheme"), F.concat(scheme, F.lit("://"), authority).alias("root"),
+        path.alias("path"), folder.alias("folder"),
+        F.regexp_extract(base, r"^[^#?]*(\?[^#]*)", 1).alias("query"))
+    return F.when((scheme != "") & (authority != ""), parts)
+
+
+def resolve_ref(parts: Column, ref: Column) -> Column:
+    """Absolute form of ``ref``; the common root-relative reference needs no pattern at all."""
+    path = url_part(ref, "path")
+    rest = F.regexp_extract(ref, r"^[^?#]*(.*)$", 1)
+    joined = F.when(path.startswith("/"), path).otherwise(F.concat(parts["folder"], path))
+    return (
+        F.when(ref.startswith("//"), F.concat(parts["scheme"], F.lit(":"), ref))
+        .when(ref.startswith("/") & ~ref.contains("/."), F.concat(parts["root"], ref))
+        .when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
+        .when(ref == "", F.concat(parts["root"], parts["path"], parts["query"]))
+        .when(ref.startswith("?"), F.concat(parts["root"], parts["path"], ref))
+        .when(ref.startswith("#"), F.concat(parts["root"], parts["path"], parts["query"], ref))
+        .otherwise(F.concat(parts["root"], remove_dot_segments(joined), rest)))
+
+
 def resolve_url(base: Column | str, ref: Column | str) -> Column:
     """Absolute form of ``ref`` found on page ``base``; null when the base is not absolute."""
-    base, ref = _col(base), _col(ref)
-    b = {p: url_part(base, p) for p in _GROUPS}
-    r = {p: url_part(ref, p) for p in _GROUPS}
-    has_query, has_fragment = ref.rlike(r"^[^#?]*\?"), ref.contains("#")
-    root = F.concat(b["scheme"], F.lit("://"), b["authority"])
-    folder = F.when(b["path"] == "", F.lit("/")).otherwise(
-        F.regexp_replace(b["path"], r"[^/]*$", ""))
-    joined = F.when(r["path"].startswith("/"), r["path"]).otherwise(F.concat(folder, r["path"]))
-    query = F.when(has_query, F.concat(F.lit("?"), r["query"])).otherwise(F.lit(""))
-    base_query = F.when(base.rlike(r"^[^#?]*\?"), F.concat(F.lit("?"), b["query"])).otherwise("")
-    fragment = F.when(has_fragment, F.concat(F.lit("#"), r["fragment"])).otherwise(F.lit(""))
-    resolved = (
-        F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
-        .when(ref.startswith("//"), F.concat(b["scheme"], F.lit(":"), ref))
-        .when(r["path"] != "", F.concat(root, remove_dot_segments(joined), query, fragment))
-        .when(has_query, F.concat(root, b["path"], query, fragment))
-        .otherwise(F.concat(root, b["path"], base_query, fragment)))
-    return F.when((b["scheme"] != "") & (b["authority"] != ""), resolved)
+    parts = base_parts(base)
+    return F.when(parts.isNotNull(), resolve_ref(parts, _col(ref)))
 
 
 def acceptable_path(url: Column | str, extensions: Sequence[str] = CRAWL_EXTENSIONS) -> Column:

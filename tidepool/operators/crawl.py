@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions.urls import acceptable_path, hrefs, in_scope, resolve_url
+from tidepool.functions.urls import acceptable_path, base_parts, hrefs, in_scope, resolve_ref
 from tidepool.schemas import FRONTIER
-from tidepool.storage import materialize
+from tidepool.storage import materialize, scratch_path, sized_join
 
 
 def seed_source(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
@@ -19,14 +19,17 @@ def seed_source(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
 
 def scan_pages(frontier: DataFrame, pages: DataFrame) -> DataFrame:
     """Fetch from the snapshot: (url, html) of the frontier's URLs."""
-    return frontier.select("url").distinct().join(pages.select("url", "html"), "url")
+    return sized_join(pages.select("url", "html"), frontier.select("url").distinct(), ["url"],
+                      spread="html", how="left_semi")
 
 
 def extract_links(pages: DataFrame, roots: Sequence[str] | None = None,
                   scope: str = "contains") -> DataFrame:
     """One (src, dst) row per anchor with a resolvable href, limited to the roots if given."""
-    refs = pages.select(F.col("url").alias("src"), F.explode(hrefs("html")).alias("ref"))
-    links = refs.select("src", resolve_url("src", "ref").alias("dst")).filter("dst IS NOT NULL")
+    refs = pages.select(F.col("url").alias("src"), base_parts("url").alias("_base"),
+                        F.explode(hrefs("html")).alias("ref"))
+    links = refs.filter("_base IS NOT NULL").select(
+        "src", resolve_ref(F.col("_base"), F.col("ref")).alias("dst"))
     return links if roots is None else links.filter(in_scope("dst", roots, scope))
 
 
@@ -53,27 +56,32 @@ def crawl_bfs(pages: DataFrame, seeds: DataFrame, roots: Sequence[str] | None =
     join with what was seen.  Rounds are written to the shared folder, so a lost executor costs one
     round.  The loop ends when a round brings nothing new.
     """
+    spark = pages.sparkSession
     edges = extract_links(pages, roots, scope).filter(acceptable_path("dst")).distinct()
     edges = materialize(edges, "edges")
-    known = pages.select("url").distinct().withColumn("_known", F.lit(True))
+    known = materialize(pages.select("url").distinct().withColumn("_known", F.lit(True)), "known")
+    rounds = scratch_path(spark, "rounds")
 
     def settle(urls: DataFrame, depth: int) -> DataFrame:
         status = F.when(F.col("_known"), "fetched").otherwise("missing")
-        return materialize(urls.join(known, "url", "left").select(
-            "url", F.lit(depth).alias("depth"), status.alias("status")), f"round{depth}")
+        folder = f"{rounds}/depth={depth}"
+        urls.join(known, "url", "left").select("url", status.alias("status")).write.parquet(folder)
+        return spark.read.schema("url STRING, status STRING").parquet(folder)
+
+    def seen() -> DataFrame:
+        return spark.read.schema("url STRING, status STRING, depth INT").parquet(rounds).select(
+            "url", "depth", "status")
 
     depth = 0
     new = settle(seeds.filter(acceptable_path("url")).select("url").distinct(), depth)
-    seen = new
     while max_depth is None or depth < max_depth:
         fetched = new.filter("status = 'fetched'").select(F.col("url").alias("src"))
         found = edges.join(fetched, "src", "left_semi").select(F.col("dst").alias("url"))
         depth += 1
-        new = settle(not_visited(found, seen), depth)
+        new = settle(not_visited(found, seen()), depth)
         if new.isEmpty():
             break
-        seen = seen.unionByName(new)
-    return seen
+    return seen()
 
 
 def preferred_merge(preferred: DataFrame, other: DataFrame) -> DataFrame:

@@ -76,13 +76,17 @@ def build_blocks(docs: DataFrame, order: str, cfg: IndexConfig = _DEFAULT) -> Da
     Documents (``order``, url, text) fill a block until its text exceeds ``block_bytes``, so a
     block's postings arrays are bounded by the block size.
     """
-    sizes = docs.select(order, "url", F.octet_length("text").cast("long").alias("bytes"))
+    sizes = docs.select(order, F.octet_length("text").cast("long").alias("bytes"))
     numbered = prefix_sum(sizes, [order], F.col("bytes"), "before").select(
-        "url", (F.floor(F.col("before") / cfg.block_bytes) + 1).alias("block"))
-    per_doc = document_index(docs, cfg).join(numbered, "url")
-    return per_doc.groupBy("block", "term").agg(
-        F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"),
-        F.array_sort(F.collect_list("url")).alias("postings"))
+        order, (F.floor(F.col("before") / cfg.block_bytes) + 1).alias("block"))
+    # Joining the text first leaves it partitioned by document, which the count per document needs.
+    placed = docs.select(order, "url", "text").join(numbered, order)
+    terms = lowercase_terms(exclude_tokens(tokenize(placed, cfg), cfg))
+    per_doc = terms.groupBy(order, "block", "url", "term").agg(F.count(F.lit(1)).alias("tf"))
+    urls = F.array_sort(F.collect_set("url"))
+    return per_doc.groupBy("block", "term").agg(F.sum("tf").alias("freq"), urls.alias("postings")
+                                                ).select("block", "term", "freq", F.size(
+                                                    "postings").cast("long").alias("df"), "postings")
 
 
 def merge_blocks(blocks: DataFrame, shards: int) -> DataFrame:

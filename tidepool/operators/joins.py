@@ -19,8 +19,8 @@ def interval_overlap_join(a: DataFrame, b: DataFrame, a_span: tuple[str, str],
     Spans are integers.  Ranges are put on grids of width 2^level.  A range's own level is the
     smallest whose width exceeds its length, so it covers at most two cells there and on every
     coarser grid.  A pair meets exactly once: on the coarser of its two levels, in the cell that
-    holds the later of the two starts.  The join is an equi-join on (on, level, cell), which the
-    adaptive planner can split when a cell is crowded.  A null end never overlaps.
+    holds the later of the two starts.  The join is an equi-join on (on, level, cell); crowded
+    cells are split.  A null end never overlaps.
     """
     def level(span: tuple[str, str]) -> Column:
         return F.length(F.bin(F.abs(F.col(span[1]) - F.col(span[0]))))
@@ -49,7 +49,7 @@ def interval_overlap_join(a: DataFrame, b: DataFrame, a_span: tuple[str, str],
     if not levels:
         levels = [0]
     left, right = placed(a, a_span, "a"), placed(b, b_span, "b")
-    joined = left.join(right, [*on, "_level", "_at"])
+    joined = sized_join(left, right, [*on, "_level", "_at"], spread=a_span[0])
     a0, a1, b0, b1 = (F.col(c) for c in (*a_span, *b_span))
     overlap = (a0 <= b1) & (b0 <= a1) if include_limits else (a0 < b1) & (b0 < a1)
     once = ((F.col("_level") == F.greatest("_a_level", "_b_level"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.storage import materialize
+
 Step = str | int
 
 
@@ -49,17 +51,18 @@ def recursive_find(df: DataFrame, json: str, keep: Sequence[str], name: str,
                    max_depth: int = 64) -> DataFrame:
     """(keep, path, value) of every member called ``name`` at any depth.
 
-    One pass per level of nesting; documents deeper than ``max_depth`` raise instead of being cut.
+    One pass per level of nesting over what that level holds; documents deeper than ``max_depth``
+    raise instead of being cut.
     """
     level, out = _parsed(df, json, keep), None
     for _ in range(max_depth):
-        level = _children(level, keep)
+        level = materialize(_children(level, keep), "members")
         hits = level.filter(F.col("key") == name).select(
             *keep, "path", F.col("v").cast("string").alias("value"))
         out = hits if out is None else out.unionByName(hits)
-        level = level.filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")).drop("key")
         if level.isEmpty():
             return out
+        level = level.filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")).drop("key")
     raise ValueError(f"nested deeper than {max_depth} levels")
 
 

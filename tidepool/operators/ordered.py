@@ -11,6 +11,7 @@ rows per chunk and is safe to broadcast whatever the size of the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -22,17 +23,25 @@ from pyspark.sql import types as T
 from tidepool.storage import materialize
 
 CHUNK = "_chunk"
+MIN_ROWS, MAX_ROWS = 2_000, 4_000_000
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 _LOCAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
 
-def order_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+def chunk_count(rows: int, partitions: int) -> int:
+    """As many chunks as there are shuffle partitions, fewer for a small table and more for a table
+    whose chunks would otherwise exceed MAX_ROWS rows."""
+    return max(1, min(partitions, math.ceil(rows / MIN_ROWS)), math.ceil(rows / MAX_ROWS))
+
+
+def order_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                  chunks: int | None = None) -> DataFrame:
     """Balanced chunks in (keys, order) sequence, written to the shared folder."""
-    spark = df.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
-    return materialize(ranged, "chunks")
+    if chunks is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunks = chunk_count(df.count(), partitions)
+    ranged = df.repartitionByRange(chunks, *keys, *order)
+    return materialize(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
 def _local(keys: Sequence[str], order: Sequence[str]):

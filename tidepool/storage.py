@@ -62,18 +62,33 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (size or 0) <= max_bytes
 
 
+def hot_keys(df: DataFrame, on: list[str], rows: int) -> DataFrame:
+    """Keys with more than ``rows`` rows.  There are at most (rows of df) / rows of them."""
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows).drop("_n")
+
+
 def sized_join(big: DataFrame, small: DataFrame, on: list[str], spread: str,
-               how: str = "inner", salts: int = 16, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+               how: str = "inner", hot_rows: int = 5_000_000, salts: int = 64,
+               max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Equi-join that holds when one key owns a large part of ``big``.
 
-    ``small`` is broadcast if it was measured to fit.  Otherwise each row of ``big`` goes to one of
-    ``salts`` sub-groups of its key, chosen by a hash of ``spread``, and ``small`` is repeated once
-    per sub-group, so no key ends up in a single task.
+    ``small`` is broadcast if it was measured to fit.  Otherwise the keys with more than
+    ``hot_rows`` rows in ``big`` are found first: their rows are spread over ``salts`` sub-groups
+    by a hash of ``spread`` and the matching rows of ``small`` are repeated once per sub-group.
+    All other keys are joined as they are.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} cannot repeat the right side")
     if fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = materialize(hot_keys(big, on, hot_rows).withColumn("_hot", F.lit(True)), "hot")
+    if hot.isEmpty():
+        return big.join(small, on, how)
+    if fits_broadcast(hot):
+        hot = F.broadcast(hot)
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
+    salted = big.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0)))
+    repeated = small.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
