@@ -110,28 +110,33 @@ def ip_address(value: Column | str) -> Column:
     forms = "|".join([IPV4, IPV4_HEX, IPV4_OCTAL, r"0x0*[\da-f]{1,8}", IPV6, IPV6_MIXED])
     number = _text(value).rlike(r"^(?:0|[1-9]\d{0,9})$") & (
         _text(value).try_cast("long") <= 4294967295)
-    return whole(value, forms) | _sure(number)
+    return _holding(value, r"\d:", whole(value, forms) | _sure(number))
+
+
+def _holding(value: Column | str, chars: str, cond: Column) -> Column:
+    """``cond``, tried only where one of the characters it cannot do without occurs."""
+    return F.when(_text(value).rlike(f"[{chars}]"), cond).otherwise(F.lit(False))
 
 
 def url(value: Column | str) -> Column:
-    return whole(value, URL)
+    return _holding(value, r"\d.:", whole(value, URL))
 
 
 def email(value: Column | str) -> Column:
-    return whole(value, EMAIL)
+    return _holding(value, "@", whole(value, EMAIL))
 
 
 def email_list(value: Column | str) -> Column:
-    return whole(value, rf"(?:{EMAIL}\s*[\s;,]\s*)*{EMAIL}\s*[\s;,]?\s*")
+    return _holding(value, "@", whole(value, rf"(?:{EMAIL}\s*[\s;,]\s*)*{EMAIL}\s*[\s;,]?\s*"))
 
 
 def us_state(value: Column | str, territories: bool = True, military: bool = True) -> Column:
     codes = US_STATES + (US_TERRITORIES if territories else []) + (US_MILITARY if military else [])
-    return whole(value, "|".join(codes))
+    return _sure(F.upper(_text(value)).isin(codes))
 
 
 def ca_province(value: Column | str) -> Column:
-    return whole(value, "|".join(CA_PROVINCES))
+    return _sure(F.upper(_text(value)).isin(CA_PROVINCES))
 
 
 def ca_postal_code(value: Column | str) -> Column:

@@ -28,6 +28,10 @@ def _parsed(df: DataFrame, json: str, keep: Sequence[str]) -> DataFrame:
         "v IS NOT NULL")
 
 
+def _values(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    return rows.select(*keep, "path", F.col("v").cast("string").alias("value"))
+
+
 def json_path(df: DataFrame, json: str, keep: Sequence[str], steps: Sequence[Step]) -> DataFrame:
     """(keep, path, value) of the values the steps lead to; a step is a member name, an array index
     or ``*`` for all members."""
@@ -40,7 +44,7 @@ def json_path(df: DataFrame, json: str, keep: Sequence[str], steps: Sequence[Ste
         rows = rows.select(*keep, F.concat("path", F.lit(part)).alias("path"),
                            F.try_variant_get("v", f"${part}", "variant").alias("v")).filter(
                                "v IS NOT NULL")
-    return rows.select(*keep, "path", F.col("v").cast("string").alias("value"))
+    return _values(rows, keep)
 
 
 def wildcard_values(df: DataFrame, json: str, keep: Sequence[str]) -> DataFrame:
@@ -56,13 +60,14 @@ def recursive_find(df: DataFrame, json: str, keep: Sequence[str], name: str,
     """
     level, out = _parsed(df, json, keep), None
     for _ in range(max_depth):
-        level = materialize(_children(level, keep), "members")
-        hits = level.filter(F.col("key") == name).select(
-            *keep, "path", F.col("v").cast("string").alias("value"))
-        out = hits if out is None else out.unionByName(hits)
+        hit = F.coalesce(F.col("key") == name, F.lit(False))
+        # Scalars have no members and fall away with the next level by themselves.
+        level = materialize(_children(level, keep).withColumn("hit", hit).drop("key"), "members")
         if level.isEmpty():
-            return out
-        level = level.filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")).drop("key")
+            return out if out is not None else _values(level.filter("hit"), keep)
+        hits = _values(level.filter("hit"), keep)
+        out = hits if out is None else out.unionByName(hits)
+        level = level.drop("hit")
     raise ValueError(f"nested deeper than {max_depth} levels")
 
 

@@ -36,7 +36,12 @@ def chunk_count(rows: int, partitions: int) -> int:
 
 def order_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                  chunks: int | None = None) -> DataFrame:
-    """Balanced chunks in (keys, order) sequence, written to the shared folder."""
+    """Balanced chunks in (keys, order) sequence, written to the shared folder.
+
+    The input is written first: counting it and sampling its range then read that table, and what
+    produced it runs once.  Pass only the columns that are needed.
+    """
+    df = materialize(df, "staged")
     if chunks is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         chunks = chunk_count(df.count(), partitions)
@@ -44,7 +49,7 @@ def order_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return materialize(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
-def _local(keys: Sequence[str], order: Sequence[str]):
+def _local(keys: Sequence[str], order: Sequence[str | Column]):
     return Window.partitionBy(CHUNK, *keys).orderBy(*order)
 
 
@@ -69,14 +74,12 @@ def running(chunked: DataFrame, keys: Sequence[str], order: Sequence[str],
             exclusive: bool = False) -> DataFrame:
     """Add running folds per key: ``{name: ("sum"|"count"|"min"|"max", value)}``.
 
-    ``reverse`` folds from the last row back.  ``exclusive`` leaves the current row out, giving 0
-    for sums and counts and null for min and max at the start.
+    ``reverse`` folds from the last row back (a growing frame over the descending order; a frame up
+    to the last row would start anew for every row).  ``exclusive`` leaves the current row out,
+    giving 0 for sums and counts and null for min and max at the start.
     """
-    if reverse:
-        frame = (1 if exclusive else 0, Window.unboundedFollowing)
-    else:
-        frame = (Window.unboundedPreceding, -1 if exclusive else 0)
-    window = _local(keys, order).rowsBetween(*frame)
+    way = [F.desc(c) for c in order] if reverse else order
+    window = _local(keys, way).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     main = chunked.select("*", *[_LOCAL[kind](value).over(window).alias(f"_f_{name}")
                                  for name, (kind, value) in folds.items()])
 

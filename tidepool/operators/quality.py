@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def rule_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """(rule, n, n_pass, n_fail) from a single aggregate over the table."""
-    passed = [F.coalesce(F.count_if(cond), F.lit(0)).alias(f"_p{i}")
+def rule_report(df: DataFrame, rules: Mapping[str, Column], weight: str | None = None) -> DataFrame:
+    """(rule, n, n_pass, n_fail) from a single aggregate over the table.
+
+    ``weight`` names a column saying for how many equal rows a row stands.
+    """
+    count = F.lit(1).cast("long") if weight is None else F.col(weight)
+    zero = F.lit(0).cast("long")
+    passed = [F.coalesce(F.sum(F.when(cond, count)), zero).alias(f"_p{i}")
               for i, cond in enumerate(rules.values())]
-    one = df.agg(F.count(F.lit(1)).alias("n"), *passed)
+    one = df.agg(F.coalesce(F.sum(count), zero).alias("n"), *passed)
     rows = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"_p{i}").alias("n_pass"))
                                for i, name in enumerate(rules)]))
     return one.select("n", rows.alias("_r")).select(

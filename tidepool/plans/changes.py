@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import changes as ops
 from tidepool.operators.records import sort_key
-from tidepool.plans import Query, table
+from tidepool.plans import Query, spread_table, table
 
 
 def _cents(column):
@@ -33,7 +33,7 @@ def log_of(lines):
 
 
 def log(spark, sf):
-    return log_of(table(spark, sf, "lineitem"))
+    return log_of(spread_table(spark, sf, "lineitem"))
 
 
 def apply_changes(spark, sf):

@@ -8,7 +8,7 @@ from tidepool.functions.text import (MARKUP_ENTITIES, TEXT_STEPS, decode_entitie
                                      html_to_text, latin_entities)
 from tidepool.functions.urls import acceptable_path, host, in_scope, query_pairs
 from tidepool.operators import crawl as ops
-from tidepool.plans import Query, table
+from tidepool.plans import Query, spread_table
 
 ROOTS = ["example.org", "example.net"]
 
@@ -50,7 +50,7 @@ def scope(u: str) -> str:
 
 
 def _pages(spark, sf):
-    return table(spark, sf, "pages")
+    return spread_table(spark, sf, "pages")
 
 
 def _seeds(spark, sf):
@@ -136,7 +136,7 @@ def url_parts_and_query(spark, sf):
 
 
 def html_entities(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text",
+    docs = spread_table(spark, sf, "documents").select("doc_id", "text",
                                                 encode_entities("text").alias("encoded"))
     return docs.select("doc_id", F.md5("encoded").alias("encoded_md5"),
                        F.md5(decode_entities("text")).alias("decoded_md5"),

@@ -11,7 +11,7 @@ from tidepool.operators import index as index_ops
 from tidepool.operators import timing as ops
 from tidepool.operators.crawl import extract_links
 from tidepool.operators.records import sort_key
-from tidepool.plans import Query, changes, table
+from tidepool.plans import Query, changes, spread_table, table
 from tidepool.plans.crawl import LINKS_SQL, ROOTS, accept, scope
 from tidepool.plans.index import CFG, POSTINGS_SQL
 from tidepool.schemas import EVENTS, PAGES
@@ -24,7 +24,7 @@ HOUR = 3_600_000_000
 
 
 def _events(spark, sf):
-    return table(spark, sf, "events").select(
+    return spread_table(spark, sf, "events").select(
         "event_id", "user_id", "event_type", epoch_us("ts").alias("us"))
 
 
@@ -157,9 +157,9 @@ def throttle_stream(spark, sf):
     return _collected(spark, streams.throttle_stream(events, "event_type", "us", "event_id", HOUR))
 
 
-def session_stream(spark, sf):
+def _sessions_done(spark, sf, gap):
     events = _event_stream(spark, sf).withColumn("ts", instant("ts"))
-    sessions = streams.session_stream(events, ["user_id"], "ts", "event_id", "2 hours")
+    sessions = streams.session_stream(events, ["user_id"], "ts", "event_id", gap)
     path = scratch_path(spark, "sessions")
 
     def keep(batch, batch_id):
@@ -174,6 +174,15 @@ def session_stream(spark, sf):
         "event_id", "n")
 
 
+def session_stream(spark, sf):
+    return _sessions_done(spark, sf, "2 hours")
+
+
+def debounce_stream(spark, sf):
+    return _sessions_done(spark, sf, "1 hour").select("event_id", "user_id",
+                                                      F.col("idle_us").alias("fired_us"))
+
+
 def buffered_replay(spark, sf):
     path = scratch_path(spark, "replay")
     streams.buffered_replay(_event_stream(spark, sf), path)
@@ -220,6 +229,13 @@ _THROTTLED = """
   SELECT event_id, event_type, us FROM t"""
 
 
+_DEBOUNCED = f"""
+  WITH e AS (SELECT event_id, user_id, epoch_us(ts) AS us,
+               lead(epoch_us(ts)) OVER ({_USER}) AS next FROM events)
+  SELECT event_id, user_id, us + 3600000000 AS fired_us FROM e
+  WHERE next IS NULL OR next - us > 3600000000"""
+
+
 def _sessions(gap: str, cols: str) -> str:
     return f"""
         WITH e AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER ({_USER}) {gap} 7200000000
@@ -238,11 +254,8 @@ QUERIES = {
         SELECT CAST(epoch_us(ts) // 21600000000 * 21600000000 AS BIGINT) AS start_us,
           round(count(*) / 21600.0, 9) AS rate FROM events GROUP BY 1"""),
     "meter": Query(meter, "SELECT count(*) AS n FROM events"),
-    "debounce": Query(debounce, f"""
-        WITH e AS (SELECT event_id, user_id, epoch_us(ts) AS us,
-                     lead(epoch_us(ts)) OVER ({_USER}) AS next FROM events)
-        SELECT event_id, user_id, us + 3600000000 AS fired_us FROM e
-        WHERE next IS NULL OR next - us > 3600000000"""),
+    "debounce": Query(debounce, _DEBOUNCED),
+    "debounce_stream": Query(debounce_stream, _DEBOUNCED),
     "throttle": Query(throttle, _THROTTLED),
     "throttle_stream": Query(throttle_stream, _THROTTLED),
     "idle_sessions": Query(idle_sessions, _sessions("<=", "CAST(session AS BIGINT) AS session")),

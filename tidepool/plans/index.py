@@ -8,7 +8,7 @@ from tidepool.config import IndexConfig
 from tidepool.functions.text import WORD, WORD_OR_MARK
 from tidepool.operators import index as ops
 from tidepool.operators import sets
-from tidepool.plans import Query, table
+from tidepool.plans import Query, table, spread_table
 from tidepool.plans.crawl import quoted, text_sql
 from tidepool.sources import index_files
 from tidepool.storage import scratch_path
@@ -45,7 +45,7 @@ BLOCKS_SQL = f"""{POSTINGS_SQL},
 
 
 def _pages(spark, sf):
-    return table(spark, sf, "pages")
+    return spread_table(spark, sf, "pages")
 
 
 def _docs(spark, sf, mode="text"):
@@ -102,7 +102,7 @@ def term_stats(spark, sf):
 
 
 def document_terms(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("url"), "text")
+    docs = spread_table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("url"), "text")
     return ops.term_stats(ops.document_index(docs, CFG))
 
 

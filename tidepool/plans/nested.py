@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidepool.functions import arrays as A
 from tidepool.functions import predicates as P
 from tidepool.operators import nested as ops
-from tidepool.plans import Query, table
+from tidepool.plans import Query, spread_table, table
 from tidepool.sources import csv_files, files, markup
 from tidepool.storage import scratch_path
 
@@ -40,7 +40,7 @@ def recursive_find(spark, sf):
     nested = F.concat(F.lit('{"k": '), F.get_json_object("props", "$.k"), F.lit(', "in": {"type": "'),
                       F.col("event_type"), F.lit('", "list": [{"k": '), F.col("event_id"),
                       F.lit('}, {"z": {"k": '), F.col("user_id"), F.lit("}}]}}"))
-    return ops.recursive_find(_events(spark, sf).withColumn("doc", nested), "doc", ["event_id"], "k")
+    return ops.recursive_find(spread_table(spark, sf, "events").withColumn("doc", nested), "doc", ["event_id"], "k")
 
 
 def array_filter(spark, sf):

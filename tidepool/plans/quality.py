@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from tidepool.functions import rules as R
 from tidepool.operators import quality as ops
 from tidepool.operators.quality import Property
-from tidepool.plans import Query, table
+from tidepool.plans import Query, table, spread_table
 from tidepool.plans.crawl import quoted
 
 
 def _tokens(spark, sf):
-    docs = table(spark, sf, "documents")
-    return docs.select("doc_id", F.explode(F.split("text", r"\s+")).alias("token")).filter(
-        "token <> ''")
+    """Each distinct token once with how often it occurs; rules then run once per token."""
+    docs = spread_table(spark, sf, "documents")
+    tokens = docs.select(F.explode(F.split("text", r"\s+")).alias("token")).filter("token <> ''")
+    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def rule_report(spark, sf):
@@ -24,7 +25,7 @@ def rule_report(spark, sf):
         "to_1000": R.in_range(t, 0, 1000), "ip": R.ip_address(t), "email": R.email(t),
         "email_list": R.email_list(t), "url": R.url(t), "zip": R.number_format(t, R.US_ZIP),
         "visa": R.credit_card(t, "vi"), "state": R.us_state(t), "province": R.ca_province(t),
-        "phone_tail": R.number_format(t, ["###-####"])})
+        "phone_tail": R.number_format(t, ["###-####"])}, weight="n")
 
 
 def rule_failures(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidepool.functions.dates import day_number, epoch_us
 from tidepool.operators import ordered
 from tidepool.operators import stats as ops
-from tidepool.plans import Query, table
+from tidepool.plans import Query, spread_table, table
 
 ORDER = ["us", "event_id"]
 
@@ -22,8 +22,9 @@ def _rounded(df, *names):
 
 def _cents(spark, sf):
     """Events with the clock in microseconds and the value in whole cents, so sums are exact."""
-    return _events(spark, sf).select("event_id", "user_id", "event_type", epoch_us("ts").alias("us"),
-                                     F.round(F.col("value") * 100).cast("long").alias("cents"))
+    return spread_table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", epoch_us("ts").alias("us"),
+        F.round(F.col("value") * 100).cast("long").alias("cents"))
 
 
 def stats_basic(spark, sf):
@@ -133,7 +134,9 @@ QUERIES = {
     "quantile_summary": Query(quantile_summary, "SELECT event_type, " + ", ".join(
         f"round(quantile_cont(value, {p}), 6) AS \"{n}\"" for n, p in ops.SUMMARY.items())
         + " FROM events GROUP BY event_type"),
-    "approx_quantiles": Query(approx_quantiles),
+    "approx_quantiles": Query(approx_quantiles, "SELECT event_type, " + ", ".join(
+        f"quantile_disc(value, {p}) AS \"{n}\"" for n, p in ops.SUMMARY.items())
+        + " FROM events GROUP BY event_type"),
     "stats_mode": Query(stats_mode, """
         SELECT l_suppkey, l_linenumber AS mode, n FROM (SELECT l_suppkey, l_linenumber,
             count(*) AS n, row_number() OVER (PARTITION BY l_suppkey

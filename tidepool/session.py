@@ -13,6 +13,9 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "tidepoo
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Arrays of URLs are collected for many terms at once; the default of 128 groups per task
+        # switches to sorting far too early.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()

@@ -42,6 +42,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table with fewer splits than cores to all cores, before work that costs much per row.
+
+    A large table always has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def release(spark: SparkSession) -> bool:
     """Delete every scratch table this application wrote."""
     jvm = spark.sparkContext._jvm
@@ -72,13 +81,14 @@ def sized_join(big: DataFrame, small: DataFrame, on: list[str], spread: str,
                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Equi-join that holds when one key owns a large part of ``big``.
 
-    ``small`` is broadcast if it was measured to fit.  Otherwise the keys with more than
-    ``hot_rows`` rows in ``big`` are found first: their rows are spread over ``salts`` sub-groups
-    by a hash of ``spread`` and the matching rows of ``small`` are repeated once per sub-group.
-    All other keys are joined as they are.
+    ``small`` is written once and broadcast if it was measured to fit.  Otherwise the keys with more
+    than ``hot_rows`` rows in ``big`` are found first: their rows are spread over ``salts``
+    sub-groups by a hash of ``spread`` and the matching rows of ``small`` are repeated once per
+    sub-group.  All other keys are joined as they are.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} cannot repeat the right side")
+    small = materialize(small, "side")
     if fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), on, how)
     hot = materialize(hot_keys(big, on, hot_rows).withColumn("_hot", F.lit(True)), "hot")
