@@ -33,10 +33,11 @@ def case(request, spark):
     return data, df
 
 
-def test_running_folds(case):
+@pytest.mark.parametrize("chunks", [7, None])
+def test_running_folds(case, chunks):
     data, df = case
-    parts = ordered.order_chunks(df, ["k"], ["t", "id"], chunks=7)
-    assert parts.select(ordered.CHUNK).distinct().count() == 7
+    parts = ordered.order_chunks(df, ["k"], ["t", "id"], chunks)
+    assert not chunks or parts.select(ordered.CHUNK).distinct().count() == 7
     v = F.col("v")
     out = ordered.running(parts, ["k"], ["t", "id"], {
         "s": ("sum", v), "lo": ("min", v), "hi": ("max", v), "n": ("count", v)})
@@ -62,10 +63,11 @@ def test_running_folds(case):
                 fold(sum, before) or 0, fold(min, before))
 
 
+@pytest.mark.parametrize("chunks", [6, None])
 @pytest.mark.parametrize("forward", [True, False])
-def test_shift(case, forward):
+def test_shift(case, forward, chunks):
     data, df = case
-    parts = ordered.order_chunks(df, ["k"], ["t", "id"], chunks=6)
+    parts = ordered.order_chunks(df, ["k"], ["t", "id"], chunks)
     out = ordered.shift(parts, ["k"], ["t", "id"], {"near": F.col("v")}, forward)
     got = {r["id"]: None if r["near"] is None else (r["near"]["v"],) for r in out.collect()}
     for rows in by_key(data).values():
@@ -89,10 +91,27 @@ def test_runs_and_numbers(case):
     assert [r["id"] for r in numbers.orderBy("pos").collect()] == [r[0] for r in want]
 
 
+@pytest.fixture(params=["chunks", "plain"])
+def layout(request, monkeypatch):
+    """Force the range-partitioned chunks, or leave the small table to plain windows."""
+    monkeypatch.setattr(ordered, "MIN_ROWS", 30)
+    if request.param == "chunks":
+        monkeypatch.setattr(ordered, "MAX_KEY_ROWS", 10)
+    return request.param
+
+
+def test_layout(case, layout):
+    _, df = case
+    parts = ordered.order_chunks(df, ["k"], ["t", "id"])
+    assert (ordered.CHUNK in parts.columns) == (layout == "chunks")
+    out = ordered.running(parts, ["k"], ["t", "id"], {"x": ("sum", F.col("v"))}, exclusive=True)
+    assert out.filter("x IS NULL").count() == 0
+    assert ordered.order_chunks(df, [], ["t", "id"]).select(ordered.CHUNK).distinct().count() == 4
+
+
 @pytest.mark.parametrize("wait", [1, 7, 60, 5000])
-def test_throttle(case, wait, monkeypatch):
+def test_throttle(case, wait, layout):
     data, df = case
-    monkeypatch.setattr(ordered, "MIN_ROWS", 30)
     got = {r["id"] for r in throttle(df, ["k"], "t", "id", wait).collect()}
     want = set()
     for rows in by_key(data).values():
@@ -123,9 +142,8 @@ def test_packets(case, spark, limit):
         assert got[r[0]] == packet
 
 
-def test_debounce_and_idle(case, monkeypatch):
+def test_debounce_and_idle(case, layout):
     data, df = case
-    monkeypatch.setattr(ordered, "MIN_ROWS", 30)
     fired = {r["id"]: r["fired_us"] for r in debounce(df, ["k"], "t", "id", 5).collect()}
     idle = {(r["k"], r["session"]): (r["active_us"], r["idle_us"], r["n"])
             for r in idle_sessions(df, ["k"], "t", "id", 5).collect()}

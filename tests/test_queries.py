@@ -61,7 +61,8 @@ def test_text_stays_in_generated_code(spark, sf):
     assert "*(1)" in text and "Python" not in text
 
 
-def test_windows_never_take_a_whole_key(spark, sf):
+def test_windows_never_take_a_whole_large_key(spark, sf, monkeypatch):
+    monkeypatch.setattr(ordered, "MAX_KEY_ROWS", 10)
     events = spark.read.parquet(f"{sf}/events.parquet").withColumn("us", epoch_us("ts"))
     parts = ordered.order_chunks(events, ["user_id"], ["us", "event_id"])
     text = plan(ordered.shift(parts, ["user_id"], ["us", "event_id"], {"p": F.col("us")}))

@@ -1,10 +1,11 @@
-"""Ordered computations that never put a whole key into one task.
+"""Ordered computations that never put an unbounded key into one task.
 
 A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task, and a window without a key
-sorts the whole table in one.  Here rows are first range-partitioned by (keys, order) into balanced
-chunks, written once, and every chunk is worked on by itself.  What crosses a chunk border is one
-row per chunk (a running total, or the neighbouring row), so the table joined back has at most two
-rows per chunk and is safe to broadcast whatever the size of the data.
+sorts the whole table in one.  The largest key is therefore measured first.  While it fits a task,
+plain windows are used.  Otherwise rows are range-partitioned by (keys, order) into balanced chunks,
+written once, and every chunk is worked on by itself.  What crosses a chunk border is one row per
+chunk (a running total, or the neighbouring row), so the table joined back has at most two rows per
+chunk and is safe to broadcast whatever the size of the data.
 
 ``keys + order`` must identify a row.
 """
@@ -24,6 +25,7 @@ from tidepool.storage import materialize
 
 CHUNK = "_chunk"
 MIN_ROWS, MAX_ROWS = 2_000, 4_000_000
+MAX_KEY_ROWS = 1_000_000
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 _LOCAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
@@ -36,21 +38,32 @@ def chunk_count(rows: int, partitions: int) -> int:
 
 def order_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                  chunks: int | None = None) -> DataFrame:
-    """Balanced chunks in (keys, order) sequence, written to the shared folder.
+    """The rows, ready for the functions below, from a table in the shared folder.
 
-    The input is written first: counting it and sampling its range then read that table, and what
+    If no key has more than MAX_KEY_ROWS rows they are returned as they are.  Otherwise they are cut
+    into balanced chunks in (keys, order) sequence, named by the column CHUNK.
+
+    The input is written first: measuring it and sampling its range then read that table, and what
     produced it runs once.  Pass only the columns that are needed.
     """
     df = materialize(df, "staged")
     if chunks is None:
+        if keys:
+            sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            if (sizes.agg(F.max("n")).first()[0] or 0) <= MAX_KEY_ROWS:
+                return df
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         chunks = chunk_count(df.count(), partitions)
     ranged = df.repartitionByRange(chunks, *keys, *order)
     return materialize(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
-def _local(keys: Sequence[str], order: Sequence[str | Column]):
-    return Window.partitionBy(CHUNK, *keys).orderBy(*order)
+def _groups(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    return [CHUNK, *keys] if CHUNK in df.columns else list(keys)
+
+
+def _local(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]):
+    return Window.partitionBy(*_groups(df, keys)).orderBy(*order)
 
 
 def _at_border(side: DataFrame, main: DataFrame, keys: Sequence[str]) -> Column:
@@ -79,9 +92,15 @@ def running(chunked: DataFrame, keys: Sequence[str], order: Sequence[str],
     giving 0 for sums and counts and null for min and max at the start.
     """
     way = [F.desc(c) for c in order] if reverse else order
-    window = _local(keys, way).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    window = _local(chunked, keys, way).rowsBetween(Window.unboundedPreceding,
+                                                    -1 if exclusive else 0)
     main = chunked.select("*", *[_LOCAL[kind](value).over(window).alias(f"_f_{name}")
                                  for name, (kind, value) in folds.items()])
+    if CHUNK not in chunked.columns:
+        zero = exclusive and [n for n, (kind, _) in folds.items() if kind in ("sum", "count")] or []
+        return main.select(*chunked.columns, *[
+            (F.coalesce(f"_f_{n}", F.lit(0)) if n in zero else F.col(f"_f_{n}")).alias(n)
+            for n in folds])
 
     totals = chunked.groupBy(CHUNK, *keys).agg(
         *[_LOCAL[kind](value).alias(f"_t_{name}") for name, (kind, value) in folds.items()])
@@ -131,8 +150,11 @@ def shift(chunked: DataFrame, keys: Sequence[str], order: Sequence[str],
     missing neighbour stay apart.
     """
     boxed = {name: F.struct(value.alias("v")) for name, value in values.items()}
-    window = _local(keys, order)
+    window = _local(chunked, keys, order)
     move = F.lag if forward else F.lead
+    if CHUNK not in chunked.columns:
+        return chunked.select("*", *[move(box).over(window).alias(name)
+                                     for name, box in boxed.items()])
     main = chunked.select("*", *[move(box).over(window).alias(f"_s_{name}")
                                  for name, box in boxed.items()])
     position = F.struct(*[F.col(c) for c in [*keys, *order]])
@@ -202,13 +224,40 @@ def _last_starts(nxt: np.ndarray) -> np.ndarray:
 def greedy_starts(chunked: DataFrame, keys: Sequence[str], order: Sequence[str], lo: str, hi: str,
                   limit: int, name: str = "is_start") -> DataFrame:
     """Flag the starts chosen by the greedy rule; ``lo`` and ``hi`` are non-decreasing integers."""
+    groups = _groups(chunked, keys)
+    sequence = list(dict.fromkeys([hi, *order]))
+    if CHUNK in chunked.columns:
+        entered = _with_entries(chunked, keys, sequence, lo, hi, limit)
+    else:
+        entered = chunked.withColumn("_enter", F.lit(None).cast("long"))
+    out_type = T.StructType([*chunked.schema.fields, T.StructField(name, T.BooleanType())])
+
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(sequence, kind="stable")
+        lows, highs = pdf[lo].to_numpy("int64"), pdf[hi].to_numpy("int64")
+        nxt = _next_starts(lows, highs, limit)
+        enter = pdf["_enter"].iloc[0]
+        at = 0 if pd.isna(enter) else int(np.searchsorted(highs, int(enter) + limit, side="right"))
+        flags = np.zeros(len(pdf), dtype=bool)
+        while at < len(flags):
+            flags[at] = True
+            at = int(nxt[at])
+        return pdf.drop(columns="_enter").assign(**{name: flags})[out_type.fieldNames()]
+
+    return entered.groupBy(*groups).applyInPandas(mark, out_type)
+
+
+def _with_entries(chunked: DataFrame, keys: Sequence[str], sequence: list[str], lo: str, hi: str,
+                  limit: int) -> DataFrame:
+    """Add ``_enter``: the ``lo`` of the last start before the row's chunk, null if there is none."""
+    groups = [CHUNK, *keys]
     key_fields = [T.StructField(k, chunked.schema[k].dataType) for k in keys]
     summary_type = T.StructType([
         T.StructField(CHUNK, T.IntegerType()), *key_fields, T.StructField("upto", T.LongType()),
         T.StructField("leave", T.LongType())])
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(dict.fromkeys([hi, *order])), kind="stable")
+        pdf = pdf.sort_values(sequence, kind="stable")
         lows, highs = pdf[lo].to_numpy("int64"), pdf[hi].to_numpy("int64")
         leaves = lows[_last_starts(_next_starts(lows, highs, limit))]
         # Entered with lo x, the first start is the first row with hi > x + limit.  Nothing is
@@ -221,10 +270,9 @@ def greedy_starts(chunked: DataFrame, keys: Sequence[str], order: Sequence[str],
         return pd.DataFrame({**head, "upto": upto[keep], "leave": leaves[keep]})[
             summary_type.fieldNames()]
 
-    narrow = chunked.select(CHUNK, *dict.fromkeys([*keys, *order, lo, hi]))
-    groups = [CHUNK, *keys]
     # Only keys that continue over a chunk border need an entry value.
-    spans = chunked.groupBy(*groups).agg(F.lit(1).alias("_n"))
+    narrow = chunked.select(CHUNK, *dict.fromkeys([*keys, *sequence, lo]))
+    spans = chunked.select(*groups).distinct()
     key = _key_struct(keys)
     edges = spans.groupBy(CHUNK).agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
     crossing = (edges.select(CHUNK, F.explode(F.array("_first", "_last")).alias("_key")).distinct()
@@ -234,7 +282,6 @@ def greedy_starts(chunked: DataFrame, keys: Sequence[str], order: Sequence[str],
     bordering = narrow.join(F.broadcast(crossing), _at_border(crossing, narrow, keys), "left_semi")
     summary = materialize(bordering.groupBy(*groups).applyInPandas(summarise, summary_type),
                           "greedy")
-
     entry_type = T.StructType([T.StructField(CHUNK, T.IntegerType()), *key_fields,
                                T.StructField("enter", T.LongType())])
 
@@ -251,22 +298,7 @@ def greedy_starts(chunked: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     walker = summary.withColumn("_all", F.lit(0)).groupBy(*(keys or ["_all"]))
     entries = materialize(walker.applyInPandas(walk, entry_type), "entries")
-    entry = entries.select(F.col(CHUNK).alias("_c"),
-                           *[F.col(k).alias(f"_k_{k}") for k in keys], "enter")
-    entered = chunked.join(F.broadcast(entry), _at_border(entry, chunked, keys), "left").select(
-        *[chunked[c] for c in chunked.columns], "enter")
-    out_type = T.StructType([*chunked.schema.fields, T.StructField(name, T.BooleanType())])
-
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(dict.fromkeys([hi, *order])), kind="stable")
-        lows, highs = pdf[lo].to_numpy("int64"), pdf[hi].to_numpy("int64")
-        nxt = _next_starts(lows, highs, limit)
-        enter = pdf["enter"].iloc[0]
-        at = 0 if pd.isna(enter) else int(np.searchsorted(highs, int(enter) + limit, side="right"))
-        flags = np.zeros(len(pdf), dtype=bool)
-        while at < len(flags):
-            flags[at] = True
-            at = int(nxt[at])
-        return pdf.drop(columns="enter").assign(**{name: flags})[out_type.fieldNames()]
-
-    return entered.groupBy(*groups).applyInPandas(mark, out_type)
+    entry = entries.select(F.col(CHUNK).alias("_c"), *[F.col(k).alias(f"_k_{k}") for k in keys],
+                           F.col("enter").alias("_enter"))
+    return chunked.join(F.broadcast(entry), _at_border(entry, chunked, keys), "left").select(
+        *[chunked[c] for c in chunked.columns], "_enter")
