@@ -26,6 +26,7 @@ from tidepool.storage import materialize
 CHUNK = "_chunk"
 MIN_ROWS, MAX_ROWS = 2_000, 4_000_000
 MAX_KEY_ROWS = 1_000_000
+TASK_ROWS = 500_000
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 _LOCAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
@@ -224,27 +225,35 @@ def _last_starts(nxt: np.ndarray) -> np.ndarray:
 def greedy_starts(chunked: DataFrame, keys: Sequence[str], order: Sequence[str], lo: str, hi: str,
                   limit: int, name: str = "is_start") -> DataFrame:
     """Flag the starts chosen by the greedy rule; ``lo`` and ``hi`` are non-decreasing integers."""
-    groups = _groups(chunked, keys)
     sequence = list(dict.fromkeys([hi, *order]))
     if CHUNK in chunked.columns:
-        entered = _with_entries(chunked, keys, sequence, lo, hi, limit)
-    else:
-        entered = chunked.withColumn("_enter", F.lit(None).cast("long"))
+        entered = _with_entries(chunked, keys, sequence, lo, hi, limit).withColumn(
+            "_task", F.col(CHUNK))
+    else:  # many small keys share a task
+        tasks = max(1, math.ceil(chunked.count() / TASK_ROWS))
+        entered = chunked.select("*", F.lit(None).cast("long").alias("_enter"),
+                                 F.pmod(F.xxhash64(*keys), F.lit(tasks)).alias("_task"))
     out_type = T.StructType([*chunked.schema.fields, T.StructField(name, T.BooleanType())])
 
     def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sequence, kind="stable")
+        key_no = pdf.groupby(list(keys), dropna=False, sort=False).ngroup() if keys else 0
+        pdf = pdf.assign(_key_no=key_no).sort_values(["_key_no", *sequence], kind="stable")
         lows, highs = pdf[lo].to_numpy("int64"), pdf[hi].to_numpy("int64")
-        nxt = _next_starts(lows, highs, limit)
-        enter = pdf["_enter"].iloc[0]
-        at = 0 if pd.isna(enter) else int(np.searchsorted(highs, int(enter) + limit, side="right"))
+        enters, numbers = pdf["_enter"].to_numpy(), pdf["_key_no"].to_numpy()
         flags = np.zeros(len(pdf), dtype=bool)
-        while at < len(flags):
-            flags[at] = True
-            at = int(nxt[at])
-        return pdf.drop(columns="_enter").assign(**{name: flags})[out_type.fieldNames()]
-
-    return entered.groupBy(*groups).applyInPandas(mark, out_type)
+        edges = np.flatnonzero(np.diff(numbers, prepend=-1, append=-1))
+        for first, behind in zip(edges[:-1], edges[1:]):
+            low, high = lows[first:behind], highs[first:behind]
+            at, enter = 0, enters[first]
+            if not pd.isna(enter):
+                at = int(np.searchsorted(high, int(enter) + limit, side="right"))
+            nxt = _next_starts(low, high, limit)
+            while at < len(nxt):
+                flags[first + at] = True
+                at = int(nxt[at])
+        return pdf.assign(**{name: flags})[out_type.fieldNames()]
+
+    return entered.groupBy("_task").applyInPandas(mark, out_type)
 
 
 def _with_entries(chunked: DataFrame, keys: Sequence[str], sequence: list[str], lo: str, hi: str,
