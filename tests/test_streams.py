@@ -57,10 +57,24 @@ def test_throttle(spark, event_files):
     source = spark.read.parquet(event_files).withColumn("us", epoch_us("ts"))
     want = timing.throttle(source, ["event_type"], "us", "event_id", WAIT)
     live = stream(spark, event_files, EVENTS).withColumn("us", epoch_us("ts"))
-    got = collected(spark, events.throttle_stream(live, "event_type", "us", "event_id", WAIT))
+    path = scratch_path(spark, "throttle")
+    events.throttle_stream(live, path, "event_type", "us", "event_id", WAIT)
+    got = spark.read.parquet(f"{path}/passed")
+    assert got.select("batch").distinct().count() == 4
     assert rows(got, "event_id") == rows(want, "event_id")
 
 
+def test_throttle_drops_late_events(spark, tmp_path):
+    schema = "k STRING, us LONG, id LONG"
+    for i, batch in enumerate([[("a", 100, 1), ("b", 5, 2)], [("a", 90, 3), ("a", 105, 4), ("a", 100, 0),
+                                                              ("b", 15, 5), ("a", 111, 6)]]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    live = common.parquet_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema,
+                                 files_per_trigger=1)
+    events.throttle_stream(live, str(tmp_path / "out"), "k", "us", "id", 10)
+    assert rows(spark.read.parquet(str(tmp_path / "out/passed")), "id") == [(1,), (2,), (5,), (6,)]
+
+
 def test_flow_rate_closes_windows(spark, event_files):
     live = stream(spark, event_files, EVENTS).withColumn("ts", instant("ts"))
     got = collected(spark, events.flow_rate_stream(live, "ts", 21_600))

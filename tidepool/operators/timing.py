@@ -30,10 +30,12 @@ def debounce(df: DataFrame, keys: Sequence[str], us: str, tie: str, wait_us: int
     return seen.filter(last).drop("_next", CHUNK).withColumn("fired_us", F.col(us) + wait_us)
 
 
-def throttle(df: DataFrame, keys: Sequence[str], us: str, tie: str, wait_us: int) -> DataFrame:
+def throttle(df: DataFrame, keys: Sequence[str], us: str, tie: str | Sequence[str],
+             wait_us: int) -> DataFrame:
     """The first event, then the first one at least ``wait_us`` after the last one passed on."""
-    parts = order_chunks(df, keys, [us, tie])
-    marked = greedy_starts(parts, keys, [us, tie], us, us, wait_us - 1)
+    order = [us, tie] if isinstance(tie, str) else [us, *tie]
+    parts = order_chunks(df, keys, order)
+    marked = greedy_starts(parts, keys, order, us, us, wait_us - 1)
     return marked.filter("is_start").drop("is_start", CHUNK)
 
 

@@ -8,7 +8,7 @@ from tidepool.functions.text import (MARKUP_ENTITIES, TEXT_STEPS, decode_entitie
                                      html_to_text, latin_entities)
 from tidepool.functions.urls import acceptable_path, host, in_scope, query_pairs
 from tidepool.operators import crawl as ops
-from tidepool.plans import Query, spread_table
+from tidepool.plans import Query, spread_table, table
 
 ROOTS = ["example.org", "example.net"]
 
@@ -105,6 +105,28 @@ def crawl_bfs(spark, sf):
     return ops.crawl_bfs(_pages(spark, sf), _seeds(spark, sf), ROOTS)
 
 
+def crawl_rounds(spark, sf):
+    """The star schema as a web site: regions link to nations, nations to customers, customers to
+    orders, orders to suppliers and suppliers back to nations.  A page's links come in several rows."""
+    def links(name, source, target):
+        t = table(spark, sf, name)
+        (a, ka), (b, kb) = source, target
+        return t.select(
+            F.concat(F.lit(f"http://shop.org/{a}/"), F.col(ka).cast("string")).alias("url"),
+            F.concat(F.lit(f'<a href="../{b}/'), F.col(kb).cast("string"), F.lit('">')).alias("html"))
+
+    pages = links("nation", ("region", "n_regionkey"), ("nation", "n_nationkey"))
+    for name, source, target in [
+            ("customer", ("nation", "c_nationkey"), ("customer", "c_custkey")),
+            ("orders", ("customer", "o_custkey"), ("order", "o_orderkey")),
+            ("lineitem", ("order", "l_orderkey"), ("supplier", "l_suppkey")),
+            ("supplier", ("supplier", "s_suppkey"), ("nation", "s_nationkey"))]:
+        pages = pages.unionByName(links(name, source, target))
+    seeds = table(spark, sf, "region").filter("r_name = 'ASIA'").select(
+        F.concat(F.lit("http://shop.org/region/"), F.col("r_regionkey").cast("string")).alias("url"))
+    return ops.crawl_bfs(pages, seeds, ["shop.org"], scope="host")
+
+
 def link_graph(spark, sf):
     return ops.link_graph(ops.extract_links(_pages(spark, sf)))
 
@@ -193,6 +215,20 @@ QUERIES = {
         SELECT r.url, min(r.depth) AS depth,
           CASE WHEN r.url IN (SELECT url FROM pages) THEN 'fetched' ELSE 'missing' END AS status
         FROM reach r GROUP BY r.url"""),
+    "crawl_rounds": Query(crawl_rounds, """
+        WITH RECURSIVE edges AS (
+          SELECT 'region/' || n_regionkey AS src, 'nation/' || n_nationkey AS dst FROM nation
+          UNION SELECT 'nation/' || c_nationkey, 'customer/' || c_custkey FROM customer
+          UNION SELECT 'customer/' || o_custkey, 'order/' || o_orderkey FROM orders
+          UNION SELECT 'order/' || l_orderkey, 'supplier/' || l_suppkey FROM lineitem
+          UNION SELECT 'supplier/' || s_suppkey, 'nation/' || s_nationkey FROM supplier),
+        reach(page, depth) AS (
+          SELECT 'region/' || r_regionkey, 0 FROM region WHERE r_name = 'ASIA'
+          UNION SELECT e.dst, r.depth + 1 FROM reach r JOIN edges e ON e.src = r.page
+          WHERE r.depth < 9)
+        SELECT 'http://shop.org/' || page AS url, min(depth) AS depth,
+          CASE WHEN page IN (SELECT src FROM edges) THEN 'fetched' ELSE 'missing' END AS status
+        FROM reach GROUP BY page"""),
     "link_graph": Query(link_graph, f"""
         WITH {LINKS_SQL}, ends AS (SELECT src AS url, 1 AS o, 0 AS i FROM links
           UNION ALL SELECT dst, 0, 1 FROM links)

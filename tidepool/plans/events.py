@@ -36,14 +36,6 @@ def _page_stream(spark, sf):
     return common.parquet_stream(spark, sf, PAGES, "pages.parquet")
 
 
-def _collected(spark, stream, mode="append"):
-    """Run a stream to the end of its input into a table and read that back."""
-    path = scratch_path(spark, "stream")
-    writer = stream.writeStream.outputMode(mode).format("parquet").option("path", path)
-    common.run_available(writer, spark=spark)
-    return spark.read.schema(stream.schema).parquet(path)
-
-
 def flow_rate(spark, sf):
     rates = ops.flow_rate(table(spark, sf, "events"), "ts", 21_600,
                           F.round(F.col("value") * 100).cast("long"), ["event_type"])
@@ -153,8 +145,10 @@ def meter(spark, sf):
 
 
 def throttle_stream(spark, sf):
+    path = scratch_path(spark, "throttle")
     events = _event_stream(spark, sf).withColumn("us", epoch_us("ts"))
-    return _collected(spark, streams.throttle_stream(events, "event_type", "us", "event_id", HOUR))
+    streams.throttle_stream(events, path, "event_type", "us", "event_id", HOUR)
+    return spark.read.parquet(f"{path}/passed").select("event_id", "event_type", "us")
 
 
 def _sessions_done(spark, sf, gap):

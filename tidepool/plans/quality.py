@@ -49,7 +49,7 @@ SPEC = {
 
 def schema_conformance(spark, sf):
     o = table(spark, sf, "orders").withColumn("tags", F.split("o_orderpriority", "[- ]")).withColumn(
-        "clerk", F.when(F.col("o_custkey") % 4 > 0, F.col("o_orderstatus")))
+        "clerk", F.when(F.col("o_orderpriority") != "2-HIGH", F.col("o_orderstatus")))
     return ops.schema_conformance(o, SPEC, "o_orderkey")
 
 
@@ -111,7 +111,7 @@ QUERIES = {
         UNION ALL SELECT c_custkey, 'short' FROM c
           WHERE NOT regexp_matches(digits, '^0000000\\d\\d$')"""),
     "schema_conformance": Query(schema_conformance, """
-        WITH o AS (SELECT *, CASE WHEN o_custkey % 4 > 0 THEN o_orderstatus END AS clerk,
+        WITH o AS (SELECT *, CASE WHEN o_orderpriority <> '2-HIGH' THEN o_orderstatus END AS clerk,
                      regexp_split_to_array(o_orderpriority, '[- ]') AS tags FROM orders),
         e AS (
           SELECT 'o_orderkey' AS property, 'must have a minimum value of 10' AS message FROM o

@@ -90,7 +90,7 @@ def any_column_fields(spark, sf):
 
 def multi_key_sort(spark, sf):
     o = orders(spark, sf).withColumn(
-        "price", F.when(F.col("o_orderkey") % 10 == 0, None).otherwise(F.col("o_totalprice")))
+        "price", F.when(F.col("o_orderstatus") == "P", None).otherwise(F.col("o_totalprice")))
     keys = [ops.sort_key("o_orderpriority", ranks=RANKS), ops.sort_key("price", descending=True),
             ops.sort_key("o_orderkey")]
     return row_numbers(o, keys, "pos").select("o_orderkey", "pos")
@@ -131,9 +131,9 @@ def interval_overlap_join(spark, sf):
 def query_by_example_join(spark, sf):
     examples = supplier(spark, sf).select(
         F.col("s_suppkey").alias("example"),
-        F.when(F.col("s_suppkey") % 3 != 0, F.col("s_nationkey")).alias("c_nationkey"),
-        F.when(F.col("s_suppkey") % 2 == 0, F.lit("BUILDING"))
-        .when(F.col("s_suppkey") % 5 == 0, F.lit("MACHINERY")).alias("c_mktsegment"))
+        F.when(F.col("s_acctbal") > 1000, F.col("s_nationkey")).alias("c_nationkey"),
+        F.when(F.col("s_acctbal") > 6000, F.lit("BUILDING"))
+        .when(F.col("s_acctbal") < 3000, F.lit("MACHINERY")).alias("c_mktsegment"))
     rows = customer(spark, sf).select("c_custkey", "c_nationkey", "c_mktsegment")
     return example_join(rows, examples, ["c_nationkey", "c_mktsegment"], "example").select(
         "c_custkey", "example")
@@ -256,7 +256,7 @@ QUERIES = {
     "multi_key_sort": Query(multi_key_sort, """
         SELECT o_orderkey, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '5-LOW' THEN 1
             WHEN '1-URGENT' THEN 2 WHEN '3-MEDIUM' THEN 3 ELSE 4 END ASC,
-          CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END DESC NULLS FIRST,
+          CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END DESC NULLS FIRST,
           o_orderkey) - 1 AS pos FROM orders"""),
     "page_with_total": Query(page_with_total, """
         SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O')
@@ -277,8 +277,8 @@ QUERIES = {
         WHERE a.event_type = 'purchase' AND b.event_type = 'error'"""),
     "query_by_example_join": Query(query_by_example_join, """
         WITH ex AS (SELECT min(s_suppkey) AS example, n, m FROM (SELECT s_suppkey,
-            CASE WHEN s_suppkey % 3 <> 0 THEN s_nationkey END AS n,
-            CASE WHEN s_suppkey % 2 = 0 THEN 'BUILDING' WHEN s_suppkey % 5 = 0 THEN 'MACHINERY' END
+            CASE WHEN s_acctbal > 1000 THEN s_nationkey END AS n,
+            CASE WHEN s_acctbal > 6000 THEN 'BUILDING' WHEN s_acctbal < 3000 THEN 'MACHINERY' END
               AS m FROM supplier) GROUP BY n, m)
         SELECT c_custkey, example FROM customer JOIN ex
           ON (n IS NULL OR n = c_nationkey) AND (m IS NULL OR m = c_mktsegment)"""),

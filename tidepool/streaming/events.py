@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidepool.operators.changes import apply_changes, snapshot_diff
-from tidepool.operators.timing import event_packets, flow_rate
-from tidepool.storage import materialize
+from tidepool.operators.timing import event_packets, flow_rate, throttle
+from tidepool.storage import materialize, sized_join
 from tidepool.streaming.common import run_available, write_batch
 
 WATERMARK = "10 minutes"
@@ -48,33 +46,33 @@ def session_stream(events: DataFrame, keys: list[str], ts: str, tie: str, gap: s
             F.col("session_window.end").alias("idle_at"), F.col(f"last.{tie}").alias(tie), "n")
 
 
-def throttle_stream(events: DataFrame, key: str, us: str, tie: str, wait_us: int) -> DataFrame:
-    """First event per key, then the next at least ``wait_us`` later; the state is one number.
+def throttle_stream(events: DataFrame, path: str, key: str, us: str, tie: str, wait_us: int,
+                    checkpoint: str | None = None):
+    """First event per key, then the next at least ``wait_us`` later, below ``path/passed``.
 
-    Events of a key must not arrive in an earlier micro-batch than older ones.
+    ``path/last`` keeps the last event passed on per key, one folder per micro-batch.  It enters the
+    next batch as that key's first row, so the batch operator does the rest and a key may hold any
+    share of a batch.  An event older than its key's last one comes during a wait and is dropped.
     """
-    kind = events.schema[key].dataType
-    out = T.StructType([T.StructField(key, kind), T.StructField(us, T.LongType()),
-                        T.StructField(tie, events.schema[tie].dataType)])
-    state_type = T.StructType([T.StructField("last", T.LongType())])
-
-    def step(ident: tuple, batches: Iterator[pd.DataFrame],
-             state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values([us, tie], kind="stable")
-        times, at, taken = rows[us].to_numpy("int64"), 0, []
-        if last is not None:
-            at = int(times.searchsorted(last + wait_us, side="left"))
-        while at < len(times):
-            taken.append(at)
-            last = int(times[at])
-            at = int(times.searchsorted(last + wait_us, side="left"))
-        if last is not None:
-            state.update((last,))
-        yield rows.iloc[taken][out.fieldNames()]
-
-    return events.select(key, us, tie).groupBy(key).applyInPandasWithState(
-        step, out, state_type, "append", GroupStateTimeout.NoTimeout)
+    rows = events.select(key, us, tie)
+    schema = rows.schema
+    spark = events.sparkSession
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        before = spark.createDataFrame([], schema) if batch_id == 0 else spark.read.schema(
+            schema).parquet(f"{path}/last/batch={batch_id - 1}")
+        known = before.select(key, F.col(us).alias("_last"))
+        new = sized_join(batch, known, [key], spread=tie, how="left").filter(
+            F.col("_last").isNull() | (F.col(us) >= F.col("_last"))).drop("_last")
+        both = before.withColumn("_new", F.lit(False)).unionByName(
+            new.withColumn("_new", F.lit(True)))
+        # A remembered event goes first even if an event of the batch has the same time.
+        passed = materialize(throttle(both, [key], us, ["_new", tie], wait_us), "passed")
+        write_batch(passed.filter("_new").drop("_new"), f"{path}/passed", batch_id)
+        last = passed.groupBy(key).agg(F.max(F.struct(us, tie)).alias("m"))
+        write_batch(last.select(key, "m.*"), f"{path}/last", batch_id)
+
+    return run_available(rows.writeStream.foreachBatch(step), checkpoint, spark)
 
 
 def packet_sink(events: DataFrame, path: str, order: str, body: Column, max_bytes: int = 4000,
