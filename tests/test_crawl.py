@@ -109,10 +109,11 @@ def test_preferred_merge(spark):
 
 
 def test_hrefs_and_query(spark):
-    df = spark.createDataFrame([('<a class=x href="/a&amp;b"> <link href="no"> <a\nhref=q>',
+    df = spark.createDataFrame([('<a class=x href="/a&amp;b"> <link href="no"> <a\nhref=q>'
+                                 '<a data-href="no" HREF = \'it"s\'><area href=no><a href="" id=1>',
                                  "http://h/?a=1&b=%C3%A4+c&a=2&flag&=e")], "h STRING, u STRING")
     r = df.select(hrefs("h").alias("h"), query_map("u").alias("q")).first()
-    assert r["h"] == ["/a&b", "q"]
+    assert r["h"] == ["/a&b", "q", 'it"s', ""]
     assert r["q"] == {"a": ["1", "2"], "b": ["ä c"], "flag": [""], "": ["e"]}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -9,10 +10,16 @@ from pyspark.sql import functions as F
 
 from tidepool.config import CRAWL_EXTENSIONS
 
-# The generic URI pattern published in RFC 3986, appendix B.
-URI = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
-_GROUPS = {"scheme": 2, "authority": 4, "path": 5, "query": 7, "fragment": 9}
-HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+# The parts of a URI as RFC 3986, appendix B, separates them.
+_PARTS = {
+    "scheme": r"^([^:/?#]+):",
+    "authority": r"^(?:[^:/?#]+:)?//([^/?#]*)",
+    "path": r"^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)",
+    "query": r"^[^?#]*\?([^#]*)",
+    "fragment": r"#(.*)",
+}
+HREF = r"""(?is)<a\s(?:[^>]*?[\s"'/])?href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+_HREF_VALUE = r"""(?is)[\s"'/]href\s*=\s*["']?(.*?)["']?$"""
 
 
 def _col(c: Column | str) -> Column:
@@ -21,7 +28,7 @@ def _col(c: Column | str) -> Column:
 
 def url_part(url: Column | str, part: str) -> Column:
     """scheme, authority, path, query or fragment; '' where the URL has none."""
-    return F.regexp_extract(_col(url), URI, _GROUPS[part])
+    return F.regexp_extract(_col(url), _PARTS[part], 1)
 
 
 def host(url: Column | str) -> Column:
@@ -35,8 +42,8 @@ def hrefs(html: Column | str) -> Column:
     anchors = F.regexp_extract_all(_col(html), F.lit(HREF), F.lit(0))
 
     def value(tag: Column) -> Column:
-        found = [F.regexp_extract(tag, HREF, g) for g in (1, 2, 3)]
-        return F.trim(F.replace(F.concat(*found), F.lit("&amp;"), F.lit("&")))
+        found = F.regexp_extract(tag, _HREF_VALUE, 1)
+        return F.trim(F.replace(found, F.lit("&amp;"), F.lit("&")))
 
     return F.transform(anchors, value)
 
@@ -71,7 +78,7 @@ def base_parts(base: Column | str) -> Column:
 
 def resolve_ref(parts: Column, ref: Column) -> Column:
     """Absolute form of ``ref``; the common root-relative reference needs no pattern at all."""
-    path = url_part(ref, "path")
+    path = F.regexp_extract(ref, r"^[^?#]*", 0)
     rest = F.regexp_extract(ref, r"^[^?#]*(.*)$", 1)
     joined = F.when(path.startswith("/"), path).otherwise(F.concat(parts["folder"], path))
     return (
@@ -104,7 +111,8 @@ def in_scope(url: Column | str, roots: Sequence[str], mode: str = "contains") ->
         if mode == "contains":
             out = out | _col(url).contains(root)
         elif mode == "host":
-            out = out | (host(url) == root) | host(url).endswith("." + root)
+            out = out | _col(url).rlike(
+                rf"(?i)^[^:/?#]+://(?:[^/?#]*@)?(?:[^/?#@]*\.)?{re.escape(root)}(?::\d*)?(?:[/?#]|$)")
         else:
             raise ValueError(f"unknown scope mode {mode}")
     return out

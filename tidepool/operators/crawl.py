@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.urls import acceptable_path, base_parts, hrefs, in_scope, resolve_ref
 from tidepool.schemas import FRONTIER
-from tidepool.storage import materialize, scratch_path, sized_join
+from tidepool.storage import fits_broadcast, materialize, scratch_path, sized_join
 
 
 def seed_source(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
@@ -27,9 +27,11 @@ def extract_links(pages: DataFrame, roots: Sequence[str] | None = None,
                   scope: str = "contains") -> DataFrame:
     """One (src, dst) row per anchor with a resolvable href, limited to the roots if given."""
     refs = pages.select(F.col("url").alias("src"), base_parts("url").alias("_base"),
-                        F.explode(hrefs("html")).alias("ref"))
-    links = refs.filter("_base IS NOT NULL").select(
-        "src", resolve_ref(F.col("_base"), F.col("ref")).alias("dst"))
+                        hrefs("html").alias("_refs")).filter("_base IS NOT NULL")
+    # Resolving inside the generator makes ``dst`` a plain column: filters on it are then evaluated
+    # on its value, instead of being pushed down with a copy of the whole expression each.
+    links = refs.select("src", F.explode(F.transform(
+        "_refs", lambda ref: resolve_ref(F.col("_base"), ref))).alias("dst"))
     return links if roots is None else links.filter(in_scope("dst", roots, scope))
 
 
@@ -52,33 +54,37 @@ def crawl_bfs(pages: DataFrame, seeds: DataFrame, roots: Sequence[str] | None =
               max_depth: int | None = None, scope: str = "contains") -> DataFrame:
     """(url, depth, status) of every URL the crawl reaches, status ``fetched`` or ``missing``.
 
-    Links are extracted once; each round is a join of the round's URLs with the edges and an anti
-    join with what was seen.  Rounds are written to the shared folder, so a lost executor costs one
-    round.  The loop ends when a round brings nothing new.
+    Links are extracted once, and whether a link's target is in the snapshot is settled once, too.
+    Each round is then a semi join of the edges with the round's URLs and an anti join with what was
+    seen.  Rounds are written to the shared folder, so a lost executor costs one round.  The loop
+    ends when a round brings nothing new.
     """
     spark = pages.sparkSession
-    edges = extract_links(pages, roots, scope).filter(acceptable_path("dst")).distinct()
-    edges = materialize(edges, "edges")
+    status = F.when(F.col("_known"), "fetched").otherwise("missing").alias("status")
     known = materialize(pages.select("url").distinct().withColumn("_known", F.lit(True)), "known")
+    links = extract_links(pages, roots, scope).filter(acceptable_path("dst")).distinct()
+    targets = F.broadcast(known) if fits_broadcast(known) else known
+    edges = materialize(links.withColumnRenamed("dst", "url").join(targets, "url", "left").select(
+        "src", "url", status), "edges")
     rounds = scratch_path(spark, "rounds")
+    row = "url STRING, status STRING"
 
-    def settle(urls: DataFrame, depth: int) -> DataFrame:
-        status = F.when(F.col("_known"), "fetched").otherwise("missing")
+    def keep(urls: DataFrame, depth: int) -> DataFrame:
         folder = f"{rounds}/depth={depth}"
-        urls.join(known, "url", "left").select("url", status.alias("status")).write.parquet(folder)
-        return spark.read.schema("url STRING, status STRING").parquet(folder)
+        urls.select("url", "status").write.parquet(folder)
+        return spark.read.schema(row).parquet(folder)
 
     def seen() -> DataFrame:
-        return spark.read.schema("url STRING, status STRING, depth INT").parquet(rounds).select(
-            "url", "depth", "status")
+        return spark.read.schema(f"{row}, depth INT").parquet(rounds).select("url", "depth", "status")
 
     depth = 0
-    new = settle(seeds.filter(acceptable_path("url")).select("url").distinct(), depth)
+    first = seeds.filter(acceptable_path("url")).select("url").distinct()
+    new = keep(first.join(targets, "url", "left").select("url", status), depth)
     while max_depth is None or depth < max_depth:
         fetched = new.filter("status = 'fetched'").select(F.col("url").alias("src"))
-        found = edges.join(fetched, "src", "left_semi").select(F.col("dst").alias("url"))
+        found = edges.join(fetched, "src", "left_semi").select("url", "status").distinct()
         depth += 1
-        new = settle(not_visited(found, seen()), depth)
+        new = keep(found.join(seen(), "url", "left_anti"), depth)
         if new.isEmpty():
             break
     return seen()

@@ -109,7 +109,7 @@ def crawl_rounds(spark, sf):
     """The star schema as a web site: regions link to nations, nations to customers, customers to
     orders, orders to suppliers and suppliers back to nations.  A page's links come in several rows."""
     def links(name, source, target):
-        t = table(spark, sf, name)
+        t = spread_table(spark, sf, name)
         (a, ka), (b, kb) = source, target
         return t.select(
             F.concat(F.lit(f"http://shop.org/{a}/"), F.col(ka).cast("string")).alias("url"),
