@@ -25,7 +25,7 @@ POSTINGS_SQL = f"""{TOKENS_SQL},
   postings AS (SELECT url, lower(token) AS term, count(*) AS tf FROM toks
                WHERE token NOT IN {EXCLUDED_SQL} GROUP BY url, lower(token))"""
 SHARDED_SQL = f"""{POSTINGS_SQL},
-  n AS (SELECT CAST(greatest(1, ceil(count(DISTINCT url) / 100.0)) AS BIGINT) AS shards FROM docs),
+  n AS (SELECT CAST(greatest(1, ceil(count(*) / 100.0)) AS BIGINT) AS shards FROM docs),
   sharded AS (SELECT p.*, CAST(CAST('0x' || substr(md5(url), 1, 7) AS BIGINT) % n.shards
                 AS INTEGER) AS shard FROM postings p, n),
   idx AS (SELECT term, shard, CAST(sum(tf) AS BIGINT) AS freq, count(*) AS df,

@@ -19,14 +19,9 @@ POSTINGS = "url STRING, term STRING, tf BIGINT, batch BIGINT"
 
 def _earlier(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
     """What batches before this one wrote; a rerun of the batch does not see itself."""
-    names = schema.split(", ")
-    made = spark.createDataFrame([], schema)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if batch_id == 0 or not fs.exists(hadoop):
-        return made
-    table = spark.read.schema(", ".join(names)).parquet(path)
-    return table.filter(F.col("batch") < batch_id)
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).filter(F.col("batch") < batch_id)
 
 
 def dedupe_stream(urls: DataFrame, event_time: str, delay: str = "10 minutes") -> DataFrame:
