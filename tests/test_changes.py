@@ -46,6 +46,19 @@ def test_null_payload_replaces(spark):
     assert rows(state) == [(1, None)]
 
 
+def test_net_changes(spark):
+    log = spark.createDataFrame([
+        (1, 1, "add", 1), (1, 2, "add", 2), (2, 1, "put", 1), (2, 2, "add", 2), (3, 1, "add", 1),
+        (3, 2, "remove", None), (4, 1, "remove", None), (4, 2, "add", 7), (4, 3, "add", 8)], LOG)
+    net = changes.net_changes(log, ["v"])
+    assert rows(net, "key", "op", "v") == [(1, "add", 1), (2, "put", 1), (3, "remove", None),
+                                           (4, "put", 7)]
+    base = spark.createDataFrame([(1, 100)], "key INT, v INT")
+    assert rows(changes.overlay(base, net, ["v"])) == [(1, 100), (2, 1), (4, 7)]
+    assert rows(changes.settled(net, base), "key", "op") == [(2, "put"), (3, "remove"), (4, "put")]
+    assert rows(changes.settled(net, base.filter("key > 1")), "key", "op")[0] == (1, "put")
+
+
 def test_no_changes(spark):
     base = spark.createDataFrame([(1, 5)], "key INT, v INT")
     state, errors = changes.apply_changes(base, spark.createDataFrame([], LOG), ["v"])

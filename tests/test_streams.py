@@ -177,7 +177,7 @@ def test_live_query(spark):
     events.live_query(base, live, lambda df: df.filter("v > 50"), ["v"],
                       [sort_key("v"), sort_key("key")], path)
     want, _ = apply_changes(base, log, ["v"])
-    assert rows(events.read_live(spark, path, base.schema, 2)) == rows(want, "key", "v")
+    assert rows(events.live_state(base, path, ["v"]), "key", "v") == rows(want, "key", "v")
     diffs = spark.read.parquet(f"{path}/diff")
     entered = diffs.filter("removed_from = -1").count() - diffs.filter("inserted_into = -1").count()
     assert entered == want.filter("v > 50").count() - base.filter("v > 50").count()

@@ -10,41 +10,63 @@ from pyspark.sql import functions as F
 from tidepool.operators.ordered import CHUNK, order_chunks, row_numbers, shift
 
 
-def check_changes(base: DataFrame, log: DataFrame, key: str = "key",
-                  order: Sequence[str] = ("seq",), op: str = "op") -> DataFrame:
-    """The log with ``error``: true for an ``add`` whose key exists at that moment.
+def _with_previous(log: DataFrame, key: str, order: Sequence[str], op: str) -> DataFrame:
+    parts = order_chunks(log, [key], order)
+    return shift(parts, [key], order, {"_prev": F.col(op)}).drop(CHUNK)
+
 
-    ``put`` inserts or replaces, ``remove`` deletes, ``add`` inserts.  After a put or an add the key
-    exists, after a remove it does not; only a key's first change depends on ``base``.
+def net_changes(log: DataFrame, payload: Sequence[str], key: str = "key",
+                order: Sequence[str] = ("seq",), op: str = "op") -> DataFrame:
+    """What a log comes to, one row per key: (key, op, payload).
+
+    ``put`` inserts or replaces, ``remove`` deletes, ``add`` inserts and is refused where the key
+    exists.  After a put or an add the key exists, after a remove it does not, so only a key's first
+    change depends on the table it is applied to: the net change is an ``add`` if that first change
+    is an add and every later one was refused.
     """
-    parts = order_chunks(log, [key], order)
-    seen = shift(parts, [key], order, {"_prev": F.col(op)}).drop(CHUNK)
-    later = seen.filter("_prev IS NOT NULL").withColumn(
-        "error", (F.col(op) == "add") & F.col("_prev.v").isin("put", "add"))
-    live = base.select(key).distinct().withColumn("_live", F.lit(True))
-    first = seen.filter("_prev IS NULL").join(live, key, "left").withColumn(
-        "error", (F.col(op) == "add") & F.coalesce("_live", F.lit(False))).drop("_live")
-    return first.unionByName(later).drop("_prev")
+    return _net(_with_previous(log, key, order, op), payload, key, order, op)
+
+
+def _net(seen: DataFrame, payload: Sequence[str], key: str, order: Sequence[str],
+         op: str) -> DataFrame:
+    is_add, first = F.col(op) == "add", F.col("_prev").isNull()
+    refused = is_add & ~first & F.col("_prev.v").isin("put", "add")
+    change = F.struct(op, *payload)
+    sure = F.max_by(F.when(~refused, change), F.when(~refused & ~(is_add & first),
+                                                     F.struct(*order)))
+    opening = F.max(F.when(is_add & first, change))
+    net = seen.groupBy(key).agg(F.coalesce(sure, opening).alias("_c"), sure.isNull().alias("_a"))
+    kind = F.when(F.col("_a"), "add").when(F.col(f"_c.{op}") == "remove", "remove").otherwise("put")
+    return net.select(key, kind.alias(op), *[F.col(f"_c.{c}").alias(c) for c in payload])
+
+
+def overlay(base: DataFrame, net: DataFrame, payload: Sequence[str], key: str = "key",
+            op: str = "op") -> DataFrame:
+    """``base`` (key, payload) after net changes: one full join on unique keys."""
+    old = base.select(key, *payload).withColumn("_live", F.lit(True))
+    new = net.select(key, F.col(op).alias("_op"), *[F.col(c).alias(f"_n_{c}") for c in payload])
+    keep_old = F.col("_op").isNull() | ((F.col("_op") == "add") & F.col("_live").isNotNull())
+    return old.join(new, key, "full").filter("_op IS NULL OR _op <> 'remove'").select(
+        key, *[F.when(keep_old, F.col(c)).otherwise(F.col(f"_n_{c}")).alias(c) for c in payload])
 
 
-def latest_changes(checked: DataFrame, payload: Sequence[str], key: str = "key",
-                   order: Sequence[str] = ("seq",), op: str = "op") -> DataFrame:
-    """The last change of each key that took effect: (key, op, payload)."""
-    last = F.max_by(F.struct(op, *payload), F.struct(*order))
-    return checked.filter("NOT error").groupBy(key).agg(last.alias("_c")).select(key, "_c.*")
+def settled(net: DataFrame, base: DataFrame, key: str = "key", op: str = "op") -> DataFrame:
+    """Net changes that hold without ``base``: adds become puts or, where the key exists, vanish."""
+    live = base.select(key, F.lit(True).alias("_live"))
+    joined = net.join(live, key, "left").filter(f"{op} <> 'add' OR _live IS NULL")
+    return joined.withColumn(op, F.when(F.col(op) == "remove", "remove").otherwise("put")).drop(
+        "_live")
 
 
 def apply_changes(base: DataFrame, log: DataFrame, payload: Sequence[str], key: str = "key",
                   order: Sequence[str] = ("seq",), op: str = "op") -> tuple[DataFrame, DataFrame]:
-    """(state, errors): ``base`` (key, payload) after the log, and the changes that were refused."""
-    checked = check_changes(base, log, key, order, op)
-    last = latest_changes(checked, payload, key, order, op)
-    new = last.select(key, F.col(op).alias("_op"), *[F.col(c).alias(f"_n_{c}") for c in payload])
-    both = base.select(key, *payload).join(new, key, "full")
-    state = both.filter("_op IS NULL OR _op <> 'remove'").select(
-        key, *[F.when(F.col("_op").isNull(), F.col(c)).otherwise(F.col(f"_n_{c}")).alias(c)
-               for c in payload])
-    return state, checked.filter("error").drop("error")
+    """(state, errors): ``base`` (key, payload) after the log, and the adds that were refused."""
+    seen = _with_previous(log, key, order, op)
+    state = overlay(base, _net(seen, payload, key, order, op), payload, key, op)
+    adds = seen.filter(F.col(op) == "add")
+    late = adds.filter(F.col("_prev.v").isin("put", "add"))
+    first = adds.filter("_prev IS NULL").join(base.select(key), key, "left_semi")
+    return state, first.unionByName(late).select(*log.columns)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, sort: Sequence[Column],

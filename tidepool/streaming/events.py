@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.operators.changes import apply_changes, snapshot_diff
+from tidepool.operators.changes import net_changes, overlay, settled, snapshot_diff
 from tidepool.operators.timing import event_packets, flow_rate, throttle
 from tidepool.storage import materialize, sized_join
 from tidepool.streaming.common import run_available, write_batch
@@ -101,28 +101,34 @@ def live_query(base: DataFrame, changes: DataFrame, result: Callable[[DataFrame]
                order: Sequence[str] = ("seq",), checkpoint: str | None = None):
     """Keep a query result current while changes (key, order, op, payload) stream in.
 
-    Every micro-batch writes the new state below ``path/state`` and the rows that entered, left or
-    changed in the result below ``path/diff``.  The state before a batch is read from the batch
-    before it, so a batch that runs again starts from the same state.
+    Every micro-batch writes its net changes below ``path/delta`` and the rows that entered, left or
+    changed in the result below ``path/diff``.  The state is ``base`` with the deltas laid over it,
+    so a batch writes what it changes and a batch that runs again starts from the same state.
     """
     spark = base.sparkSession
     base = materialize(base.select(key, *payload), "live")
 
-    def state_before(batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return base
-        return spark.read.schema(base.schema).parquet(f"{path}/state/batch={batch_id - 1}")
-
     def step(batch: DataFrame, batch_id: int) -> None:
-        before = state_before(batch_id)
-        state, _ = apply_changes(before, batch, payload, key, order)
-        write_batch(state, f"{path}/state", batch_id)
-        after = spark.read.schema(base.schema).parquet(f"{path}/state/batch={batch_id}")
+        before = live_state(base, path, payload, key, batch_id)
+        delta = settled(net_changes(batch, payload, key, order), before, key)
+        write_batch(delta, f"{path}/delta", batch_id)
+        after = live_state(base, path, payload, key, batch_id + 1)
         diff = snapshot_diff(result(before), result(after), key, sort, payload)
         write_batch(diff, f"{path}/diff", batch_id)
 
     return run_available(changes.writeStream.foreachBatch(step), checkpoint, spark)
 
 
-def read_live(spark: SparkSession, path: str, schema: T.StructType, last_batch: int) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{path}/state/batch={last_batch}")
+def live_state(base: DataFrame, path: str, payload: list[str], key: str = "key",
+               before_batch: int | None = None) -> DataFrame:
+    """``base`` after all deltas, or after those before a batch."""
+    if before_batch == 0:
+        return base
+    kept = base.select(key, *payload).schema
+    schema = T.StructType([*kept.fields, T.StructField("op", T.StringType()),
+                           T.StructField("batch", T.LongType())])
+    deltas = base.sparkSession.read.schema(schema).parquet(f"{path}/delta")
+    if before_batch is not None:
+        deltas = deltas.filter(F.col("batch") < before_batch)
+    last = deltas.groupBy(key).agg(F.max_by(F.struct("op", *payload), "batch").alias("c"))
+    return overlay(base, last.select(key, "c.*"), payload, key)
