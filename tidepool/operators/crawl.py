@@ -35,10 +35,22 @@ def extract_links(pages: DataFrame, roots: Sequence[str] | None = None,
     return links if roots is None else links.filter(in_scope("dst", roots, scope))
 
 
+def unseen(candidates: DataFrame, visited: DataFrame) -> DataFrame:
+    """Distinct candidates whose ``url`` was not visited.
+
+    A round is usually far smaller than everything visited: if it was measured to fit, the visited
+    table is only scanned for it and never shuffled.
+    """
+    new = materialize(candidates.distinct(), "candidates")
+    urls = visited.select("url")
+    if fits_broadcast(new):
+        urls = urls.join(F.broadcast(new.select("url").distinct()), "url", "left_semi")
+    return new.join(urls.distinct(), "url", "left_anti")
+
+
 def not_visited(candidates: DataFrame, visited: DataFrame) -> DataFrame:
     """Each unseen URL once."""
-    return candidates.select("url").distinct().join(visited.select("url").distinct(), "url",
-                                                    "left_anti")
+    return unseen(candidates.select("url"), visited)
 
 
 def link_graph(links: DataFrame) -> DataFrame:
@@ -82,9 +94,9 @@ def crawl_bfs(pages: DataFrame, seeds: DataFrame, roots: Sequence[str] | None =
     new = keep(first.join(targets, "url", "left").select("url", status), depth)
     while max_depth is None or depth < max_depth:
         fetched = new.filter("status = 'fetched'").select(F.col("url").alias("src"))
-        found = edges.join(fetched, "src", "left_semi").select("url", "status").distinct()
+        found = edges.join(fetched, "src", "left_semi").select("url", "status")
         depth += 1
-        new = keep(found.join(seen(), "url", "left_anti"), depth)
+        new = keep(unseen(found, seen()), depth)
         if new.isEmpty():
             break
     return seen()
