@@ -131,7 +131,7 @@ def feed_outline_extract(spark, sf):
         F.lit('<opml><head><title>t</title></head><body><outline text="'), "event_type",
         F.lit('"><outline text="u'), F.col("user_id").cast("string"),
         F.lit('"><outline text="e"/></outline><outline text="last"/></outline></body></opml>'))
-    docs = _events(spark, sf).select("event_id", xml.alias("xml"))
+    docs = spread_table(spark, sf, "events").select("event_id", xml.alias("xml"))
     return markup.outline_items(docs, "event_id", "xml")
 
 
