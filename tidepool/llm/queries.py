@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tidepool.llm import line_queries
+from tidepool.llm import (
+    duplicate_queries, language_queries, line_queries, mixing_queries, packing_queries,
+    token_queries, vector_queries, warc_queries,
+)
 from tidepool.plans import Query
 
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for module in (line_queries,):
+    for module in (line_queries, warc_queries, duplicate_queries, packing_queries, token_queries,
+                   mixing_queries, vector_queries, language_queries):
         out.update(module.QUERIES)
     return out
