@@ -103,9 +103,39 @@ def test_not_visited_and_links(spark, pages):
 
 
 def test_preferred_merge(spark):
-    a, b = spark.range(2), spark.range(1, 4)
-    merged = crawl.preferred_merge(a, b)
-    assert rows(merged) == sorted([(0, 0), (1, 0), (1, 1), (2, 1), (3, 1)], key=repr)
+    a = spark.createDataFrame([("m",), ("b",)], "url STRING")
+    b = spark.createDataFrame([("a",), ("b",)], "url STRING")
+    merged = crawl.preferred_merge(a, b).orderBy("position")
+    assert [tuple(r) for r in merged.collect()] == [("b", 0, 0), ("m", 0, 1), ("a", 1, 2), ("b", 1, 3)]
+
+
+def test_links_that_are_not_followed(spark):
+    html = ('<!-- <a href="/comment"> --><script>x = "<a href=\'/script\'>";</script>'
+            '<style>/* <a href="/style"> */</style><a href="javascript:void(0)">j</a>'
+            '<a href="mailto:a@b.c">m</a><a href="tel:1">t</a><a href="one.html">1</a>')
+    based = '<head><base target="x" href="../sub/"></head>' + html
+    pages = spark.createDataFrame([("http://h.org/d/p.html", html), ("http://h.org/e/p.html", based)],
+                                  "url STRING, html STRING")
+    assert rows(crawl.extract_links(pages)) == [
+        ("http://h.org/d/p.html", "http://h.org/d/one.html"),
+        ("http://h.org/e/p.html", "http://h.org/sub/one.html")]
+    counted = {r["stage"]: r["processed"] for r in crawl.crawl_counters(pages).collect()}
+    assert counted == {"pages": 2, "links": 2, "accepted": 2}
+
+
+def test_visible_text_of_the_whole_standard(spark):
+    texts = {"caf&eacute; &#8217;x&#8217; &mdash; one<hr>two<dl><dt>k</dt><dd>v": "café ’x’ — one two k v",
+             "&euro;1 &Omega;&hellip; &rarr; &bull; &#x1F600; &#xD800; &#0; &nosuch; a&b": 
+             "€1 Ω… → • 😀 &#xD800; &#0; &nosuch; a&b",
+             "<form>a<fieldset>b</fieldset><select><option>c<option>d</select></form><address>e": "a b c d e",
+             "<table><caption>t</caption><thead><tr><th>h<tbody><tr><td>x<i>y</i>": "t h xy"}
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    got = {r["t"]: r["v"] for r in df.select("t", html_to_text("t").alias("v")).collect()}
+    assert got == texts
+    names = {"€": "&euro;", "Ω": "&Omega;", "♦": "&diams;", "ƒ": "&fnof;", "日": "日", "😀": "😀"}
+    df = spark.createDataFrame([(c,) for c in names], "c STRING")
+    spelled = {r["c"]: r["e"] for r in df.select("c", encode_entities("c").alias("e")).collect()}
+    assert spelled == names
 
 
 def test_hrefs_and_query(spark):

@@ -51,9 +51,18 @@ def by_term(index):
 def test_blocks_merge_to_the_index(docs, block_bytes, shards):
     cfg = IndexConfig(block_bytes=block_bytes)
     whole = ix.inverted_index(ix.document_index(docs), shards)
-    blocks = ix.build_blocks(docs, "n", cfg)
+    blocks = ix.build_blocks(docs, "n", cfg, shards)
     assert blocks.select("block").distinct().count() == {1: 5, 40: 3, 10_000: 1}[block_bytes]
-    assert by_term(ix.merge_blocks(blocks, shards)) == by_term(whole)
+    columns = ["term", "shard", "freq", "df", "postings"]
+    assert rows(ix.merge_blocks(blocks, shards), *columns) == rows(whole, *columns)
+    unsharded = blocks.drop("shard")
+    assert rows(ix.merge_blocks(unsharded, shards), *columns) == rows(whole, *columns)
+
+
+def test_blocks_move_no_text(docs):
+    plan = ix._counted(docs, "n", IndexConfig())._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("text#" in line for line in exchanges)
 
 
 def test_url_seen_twice_is_one_posting(spark):

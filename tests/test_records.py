@@ -10,6 +10,7 @@ from tidepool.functions import dates as D
 from tidepool.functions import predicates as P
 from tidepool.operators import joins, records, sets, stats
 from tidepool.operators.hierarchy import tree_flatten
+from tidepool.operators.records import page_with_total, sort_key
 from tidepool.storage import sized_join
 
 
@@ -124,7 +125,10 @@ def test_tree(spark):
         [("r", 0, "r"), ("a", 1, "r/a"), ("b", 1, "r/b"), ("c", 2, "r/a/c")], key=repr)
     loop = spark.createDataFrame([("r", "r")], "parent STRING, child STRING")
     with pytest.raises(ValueError):
-        tree_flatten(loop, roots, max_depth=3)
+        tree_flatten(loop, roots)
+    ring = spark.createDataFrame([("r", "a"), ("a", "b"), ("b", "a")], "parent STRING, child STRING")
+    with pytest.raises(ValueError):
+        tree_flatten(ring, roots)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -133,7 +137,7 @@ def test_salted_join_equals_plain_join(spark, how):
         F.col("id") % 50).alias("k"))
     small = spark.range(0, 100, 2).select(F.col("id").alias("k"), (F.col("id") * 7).alias("v"))
     small = small.unionByName(small.filter("k = 0").withColumn("v", F.lit(-1).cast("long")))
-    salted = sized_join(big, small, ["k"], "id", how, hot_rows=100, salts=5, max_bytes=0)
+    salted = sized_join(big, small, ["k"], "id", how, hot_rows=40, max_bytes=0)
     assert rows(salted, *salted.columns) == rows(big.join(small, "k", how), *salted.columns)
     plain = sized_join(big, small, ["k"], "id", how, hot_rows=10_000, max_bytes=0)
     assert plain.count() == salted.count()
@@ -141,6 +145,21 @@ def test_salted_join_equals_plain_join(spark, how):
         sized_join(big, small, ["k"], "id", "full")
 
 
+def test_near_and_far_pages_are_the_same(spark):
+    df = spark.range(500).select("id", (F.col("id") * 7 % 31).alias("k"))
+    keys = [sort_key("k", descending=True), sort_key("id")]
+    near = page_with_total(df, keys, 40, 60).collect()
+    assert near == page_with_total(df, keys, 40, 60, deep=10).collect() and len(near) == 60
+
+
+def test_spans_lie_only_on_grids_of_the_other_side(spark):
+    a = spark.range(1000).select(F.col("id").alias("a0"), (F.col("id") + F.col("id") % 97).alias("a1"))
+    b = spark.range(0, 1000, 50).select(F.col("id").alias("b0"), (F.col("id") + 3).alias("b1"))
+    got = joins.interval_overlap_join(a, b, ("a0", "a1"), ("b0", "b1")).count()
+    want = a.join(b, (F.col("a0") < F.col("b1")) & (F.col("b0") < F.col("a1"))).count()
+    assert got == want
+
+
 def test_sets(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "x INT")
     b = spark.createDataFrame([(2,), (3,)], "x INT")

@@ -52,10 +52,23 @@ def test_fits_broadcast(spark):
 
 def test_hot_keys(spark):
     df = spark.range(90).select((F.col("id") / 60).cast("int").alias("k"))
-    assert rows(storage.hot_keys(df, ["k"], 59)) == [(0,)]
+    assert rows(storage.hot_keys(df, ["k"], 59)) == [(0, 60)]
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    small, large = spark.range(10, numPartitions=1), spark.range(10, numPartitions=9)
-    assert storage.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert storage.spread(large) is large
+ELSEWHERE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print(e.queries()["feed_outline_extract"](spark, sys.argv[2]).count(), "rows")
+"""
+
+
+def test_workers_find_the_package(tmp_path, sf):
+    """The repository is only on the driver's path and the working folder is another."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    root = storage.__file__.rsplit("/tidepool/", 1)[0]
+    done = subprocess.run([sys.executable, "-c", ELSEWHERE, root, sf], capture_output=True, text=True,
+                          timeout=200, cwd=tmp_path, env=env)
+    assert "4000 rows" in done.stdout, done.stderr[-2000:]

@@ -122,12 +122,47 @@ def test_packets_per_interval(spark, event_files):
 def test_replay_ticks(spark, event_files):
     path = scratch_path(spark, "replay")
     events.buffered_replay(stream(spark, event_files, EVENTS), path)
-    ticks = rows(spark.read.parquet(path).groupBy("batch").agg(
+    ticks = rows(spark.read.parquet(f"{path}/sent").groupBy("batch").agg(
         F.min("event_id").alias("first"), F.max("event_id").alias("last")))
     assert len(ticks) == 4 and ticks[0][1] == 0 and ticks[-1][2] == 999
     assert all(after[1] == before[2] + 1 for before, after in zip(ticks, ticks[1:]))
 
 
+def test_replay_keeps_a_buffer(spark, event_files):
+    path = scratch_path(spark, "replay")
+    events.buffered_replay(stream(spark, event_files, EVENTS), path, ["event_id"], minimum=100)
+    sizes = [r[1] for r in rows(spark.read.parquet(f"{path}/sent").groupBy("batch").count())]
+    assert sizes == [150, 250, 250, 250, 100]
+
+
+def test_meter_sink_counts_every_batch(spark, event_files):
+    path = scratch_path(spark, "meter")
+    events.meter_sink(stream(spark, event_files, EVENTS), path)
+    assert [r[0] for r in rows(spark.read.parquet(path), "n")] == [250] * 4
+
+
+def test_a_page_that_comes_twice_counts_once(spark):
+    path = scratch_path(spark, "postings")
+    schema = "url STRING, term STRING, tf BIGINT"
+    common.write_batch(spark.createDataFrame([("u", "a", 2), ("u", "b", 1), ("v", "a", 1)], schema), path, 0)
+    common.write_batch(spark.createDataFrame([("u", "a", 3)], schema), path, 1)
+    assert rows(crawl.read_postings(spark, path)) == [("u", "a", 3), ("v", "a", 1)]
+
+
+def test_crawl_stream_fetches_what_it_finds(spark, tmp_path):
+    snapshot = spark.createDataFrame(
+        [(1, "http://h/a.html", '<a href="b.html">x</a> one'), (2, "http://h/b.html", '<a href="c.html">y</a> two'),
+         (3, "http://h/c.html", "three"), (4, "http://h/lost.html", "four")], PAGES)
+    snapshot.filter("page_id = 1").coalesce(1).write.parquet(str(tmp_path / "in"))
+    frontier, index = scratch_path(spark, "frontier"), scratch_path(spark, "index")
+    live = common.parquet_stream(spark, str(tmp_path / "in"), PAGES, files_per_trigger=1)
+    crawl.crawl_stream(live, frontier, index, snapshot=snapshot)
+    assert rows(crawl.read_postings(spark, index), "term") == [("one",), ("three",), ("two",), ("x",), ("y",)]
+    done = crawl.complete_index(spark, index, str(tmp_path / "done"), 3)
+    whole = ix.document_index(ix.page_text(snapshot.filter("page_id < 4")))
+    assert rows(done) == rows(ix.build_dictionary(ix.inverted_index(whole, 1)))
+
+
 def test_incremental_index(spark, page_files):
     path, cfg = scratch_path(spark, "postings"), IndexConfig()
     crawl.incremental_index(stream(spark, page_files, PAGES), path, cfg)

@@ -36,18 +36,10 @@ US_TERRITORIES = "AS FM GU MH MP PW PR VI".split()
 US_MILITARY = "AA AE AP".split()
 CA_PROVINCES = "AB BC MB NB NL NS NT NU ON PE QC SK YT".split()
 
-OCTET = r"(?:\d|[1-9]\d|1\d\d|2[0-4]\d|25[0-5])"
-IPV4 = rf"(?:{OCTET}\.){{3}}{OCTET}"
-IPV4_HEX = r"(?:0x0*[\da-f]?[\da-f]\.){3}0x0*[\da-f]?[\da-f]"
-IPV4_OCTAL = r"(?:0+[0-3][0-7][0-7]\.){3}0+[0-3][0-7][0-7]"
-IPV6 = r"(?:[\da-f]{1,4}:){7}[\da-f]{1,4}"
-IPV6_MIXED = rf"(?:[\da-f]{{1,4}}:){{6}}{IPV4}"
-HOST_NAME = r"(?:[\da-z](?:[-\da-z]{0,61}[\da-z])?\.)+[a-z](?:[-\da-z]{0,6}[\da-z])?\.?"
-ADDRESS = "|".join([IPV4, IPV4_HEX, IPV4_OCTAL, r"0x0*[\da-f]{1,8}", r"\d{1,10}", IPV6, IPV6_MIXED])
-URL_PATH = r"(?:/(?:[^?#\s/]+/)*(?:[^?#\s/]+(?:\?[^?#\s/]*)?(?:#[a-z][\w.:-]*)?)?)?"
-URL = rf"(?:(?:https?|ftps?)://)?(?:{HOST_NAME}|{ADDRESS})(?::\d+)?{URL_PATH}"
-EMAIL_USER = r"(?:[!#-'*+\-/-9=?A-Z^-~]+[.])*[!#-'*+\-/-9=?A-Z^-~]+"
-EMAIL = rf"{EMAIL_USER}@(?:{HOST_NAME}|{ADDRESS})"
+# Characters of a mail name's atoms (RFC 5322, 3.2.3) and of a host's labels (RFC 1123, 2.1).
+ATOM = r"^[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+$"
+LABEL = r"^[a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?$"
+ADDRESS_MAX = 0xFFFFFFFF
 
 
 def _text(value: Column | str) -> Column:
@@ -105,12 +97,64 @@ def luhn(value: Column | str) -> Column:
     return _sure(F.call_function("luhn_check", _bare(value)))
 
 
+def _parts(value: Column, separator: str, n: int, good) -> Column:
+    """Exactly ``n`` parts, all of them good."""
+    parts = F.split(value, separator)
+    return (F.size(parts) == n) & F.forall(parts, good)
+
+
+def _octet(part: Column) -> Column:
+    return part.rlike("^(0|[1-9][0-9]{0,2})$") & (part.try_cast("int") <= 255)
+
+
+def _hex_octet(part: Column) -> Column:
+    return part.rlike("^0x0*[0-9a-f]{1,2}$")
+
+
+def _octal_octet(part: Column) -> Column:
+    """A leading zero and three octal digits, at most 377."""
+    return part.rlike("^0+[0-7]{3}$") & (F.conv(part, 8, 10).try_cast("int") <= 255)
+
+
+def _group(part: Column) -> Column:
+    return part.rlike("^[0-9a-f]{1,4}$")
+
+
+def _dotted(value: Column) -> Column:
+    """Four octets, all decimal, all hexadecimal or all octal (RFC 791 addresses as hosts read them)."""
+    return (_parts(value, r"\.", 4, _octet) | _parts(value, r"\.", 4, _hex_octet)
+            | _parts(value, r"\.", 4, _octal_octet))
+
+
+def _number(value: Column) -> Column:
+    """An address as one number of 32 bits."""
+    decimal = value.rlike("^(0|[1-9][0-9]{0,9})$") & (value.try_cast("long") <= ADDRESS_MAX)
+    return decimal | value.rlike("^0x0*[0-9a-f]{1,8}$")
+
+
+def _colons(value: Column) -> Column:
+    """Eight groups, or six and a dotted address (RFC 4291, 2.2, without the short form)."""
+    parts = F.split(value, ":")
+    mixed = (F.size(parts) == 7) & F.forall(F.slice(parts, 1, 6), _group) & _parts(
+        F.get(parts, F.lit(6)), r"\.", 4, _octet)
+    return _parts(value, ":", 8, _group) | mixed
+
+
 def ip_address(value: Column | str) -> Column:
     """Dotted decimal, hexadecimal or octal, one 32-bit number, IPv6 or IPv6 with a dotted tail."""
-    forms = "|".join([IPV4, IPV4_HEX, IPV4_OCTAL, r"0x0*[\da-f]{1,8}", IPV6, IPV6_MIXED])
-    number = _text(value).rlike(r"^(?:0|[1-9]\d{0,9})$") & (
-        _text(value).try_cast("long") <= 4294967295)
-    return _holding(value, r"\d:", whole(value, forms) | _sure(number))
+    text = F.lower(_text(value))
+    return _holding(value, r"\d:", _sure(_dotted(text) | _number(text) | _colons(text)))
+
+
+def host_name(value: Column) -> Column:
+    """Two labels or more, the last one beginning with a letter; a closing dot is allowed."""
+    labels = F.split(F.regexp_replace(value, r"\.$", ""), r"\.")
+    return (F.size(labels) >= 2) & F.forall(labels, lambda x: x.rlike(LABEL)) & F.element_at(
+        labels, -1).rlike("^[a-z]")
+
+
+def _host(value: Column) -> Column:
+    return host_name(value) | _dotted(value) | _number(value) | _colons(value)
 
 
 def _holding(value: Column | str, chars: str, cond: Column) -> Column:
@@ -119,15 +163,35 @@ def _holding(value: Column | str, chars: str, cond: Column) -> Column:
 
 
 def url(value: Column | str) -> Column:
-    return _holding(value, r"\d.:", whole(value, URL))
+    """Host with optional scheme (http, https, ftp, ftps), port, path, query and fragment, separated
+    as RFC 3986 does."""
+    text = F.lower(_text(value))
+    rest = F.regexp_replace(text, "^(https?|ftps?)://", "")
+    authority = F.regexp_extract(rest, "^[^/?#]*", 0)
+    tail = F.substr(rest, F.length(authority) + 1)
+    host = F.regexp_replace(authority, ":[0-9]+$", "")
+    good_host = _host(host) | _colons(authority)
+    return _holding(value, r"\d.:", _sure(
+        good_host & tail.rlike(r"^(/[^?#\s]*(\?[^#\s]*)?(#[^#\s]*)?)?$")))
+
+
+def _address(text: Column) -> Column:
+    name = F.regexp_extract(text, "^(.*)@[^@]*$", 1)
+    host = F.lower(F.regexp_extract(text, "@([^@]*)$", 1))
+    return F.forall(F.split(name, r"\."), lambda x: x.rlike(ATOM)) & _host(host)
 
 
 def email(value: Column | str) -> Column:
-    return _holding(value, "@", whole(value, EMAIL))
+    return _holding(value, "@", _sure(_address(_text(value))))
 
 
 def email_list(value: Column | str) -> Column:
-    return _holding(value, "@", whole(value, rf"(?:{EMAIL}\s*[\s;,]\s*)*{EMAIL}\s*[\s;,]?\s*"))
+    """Addresses with one separator (white space, comma or semicolon) between; one may follow the
+    last."""
+    parts = F.split(_text(value), r"\s*[\s;,]\s*")
+    kept = F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)
+                  ).otherwise(parts)
+    return _holding(value, "@", _sure((F.size(kept) > 0) & F.forall(kept, _address)))
 
 
 def us_state(value: Column | str, territories: bool = True, military: bool = True) -> Column:

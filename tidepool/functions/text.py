@@ -7,46 +7,51 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Elements whose tags separate words.
+# Elements whose tags separate words (block, list, table, form and break elements).
 _BLOCK_TAGS = (
-    "p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|nav|article|section|title|head|body|html|header|"
-    "footer|aside|main|pre|blockquote|meta"
+    "address|article|aside|blockquote|body|br|caption|center|dd|details|dialog|dir|div|dl|dt|"
+    "fieldset|figcaption|figure|footer|form|frameset|h[1-6]|head|header|hgroup|hr|html|legend|li|"
+    "link|main|menu|meta|nav|noscript|ol|optgroup|option|p|pre|section|select|summary|table|tbody|"
+    "td|textarea|tfoot|th|thead|title|tr|ul"
 )
 
-# Pattern and replacement, applied in this order.  All patterns mean the same in RE2.
-TEXT_STEPS = [
+# What is no text at all, and then tags; pattern and replacement, applied in this order.  All
+# patterns mean the same in RE2.
+HIDDEN_STEPS = [
     (r"(?s)<!--.*?-->", " "),
     (r"(?is)<script\b[^>]*>.*?</script\s*>", " "),
     (r"(?is)<style\b[^>]*>.*?</style\s*>", " "),
-    (rf"(?i)</?(?:{_BLOCK_TAGS})\b[^>]*>", " "),
-    (r"<[^>]*>", ""),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"),
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
-    (r"[\p{Z}\s]+", " "),
 ]
+TAG_STEPS = [(rf"(?i)</?(?:{_BLOCK_TAGS})\b[^>]*>", " "), (r"<[^>]*>", "")]
+BLANKS = r"[\p{Z}\s]+"
 
 WORD = r"[\p{L}\p{M}\p{N}_]+"
 WORD_OR_MARK = r"[\p{L}\p{M}\p{N}_]+|[^\p{Z}\s]"
 
 # The five markup characters, encoded before and decoded apart from the others.
-MARKUP_ENTITIES = {"amp": "&", "quot": '"', "lt": "<", "gt": ">", "nbsp": " "}
+MARKUP_ENTITIES = {"amp": "&", "quot": '"', "lt": "<", "gt": ">", "nbsp": "\u00a0"}
 
 
-def latin_entities(upto: int = 255) -> dict[str, str]:
-    """Named entities of the characters 161..``upto``, from the standard HTML names."""
-    return {name: chr(code) for name, code in sorted(name2codepoint.items(), key=lambda x: x[1])
-            if 161 <= code <= upto}
+def named_entities() -> dict[str, str]:
+    """The other named entities of HTML 4, from the Latin ones to the symbols, by character."""
+    names = sorted(name2codepoint.items(), key=lambda x: x[1])
+    return {name: chr(code) for name, code in names if name not in MARKUP_ENTITIES}
+
+
+def without_hidden(html: Column) -> Column:
+    """Markup without comments, scripts and style sheets."""
+    for pattern, put in HIDDEN_STEPS:
+        html = F.regexp_replace(html, pattern, put)
+    return html
 
 
 def html_to_text(html: Column | str) -> Column:
-    """Visible text with white space collapsed; a chain of regular expressions, not a DOM."""
-    text = F.col(html) if isinstance(html, str) else html
-    for pattern, put in TEXT_STEPS:
-        if pattern.startswith("&"):
-            text = F.replace(text, F.lit(pattern), F.lit(put))
-        else:
-            text = F.regexp_replace(text, pattern, put)
-    return F.trim(text)
+    """Visible text with entities decoded and white space collapsed; a chain of regular expressions,
+    not a DOM."""
+    text = without_hidden(F.col(html) if isinstance(html, str) else html)
+    for pattern, put in TAG_STEPS:
+        text = F.regexp_replace(text, pattern, put)
+    return F.trim(F.regexp_replace(decode_entities(text), BLANKS, " "))
 
 
 def tokens(text: Column | str, words_only: bool = True) -> Column:
@@ -58,26 +63,43 @@ def _literal_map(entries: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
 
 
-def encode_entities(text: Column | str, upto: int = 255) -> Column:
-    """Characters to named entities: markup characters first, then the Latin ones."""
+def encode_entities(text: Column | str) -> Column:
+    """Characters to named entities: markup characters first, then all others with a name."""
     out = F.col(text) if isinstance(text, str) else text
     for name, char in MARKUP_ENTITIES.items():
         out = F.replace(out, F.lit(char), F.lit(f"&{name};"))
-    names = _literal_map({char: f"&{name};" for name, char in latin_entities(upto).items()})
-    spelled = F.array_join(
-        F.transform(F.split(out, ""), lambda c: F.coalesce(F.try_element_at(names, c), c)), "")
-    return F.when(out.rlike("[¡-￿]"), spelled).otherwise(out)
+    by_code = {ord(char): name for name, char in named_entities().items()}
+    # One constant array with a place for every character, so a look-up is one step.
+    names = F.split(F.lit("|".join(by_code.get(c, "") for c in range(max(by_code) + 1))), r"\|")
+
+    def spell(char: Column) -> Column:
+        name = F.get(names, F.ascii(char))
+        return F.when(F.coalesce(name, F.lit("")) == "", char).otherwise(
+            F.concat(F.lit("&"), name, F.lit(";")))
+
+    spelled = F.array_join(F.transform(F.split(out, ""), spell), "")
+    return F.when(out.rlike("[^\\x00-\\x7F]"), spelled).otherwise(out)
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point, null if there is none."""
+    valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
 
-def decode_entities(text: Column | str, upto: int = 255) -> Column:
-    """Named entities to characters in one pass; an unknown name stays as it is."""
+def decode_entities(text: Column | str) -> Column:
+    """Named and numeric entities to characters in one pass; an unknown one stays as it is."""
     src = F.col(text) if isinstance(text, str) else text
-    chars = _literal_map({**MARKUP_ENTITIES, **latin_entities(upto)})
+    chars = _literal_map({**MARKUP_ENTITIES, **named_entities()})
     pieces = F.split(src, "&")
 
     def restore(piece: Column) -> Column:
-        name = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*);", 1)
-        char = F.try_element_at(chars, name)
+        name = F.regexp_extract(piece, "^(#?[A-Za-z0-9]+);", 1)
+        decimal = F.regexp_extract(name, "^#([0-9]{1,7})$", 1)
+        digits = F.regexp_extract(name, "^#[xX]([0-9A-Fa-f]{1,6})$", 1)
+        char = (F.when(decimal != "", _character(decimal.try_cast("long")))
+                .when(digits != "", _character(F.conv(digits, 16, 10).cast("long")))
+                .otherwise(F.try_element_at(chars, name)))
         return F.when(char.isNotNull(), F.concat(char, F.substr(piece, F.length(name) + 2))
                       ).otherwise(F.concat(F.lit("&"), piece))
 

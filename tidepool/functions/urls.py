@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidepool.config import CRAWL_EXTENSIONS
+from tidepool.functions.text import without_hidden
 
 # The parts of a URI as RFC 3986, appendix B, separates them.
 _PARTS = {
@@ -19,6 +20,7 @@ _PARTS = {
     "fragment": r"#(.*)",
 }
 HREF = r"""(?is)<a\s(?:[^>]*?[\s"'/])?href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+BASE = HREF.replace("<a", "<base")
 _HREF_VALUE = r"""(?is)[\s"'/]href\s*=\s*["']?(.*?)["']?$"""
 
 
@@ -37,15 +39,28 @@ def host(url: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r":\d*$", "")
 
 
+def _href_value(tag: Column) -> Column:
+    return F.trim(F.replace(F.regexp_extract(tag, _HREF_VALUE, 1), F.lit("&amp;"), F.lit("&")))
+
+
 def hrefs(html: Column | str) -> Column:
-    """The href values of all anchors, in order, duplicates kept."""
-    anchors = F.regexp_extract_all(_col(html), F.lit(HREF), F.lit(0))
+    """The href values of all anchors, in order, duplicates kept.  Comments, scripts and style
+    sheets hold no anchors."""
+    shown = without_hidden(_col(html))
+    return F.transform(F.regexp_extract_all(shown, F.lit(HREF), F.lit(0)), _href_value)
+
+
+def document_base(url: Column | str, html: Column | str) -> Column:
+    """What references of a page are relative to: its first ``base`` element, or its own URL."""
+    html, url = _col(html), _col(url)
+    tag = F.regexp_extract(without_hidden(html), BASE, 0)
+    base = resolve_url(url, _href_value(tag))
+    return F.when(html.rlike(r"(?i)<base\s"), F.when(tag != "", base).otherwise(url)).otherwise(url)
 
-    def value(tag: Column) -> Column:
-        found = F.regexp_extract(tag, _HREF_VALUE, 1)
-        return F.trim(F.replace(found, F.lit("&amp;"), F.lit("&")))
 
-    return F.transform(anchors, value)
+def fetchable(url: Column | str) -> Column:
+    """An absolute URL that a crawler can ask for."""
+    return _col(url).rlike(r"(?i)^https?://[^/?#]")
 
 
 def remove_dot_segments(path: Column) -> Column:

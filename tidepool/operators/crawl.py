@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions.urls import acceptable_path, base_parts, hrefs, in_scope, resolve_ref
+from tidepool.functions.urls import (acceptable_path, base_parts, document_base, fetchable, hrefs,
+                                     in_scope, resolve_ref)
+from tidepool.operators.ordered import row_numbers
 from tidepool.schemas import FRONTIER
 from tidepool.storage import fits_broadcast, materialize, scratch_path, sized_join
 
 
-def seed_source(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
-    """The configured root URLs as a frontier of depth 0."""
+def seed_source(spark: SparkSession, roots: Sequence[str] | DataFrame) -> DataFrame:
+    """The root URLs, configured or a table with a column ``url``, as a frontier of depth 0."""
+    if isinstance(roots, DataFrame):
+        return roots.select("url").distinct().withColumn("depth", F.lit(0))
     return spark.createDataFrame([(r, 0) for r in dict.fromkeys(roots)], FRONTIER)
 
 
@@ -25,13 +29,17 @@ def scan_pages(frontier: DataFrame, pages: DataFrame) -> DataFrame:
 
 def extract_links(pages: DataFrame, roots: Sequence[str] | None = None,
                   scope: str = "contains") -> DataFrame:
-    """One (src, dst) row per anchor with a resolvable href, limited to the roots if given."""
-    refs = pages.select(F.col("url").alias("src"), base_parts("url").alias("_base"),
-                        hrefs("html").alias("_refs")).filter("_base IS NOT NULL")
+    """One (src, dst) row per anchor that leads to a page of the web, limited to the roots if given.
+
+    References are resolved against the document's base.
+    """
+    refs = pages.select(F.col("url").alias("src"), base_parts(document_base("url", "html")).alias(
+        "_base"), hrefs("html").alias("_refs")).filter("_base IS NOT NULL")
     # Resolving inside the generator makes ``dst`` a plain column: filters on it are then evaluated
     # on its value, instead of being pushed down with a copy of the whole expression each.
     links = refs.select("src", F.explode(F.transform(
-        "_refs", lambda ref: resolve_ref(F.col("_base"), ref))).alias("dst"))
+        "_refs", lambda ref: resolve_ref(F.col("_base"), ref))).alias("dst")).filter(
+            fetchable("dst"))
     return links if roots is None else links.filter(in_scope("dst", roots, scope))
 
 
@@ -76,8 +84,10 @@ def crawl_bfs(pages: DataFrame, seeds: DataFrame, roots: Sequence[str] | None =
     known = materialize(pages.select("url").distinct().withColumn("_known", F.lit(True)), "known")
     links = extract_links(pages, roots, scope).filter(acceptable_path("dst")).distinct()
     targets = F.broadcast(known) if fits_broadcast(known) else known
-    edges = materialize(links.withColumnRenamed("dst", "url").join(targets, "url", "left").select(
-        "src", "url", status), "edges")
+    settled = sized_join(links.withColumnRenamed("dst", "url"), known, ["url"], spread="src",
+                         how="left").select("src", "url", status)
+    # In ranges of the source, so that a round reads only the row groups that hold its pages.
+    edges = materialize(settled.repartitionByRange("src").sortWithinPartitions("src"), "edges")
     rounds = scratch_path(spark, "rounds")
     row = "url STRING, status STRING"
 
@@ -103,12 +113,20 @@ def crawl_bfs(pages: DataFrame, seeds: DataFrame, roots: Sequence[str] | None =
 
 
 def preferred_merge(preferred: DataFrame, other: DataFrame) -> DataFrame:
-    """Union of two inputs; ``priority`` 0 marks the preferred one, to be taken first."""
-    return preferred.withColumn("priority", F.lit(0)).unionByName(
-        other.withColumn("priority", F.lit(1)))
-
-
-def crawl_counters(df: DataFrame, stage: str) -> DataFrame:
-    """(stage, processed): the number of elements a stage handled."""
-    return df.agg(F.count(F.lit(1)).alias("processed")).select(F.lit(stage).alias("stage"),
-                                                               "processed")
+    """Both inputs (url) in the order they are to be taken, the preferred one (priority 0) first."""
+    both = preferred.select("url", F.lit(0).alias("priority")).unionByName(
+        other.select("url", F.lit(1).alias("priority")))
+    return row_numbers(both, ["priority", "url"], "position")
+
+
+def crawl_counters(pages: DataFrame) -> DataFrame:
+    """(stage, processed): pages read, links found and links accepted, from one pass over the pages."""
+    base = base_parts(document_base("url", "html"))
+    links = pages.select(F.filter(F.transform(F.coalesce(hrefs("html"), F.array().cast(
+        "array<string>")), lambda ref: resolve_ref(base, ref)), lambda u: fetchable(u)).alias("links"))
+    taken = F.size(F.filter("links", lambda u: acceptable_path(u)))
+    sums = links.agg(F.count(F.lit(1)).alias("pages"), F.sum(F.size("links")).alias("links"),
+                     F.sum(taken).alias("accepted"))
+    stages = F.explode(F.array(*[F.struct(F.lit(c).alias("stage"), F.coalesce(
+        F.col(c), F.lit(0)).alias("processed")) for c in ("pages", "links", "accepted")]))
+    return sums.select(stages.alias("s")).select("s.stage", "s.processed")

@@ -8,25 +8,27 @@ from pyspark.sql import functions as F
 from tidepool.storage import materialize, sized_join
 
 
-def tree_flatten(edges: DataFrame, roots: DataFrame, separator: str = "/",
-                 max_depth: int = 100) -> DataFrame:
+def tree_flatten(edges: DataFrame, roots: DataFrame, separator: str = "/") -> DataFrame:
     """(node, depth, path) from edges (parent, child) and roots (node), one join per level.
 
-    A parent with a large share of all children is spread by child.  ``max_depth`` guards against
-    cycles and raises rather than cutting the result.
+    A parent with a large share of all children is spread by child.  A node below itself raises;
+    otherwise any depth will do.
     """
-    level = materialize(roots.select("node", F.lit(0).alias("depth"), F.col("node").alias("path")),
-                        "level0")
+    level = materialize(roots.select("node", F.lit(0).alias("depth"), F.col("node").alias("path"),
+                                     F.array("node").alias("above")), "level0")
     out, depth = level, 0
     while True:
         depth += 1
-        step = sized_join(edges, level.select(F.col("node").alias("parent"), "path"),
+        step = sized_join(edges, level.select(F.col("node").alias("parent"), "path", "above"),
                           ["parent"], spread="child")
         level = materialize(step.select(
             F.col("child").alias("node"), F.lit(depth).alias("depth"),
-            F.concat_ws(separator, "path", "child").alias("path")), f"level{depth}")
+            F.concat_ws(separator, "path", "child").alias("path"),
+            F.array_append("above", F.col("child")).alias("above"),
+            F.array_contains("above", F.col("child")).alias("again")), f"level{depth}")
         if level.isEmpty():
-            return out
-        if depth > max_depth:
-            raise ValueError(f"deeper than {max_depth} levels; the edges may hold a cycle")
+            return out.select("node", "depth", "path")
+        if not level.filter("again").isEmpty():
+            raise ValueError("the edges hold a cycle")
+        level = level.drop("again")
         out = out.unionByName(level)

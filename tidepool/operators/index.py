@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tidepool.config import IndexConfig
 from tidepool.functions.text import html_to_text, percent_escape, tokens
-from tidepool.operators.ordered import prefix_sum
-from tidepool.storage import sized_join
+from tidepool.operators.ordered import prefix_sum, row_numbers
+from tidepool.storage import materialize, sized_join
 
 _DEFAULT = IndexConfig()
 
@@ -71,36 +71,49 @@ def inverted_index(postings: DataFrame, shards: int) -> DataFrame:
         F.array_sort(F.collect_list("url")).alias("postings"))
 
 
-def build_blocks(docs: DataFrame, order: str, cfg: IndexConfig = _DEFAULT) -> DataFrame:
-    """Partial indices (block, term, freq, df, postings).
+def _counted(docs: DataFrame, order: str, cfg: IndexConfig) -> DataFrame:
+    """(order, url, bytes, term, tf) of documents; one without terms has one row with a null term."""
+    words = tokens("text", cfg.words_only)
+    shape = F.lower if cfg.exclude_ci else (lambda t: t)
+    kept = F.transform(F.filter(words, lambda t: ~shape(t).isin(list(cfg.excluded))), F.lower)
+    size = F.octet_length("text").cast("long").alias("bytes")
+    terms = docs.select(order, "url", size, F.explode_outer(kept).alias("term"))
+    return terms.groupBy(order, "url", "bytes", "term").agg(F.count("term").alias("tf"))
+
+
+def build_blocks(docs: DataFrame, order: str, cfg: IndexConfig = _DEFAULT,
+                 shards: int | None = None) -> DataFrame:
+    """Partial indices (block, term, shard, freq, df, postings).
 
     Documents (``order``, url, text) fill a block until its text exceeds ``block_bytes``, so a
-    block's postings arrays are bounded by the block size.
+    block's postings arrays are bounded by the block size.  The text is read once: counts per
+    document are written, and what follows moves only those.
     """
-    sizes = docs.select(order, F.octet_length("text").cast("long").alias("bytes"))
-    numbered = prefix_sum(sizes, [order], F.col("bytes"), "before").select(
+    shards = shards or shard_count(docs, cfg)
+    counted = materialize(_counted(docs, order, cfg), "counted")
+    sizes = counted.groupBy(order).agg(F.max("bytes").alias("bytes"))
+    numbered = prefix_sum(sizes, [order], F.coalesce("bytes", F.lit(0)), "before").select(
         order, (F.floor(F.col("before") / cfg.block_bytes) + 1).alias("block"))
-    # Joining the text first leaves it partitioned by document, which the count per document needs.
-    placed = docs.select(order, "url", "text").join(numbered, order)
-    terms = lowercase_terms(exclude_tokens(tokenize(placed, cfg), cfg))
-    per_doc = terms.groupBy(order, "block", "url", "term").agg(F.count(F.lit(1)).alias("tf"))
+    placed = counted.filter("term IS NOT NULL").join(numbered, order)
     urls = F.array_sort(F.collect_set("url"))
-    return per_doc.groupBy("block", "term").agg(F.sum("tf").alias("freq"), urls.alias("postings")
-                                                ).select("block", "term", "freq", F.size(
-                                                    "postings").cast("long").alias("df"), "postings")
+    lines = placed.groupBy("block", "term", shard_of("url", shards).alias("shard")).agg(
+        F.sum("tf").alias("freq"), urls.alias("postings"))
+    return lines.select("block", "term", "shard", "freq",
+                        F.size("postings").cast("long").alias("df"), "postings")
 
 
 def merge_blocks(blocks: DataFrame, shards: int) -> DataFrame:
     """One index (term, shard, freq, df, postings) from blocks (term, freq, postings).
 
-    URLs are united per (term, url), which no frequent term can make large.  A block states one
-    frequency per term; it is counted in the shard of that line's first URL, so a term's frequency
-    is the sum over its shards.
+    A line holds the URLs of one shard, so lines meet per (term, shard), which bounds every array;
+    blocks read from text find their shard by a line's first URL.
     """
-    entries = blocks.select("term", "freq", F.posexplode("postings").alias("at", "url"))
-    share = F.when(F.col("at") == 0, F.col("freq")).otherwise(F.lit(0))
-    united = entries.groupBy("term", "url").agg(F.sum(share).alias("tf"))
-    return inverted_index(united, shards)
+    if "shard" not in blocks.columns:
+        blocks = blocks.withColumn("shard", shard_of(F.col("postings")[0], shards))
+    urls = F.array_sort(F.array_distinct(F.flatten(F.collect_list("postings"))))
+    merged = blocks.groupBy("term", "shard").agg(F.sum("freq").alias("freq"), urls.alias("postings"))
+    return merged.select("term", "shard", "freq", F.size("postings").cast("long").alias("df"),
+                         "postings")
 
 
 def index_line(freq: str = "freq", separator: str = _DEFAULT.separator) -> Column:
@@ -118,9 +131,9 @@ def build_dictionary(index: DataFrame, cfg: IndexConfig = _DEFAULT) -> DataFrame
                                       F.sum("bytes").alias("byte_len"))
 
 
-def sort_terms(index: DataFrame) -> DataFrame:
-    """Total order on terms, by code point."""
-    return index.orderBy("term")
+def sort_terms(index: DataFrame, position: str | None = None) -> DataFrame:
+    """Total order on terms, by code point; with ``position`` as a column of that name."""
+    return row_numbers(index, ["term"], position) if position else index.orderBy("term")
 
 
 def search_term(postings: DataFrame, term: str, exact: bool = False) -> DataFrame:
@@ -169,5 +182,11 @@ def save_postings(postings: DataFrame, path: str) -> None:
         path)
 
 
+def save_index(index: DataFrame, path: str) -> None:
+    """Range-partitioned by (term, shard) and sorted; the counterpart for postings as arrays."""
+    index.repartitionByRange("term", "shard").sortWithinPartitions("term", "shard").write.parquet(
+        path)
+
+
 def open_postings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("term STRING, url STRING, tf BIGINT").parquet(path)

@@ -51,15 +51,13 @@ def wildcard_values(df: DataFrame, json: str, keep: Sequence[str]) -> DataFrame:
     return json_path(df, json, keep, ["*"])
 
 
-def recursive_find(df: DataFrame, json: str, keep: Sequence[str], name: str,
-                   max_depth: int = 64) -> DataFrame:
+def recursive_find(df: DataFrame, json: str, keep: Sequence[str], name: str) -> DataFrame:
     """(keep, path, value) of every member called ``name`` at any depth.
 
-    One pass per level of nesting over what that level holds; documents deeper than ``max_depth``
-    raise instead of being cut.
+    One pass per level of nesting over what that level holds, until a level holds nothing.
     """
     level, out = _parsed(df, json, keep), None
-    for _ in range(max_depth):
+    while True:
         hit = F.coalesce(F.col("key") == name, F.lit(False))
         # Scalars have no members and fall away with the next level by themselves.
         level = materialize(_children(level, keep).withColumn("hit", hit).drop("key"), "members")
@@ -68,7 +66,6 @@ def recursive_find(df: DataFrame, json: str, keep: Sequence[str], name: str,
         hits = _values(level.filter("hit"), keep)
         out = hits if out is None else out.unionByName(hits)
         level = level.drop("hit")
-    raise ValueError(f"nested deeper than {max_depth} levels")
 
 
 def flatten_table(df: DataFrame, items: str, keep: Sequence[str],

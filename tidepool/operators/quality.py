@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -67,46 +67,44 @@ def _has_type(value: Column, data: T.DataType, wanted: str) -> Column:
 
 def _checks(value: Column, data: T.DataType, spec: Property) -> list[tuple[Column, str]]:
     """(fails, message) pairs for a present value."""
-    out = [(~_has_type(value, data, spec.type), f"a {spec.type} is required")]
+    out = [(~_has_type(value, data, spec.type), f"not of type {spec.type}")]
     if spec.disallow:
-        out.append((_has_type(value, data, spec.disallow), "disallowed value was matched"))
+        out.append((_has_type(value, data, spec.disallow), "of a type that is not allowed"))
     if isinstance(data, T.StringType):
         if spec.pattern is not None:
             out.append((~value.rlike(spec.pattern),
-                        f"does not match the regex pattern {spec.pattern}"))
+                        f"not like {spec.pattern}"))
         if spec.max_length is not None:
             out.append((F.length(value) > spec.max_length,
-                        f"may only be {spec.max_length} characters long"))
+                        f"longer than {spec.max_length}"))
         if spec.min_length is not None:
             out.append((F.length(value) < spec.min_length,
-                        f"must be at least {spec.min_length} characters long"))
+                        f"shorter than {spec.min_length}"))
     if isinstance(data, T.NumericType):
         if spec.minimum is not None:
-            out.append((value < spec.minimum, f"must have a minimum value of {spec.minimum}"))
+            out.append((value < spec.minimum, f"less than {spec.minimum}"))
         if spec.maximum is not None:
-            out.append((value > spec.maximum, f"must have a maximum value of {spec.maximum}"))
+            out.append((value > spec.maximum, f"more than {spec.maximum}"))
         if spec.max_decimal is not None:
-            digits = r"\.[0-9]{" + str(spec.max_decimal + 1) + ",}"
-            out.append((value.cast("string").rlike(digits),
-                        f"may only have {spec.max_decimal} digits of decimal places"))
+            out.append((F.round(value, spec.max_decimal) != value,
+                        f"more than {spec.max_decimal} decimal places"))
     if isinstance(data, T.ArrayType):
         if spec.min_items is not None:
             out.append((F.size(value) < spec.min_items,
-                        f"There must be a minimum of {spec.min_items} in the array"))
+                        f"fewer than {spec.min_items} items"))
         if spec.max_items is not None:
             out.append((F.size(value) > spec.max_items,
-                        f"There must be a maximum of {spec.max_items} in the array"))
+                        f"more than {spec.max_items} items"))
         if spec.items is not None:
             for i, (_, message) in enumerate(_checks(F.lit(None).cast(data.elementType),
                                                      data.elementType, spec.items)):
                 def fails(item: Column, i: int = i) -> Column:
                     return _checks(item, data.elementType, spec.items)[i][0]
 
-                out.append((F.exists(value, _unary(fails)), f"an item: {message}"))
+                out.append((F.exists(value, _unary(fails)), f"an item is {message}"))
     if spec.enum:
         out.append((~value.isin(list(spec.enum)),
-                    "does not have a value in the enumeration "
-                    + ", ".join(str(v) for v in spec.enum)))
+                    "none of " + ", ".join(str(v) for v in spec.enum)))
     return out
 
 
@@ -120,7 +118,7 @@ def schema_errors(df: DataFrame, spec: Mapping[str, Property], key: str) -> Data
     for name, prop in spec.items():
         value, data = F.col(name), df.schema[name].dataType
         if not prop.optional:
-            found.append(F.when(value.isNull(), _error(name, "is missing and it is not optional")))
+            found.append(F.when(value.isNull(), _error(name, "absent")))
         for fails, message in _checks(value, data, prop):
             found.append(F.when(value.isNotNull() & fails, _error(name, message)))
     errors = F.filter(F.array(*found), lambda e: e.isNotNull())
@@ -138,6 +136,32 @@ def schema_conformance(df: DataFrame, spec: Mapping[str, Property], key: str) ->
         F.count(F.lit(1)).alias("n"))
 
 
+def cross_field_errors(df: DataFrame, key: str, required: Mapping[str, Column] = {},
+                       depends: Mapping[str, Sequence[str]] = {},
+                       confirms: Mapping[str, str] = {}) -> DataFrame:
+    """(key, field, problem) for rules between the fields of a record.
+
+    ``required``: a field that must be filled where the condition holds.  ``depends``: a field that
+    may be filled only if all the others are.  ``confirms``: a field that must repeat another.  A
+    string of blanks is not filled.
+    """
+    def filled(name: str) -> Column:
+        return F.col(name).isNotNull() & (F.trim(F.col(name).cast("string")) != "")
+
+    def problem(name: str, text: str) -> Column:
+        return F.struct(F.lit(name).alias("field"), F.lit(text).alias("problem"))
+
+    found = [F.when(F.coalesce(cond, F.lit(False)) & ~filled(name), problem(name, "required"))
+             for name, cond in required.items()]
+    for name, others in depends.items():
+        for other in others:
+            found.append(F.when(filled(name) & ~filled(other), problem(name, f"needs {other}")))
+    for name, other in confirms.items():
+        found.append(F.when(~F.col(name).eqNullSafe(F.col(other)), problem(name, f"is not {other}")))
+    errors = F.filter(F.array(*found), lambda e: e.isNotNull())
+    return df.select(key, F.explode(errors).alias("_e")).select(key, "_e.field", "_e.problem")
+
+
 def content_fingerprints(df: DataFrame, text: str) -> DataFrame:
     """md5, sha1 and sha2 of a text column."""
     return df.withColumn("md5", F.md5(text)).withColumn("sha1", F.sha1(text)).withColumn(

@@ -11,7 +11,7 @@ from tidepool.functions.predicates import matches_record
 from tidepool.operators.ordered import row_numbers
 
 Where = Column | str | Mapping[str, object] | Callable[[DataFrame], Column] | None
-DEEP_PAGE = 100_000
+DEEP_PAGE = 100_000  # rows before the end of a page that are still gathered as a top-k
 
 
 def sort_key(name: str, descending: bool = False,
@@ -44,21 +44,22 @@ def where(df: DataFrame, query: Where, named: Mapping[str, Callable] | None = No
 
 
 def page_with_total(df: DataFrame, keys: Sequence[Column], start: int = 0,
-                    count: int | None = None) -> DataFrame:
+                    count: int | None = None, deep: int = DEEP_PAGE) -> DataFrame:
     """Rows ``start``..``start + count`` in the order of ``keys`` plus ``total``, the rows before
     paging.  ``keys`` must end in a unique column.
 
-    Near pages are a top-k; far ones, and those without a ``count``, are cut out by row position,
-    which ranks the table in parallel instead of gathering ``start + count`` rows in one place.
+    Near pages are a top-k; those that end beyond row ``deep``, and those without a ``count``, are
+    cut out by row position, which ranks the table in parallel instead of gathering ``start + count``
+    rows in one place, and then sorted.
     """
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    if count is not None and start + count <= DEEP_PAGE:
+    if count is not None and start + count <= deep:
         page = df.orderBy(*keys).offset(start).limit(count)
     else:
         placed = row_numbers(df, keys, "_pos").filter(F.col("_pos") >= start)
         if count is not None:
             placed = placed.filter(F.col("_pos") < start + count)
-        page = placed.drop("_pos")
+        page = placed.orderBy("_pos").drop("_pos")
     return page.withColumn("total", total)
 
 

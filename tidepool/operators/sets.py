@@ -21,7 +21,9 @@ def difference(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def is_subset(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row ``is_subset``: every row of ``a`` is in ``b``."""
-    return difference(a, b).agg((F.count(F.lit(1)) == 0).alias("is_subset"))
+    same = [a[c].eqNullSafe(b[c]) for c in a.columns]
+    outside = a.join(b, same, "left_anti").limit(1)  # one row outside settles it
+    return outside.agg((F.count(F.lit(1)) == 0).alias("is_subset"))
 
 
 def is_superset(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.storage import spread
+from tidepool.storage import ship_package
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -19,14 +19,10 @@ class Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table that is about to be parsed or sorted, given to all cores when its file is small."""
-    return spread(table(spark, sf_dir, name))
-
-
 def all_queries() -> dict[str, Query]:
     from tidepool.plans import crawl, index, records, nested, stats, quality, changes, events
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from html.entities import html5, name2codepoint
+
 from pyspark.sql import functions as F
 
-from tidepool.functions.text import (MARKUP_ENTITIES, TEXT_STEPS, decode_entities, encode_entities,
-                                     html_to_text, latin_entities)
-from tidepool.functions.urls import acceptable_path, host, in_scope, query_pairs
+from tidepool.functions.text import (BLANKS, HIDDEN_STEPS, TAG_STEPS, decode_entities,
+                                     encode_entities, html_to_text)
+from tidepool.functions.urls import acceptable_path, host, in_scope, query_map, query_pairs
 from tidepool.operators import crawl as ops
-from tidepool.plans import Query, spread_table, table
+from tidepool.plans import Query, table
 
 ROOTS = ["example.org", "example.net"]
 
@@ -17,24 +19,46 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+#: The names of HTML 4 with the characters that the later standard gives them.
+ENTITIES = {name: html5[f"{name};"] for name in name2codepoint}
+
+
+def hidden_sql(column: str) -> str:
+    for pattern, put in HIDDEN_STEPS:
+        column = f"regexp_replace({column}, {quoted(pattern)}, {quoted(put)}, 'g')"
+    return column
+
+
+def entities_sql(column: str) -> str:
+    """DuckDB form of decoding: every piece behind an ampersand by itself."""
+    known = "MAP {" + ", ".join(f"{quoted(n)}: {quoted(c)}" for n, c in ENTITIES.items()) + "}"
+    name = "regexp_extract(p, '^(#?[A-Za-z0-9]+);', 1)"
+    code = (f"CASE WHEN regexp_matches({name}, '^#[0-9]{{1,7}}$') THEN TRY_CAST(substr({name}, 2) AS INTEGER)"
+            f" WHEN regexp_matches({name}, '^#[xX][0-9A-Fa-f]{{1,6}}$')"
+            f" THEN TRY_CAST('0x' || substr({name}, 3) AS INTEGER) END")
+    char = (f"CASE WHEN starts_with({name}, '#') THEN CASE WHEN {code} BETWEEN 1 AND 1114111"
+            f" AND {code} NOT BETWEEN 55296 AND 57343 THEN chr({code}) END ELSE ({known})[{name}] END")
+    return (f"string_split({column}, '&')[1] || array_to_string([coalesce({char} ||"
+            f" substr(p, length({name}) + 2), '&' || p) FOR p IN string_split({column}, '&')[2:]], '')")
+
+
 def text_sql(column: str) -> str:
     """DuckDB form of the markup-to-text chain."""
-    out = column
-    for pattern, put in TEXT_STEPS:
-        if pattern.startswith("&"):
-            out = f"replace({out}, {quoted(pattern)}, {quoted(put)})"
-        else:
-            out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(put)}, 'g')"
-    return f"trim({out})"
+    out = hidden_sql(column)
+    for pattern, put in TAG_STEPS:
+        out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(put)}, 'g')"
+    return f"trim(regexp_replace({entities_sql(out)}, {quoted(BLANKS)}, ' ', 'g'))"
 
 
-LINKS_SQL = """
+LINKS_SQL = f"""
   links AS (
-    SELECT url AS src,
+    SELECT src, dst FROM (
+      SELECT url AS src,
            CASE WHEN ref LIKE '/%' THEN regexp_extract(url, '^([^:/]+://[^/?#]*)', 1) || ref
                 ELSE ref END AS dst
-    FROM (SELECT url, unnest(regexp_extract_all(html,
+      FROM (SELECT url, unnest(regexp_extract_all({hidden_sql("html")},
             '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*"([^"]*)"', 1)) AS ref FROM pages))
+    WHERE regexp_matches(dst, '^https?://'))
 """
 ACCEPT_SQL = """(strpos({u}, '#') = 0 AND regexp_extract({u}, '\\.([^./\\\\]*)$', 1) IN
   ('java','html','asp','js','properties','xml','jsp','sql',''))"""
@@ -50,7 +74,7 @@ def scope(u: str) -> str:
 
 
 def _pages(spark, sf):
-    return spread_table(spark, sf, "pages")
+    return table(spark, sf, "pages")
 
 
 def _seeds(spark, sf):
@@ -63,9 +87,8 @@ def scan_pages(spark, sf):
 
 
 def seed_source(spark, sf):
-    sites = _pages(spark, sf).select(host("url").alias("host")).distinct()
-    return sites.select(F.concat(F.lit("http://"), "host", F.lit("/")).alias("url"),
-                        F.lit(0).alias("depth"))
+    sites = F.concat(F.lit("http://"), host("url"), F.lit("/"))
+    return ops.seed_source(spark, _pages(spark, sf).select(sites.alias("url")))
 
 
 def html_to_text_query(spark, sf):
@@ -109,7 +132,7 @@ def crawl_rounds(spark, sf):
     """The star schema as a web site: regions link to nations, nations to customers, customers to
     orders, orders to suppliers and suppliers back to nations.  A page's links come in several rows."""
     def links(name, source, target):
-        t = spread_table(spark, sf, name)
+        t = table(spark, sf, name)
         (a, ka), (b, kb) = source, target
         return t.select(
             F.concat(F.lit(f"http://shop.org/{a}/"), F.col(ka).cast("string")).alias("url"),
@@ -134,21 +157,11 @@ def link_graph(spark, sf):
 def preferred_merge(spark, sf):
     pages = _pages(spark, sf)
     found = ops.extract_links(pages).select(F.col("dst").alias("url"))
-    merged = ops.preferred_merge(found, pages.select("url"))
-    return merged.groupBy("url").agg(F.min("priority").alias("priority"),
-                                     F.count(F.lit(1)).alias("n"))
+    return ops.preferred_merge(found, pages.select("url"))
 
 
 def crawl_counters(spark, sf):
-    pages = _pages(spark, sf)
-    links = ops.extract_links(pages)
-    stages = [("pages", pages), ("links", links),
-              ("accepted", links.filter(acceptable_path("dst")))]
-    out = None
-    for stage, df in stages:
-        one = ops.crawl_counters(df, stage)
-        out = one if out is None else out.unionByName(one)
-    return out
+    return ops.crawl_counters(_pages(spark, sf))
 
 
 def url_parts_and_query(spark, sf):
@@ -157,8 +170,13 @@ def url_parts_and_query(spark, sf):
                         F.col("p.value").alias("value"))
 
 
+def query_values(spark, sf):
+    values = _pages(spark, sf).select("page_id", F.explode(query_map("url")).alias("key", "values"))
+    return values.select("page_id", "key", F.array_join("values", "|").alias("values"))
+
+
 def html_entities(spark, sf):
-    docs = spread_table(spark, sf, "documents").select("doc_id", "text",
+    docs = table(spark, sf, "documents").select("doc_id", "text",
                                                 encode_entities("text").alias("encoded"))
     return docs.select("doc_id", F.md5("encoded").alias("encoded_md5"),
                        F.md5(decode_entities("text")).alias("decoded_md5"),
@@ -166,18 +184,9 @@ def html_entities(spark, sf):
 
 
 def _encode_sql(column: str) -> str:
-    out = column
-    for name, char in {**MARKUP_ENTITIES, **latin_entities()}.items():
-        out = f"replace({out}, {quoted(char)}, '&{name};')"
-    return out
-
-
-def _decode_sql(column: str) -> str:
-    out = column
-    names = {**latin_entities(), **MARKUP_ENTITIES}
-    for name in [n for n in names if n != "amp"] + ["amp"]:
-        out = f"replace({out}, '&{name};', {quoted(names[name])})"
-    return out
+    for name, char in sorted(ENTITIES.items(), key=lambda x: (x[0] != "amp", x[1])):
+        column = f"replace({column}, {quoted(char)}, '&{name};')"
+    return column
 
 
 QUERIES = {
@@ -237,7 +246,8 @@ QUERIES = {
     "preferred_merge": Query(preferred_merge, f"""
         WITH {LINKS_SQL}, merged AS (SELECT dst AS url, 0 AS priority FROM links
           UNION ALL SELECT url, 1 FROM pages)
-        SELECT url, min(priority) AS priority, count(*) AS n FROM merged GROUP BY url"""),
+        SELECT url, priority, row_number() OVER (ORDER BY priority, url) - 1 AS position
+        FROM merged"""),
     "crawl_counters": Query(crawl_counters, f"""
         WITH {LINKS_SQL}
         SELECT 'pages' AS stage, count(*) AS processed FROM pages
@@ -252,6 +262,14 @@ QUERIES = {
         WHERE part <> ''"""),
     "html_entities": Query(html_entities, f"""
         SELECT doc_id, md5({_encode_sql('text')}) AS encoded_md5,
-          md5({_decode_sql('text')}) AS decoded_md5, true AS round_trip
+          md5({entities_sql('text')}) AS decoded_md5, true AS round_trip
         FROM documents"""),
+    "query_values": Query(query_values, """
+        WITH parts AS (
+          SELECT page_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos
+          FROM (SELECT page_id, string_split(regexp_extract(url, '\\?([^#]*)', 1), '&') AS parts
+                FROM pages WHERE strpos(url, '?') > 0))
+        SELECT page_id, split_part(part, '=', 1) AS key, string_agg(url_decode(
+          substr(part, length(split_part(part, '=', 1)) + 2)), '|' ORDER BY pos) AS values
+        FROM parts WHERE part <> '' GROUP BY page_id, split_part(part, '=', 1)"""),
 }

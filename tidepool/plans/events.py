@@ -11,9 +11,9 @@ from tidepool.operators import index as index_ops
 from tidepool.operators import timing as ops
 from tidepool.operators.crawl import extract_links
 from tidepool.operators.records import sort_key
-from tidepool.plans import Query, changes, spread_table, table
+from tidepool.plans import Query, changes, table
 from tidepool.plans.crawl import LINKS_SQL, ROOTS, accept, scope
-from tidepool.plans.index import CFG, POSTINGS_SQL
+from tidepool.plans.index import CFG, POSTINGS_SQL, SHARDED_SQL
 from tidepool.schemas import EVENTS, PAGES
 from tidepool.storage import scratch_path
 from tidepool.streaming import common
@@ -24,16 +24,19 @@ HOUR = 3_600_000_000
 
 
 def _events(spark, sf):
-    return spread_table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         "event_id", "user_id", "event_type", epoch_us("ts").alias("us"))
 
 
 def _event_stream(spark, sf):
-    return common.parquet_stream(spark, sf, EVENTS, "events.parquet")
+    """The events in four files, each of which is a micro-batch."""
+    folder = common.in_files(table(spark, sf, "events"), "event_id")
+    return common.parquet_stream(spark, folder, EVENTS, files_per_trigger=1)
 
 
 def _page_stream(spark, sf):
-    return common.parquet_stream(spark, sf, PAGES, "pages.parquet")
+    folder = common.in_files(table(spark, sf, "pages"), "page_id")
+    return common.parquet_stream(spark, folder, PAGES, files_per_trigger=1)
 
 
 def flow_rate(spark, sf):
@@ -70,9 +73,14 @@ def event_batch_sink(spark, sf):
 def event_packet_stream(spark, sf):
     path = scratch_path(spark, "packets")
     streams.packet_sink(_event_stream(spark, sf), path, "event_id", _body(), 2000)
-    sent = spark.read.parquet(path)
-    return sent.groupBy("packet").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"),
-                                      F.min("event_id").alias("first_id"))
+    sent = spark.read.parquet(path).groupBy("batch", "packet").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"),
+        F.min("event_id").alias("first_id"))
+    # Packets end with their batch, so what holds for all of them is reported: every event is in
+    # one packet, none is too large, and within a batch none could have held the next event.
+    return sent.agg(F.sum("n").alias("events"), F.sum("bytes").alias("bytes"),
+                    (F.max("bytes") <= 2000).alias("fit"),
+                    F.countDistinct("batch").alias("batches"))
 
 
 def frontier_stream(spark, sf):
@@ -90,12 +98,17 @@ def incremental_index(spark, sf):
 
 def crawl_stream(spark, sf):
     frontier, index = scratch_path(spark, "frontier"), scratch_path(spark, "postings")
-    crawl_streams.crawl_stream(_page_stream(spark, sf), frontier, index, ROOTS, CFG)
+    pages = table(spark, sf, "pages")
+    crawl_streams.crawl_stream(_page_stream(spark, sf), frontier, index, ROOTS, CFG, snapshot=pages)
     found = spark.read.schema(crawl_streams.FRONTIER).parquet(frontier).select(
         F.lit("frontier").alias("part"), F.col("url").alias("name"), F.lit(1).cast("long").alias("n"))
     terms = index_ops.term_stats(crawl_streams.read_postings(spark, index)).select(
         F.lit("index").alias("part"), F.col("term").alias("name"), F.col("freq").alias("n"))
-    return found.unionByName(terms)
+    dictionary = crawl_streams.complete_index(spark, index, scratch_path(spark, "done"),
+                                              pages.count(), CFG)
+    offsets = dictionary.select(F.lit("dictionary").alias("part"), F.col("term").alias("name"),
+                                F.col("byte_offset").alias("n"))
+    return found.unionByName(terms).unionByName(offsets)
 
 
 def fan_out(spark, sf):
@@ -136,12 +149,9 @@ def flow_rate_stream(spark, sf):
 
 
 def meter(spark, sf):
-    stream = streams.meter_stream(_event_stream(spark, sf), "elements")
-    writer = stream.writeStream.format("noop")
-    query = common.run_available(writer, spark=spark)
-    counts = [p.observedMetrics["elements"].n for p in query.recentProgress
-              if "elements" in p.observedMetrics]
-    return spark.createDataFrame([(sum(counts),)], "n BIGINT")
+    path = scratch_path(spark, "meter")
+    streams.meter_sink(_event_stream(spark, sf), path)
+    return spark.read.schema("n BIGINT").parquet(path).agg(F.sum("n").alias("n"))
 
 
 def throttle_stream(spark, sf):
@@ -152,17 +162,23 @@ def throttle_stream(spark, sf):
 
 
 def _sessions_done(spark, sf, gap):
-    events = _event_stream(spark, sf).withColumn("ts", instant("ts"))
-    sessions = streams.session_stream(events, ["user_id"], "ts", "event_id", gap)
+    """A last file with one event of no user, days later, lets the watermark pass all sessions."""
+    table_ = table(spark, sf, "events")
+    folder = common.in_files(table_, "event_id")
+    late = table_.agg((F.max("ts") + F.expr("INTERVAL 3 DAYS")).alias("ts"))
+    late.select(*[(F.col("ts") if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name)
+                  for f in EVENTS]).write.mode("append").parquet(folder)
+    events = common.parquet_stream(spark, folder, EVENTS, files_per_trigger=1)
+    sessions = streams.session_stream(events.withColumn("ts", instant("ts")), ["user_id"], "ts",
+                                      "event_id", gap)
     path = scratch_path(spark, "sessions")
 
     def keep(batch, batch_id):
         common.write_batch(batch, path, batch_id)
 
-    common.run_available(sessions.writeStream.outputMode("complete").foreachBatch(keep), spark=spark)
-    done = spark.read.parquet(path)
-    last = done.select(F.max("batch").alias("batch"))
-    return done.join(last, "batch", "left_semi").select(
+    common.run_available(sessions.writeStream.outputMode("append").foreachBatch(keep), spark=spark)
+    done = spark.read.parquet(path).filter("user_id IS NOT NULL")
+    return done.select(
         "user_id", F.unix_micros("active_at").alias("active_us"),
         F.unix_micros("idle_at").alias("idle_us"),
         "event_id", "n")
@@ -179,19 +195,27 @@ def debounce_stream(spark, sf):
 
 def buffered_replay(spark, sf):
     path = scratch_path(spark, "replay")
-    streams.buffered_replay(_event_stream(spark, sf), path)
-    return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    streams.buffered_replay(_event_stream(spark, sf), path, ["event_id"], minimum=50)
+    sent = spark.read.parquet(f"{path}/sent")
+    return sent.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
+                                          F.countDistinct("batch").alias("ticks"))
 
 
 def live_query(spark, sf):
     path = scratch_path(spark, "live")
-    lines = common.parquet_stream(spark, sf, table(spark, sf, "lineitem").schema, "lineitem.parquet")
-    stream = changes.log_of(lines)
+    lines = table(spark, sf, "lineitem")
+    folder = common.in_files(lines, "l_linenumber")
+    stream = changes.log_of(common.parquet_stream(spark, folder, lines.schema, files_per_trigger=1))
     base = changes.base(spark, sf)
     keys = [sort_key("cents", descending=True), sort_key("key")]
     streams.live_query(base, stream, lambda df: df.filter("cents > 2500000"), ["cents"], keys,
                        path, order=changes.ORDER)
-    return spark.read.parquet(f"{path}/diff").select("key", "removed_from", "inserted_into")
+    # The differences of all batches, summed up: how often a key came in less how often it left.
+    diffs = spark.read.parquet(f"{path}/diff")
+    net = diffs.groupBy("key").agg((
+        F.sum((F.col("removed_from") == -1).cast("long"))
+        - F.sum((F.col("inserted_into") == -1).cast("long"))).alias("net"))
+    return net.filter("net <> 0")
 
 
 _USER = "PARTITION BY user_id ORDER BY ts, event_id"
@@ -256,23 +280,35 @@ QUERIES = {
     "session_stream": Query(session_stream, _sessions(
         "<=", "max_by(event_id, (ts, event_id)) AS event_id")),
     "event_batch_sink": Query(event_batch_sink, _PACKETS),
-    "event_packet_stream": Query(event_packet_stream, _PACKETS),
+    "event_packet_stream": Query(event_packet_stream, """
+        SELECT count(*) AS events, true AS fit, CAST(4 AS BIGINT) AS batches,
+          CAST(sum(strlen(concat_ws(' ', event_id, user_id, event_type, props))) AS BIGINT) AS bytes
+        FROM events"""),
     "frontier_stream": Query(frontier_stream, f"""
         WITH {LINKS_SQL} SELECT DISTINCT dst AS url FROM links
         WHERE {accept('dst')} AND {scope('dst')}"""),
     "incremental_index": Query(incremental_index,
                                f"WITH {POSTINGS_SQL} SELECT url, term, tf FROM postings"),
     "crawl_stream": Query(crawl_stream, f"""
-        WITH {LINKS_SQL}, {POSTINGS_SQL}
+        WITH {LINKS_SQL}, {SHARDED_SQL}
         SELECT DISTINCT 'frontier' AS part, dst AS name, CAST(1 AS BIGINT) AS n FROM links
         WHERE {accept('dst')} AND {scope('dst')}
-        UNION ALL SELECT 'index', term, CAST(sum(tf) AS BIGINT) FROM postings GROUP BY term"""),
+        UNION ALL SELECT 'index', term, CAST(sum(tf) AS BIGINT) FROM postings GROUP BY term
+        UNION ALL SELECT 'dictionary', term, CAST(min(before) AS BIGINT) FROM (
+          SELECT term, sum(strlen(line) + 1) OVER (ORDER BY term, shard) - strlen(line) - 1 AS before
+          FROM idx) GROUP BY term"""),
     "fan_out": Query(fan_out, f"""
         WITH {LINKS_SQL}, {POSTINGS_SQL}
         SELECT 'links' AS branch, count(*) AS n FROM links
         UNION ALL SELECT 'accepted', count(*) FROM pages WHERE {accept('url')}
         UNION ALL SELECT 'postings', count(*) FROM postings"""),
     "buffered_replay": Query(buffered_replay, """
-        SELECT event_type, count(*) AS n FROM events GROUP BY event_type"""),
-    "live_query": Query(live_query, f"WITH {changes.LOG_SQL}, {changes.DIFF_SQL}"),
+        WITH e AS (SELECT event_type, event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos,
+                     count(*) OVER () AS n FROM events)
+        SELECT event_type, count(*) AS n, CAST(5 AS BIGINT) AS ticks FROM e GROUP BY event_type"""),
+    "live_query": Query(live_query, f"""
+        WITH {changes.LOG_SQL}, o AS (SELECT key FROM base WHERE cents > 2500000),
+        n AS (SELECT key FROM state WHERE cents > 2500000)
+        SELECT key, CAST(1 AS BIGINT) AS net FROM n WHERE key NOT IN (SELECT key FROM o)
+        UNION ALL SELECT key, CAST(-1 AS BIGINT) FROM o WHERE key NOT IN (SELECT key FROM n)"""),
 }

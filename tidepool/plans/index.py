@@ -8,8 +8,7 @@ from tidepool.config import IndexConfig
 from tidepool.functions.text import WORD, WORD_OR_MARK
 from tidepool.operators import index as ops
 from tidepool.operators import sets
-from tidepool.operators.ordered import row_numbers
-from tidepool.plans import Query, table, spread_table
+from tidepool.plans import Query, table
 from tidepool.plans.crawl import quoted, text_sql
 from tidepool.sources import index_files
 from tidepool.storage import scratch_path
@@ -34,19 +33,19 @@ SHARDED_SQL = f"""{POSTINGS_SQL},
             term || ';' || CAST(sum(tf) AS BIGINT) || ';' ||
               string_agg({URL_ESCAPE}, ',' ORDER BY url) AS line
           FROM sharded GROUP BY term, shard)"""
-BLOCKS_SQL = f"""{POSTINGS_SQL},
+BLOCKS_SQL = f"""{SHARDED_SQL},
   blocked AS (SELECT url, CAST(floor(before / 50000) AS BIGINT) + 1 AS block FROM (
       SELECT url, coalesce(sum(strlen(text)) OVER (ORDER BY page_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM docs)),
-  blocks AS (SELECT block, term, CAST(sum(tf) AS BIGINT) AS freq, count(*) AS df,
+  blocks AS (SELECT block, term, shard, CAST(sum(tf) AS BIGINT) AS freq, count(*) AS df,
                string_agg(url, ' ' ORDER BY url) AS postings,
-               term || ';' || CAST(sum(tf) AS BIGINT) || ';' ||
+               block || ';' || term || ';' || CAST(sum(tf) AS BIGINT) || ';' ||
                  string_agg({URL_ESCAPE}, ',' ORDER BY url) AS line
-             FROM postings JOIN blocked USING (url) GROUP BY block, term)"""
+             FROM sharded JOIN blocked USING (url) GROUP BY block, term, shard)"""
 
 
 def _pages(spark, sf):
-    return spread_table(spark, sf, "pages")
+    return table(spark, sf, "pages")
 
 
 def _docs(spark, sf, mode="text"):
@@ -64,7 +63,21 @@ def _index(spark, sf):
 def _blocks(spark, sf):
     pages = _pages(spark, sf)
     docs = pages.select("page_id", "url", ops.html_to_text("html").alias("text"))
-    return ops.build_blocks(docs, "page_id", CFG)
+    return ops.build_blocks(docs, "page_id", CFG, ops.shard_count(pages, CFG))
+
+
+def _saved(spark, sf):
+    """The postings as a searcher finds them: written once, sorted by term."""
+    path = scratch_path(spark, "postings")
+    ops.save_postings(_postings(spark, sf), path)
+    return ops.open_postings(spark, path)
+
+
+def _saved_index(spark, sf):
+    path = scratch_path(spark, "index")
+    index = _index(spark, sf)
+    ops.save_index(index, path)
+    return spark.read.schema(index.schema).parquet(path)
 
 
 def _flat(df):
@@ -103,7 +116,7 @@ def term_stats(spark, sf):
 
 
 def document_terms(spark, sf):
-    docs = spread_table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("url"), "text")
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("url"), "text")
     return ops.term_stats(ops.document_index(docs, CFG))
 
 
@@ -122,7 +135,7 @@ def build_blocks(spark, sf):
 
 def merge_blocks(spark, sf):
     merged = ops.merge_blocks(_blocks(spark, sf), ops.shard_count(_pages(spark, sf), CFG))
-    return _flat(merged.drop("freq"))
+    return _flat(merged)
 
 
 def merge_totals(spark, sf):
@@ -135,28 +148,27 @@ def build_dictionary(spark, sf):
 
 
 def search_term(spark, sf):
-    return ops.search_term(_postings(spark, sf), "The")
+    return ops.search_term(_saved(spark, sf), "The")
 
 
 def search_batch(spark, sf):
     words = ops.tokenize(table(spark, sf, "benchmark").select("text"), CFG)
-    return ops.search_batch(_postings(spark, sf), words.select(F.col("token").alias("term")))
+    return ops.search_batch(_saved(spark, sf), words.select(F.col("token").alias("term")))
 
 
 def search_json(spark, sf):
-    return ops.search_json(_index(spark, sf), ["the", "und", "que"])
+    return ops.search_json(_saved_index(spark, sf), ["the", "und", "que"])
 
 
 def sort_terms(spark, sf):
     stats = ops.term_stats(_postings(spark, sf))
-    return row_numbers(stats.select("term"), ["term"], "pos")
+    return ops.sort_terms(stats.select("term"), "pos")
 
 
 def write_block(spark, sf):
     path = scratch_path(spark, "blocks")
     index_files.write_blocks(_blocks(spark, sf), path, CFG)
-    return spark.read.schema("value STRING, block BIGINT").text(path).select(
-        "block", F.col("value").alias("line"))
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 def read_blocks(spark, sf):
@@ -186,20 +198,21 @@ def read_dictionary(spark, sf):
 
 
 def set_union(spark, sf):
-    return ops.search_any(_postings(spark, sf), ["and", "und"])
+    return ops.search_any(_saved(spark, sf), ["and", "und"])
 
 
 def set_intersection(spark, sf):
-    return ops.search_all(_postings(spark, sf), ["the", "and"])
+    return ops.search_all(_saved(spark, sf), ["the", "and"])
 
 
 def set_difference(spark, sf):
-    return ops.search_without(_postings(spark, sf), "the", "and")
+    return ops.search_without(_saved(spark, sf), "the", "and")
 
 
 def table_set_operations(spark, sf):
-    a = ops.search_term(_postings(spark, sf), "the").select("url")
-    b = ops.search_term(_postings(spark, sf), "and").select("url")
+    postings = _saved(spark, sf)
+    a = ops.search_term(postings, "the").select("url")
+    b = ops.search_term(postings, "and").select("url")
     parts = {"union": sets.union(a, b), "intersection": sets.intersection(a, b),
              "difference": sets.difference(a, b)}
     out = None
@@ -210,7 +223,7 @@ def table_set_operations(spark, sf):
 
 
 def subset_check(spark, sf):
-    p = _postings(spark, sf)
+    p = _saved(spark, sf)
     urls = _pages(spark, sf).select("url")
     the = ops.search_term(p, "the").select("url")
     und = ops.search_term(p, "und").select("url")
@@ -256,9 +269,9 @@ QUERIES = {
         SELECT mode, lower(token) AS term, count(*) AS freq, count(DISTINCT url) AS df
         FROM toks WHERE token NOT IN {EXCLUDED_SQL} GROUP BY 1, 2"""),
     "build_blocks": Query(build_blocks, f"""
-        WITH {BLOCKS_SQL} SELECT block, term, freq, df, postings FROM blocks"""),
+        WITH {BLOCKS_SQL} SELECT block, term, shard, freq, df, postings FROM blocks"""),
     "merge_blocks": Query(merge_blocks, f"""
-        WITH {SHARDED_SQL} SELECT term, shard, df, postings FROM idx"""),
+        WITH {SHARDED_SQL} SELECT term, shard, freq, df, postings FROM idx"""),
     "merge_totals": Query(merge_totals, f"""
         WITH {POSTINGS_SQL} SELECT term, CAST(sum(tf) AS BIGINT) AS freq, count(*) AS df
         FROM postings GROUP BY term"""),
@@ -279,7 +292,7 @@ QUERIES = {
     "sort_terms": Query(sort_terms, f"""
         WITH {POSTINGS_SQL} SELECT term, row_number() OVER (ORDER BY term) - 1 AS pos
         FROM (SELECT DISTINCT term FROM postings)"""),
-    "write_block": Query(write_block, f"WITH {BLOCKS_SQL} SELECT block, line FROM blocks"),
+    "write_block": Query(write_block, f"WITH {BLOCKS_SQL} SELECT line FROM blocks"),
     "read_blocks": Query(read_blocks, f"""
         WITH {BLOCKS_SQL} SELECT block, term, freq, postings FROM blocks"""),
     "write_index": Query(write_index, f"WITH {SHARDED_SQL} SELECT line FROM idx"),

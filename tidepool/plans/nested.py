@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tidepool.functions import arrays as A
 from tidepool.functions import predicates as P
 from tidepool.operators import nested as ops
-from tidepool.plans import Query, spread_table, table
+from tidepool.functions.text import WORD
+from tidepool.plans import Query, table
 from tidepool.sources import csv_files, files, markup
 from tidepool.storage import scratch_path
 
@@ -18,7 +19,7 @@ def _events(spark, sf):
 
 def _turns(spark, sf):
     """Conversation turns as an array of (word, len) records."""
-    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     return table(spark, sf, "conversations").select("conv_id", "turn", F.transform(
         words, lambda w: F.struct(w.alias("word"), F.length(w).cast("long").alias("len"))
     ).alias("items"))
@@ -40,7 +41,7 @@ def recursive_find(spark, sf):
     nested = F.concat(F.lit('{"k": '), F.get_json_object("props", "$.k"), F.lit(', "in": {"type": "'),
                       F.col("event_type"), F.lit('", "list": [{"k": '), F.col("event_id"),
                       F.lit('}, {"z": {"k": '), F.col("user_id"), F.lit("}}]}}"))
-    return ops.recursive_find(spread_table(spark, sf, "events").withColumn("doc", nested), "doc", ["event_id"], "k")
+    return ops.recursive_find(table(spark, sf, "events").withColumn("doc", nested), "doc", ["event_id"], "k")
 
 
 def array_filter(spark, sf):
@@ -131,15 +132,11 @@ def feed_outline_extract(spark, sf):
         F.lit('<opml><head><title>t</title></head><body><outline text="'), "event_type",
         F.lit('"><outline text="u'), F.col("user_id").cast("string"),
         F.lit('"><outline text="e"/></outline><outline text="last"/></outline></body></opml>'))
-    docs = spread_table(spark, sf, "events").select("event_id", xml.alias("xml"))
+    docs = table(spark, sf, "events").select("event_id", xml.alias("xml"))
     return markup.outline_items(docs, "event_id", "xml")
 
 
-def file_listing(spark, sf):
-    return files.file_listing(spark, sf, "*.parquet").select("name", "length")
-
-
-_TURNS = """turns AS (SELECT conv_id, turn, list_transform(regexp_extract_all(text, '[A-Za-z]+'),
+_TURNS = """turns AS (SELECT conv_id, turn, list_transform(regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+'),
   lambda w: {'word': w, 'len': CAST(length(w) AS BIGINT)}) AS items FROM conversations)"""
 
 
@@ -177,7 +174,7 @@ QUERIES = {
           lambda i: {'n': -i.len, 'w': i.word})), lambda i: i.w), ' '), '')""")),
     "array_map": Query(array_map, _turns_sql(words="""
         coalesce(array_to_string(list_transform(items,
-          lambda i: upper(i.word) || i.len), ' '), '')""")),
+          lambda i: replace(upper(i.word), 'ẞ', 'SS') || i.len), ' '), '')""")),
     "array_slice_step": Query(array_slice_step, _turns_sql(
         fixed=_join("list_filter(items, lambda i, nr: nr IN (3, 6, 9))"),
         tail=_join("items[greatest(len(items) - 3, 1):len(items)]"),
@@ -212,5 +209,4 @@ QUERIES = {
         UNION ALL SELECT event_id, 1, 0, 1, 'u' || user_id FROM events
         UNION ALL SELECT event_id, 2, 1, 2, 'e' FROM events
         UNION ALL SELECT event_id, 3, 0, 1, 'last' FROM events"""),
-    "file_listing": Query(file_listing),
 }

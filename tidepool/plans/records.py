@@ -14,6 +14,7 @@ from tidepool.operators.hierarchy import tree_flatten as flatten
 from tidepool.operators.joins import interval_overlap_join as overlap_join
 from tidepool.operators.joins import query_by_example_join as example_join
 from tidepool.operators.ordered import row_numbers
+from tidepool.functions.text import WORD
 from tidepool.plans import Query, table
 
 
@@ -152,7 +153,7 @@ def tree_flatten(spark, sf):
 
 
 def _words():
-    return F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    return F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
 
 
 def hof_map_filter_every_some(spark, sf):
@@ -292,14 +293,14 @@ QUERIES = {
           FROM tree t JOIN edges e ON e.parent = t.node)
         SELECT node, depth, path FROM tree"""),
     "hof_map_filter_every_some": Query(hof_map_filter_every_some, """
-        WITH c AS (SELECT conv_id, turn, regexp_extract_all(text, '[A-Za-z]+') AS w
+        WITH c AS (SELECT conv_id, turn, regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+') AS w
                    FROM conversations)
         SELECT conv_id, turn, coalesce(array_to_string(list_transform(list_filter(w,
-            lambda x: length(x) > 6), lambda x: upper(x)), ' '), '') AS long,
+            lambda x: length(x) > 6), lambda x: replace(upper(x), 'ẞ', 'SS')), ' '), '') AS long,
           len(list_filter(w, lambda x: length(x) < 2)) = 0 AS every,
           list_contains(w, 'the') AS some FROM c"""),
     "hof_fold": Query(hof_fold, """
-        WITH c AS (SELECT conv_id, turn, list_transform(regexp_extract_all(text, '[A-Za-z]+'),
+        WITH c AS (SELECT conv_id, turn, list_transform(regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+'),
                      lambda x: CAST(length(x) AS BIGINT)) AS n FROM conversations)
         SELECT conv_id, turn,
           list_reduce(list_prepend(CAST(0 AS BIGINT), n), lambda a, x: (a * 31 + x) % 1000003) AS left_fold,
@@ -307,7 +308,7 @@ QUERIES = {
                       lambda a, x: (a * 31 + x) % 1000003) AS right_fold,
           CAST(coalesce(list_sum(n), 0) AS BIGINT) AS total FROM c"""),
     "zip_unzip": Query(zip_unzip, """
-        WITH c AS (SELECT conv_id, turn, regexp_extract_all(text, '[A-Za-z]+') AS w
+        WITH c AS (SELECT conv_id, turn, regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+') AS w
                    FROM conversations),
         z AS (SELECT *, list_transform(list_filter(w, lambda x: length(x) > 6), lambda x: length(x)) AS s FROM c)
         SELECT conv_id, turn, least(len(w), len(s)) AS n,

@@ -18,6 +18,8 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "tidepoo
         .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Merge a batch's sessions before they are shuffled.
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -13,11 +13,13 @@ _DEFAULT = IndexConfig()
 
 
 def write_blocks(blocks: DataFrame, path: str, cfg: IndexConfig = _DEFAULT) -> None:
-    """One folder ``block=n`` per block, its lines sorted by term; a rerun replaces its blocks."""
-    lines = blocks.select("block", "term", index_line(separator=cfg.separator).alias("value"))
-    ordered = lines.repartitionByRange("block", "term").sortWithinPartitions("block", "term")
-    ordered.select("block", "value").write.partitionBy("block").option(
-        "partitionOverwriteMode", "dynamic").mode("overwrite").text(path)
+    """Lines ``block;term;freq;urls`` sorted by (block, term, shard) over all part files; a rerun
+    replaces the files.  The block is a field, so there are as many files as tasks."""
+    line = F.concat_ws(cfg.separator, F.col("block").cast("string"),
+                       index_line(separator=cfg.separator))
+    ordered = blocks.repartitionByRange("block", "term", "shard").sortWithinPartitions(
+        "block", "term", "shard")
+    ordered.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
 def parse_lines(lines: DataFrame, cfg: IndexConfig = _DEFAULT) -> DataFrame:
@@ -31,8 +33,11 @@ def parse_lines(lines: DataFrame, cfg: IndexConfig = _DEFAULT) -> DataFrame:
 
 
 def read_blocks(spark: SparkSession, path: str, cfg: IndexConfig = _DEFAULT) -> DataFrame:
-    lines = spark.read.schema("value STRING, block BIGINT").text(path)
-    return parse_lines(lines, cfg)
+    lines = spark.read.text(path)
+    cut = F.instr("value", cfg.separator)
+    return parse_lines(lines.select(
+        F.substr(F.col("value"), F.lit(1), cut - 1).cast("long").alias("block"),
+        F.substr(F.col("value"), cut + len(cfg.separator)).alias("value")), cfg)
 
 
 def write_index(index: DataFrame, path: str, cfg: IndexConfig = _DEFAULT) -> None:

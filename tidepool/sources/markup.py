@@ -38,7 +38,8 @@ def html_table_extract(pages: DataFrame, table_id: str, key: str = "url",
 def outline_items(docs: DataFrame, key: str, xml: str) -> DataFrame:
     """(key, item, parent, depth, text) of the nested ``outline`` elements, in document order.
 
-    ``parent`` is null at the top.  Each document is parsed by itself with an event parser.
+    ``parent`` is null at the top.  Each document is parsed by itself with an event parser; one that
+    is null or not well formed has no items.
     """
     schema = (f"{key} {docs.schema[key].dataType.simpleString()}, item INT, parent INT, depth INT, "
               "text STRING")
@@ -48,19 +49,22 @@ def outline_items(docs: DataFrame, key: str, xml: str) -> DataFrame:
             found = []
             for ident, doc in zip(batch[key], batch[xml]):
                 stack: list[int] = []
-                count = 0
-                for event, node in ET.iterparse(io.BytesIO(doc.encode("utf-8")),
-                                                events=("start", "end")):
-                    if node.tag != "outline":
-                        continue
-                    if event == "end":
-                        stack.pop()
-                        node.clear()
-                        continue
-                    found.append((ident, count, stack[-1] if stack else None, len(stack),
-                                  node.get("text")))
-                    stack.append(count)
-                    count += 1
+                items: list[tuple] = []
+                try:
+                    for event, node in ET.iterparse(io.BytesIO((doc or "").encode("utf-8")),
+                                                    events=("start", "end")):
+                        if node.tag != "outline":
+                            continue
+                        if event == "end":
+                            stack.pop()
+                            node.clear()
+                            continue
+                        items.append((ident, len(items), stack[-1] if stack else None, len(stack),
+                                      node.get("text")))
+                        stack.append(len(items) - 1)
+                except ET.ParseError:
+                    continue
+                found += items
             frame = pd.DataFrame(found, columns=[key, "item", "parent", "depth", "text"])
             yield frame.astype({"parent": "Int32"})
 

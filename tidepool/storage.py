@@ -7,6 +7,8 @@ columns when read back, and are never kept on a worker's own disk.
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -14,6 +16,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, so that functions which run on them
+    find it wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    folder = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.join(tempfile.mkdtemp(prefix="tidepool-package-"), "tidepool_package")
+    context.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(folder), "tidepool"))
+    _shipped.add(context.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,15 +58,6 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a table with fewer splits than cores to all cores, before work that costs much per row.
-
-    A large table always has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def release(spark: SparkSession) -> bool:
     """Delete every scratch table this application wrote."""
     jvm = spark.sparkContext._jvm
@@ -73,33 +79,34 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 
 
 def hot_keys(df: DataFrame, on: list[str], rows: int) -> DataFrame:
-    """Keys with more than ``rows`` rows.  There are at most (rows of df) / rows of them."""
-    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows).drop("_n")
+    """(on, n) of the keys with more than ``rows`` rows, of which there are (rows of df) / rows."""
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows)
 
 
 def sized_join(big: DataFrame, small: DataFrame, on: list[str], spread: str,
-               how: str = "inner", hot_rows: int = 5_000_000, salts: int = 64,
+               how: str = "inner", hot_rows: int = 5_000_000,
                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Equi-join that holds when one key owns a large part of ``big``.
 
     ``small`` is written once and broadcast if it was measured to fit.  Otherwise the keys with more
-    than ``hot_rows`` rows in ``big`` are found first: their rows are spread over ``salts``
-    sub-groups by a hash of ``spread`` and the matching rows of ``small`` are repeated once per
-    sub-group.  All other keys are joined as they are.
+    than ``hot_rows`` rows in ``big`` are found first: their rows are dealt by a hash of ``spread``
+    into as many sub-groups as leave ``hot_rows`` rows in each, and the matching rows of ``small``
+    are repeated once per sub-group.  All other keys are joined as they are.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} cannot repeat the right side")
     small = materialize(small, "side")
     if fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), on, how)
-    hot = materialize(hot_keys(big, on, hot_rows).withColumn("_hot", F.lit(True)), "hot")
+    hot = hot_keys(big, on, hot_rows).withColumn("_salts", F.ceil(F.col("n") / hot_rows)).drop("n")
+    hot = materialize(hot, "hot")
     if hot.isEmpty():
         return big.join(small, on, how)
     if fits_broadcast(hot):
         hot = F.broadcast(hot)
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
-    salted = big.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0)))
-    repeated = small.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_salts"))
+                  ).otherwise(0)
+    salted = big.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
+    copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1).cast("long")) - 1)
+    repeated = small.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -17,6 +18,21 @@ def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType, patte
     return reader.parquet(folder)
 
 
+def in_files(df: DataFrame, order: str, parts: int = 4) -> str:
+    """Write a table as files in ranges of ``order``, oldest first, and return their folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "arriving")
+    bounds = df.approxQuantile(order, [i / parts for i in range(1, parts)], 0.001)
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = df
+        if low is not None:
+            part = part.filter(F.col(order) >= low)
+        if high is not None:
+            part = part.filter(F.col(order) < high)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def run_available(writer: DataStreamWriter, checkpoint: str | None = None,
                   spark: SparkSession | None = None):
     """Process everything there is, in micro-batches, and stop."""

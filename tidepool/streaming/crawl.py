@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.config import IndexConfig
 from tidepool.functions.urls import acceptable_path
-from tidepool.operators.crawl import extract_links, not_visited
-from tidepool.operators.index import document_index, page_text
+from tidepool.operators.crawl import extract_links, not_visited, scan_pages
+from tidepool.operators.index import (build_dictionary, document_index, inverted_index,
+                                      page_text)
+from tidepool.sources.index_files import write_dictionary, write_index
+from tidepool.storage import materialize, sized_join
 from tidepool.streaming.common import run_available, write_batch
 
 FRONTIER = "url STRING, batch BIGINT"
@@ -50,9 +55,25 @@ def incremental_index(pages: DataFrame, path: str, cfg: IndexConfig = IndexConfi
 
 
 def read_postings(spark: SparkSession, path: str) -> DataFrame:
-    """The postings of all blocks, summed per (url, term)."""
+    """The postings (url, term, tf) of all blocks.
+
+    A page that came more than once, as it may from a source that delivers at least once, counts as
+    its latest batch has it.
+    """
     blocks = spark.read.schema(POSTINGS).parquet(path)
-    return blocks.groupBy("url", "term").agg(F.sum("tf").alias("tf"))
+    last = blocks.groupBy("url").agg(F.max("batch").alias("batch"))
+    return sized_join(blocks, last, ["url", "batch"], spread="term").select("url", "term", "tf")
+
+
+def complete_index(spark: SparkSession, index_path: str, out: str, docs: int,
+                   cfg: IndexConfig = IndexConfig()) -> DataFrame:
+    """What ends a crawl: the blocks become one index below ``out``; returns its dictionary."""
+    shards = max(1, math.ceil(docs / cfg.docs_per_shard))
+    index = materialize(inverted_index(read_postings(spark, index_path), shards), "merged")
+    write_index(index, f"{out}/index", cfg)
+    dictionary = materialize(build_dictionary(index, cfg), "dictionary")
+    write_dictionary(dictionary, f"{out}/dictionary")
+    return dictionary
 
 
 def fan_out(batch: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> None:
@@ -67,23 +88,37 @@ def fan_out(batch: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> N
 
 def crawl_stream(pages: DataFrame, frontier_path: str, index_path: str,
                  roots: Sequence[str] | None = None, cfg: IndexConfig = IndexConfig(),
-                 checkpoint: str | None = None):
+                 checkpoint: str | None = None, snapshot: DataFrame | None = None):
     """Links to the frontier and text to the index from one pass over each micro-batch of pages.
 
-    When it returns, the stream is complete and the blocks can be merged.
+    With a ``snapshot`` (url, html) the links found are fetched from it at once, and so on until a
+    round finds nothing new.  When it returns, the stream is complete and :func:`complete_index`
+    merges the blocks.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        seen = _earlier(spark, frontier_path, FRONTIER, batch_id).select("url")
+        found: list[DataFrame] = []
+        pages = [batch]
 
         def to_frontier(rows: DataFrame) -> None:
             links = extract_links(rows, roots).select(F.col("dst").alias("url"))
-            new = not_visited(links.filter(acceptable_path("url")),
-                              _earlier(spark, frontier_path, FRONTIER, batch_id))
-            write_batch(new, frontier_path, batch_id)
+            known = reduce(DataFrame.union, found, seen)
+            found.append(materialize(not_visited(links.filter(acceptable_path("url")), known), "new"))
 
         def to_index(rows: DataFrame) -> None:
-            write_batch(document_index(page_text(rows, cfg.mode), cfg), index_path, batch_id)
-
-        fan_out(batch, [to_frontier, to_index])
+            everything = reduce(lambda a, b: a.unionByName(b), pages[:-1], rows)
+            write_batch(document_index(page_text(everything, cfg.mode), cfg), index_path, batch_id)
+
+        fan_out(batch, [to_frontier])
+        while snapshot is not None and not found[-1].isEmpty():
+            fetched = materialize(scan_pages(found[-1], snapshot), "fetched")
+            if fetched.isEmpty():
+                break
+            pages.append(fetched)
+            to_frontier(fetched)
+        pages = [p.select("url", "html") for p in pages]
+        to_index(pages[-1])
+        write_batch(reduce(DataFrame.union, found), frontier_path, batch_id)
 
     return run_available(pages.writeStream.foreachBatch(step), checkpoint)

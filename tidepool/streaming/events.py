@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators.changes import net_changes, overlay, settled, snapshot_diff
+from tidepool.operators.ordered import row_numbers
 from tidepool.operators.timing import event_packets, flow_rate, throttle
 from tidepool.storage import materialize, sized_join
 from tidepool.streaming.common import run_available, write_batch
@@ -29,15 +30,27 @@ def meter(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def meter_stream(df: DataFrame, name: str) -> DataFrame:
-    """The same for a stream; the count appears in each progress under ``observedMetrics``."""
+    """The same for a stream; the count appears in each progress under ``observedMetrics``, of which
+    Spark remembers only the latest.  :func:`meter_sink` keeps all of them."""
     return df.observe(name, F.count(F.lit(1)).alias("n"))
 
 
+def meter_sink(df: DataFrame, path: str, checkpoint: str | None = None):
+    """The number of rows of every micro-batch, one row ``n`` in a folder of its own."""
+    def count(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.agg(F.count(F.lit(1)).alias("n")), path, batch_id)
+
+    return run_available(df.writeStream.foreachBatch(count), checkpoint)
+
+
 def session_stream(events: DataFrame, keys: list[str], ts: str, tie: str, gap: str,
                    delay: str = WATERMARK) -> DataFrame:
     """Sessions of a key with a gap, and the event that closed each: idleness and debouncing.
 
-    Sessions merge in the state store as partial aggregates; a key's events are never gathered.
+    In append mode a session comes out, and leaves the state, when the watermark has passed its end.
+    Sessions merge in the state store as partial aggregates; set
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` so that those of a batch
+    are merged before the shuffle, too, and a key's events are never gathered.
     """
     window = F.session_window(ts, gap)
     return events.withWatermark(ts, delay).groupBy(*keys, window).agg(
@@ -88,12 +101,34 @@ def packet_sink(events: DataFrame, path: str, order: str, body: Column, max_byte
     return run_available(events.writeStream.foreachBatch(push), checkpoint)
 
 
-def buffered_replay(points: DataFrame, path: str, checkpoint: str | None = None):
-    """Write each tick's share of a stream apart; limit it with ``files_per_trigger`` on reading."""
-    def tick(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
+def buffered_replay(points: DataFrame, path: str, order: Sequence[str] = (), minimum: int = 0,
+                    checkpoint: str | None = None):
+    """Write each tick's share of a stream below ``path/sent``; limit ticks with
+    ``files_per_trigger`` on reading.
+
+    The last ``minimum`` rows in ``order`` stay in a buffer below ``path/kept`` until later ones
+    come; when the stream ends the buffer is sent as well.
+    """
+    spark, schema = points.sparkSession, points.schema
+    ticks: list[int] = []
 
-    return run_available(points.writeStream.foreachBatch(tick), checkpoint)
+    def tick(batch: DataFrame, batch_id: int) -> None:
+        if not minimum:
+            write_batch(batch, f"{path}/sent", batch_id)
+            return
+        held = spark.createDataFrame([], schema) if batch_id == 0 else spark.read.schema(
+            schema).parquet(f"{path}/kept/batch={batch_id - 1}")
+        rows = materialize(row_numbers(held.unionByName(batch), list(order), "_pos"), "buffer")
+        last = rows.count() - minimum
+        write_batch(rows.filter(F.col("_pos") < last).drop("_pos"), f"{path}/sent", batch_id)
+        write_batch(rows.filter(F.col("_pos") >= last).drop("_pos"), f"{path}/kept", batch_id)
+        ticks.append(batch_id)
+
+    query = run_available(points.writeStream.foreachBatch(tick), checkpoint)
+    if ticks:
+        rest = spark.read.schema(schema).parquet(f"{path}/kept/batch={ticks[-1]}")
+        write_batch(rest, f"{path}/sent", ticks[-1] + 1)
+    return query
 
 
 def live_query(base: DataFrame, changes: DataFrame, result: Callable[[DataFrame], DataFrame],
