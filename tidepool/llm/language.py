@@ -252,6 +252,18 @@ def fit_language_model(training: DataFrame, order, settings: LanguageSettings |
     return LanguageModel(languages, idf, weights, bias, temperature, settings)
 
 
+def _predicted(texts: list[bytes], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the likeliest language of each text (their count for none) and its probability."""
+    counts, letters = ngram_counts(texts, model.settings)
+    best, top = np.full(len(texts), len(model.languages)), np.zeros(len(texts))
+    if model.languages:
+        logits = tf_idf(counts, model.idf) @ model.weights.T + model.bias
+        p = _softmax(logits.astype(np.float64) / model.temperature)
+        known = letters > 0
+        best[known], top[known] = p.argmax(1)[known], p.max(1)[known]
+    return best, top
+
+
 def predict_language(docs: DataFrame, model: LanguageModel, keys: list[str]) -> DataFrame:
     """``keys``, ``lang_pred`` and ``score`` (the calibrated probability) of every row.
 
@@ -265,22 +277,25 @@ def predict_language(docs: DataFrame, model: LanguageModel, keys: list[str]) ->
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, score = [], []
-            for group in _text_groups(batch.column(len(keys))):
-                counts, letters = ngram_counts(group, model.settings)
-                best = np.full(len(group), len(model.languages))
-                top = np.zeros(len(group))
-                if model.languages:
-                    logits = tf_idf(counts, model.idf) @ model.weights.T + model.bias
-                    p = _softmax(logits.astype(np.float64) / model.temperature)
-                    known = letters > 0
-                    best[known], top[known] = p.argmax(1)[known], p.max(1)[known]
-                found.append(names[best])
-                score.append(top)
+            found = [_predicted(group, model) for group in _text_groups(batch.column(len(keys)))]
             if found:
+                best, top = (np.concatenate(x) for x in zip(*found))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i) for i in range(len(keys))),
-                     pa.array(np.concatenate(found), pa.string()),
-                     pa.array(np.concatenate(score))], [*keys, "lang_pred", "score"])
+                     pa.array(names[best], pa.string()), pa.array(top)],
+                    [*keys, "lang_pred", "score"])
 
     return rows.mapInArrow(predict, schema)
+
+
+def accepts(model: LanguageModel, min_score: float):
+    """A function of a binary column: whether the text's language is told with that probability."""
+    @F.pandas_udf("boolean")
+    def accepted(texts: pd.Series) -> pd.Series:
+        found = [_predicted(g, model) for g in _text_groups(pa.array(texts, pa.binary()))]
+        if not found:
+            return pd.Series([], dtype=bool)
+        best, top = (np.concatenate(x) for x in zip(*found))
+        return pd.Series((best < len(model.languages)) & (top >= min_score))
+
+    return accepted

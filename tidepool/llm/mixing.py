@@ -47,13 +47,16 @@ def topic_of(text: Column) -> Column:
             .otherwise(F.lit("long prose")))
 
 
+def cell_columns() -> list[Column]:
+    """Source, language and topic of a row of documents; a missing label is a label of its own."""
+    labels = [F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in ("source", "lang")]
+    return [*labels, topic_of(F.coalesce(F.col("text"), F.lit(""))).alias("topic")]
+
+
 def weighed(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, lang, topic, tokens``: words are the tokens, missing labels are one label."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        "doc_id", *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c)
-                    for c in ("source", "lang")], topic_of(text).alias("topic"),
-        F.size(F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))).cast("long").alias("tokens"))
+    """``doc_id, source, lang, topic, tokens``: the words of a text are its tokens."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORDS), F.lit(0))
+    return docs.select("doc_id", *cell_columns(), F.size(words).cast("long").alias("tokens"))
 
 
 def smoothed_targets(cells: DataFrame, dimension: str, power: float) -> DataFrame:
@@ -108,6 +111,17 @@ def chance(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(16 ** 13))
 
 
+def fitted_mix(rows: DataFrame, s: MixSettings) -> DataFrame:
+    """The fitted ``ratio`` and ``probability`` of every cell of the weighed ``rows``."""
+    cells = materialize(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
+    targets = {d: materialize(smoothed_targets(cells, d, s.power(d)), "target") for d in DIMENSIONS}
+    fitted = raked(cells, targets, s.rounds)
+    scale = scale_for(fitted, s.share, s.cap_rounds)
+    return fitted.select(
+        *DIMENSIONS, F.round("ratio", s.digits).alias("ratio"),
+        F.round(F.least(F.lit(1.0), F.col("ratio") * F.lit(scale)), s.digits).alias("probability"))
+
+
 def mix_documents(docs: DataFrame, settings: MixSettings | None = None) -> DataFrame:
     """One row per row of ``docs``: its cell, ``ratio``, ``probability`` and whether it is ``kept``.
 
@@ -117,13 +131,20 @@ def mix_documents(docs: DataFrame, settings: MixSettings | None = None) -> DataF
     """
     s = settings or MixSettings()
     rows = materialize(weighed(docs.select("doc_id", "source", "lang", "text")), "weighed")
-    cells = materialize(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
-    targets = {d: materialize(smoothed_targets(cells, d, s.power(d)), "target") for d in DIMENSIONS}
-    fitted = raked(cells, targets, s.rounds)
-    scale = scale_for(fitted, s.share, s.cap_rounds)
-    fitted = fitted.select(
-        *DIMENSIONS, F.round("ratio", s.digits).alias("ratio"),
-        F.round(F.least(F.lit(1.0), F.col("ratio") * F.lit(scale)), s.digits).alias("probability"))
-    out = sized_join(rows, fitted, list(DIMENSIONS), spread="doc_id")
+    out = sized_join(rows, fitted_mix(rows, s), list(DIMENSIONS), spread="doc_id")
     return out.select("doc_id", *DIMENSIONS, "tokens", "ratio", "probability").withColumn(
         "kept", chance(F.col("doc_id"), s.seed) < F.col("probability"))
+
+
+def sampled(docs: DataFrame, settings: MixSettings | None = None) -> DataFrame:
+    """The rows of ``docs`` that :func:`mix_documents` keeps, with all their columns."""
+    s = settings or MixSettings()
+    fitted = fitted_mix(weighed(docs.select("doc_id", "source", "lang", "text")), s)
+    cell = [f"_mix_{d}" for d in DIMENSIONS]
+    placed = docs.select("*", *[c.alias(name) for c, name in zip(cell_columns(), cell)],
+                         chance(F.col("doc_id"), s.seed).alias("_mix_chance"))
+    fitted = fitted.select(*[F.col(d).alias(name) for d, name in zip(DIMENSIONS, cell)],
+                           F.col("probability").alias("_mix_probability"))
+    kept = sized_join(placed, fitted, cell, spread="_mix_chance").filter(
+        "_mix_chance < _mix_probability")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
