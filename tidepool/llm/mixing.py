@@ -63,9 +63,8 @@ def smoothed_targets(cells: DataFrame, dimension: str, power: float) -> DataFram
     """``dimension, target``: shares proportional to a power of the present ones, summing to 1."""
     sums = cells.groupBy(dimension).agg(F.sum("tokens").alias("t")).filter("t > 0")
     sums = sums.withColumn("p", F.pow(F.col("t").cast("double"), F.lit(float(power))))
-    total = sums.agg(F.sum("p").alias("all_p"))
-    return sums.join(F.broadcast(total), F.lit(True), "cross").select(
-        dimension, (F.col("p") / F.col("all_p")).alias("target"))
+    total = sums.agg(F.sum("p").alias("p")).first()["p"] or 1.0  # one number
+    return sums.select(dimension, (F.col("p") / F.lit(total)).alias("target"))
 
 
 def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFrame:
