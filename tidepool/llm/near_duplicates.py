@@ -3,11 +3,13 @@
 A signature has ``chunks * chunk`` values of 16 bits.  If two signatures differ in at most
 ``chunks * (errors + 1) - 1`` values, then by pigeonhole some chunk differs in at most ``errors``,
 and both sides share one of the keys made of that chunk with ``errors`` values left out.  So a join on
-the keys meets every pair below the distance threshold.  Links are then confirmed on full sets.
+the keys meets every pair below the distance threshold.  A longer sketch rules most of the others
+out, and links are confirmed on full sets.
 
 Documents with equal sets are one class from the start.  Within a key every class is first paired
-with one hub only; classes that hubs have already linked into one component are never paired again,
-and what is left is compared block by block, so a large group of copies costs about one pair each.
+with one hub only, the class that shares the most keys.  Classes that hubs have already linked into
+one component are never paired again, and what is left is compared block by block, each pair under
+the first key that it shares, so a large group of copies costs about one pair each.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from tidepool.llm.batches import SpanHash, mix, slices
 from tidepool.llm.components import connected_components
 from tidepool.storage import materialize, sized_join
 
-LANES = 4                      # 16-bit values in a long
-BLOCK = 1000                   # classes of one key that are compared with as many others in a task
+BLOCK = 1000                   # classes of one key that are compared with as many others at once
+TASK_ROWS = 40_000             # rows of keys in a group of such comparisons
+CELL_BYTES = 64 << 20          # of the sets, each counted for every pair, that are confirmed together
+HUB_PAIRS = 2000               # pairs of one class that are confirmed together
 NO_ID = -(1 << 63)
 
 _U = np.uint64
@@ -34,13 +38,16 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class NearSettings:
-    """Two texts with similarity 0.8 miss each other in all chunks about twice in a million times."""
+    """Two texts with similarity 0.8 miss each other in all chunks about twice in a million times,
+    and their sketches differ in more than ``max_bits`` less often than that."""
 
     shingle_words: int = 5
     similarity_percent: int = 80
     chunks: int = 10
     chunk: int = 5
     errors: int = 1
+    functions: int = 256         # of the sketch, which has two bits of each
+    max_bits: int = 92
 
     @property
     def values(self) -> int:
@@ -81,17 +88,24 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.nd
         yield first, sets
 
 
-def _signatures(sets: list[np.ndarray], values: int) -> np.ndarray:
-    """The lowest 16 bits of the least hash of each set under each of ``values`` functions."""
+def least_hashes(sets: list[np.ndarray], functions: int) -> np.ndarray:
+    """The least hash of each set under each function, mixed so that any bits of it will do."""
     starts = np.cumsum([0, *(len(s) for s in sets[:-1])])
     flat = np.concatenate(sets)
     rng = np.random.default_rng(20240229)
-    factors = rng.integers(1, 1 << 63, values, dtype=_U) * _U(2) + _U(1)
-    shifts = rng.integers(0, 1 << 63, values, dtype=_U)
-    out = np.empty((len(sets), values), _U)
-    for k in range(values):
+    factors = rng.integers(1, 1 << 63, functions, dtype=_U) * _U(2) + _U(1)
+    shifts = rng.integers(0, 1 << 63, functions, dtype=_U)
+    out = np.empty((len(sets), functions), _U)
+    for k in range(functions):
         out[:, k] = np.minimum.reduceat(flat * factors[k] + shifts[k], starts)
-    return mix(out.ravel()).reshape(out.shape) & _U(0xFFFF)
+    return mix(out.ravel()).reshape(out.shape)
+
+
+def sketch_bits(least: np.ndarray) -> np.ndarray:
+    """Two bits of every value, 64 to a long."""
+    pairs = (least >> _U(32)) & _U(3)
+    wide = pairs.reshape(len(least), -1, 32) << (_U(2) * np.arange(32, dtype=_U))
+    return np.bitwise_or.reduce(wide, axis=2)
 
 
 def _keys(signatures: np.ndarray, s: NearSettings) -> np.ndarray:
@@ -107,12 +121,6 @@ def _keys(signatures: np.ndarray, s: NearSettings) -> np.ndarray:
     return np.stack(out, 1)
 
 
-def _packed(signatures: np.ndarray) -> np.ndarray:
-    pad = -signatures.shape[1] % LANES
-    wide = np.pad(signatures, ((0, 0), (0, pad))).reshape(len(signatures), -1, LANES)
-    return (wide << (_U(16) * np.arange(LANES, dtype=_U))).sum(2, dtype=_U)
-
-
 def _lists(rows: np.ndarray) -> pa.Array:
     flat = pa.array(np.ascontiguousarray(rows).ravel().view(np.int64))
     return pa.ListArray.from_arrays(
@@ -126,71 +134,156 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def sketches(docs: DataFrame, settings: NearSettings) -> DataFrame:
-    """``doc_id, n_shingles``, a 128-bit digest of the set, the packed signature and its keys."""
-    schema = ("doc_id long, n_shingles long, d1 long, d2 long, sig array<bigint>, "
+    """``doc_id, n_shingles``, a 128-bit digest of the set, its sketch and the keys of its signature."""
+    schema = ("doc_id long, n_shingles long, d1 long, d2 long, bits array<bigint>, "
               "keys array<bigint>")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, sets in shingle_sets(batch.column(1), settings.shingle_words):
                 ids = batch.column(0).slice(first, len(sets))
-                empty = [i for i, x in enumerate(sets) if not len(x)]
-                full = [x if len(x) else np.zeros(1, _U) for x in sets]
                 digests = [_digest(x) for x in sets]
-                signatures = _signatures(full, settings.values)
-                gone = pa.array([i in set(empty) for i in range(len(sets))]) if empty else None
-                sig, keys = _lists(_packed(signatures)), _lists(_keys(signatures, settings))
-                if gone is not None:
-                    take = pa.array([None if x.as_py() else i for i, x in enumerate(gone)],
-                                    pa.int64())
-                    sig, keys = sig.take(take), keys.take(take)
+                least = least_hashes([x if len(x) else np.zeros(1, _U) for x in sets],
+                                     settings.functions)
+                signatures = least[:, :settings.values] & _U(0xFFFF)
+                known = pa.array([i if len(x) else None for i, x in enumerate(sets)], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array([len(x) for x in sets], pa.int64()),
                      pa.array([d[0] for d in digests], pa.int64()),
-                     pa.array([d[1] for d in digests], pa.int64()), sig, keys],
-                    ["doc_id", "n_shingles", "d1", "d2", "sig", "keys"])
+                     pa.array([d[1] for d in digests], pa.int64()),
+                     _lists(sketch_bits(least)).take(known),
+                     _lists(_keys(signatures, settings)).take(known)],
+                    ["doc_id", "n_shingles", "d1", "d2", "bits", "keys"])
 
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(sketch, schema)
 
 
-def distance(a: Column, b: Column, settings: NearSettings) -> Column:
-    """In how many 16-bit values two packed signatures differ."""
-    low, high = 0x7FFF7FFF7FFF7FFF, -0x7FFF7FFF7FFF8000  # all bits but, and only, a lane's highest
+def differing_bits(a: Column, b: Column, settings: NearSettings) -> Column:
     total = F.lit(0)
-    for k in range(-(-settings.values // LANES)):
-        x = a[k].bitwiseXOR(b[k])
-        # a lane's highest bit is set iff the lane is not zero; the sum cannot cross lanes
-        carried = _add(x.bitwiseAND(F.lit(low)), low)
-        total = total + F.bit_count(carried.bitwiseOR(x).bitwiseAND(F.lit(high)))
+    for k in range(settings.functions // 32):
+        total = total + F.bit_count(a[k].bitwiseXOR(b[k]))
     return total
 
 
-def _add(x: Column, low: int) -> Column:
-    """x + low for lanes of 15 bits, without an overflow of the sign: the top lane is added apart."""
-    below = F.lit(0x0000FFFFFFFFFFFF)
-    part = x.bitwiseAND(below) + F.lit(low & 0x0000FFFFFFFFFFFF)
-    top = F.when(F.shiftrightunsigned(x, 48) > 0, F.lit(-(1 << 63))).otherwise(F.lit(0))
-    return part.bitwiseAND(below).bitwiseOR(top)
-
-
 def _similar_sizes(a: Column, b: Column, s: NearSettings) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * s.similarity_percent
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, s: NearSettings) -> DataFrame:
-    """The pairs of classes whose full sets are similar enough."""
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
+def _close(pairs: DataFrame, classes: DataFrame, s: NearSettings) -> DataFrame:
+    """The pairs whose sizes and sketches do not rule a link out."""
+    side = lambda c: classes.select(
+        F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    either = F.size("set_a") + F.size("set_b") - shared
-    return both.filter(shared * 100 >= either * s.similarity_percent).select("a", "b")
+    return both.filter(_similar_sizes(F.col("n_a"), F.col("n_b"), s)
+                       & (differing_bits(F.col("bits_a"), F.col("bits_b"), s) <= s.max_bits)
+                       ).select("a", "b")
 
 
-def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: NearSettings) -> DataFrame:
-    """``node, shingles`` of the classes in ``pairs``, computed anew from one text of each."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _left_pairs(buckets: DataFrame, roots: DataFrame, classes: DataFrame, s: NearSettings
+                ) -> DataFrame:
+    """Close pairs of classes of one key in different components, found block by block.
+
+    A key with many classes is cut into blocks, and every two of them are a cell.  A pair is
+    reported under the first key that it shares, so once.
+    """
+    placed = buckets.join(roots, "node", "left").select(
+        "key", "node", F.coalesce("root", "node").alias("root"))
+    several = placed.groupBy("key").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
+    several = several.filter("lo <> hi").select(
+        "key", F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks"))
+    rows = placed.join(several, "key")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
+        F.least(block, other).alias("i"), F.greatest(block, other).alias("j"),
+        (block <= other).alias("first")))
+    rows = rows.withColumn("cell", F.explode(cells)).select("key", "cell.*", "node", "root")
+    rows = materialize(rows, "cells")
+    groups = max(1, rows.count() // TASK_ROWS)
+    rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)))
+    rows = rows.join(classes.select("node", "n_shingles", "bits", "keys"), "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by([("key", "ascending"), ("i", "ascending"),
+                                                ("j", "ascending"), ("first", "descending")])
+        key, i, j, node, root, n = (table[c].to_numpy() for c in (
+            "key", "i", "j", "node", "root", "n_shingles"))
+        bits, keys = (_matrix(table[c]) for c in ("bits", "keys"))
+        first = table["first"].to_numpy(zero_copy_only=False)
+        new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+        starts = np.flatnonzero(new)
+        ends = np.append(starts[1:], len(key))
+        out_a, out_b = [], []
+        for a, b in zip(starts, ends):
+            own = i[a] == j[a]
+            middle = b if own else a + int(first[a:b].sum())
+            for x in range(a, middle):
+                others = np.arange(x + 1 if own else middle, b)
+                others = others[root[others] != root[x]]
+                m = n[others]
+                others = others[np.minimum(m, n[x]) * 100 >= np.maximum(m, n[x])
+                                * s.similarity_percent]
+                if not len(others):
+                    continue
+                apart = np.bitwise_count(bits[others] ^ bits[x]).sum(1)
+                others = others[apart <= s.max_bits]
+                shared = keys[others] == keys[x]
+                others = others[keys[x, shared.argmax(1)] == key[x]]
+                out_a.append(np.minimum(node[others], node[x]))
+                out_b.append(np.maximum(node[others], node[x]))
+        none = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])})
+
+    return rows.groupBy("task").applyInArrow(compare, "a long, b long")
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    flat = column.combine_chunks()
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
+
+
+def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: NearSettings) -> DataFrame:
+    """The pairs of classes whose full sets are similar enough.
+
+    Sets are computed anew from one text of each class and meet their pairs in cells, in each of
+    which a set is needed once however many pairs it is in.
+    """
+    degrees = pairs.groupBy(F.col("a").alias("node")).agg(
+        F.count(F.lit(1)).alias("n"), F.lit(True).alias("first")).union(pairs.groupBy("b").agg(
+            F.count(F.lit(1)), F.lit(False)))
+    load = degrees.join(classes.select("node", "n_shingles"), "node").agg(
+        F.sum(F.col("n") * F.col("n_shingles")).alias("total"),
+        F.max(F.when(F.col("first"), F.col("n"))).alias("most")).first()
+    cells = int(8 * (load["total"] or 0) // CELL_BYTES + 1)
+    salts = int((load["most"] or 0) // HUB_PAIRS + 1)  # parts of the pairs of a class
+    dealt = materialize(pairs.select("a", "b", F.pmod(F.xxhash64(
+        "a", F.pmod(F.xxhash64("b"), F.lit(salts))), F.lit(cells)).alias("cell")), "dealt")
+    needed = dealt.select("cell", F.col("a").alias("node")).union(dealt.select("cell", "b")).distinct()
+    sets = _full_sets(docs, classes, needed.select("node").distinct(), s)
+
+    def confirm(_, pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        if not pairs.num_rows or not sets.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        held = {k: np.frombuffer(x.as_py(), _U) for k, x in zip(
+            sets["node"].to_pylist(), sets["shingles"])}
+        a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
+        good = np.zeros(len(a), bool)
+        for row, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            small, large = sorted((held[x], held[y]), key=len)
+            at = np.searchsorted(large, small)
+            shared = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+            good[row] = 100 * shared >= s.similarity_percent * (len(small) + len(large) - shared)
+        return pa.table({"a": a[good], "b": b[good]})
+
+    placed = needed.withColumnRenamed("cell", "home").join(sets, "node")
+    return dealt.groupBy("cell").cogroup(placed.groupBy("home")).applyInArrow(
+        confirm, "a long, b long")
+
+
+def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, s: NearSettings) -> DataFrame:
+    """``node, shingles`` (sorted 64-bit hashes) of some classes, from one text of each."""
     wanted = materialize(classes.join(nodes, "node").select(
-        "node", "d1", "d2", "n_shingles", F.coalesce("min_id", F.lit(NO_ID)).alias("k")), "wanted")
+        "node", "d1", "d2", F.coalesce("min_id", F.lit(NO_ID)).alias("k")), "wanted")
     keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), "text")
     texts = sized_join(keyed, wanted.select("k").distinct(), ["k"], spread="text", how="left_semi")
 
@@ -198,60 +291,17 @@ def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: NearSet
         for batch in batches:
             for _, sets in shingle_sets(batch.column(0), s.shingle_words):
                 digests = [_digest(x) for x in sets]
-                ends = np.cumsum([0, *(len(x) for x in sets)]).astype(np.int32)
-                flat = pa.array(np.concatenate(sets).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([d[0] for d in digests], pa.int64()),
                      pa.array([d[1] for d in digests], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends), flat)], ["d1", "d2", "shingles"])
+                     pa.array([x.tobytes() for x in sets], pa.binary())], ["d1", "d2", "shingles"])
 
     found = texts.select(F.col("text").cast("binary")).mapInArrow(
-        collect, "d1 long, d2 long, shingles array<bigint>")
+        collect, "d1 long, d2 long, shingles binary")
     sets = wanted.select("node", "d1", "d2").join(found, ["d1", "d2"])
     return materialize(sets.groupBy("node").agg(F.any_value("shingles").alias("shingles")), "sets")
 
 
-def _close(pairs: DataFrame, classes: DataFrame, s: NearSettings) -> DataFrame:
-    """The pairs whose sizes and signatures do not rule a link out."""
-    side = lambda c: classes.select(
-        F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.filter(_similar_sizes(F.col("n_a"), F.col("n_b"), s)
-                       & (distance(F.col("sig_a"), F.col("sig_b"), s) <= s.max_distance)
-                       ).select("a", "b")
-
-
-def _left_pairs(buckets: DataFrame, roots: DataFrame, classes: DataFrame, s: NearSettings
-                ) -> DataFrame:
-    """Close pairs of one key in different components, found block by block."""
-    placed = buckets.join(roots, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root"))
-    several = placed.groupBy("key").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
-    several = several.filter("lo <> hi").select(
-        "key", F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int").alias("blocks"))
-    rows = placed.join(several, "key").join(
-        classes.select("node", "n_shingles", "sig"), "node")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = materialize(rows, "left")
-
-    def side(name, cells):
-        cell = rows.withColumn("cell", F.explode(cells))
-        i, j = (F.col("block"), F.col("cell")) if name == "a" else (F.col("cell"), F.col("block"))
-        return cell.select("key", i.alias("i"), j.alias("j"), F.col("node").alias(name),
-                           F.col("root").alias(f"root_{name}"), F.col("sig").alias(f"sig_{name}"),
-                           F.col("n_shingles").alias(f"n_{name}"))
-
-    left = side("a", F.sequence(F.col("block"), F.col("blocks") - 1))
-    right = side("b", F.sequence(F.lit(0), F.col("block")))
-    once = (F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))
-    met = left.join(right, ["key", "i", "j"]).filter(
-        once & (F.col("root_a") != F.col("root_b"))
-        & _similar_sizes(F.col("n_a"), F.col("n_b"), s)
-        & (distance(F.col("sig_a"), F.col("sig_b"), s) <= s.max_distance))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def near_duplicates(docs: DataFrame, settings: NearSettings | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, class_id, component_id, kept``.
 
@@ -266,28 +316,30 @@ def near_duplicates(docs: DataFrame, settings: NearSettings | None = None) -> Da
     docs = docs.select("doc_id", "text")
     drawn = materialize(sketches(docs, s), "sketches")
     classes = drawn.filter("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(
-        F.min("doc_id").alias("min_id"), F.any_value("sig").alias("sig"),
+        F.min("doc_id").alias("min_id"), F.any_value("bits").alias("bits"),
         F.any_value("keys").alias("keys"))
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    narrow = classes.drop("keys")
 
     rows = classes.select("node", F.explode("keys").alias("key"))
-    hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
-    buckets = materialize(rows.join(hubs.filter("n > 1").drop("n"), "key"), "buckets")
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = materialize(rows.join(counts, "key"), "shared")
+    weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
+    shared = shared.drop("n").join(weights, "node")
+    hubs = shared.groupBy("key").agg(F.max_by("node", "weight").alias("hub"))
+    buckets = materialize(shared.drop("weight").join(hubs, "key"), "buckets")
 
     spokes = buckets.filter("hub <> node").select(
-        F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    spokes = materialize(_close(spokes, narrow, s), "spokes")
-    links = materialize(_confirmed(spokes, _full_sets(docs, narrow, spokes, s), s), "links")
+        F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    spokes = materialize(_close(spokes, classes, s), "spokes")
+    links = materialize(_confirmed(docs, classes, spokes, s), "links")
     roots = connected_components(links)
 
-    others = _left_pairs(buckets, roots, narrow, s).join(spokes, ["a", "b"], "left_anti")
-    others = materialize(others, "others")
+    others = materialize(_left_pairs(buckets, roots, classes, s), "others")
     if not others.isEmpty():
-        more = _confirmed(others, _full_sets(docs, narrow, others, s), s)
+        more = materialize(_confirmed(docs, classes, others, s), "more")
         roots = connected_components(links.union(more))
 
-    rooted = narrow.select("node", "n_shingles", "d1", "d2", "min_id").join(roots, "node", "left")
+    rooted = classes.select("node", "n_shingles", "d1", "d2", "min_id").join(roots, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("min_id").alias("component_id"))
     found = rooted.join(least, "root").select(
