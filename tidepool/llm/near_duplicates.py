@@ -46,8 +46,8 @@ class NearSettings:
     chunks: int = 10
     chunk: int = 5
     errors: int = 1
-    functions: int = 256         # of the sketch, which has two bits of each
-    max_bits: int = 92
+    functions: int = 512         # of the sketch, which has two bits of each
+    max_bits: int = 160
 
     @property
     def values(self) -> int:
