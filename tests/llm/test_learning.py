@@ -12,7 +12,8 @@ from tidepool.llm.language import (
 )
 from tidepool.llm.language_queries import op10_language_id
 from tidepool.llm.mixing import (
-    DIMENSIONS, MixSettings, mix_documents, raked, sampled, scale_for, smoothed_targets, topic_of,
+    DIMENSIONS, MixSettings, mix_documents, raked, repeated, sampled, scale_for, smoothed_targets,
+    topic_of, weighed,
 )
 from tidepool.llm.permutation_index import IndexSettings, nearest
 from tidepool.llm.vector_queries import op9_permutation_index
@@ -206,6 +207,35 @@ def test_sample_has_the_share_it_should(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_repeats_reach_the_targets_beside_a_hot_source(spark):
+    rng = np.random.default_rng(13)
+    endings = ["", " | x", " now!!", " 123456"]
+    rows = []
+    for i in range(12_000):
+        hot = i % 3 == 0
+        source = "hot" if hot else f"s{int(rng.zipf(1.5)) % 12}"
+        lang = str(rng.choice(["en", "de", "eo"], p=[0.97, 0.02, 0.01]))
+        text = "word " * int(rng.integers(5, 15)) + endings[int(rng.choice(4, p=[0.9, 0.06, 0.03, 0.01]))]
+        rows.append((i, text, lang, source, "t", 1))
+    docs = spark.createDataFrame(rows, DOCS).cache()
+    s = MixSettings()
+    cells = weighed(docs).cache()
+    total = cells.agg(F.sum("tokens")).first()[0]
+    got = repeated(docs, s).cache()
+    assert got.columns == docs.columns
+    have = weighed(got).cache()
+    kept = have.agg(F.sum("tokens")).first()[0]
+    assert abs(kept / total - s.share) < 0.02 and kept > 0
+    assert have.groupBy("doc_id").count().agg(F.max("count")).first()[0] > 1
+    for d in DIMENSIONS:
+        want = {r[d]: r["target"] for r in smoothed_targets(cells, d, s.power(d)).collect()}
+        share = {r[d]: r["t"] / kept for r in have.groupBy(d).agg(F.sum("tokens").alias("t")).collect()}
+        for value, target in want.items():
+            assert abs(share.get(value, 0) - target) < 0.01 + 0.05 * target, (d, value)
+    few = docs.filter("doc_id < 3").select("doc_id", F.lit(None).cast("string").alias("text"), "lang", "source")
+    assert repeated(few).count() <= 3 and repeated(few.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("text, topic", [
     ("", "empty"), ("a ### $$$ b", "symbols"), ("a | b | c", "lists"), ("GO!! NOW!!", "shouting"),
     ("call 12345 now please", "figures"), ("plain words", "short prose"), ("x" * 1000, "long prose")])

@@ -110,11 +110,16 @@ def chance(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(16 ** 13))
 
 
-def fitted_mix(rows: DataFrame, s: MixSettings) -> DataFrame:
-    """The fitted ``ratio`` and ``probability`` of every cell of the weighed ``rows``."""
+def fitted_cells(rows: DataFrame, s: MixSettings) -> DataFrame:
+    """Every cell of the weighed ``rows`` with its ``tokens`` and fitted ``ratio``."""
     cells = materialize(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
     targets = {d: materialize(smoothed_targets(cells, d, s.power(d)), "target") for d in DIMENSIONS}
-    fitted = raked(cells, targets, s.rounds)
+    return raked(cells, targets, s.rounds)
+
+
+def fitted_mix(rows: DataFrame, s: MixSettings) -> DataFrame:
+    """The fitted ``ratio`` and ``probability`` of every cell of the weighed ``rows``."""
+    fitted = fitted_cells(rows, s)
     scale = scale_for(fitted, s.share, s.cap_rounds)
     return fitted.select(
         *DIMENSIONS, F.round("ratio", s.digits).alias("ratio"),
@@ -135,15 +140,43 @@ def mix_documents(docs: DataFrame, settings: MixSettings | None = None) -> DataF
         "kept", chance(F.col("doc_id"), s.seed) < F.col("probability"))
 
 
-def sampled(docs: DataFrame, settings: MixSettings | None = None) -> DataFrame:
-    """The rows of ``docs`` that :func:`mix_documents` keeps, with all their columns."""
-    s = settings or MixSettings()
-    fitted = fitted_mix(weighed(docs.select("doc_id", "source", "lang", "text")), s)
+def _placed(docs: DataFrame, fitted: DataFrame, value: str, s: MixSettings) -> DataFrame:
+    """``docs`` with ``_mix_chance``, its draw, and ``_mix_value``, the ``value`` of its cell."""
     cell = [f"_mix_{d}" for d in DIMENSIONS]
     placed = docs.select("*", *[c.alias(name) for c, name in zip(cell_columns(), cell)],
                          chance(F.col("doc_id"), s.seed).alias("_mix_chance"))
     fitted = fitted.select(*[F.col(d).alias(name) for d, name in zip(DIMENSIONS, cell)],
-                           F.col("probability").alias("_mix_probability"))
-    kept = sized_join(placed, fitted, cell, spread="_mix_chance").filter(
-        "_mix_chance < _mix_probability")
+                           F.col(value).alias("_mix_value"))
+    return sized_join(placed, fitted, cell, spread="_mix_chance")
+
+
+def sampled(docs: DataFrame, settings: MixSettings | None = None) -> DataFrame:
+    """The rows of ``docs`` that :func:`mix_documents` keeps, with all their columns.
+
+    No row is there twice, so a cell whose tokens should become more stays behind its target; see
+    :func:`repeated`.
+    """
+    s = settings or MixSettings()
+    fitted = fitted_mix(weighed(docs.select("doc_id", "source", "lang", "text")), s)
+    kept = _placed(docs, fitted, "probability", s).filter("_mix_chance < _mix_value")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def repeated(docs: DataFrame, settings: MixSettings | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as its weight ``share * ratio`` says, with all columns.
+
+    A row is there as often as the whole part of its weight, and once more if its draw is below the
+    fraction.  Nothing is capped, so the tokens are expected to sum up to ``share`` of all and to
+    have the fitted marginals, rare cells included.  Rows of a cell without tokens change neither
+    and are there once at most.  Equal ids share one draw.
+    """
+    s = settings or MixSettings()
+    fitted = fitted_cells(weighed(docs.select("doc_id", "source", "lang", "text")), s)
+    weight = F.col("ratio") * F.lit(float(s.share))
+    fitted = fitted.withColumn("weight", F.when(F.col("tokens") > 0, weight).otherwise(
+        F.least(F.lit(1.0), weight)))
+    whole = F.floor("_mix_value")
+    more = (F.col("_mix_chance") < F.col("_mix_value") - whole).cast("long")
+    placed = _placed(docs, fitted, "weight", s).withColumn("_mix_copies", (whole + more).cast("int"))
+    placed = placed.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), F.col("_mix_copies"))))
+    return placed.select(*[F.col(f"`{c}`") for c in docs.columns])
