@@ -15,7 +15,7 @@ from tidepool.llm.mixing import (
     DIMENSIONS, MixSettings, mix_documents, raked, repeated, sampled, scale_for, smoothed_targets,
     topic_of, weighed,
 )
-from tidepool.llm.permutation_index import IndexSettings, nearest
+from tidepool.llm.permutation_index import IndexSettings, nearest, spread_out
 from tidepool.llm.vector_queries import op9_permutation_index
 
 DOCS = "doc_id long, text string, lang string, source string, topic string, kept int"
@@ -124,6 +124,33 @@ def test_recall_against_brute_force(spark):
     assert hits / total >= 0.9, hits / total
 
 
+def test_recall_beside_a_hot_third_of_near_copies(spark):
+    rng = np.random.default_rng(29)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hot = np.arange(len(x)) % 3 == 1
+    x[hot] = x[1] + rng.normal(size=(hot.sum(), 64)) * 0.02
+    vectors = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    queries = [*range(0, len(x), 600), *range(1, len(x), 6000)]  # outside of the group and in it
+    got = found(nearest(vectors, F.col("vec_id").isin(queries), 10))
+    hits = {True: [], False: []}
+    for q in queries:
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits[bool(hot[q])].append(len(set(np.argsort(d)[:10].tolist()) & {i for _, i in got[q]}))
+    assert min(np.mean(hits[False]), np.mean(hits[True])) >= 9, hits
+
+
+def test_pivots_are_spread_out():
+    rng = np.random.default_rng(31)
+    x = rng.normal(size=(300, 8))
+    x[::3] = x[0] + rng.normal(size=(100, 8)) * 1e-3
+    got = spread_out(x, 60)
+    assert got.shape == (60, 8) and len(np.unique(got, axis=0)) == 60
+    assert (((got - x[0]) ** 2).sum(1) < 0.01).sum() == 1
+    assert len(spread_out(x[::3], 60)) == 60 and len(spread_out(x[:2], 1)) == 1
+
+
 def test_copies_of_one_vector_do_not_crowd_out_others(spark):
     rng = np.random.default_rng(3)
     hot = [1.0, 0.5, 0.25, 0.0]
