@@ -5,7 +5,9 @@ return the columns of ``documents``, extra ones included; the last returns piece
 empty texts, repeated rows and empty tables are defined by the operators' docstrings; beyond them:
 
 * language: a row leaves if its language is undetermined or less than ``MIN_SCORE`` sure.
-* near_duplicates: of rows that agree in id and text one stays; of a group, the smallest id.
+* near_duplicates: rows are told apart by id and text (a 64-bit hash of both, nulls included), and of
+  rows that agree in both one stays.  Of a group one row stays, that of the smallest id; ids that are
+  missing come last, and texts that share an id in the order of the hash.
 * repeats: a null text stays null; ``n_chars`` follows a text that got shorter.
 * mixing: rows that share an id stay or leave together, unless their labels or texts differ.
 """
@@ -40,19 +42,29 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = docs.columns
     held = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     key, text = (F.col(f"_c{names.index(c)}") for c in ("doc_id", "text"))
-    held = held.withColumn("_k", F.coalesce(key.cast("string"), F.lit(""))).withColumn(
-        "_h", F.xxhash64(F.coalesce(text, F.lit(""))))
-    verdict = near_duplicates(docs.select("doc_id", "text"), NearSettings(shingle_words=5))
-    gone = verdict.filter(~F.col("kept")).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_k"))
-    left = sized_join(held, gone.distinct(), ["_k"], spread="_h", how="left_anti")
-    twice = held.groupBy("_k", "_h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    held = held.withColumn("_r", F.xxhash64(
+        key.isNull(), F.coalesce(key.cast("string"), F.lit("")),
+        text.isNull(), F.coalesce(text, F.lit(""))))
+    verdict = near_duplicates(held.select(F.col("_r").alias("doc_id"), text.alias("text")),
+                              NearSettings(shingle_words=5))
+    others = materialize(verdict.filter(~F.col("kept")).select(
+        F.col("doc_id").alias("_r"), F.col("component_id").alias("_g")).distinct(), "others")
+    members = others.union(others.select(F.col("_g"), F.col("_g")).distinct())
+    twice = held.groupBy("_r").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     twice = materialize(twice, "twice")
+    left = held
     if not twice.isEmpty():
-        again = sized_join(left, twice, ["_k", "_h"], spread="_h", how="left_semi")
-        once = sized_join(left, twice, ["_k", "_h"], spread="_h", how="left_anti")
-        left = once.unionByName(again.dropDuplicates(["_k", "_h"]))
-    return left.drop("_k", "_h").toDF(*names)
+        again = sized_join(held, twice, ["_r"], spread="_r", how="left_semi")
+        once = sized_join(held, twice, ["_r"], spread="_r", how="left_anti")
+        left = once.unionByName(again.dropDuplicates(["_r"]))
+    if not others.isEmpty():
+        named = sized_join(held.select("_r", key.alias("_k")), members, ["_r"], spread="_r")
+        named = materialize(named.distinct(), "members")
+        first = F.min(F.struct(F.col("_k").isNull().alias("none"), "_k", "_r")).alias("first")
+        stays = named.groupBy("_g").agg(first).select(F.col("first._r").alias("_r"))
+        gone = named.select("_r").join(stays, "_r", "left_anti")
+        left = sized_join(left, gone, ["_r"], spread="_r", how="left_anti")
+    return left.drop("_r").toDF(*names)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,6 +68,25 @@ def test_near_copies_leave_one_of_each_group(spark, corpus):
     assert ids == sorted({r[0] for r in rows} - {100, 101})
 
 
+def test_near_copies_judge_rows_and_not_ids(spark):
+    rng = random.Random(23)
+    texts = [prose(rng, ENGLISH, 90) for _ in range(7)]
+    near = [t.replace(" ", " changed ", 1) for t in texts]
+    rows = [(1, texts[0]), (None, near[0]), (None, texts[1]), (None, None), (None, ""),  # a copy without id
+            (2, texts[2]), (3, near[2]), (3, texts[3]),                         # a copy shares its id
+            (4, texts[4]), (4, near[4]),                                        # copies share one id
+            (None, texts[5]), (None, near[5]),                                  # copies without one
+            (6, texts[6]), (5, near[6]), (None, texts[6]), (5, near[6])]
+    left = corpus_pipeline.near_copies(spark, table(spark, [(*r, "en", "s") for r in rows]), "")
+    got = [(r["doc_id"], r["text"]) for r in left.collect()]
+    assert len(got) == len(set(got)) and set(got) <= set(rows)
+    alone = {(1, texts[0]), (None, texts[1]), (None, None), (None, ""), (2, texts[2]), (3, texts[3]),
+             (5, near[6])}
+    assert alone <= set(got)
+    assert sorted((i is None, texts.index(t) if t in texts else near.index(t))
+                  for i, t in set(got) - alone) == [(False, 4), (True, 5)]
+
+
 def test_repeats_are_cut(spark, corpus):
     rows, passage = corpus
     docs = table(spark, rows)
