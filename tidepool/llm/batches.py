@@ -6,6 +6,7 @@ vector operations for all bytes of a slice, whatever the texts' lengths.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,3 +78,76 @@ class SpanHash:
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.back[starts])
+
+
+class SequenceHash:
+    """Hashes of spans of a sequence of 64-bit values: equal values give equal hashes."""
+
+    def __init__(self, values: np.ndarray):
+        inverse = pow(_BASE, -1, 1 << 64)
+        n = len(values)
+        self.sums = np.zeros(n + 1, _U)
+        np.cumsum(values * powers(n, _BASE), dtype=_U, out=self.sums[1:])
+        self.back = powers(n + 1, inverse)
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts])
+
+
+LONG_WORD = 1 << 16
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, first word of every text) of texts that stand end to end."""
+    solid = ~_BLANK[data]
+    begins = np.zeros(len(data) + 1, bool)
+    begins[offsets] = True  # a text starts a word even if the one before ends in one
+    starts = np.flatnonzero(solid & (begins[:-1] | np.append(True, ~solid[:-1])))
+    ends = np.flatnonzero(solid & (begins[1:] | np.append(~solid[1:], True))) + 1
+    hashes = SpanHash(data).spans(starts, ends)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[i] = _long_word(data[starts[i]:ends[i]].tobytes())
+    return hashes, np.searchsorted(starts, offsets)
+
+
+def _long_word(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+def _long_text(data: np.ndarray, piece: int) -> np.ndarray:
+    """Hashes of the words of one text, worked on in pieces that end at a blank."""
+    raw, out, at = memoryview(data), [], 0
+    while at < len(data):
+        end = min(at + piece, len(data))
+        if end < len(data):
+            part = np.flatnonzero(_BLANK[data[at:end]])
+            if len(part):
+                end = at + int(part[-1]) + 1
+            else:  # a word longer than a piece
+                while end < len(data) and not _BLANK[data[end]]:
+                    step = np.flatnonzero(_BLANK[data[end:end + piece]])
+                    end = end + int(step[0]) if len(step) else min(end + piece, len(data))
+                if end - at > LONG_WORD:
+                    out.append(np.array([_long_word(bytes(raw[at:end]))], _U))
+                    at = end
+                    continue
+        out.append(_words(data[at:end], np.array([0, end - at]))[0])
+        at = end
+    return np.concatenate([np.zeros(0, _U), *out])
+
+
+def word_runs(column: pa.Array, piece: int = SLICE_BYTES
+              ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, hashes of the words, first word of every row and their end) for runs of rows.
+
+    Words are separated by ASCII white space.  A text longer than ``piece`` is a run of its own; beyond
+    its bytes it takes eight bytes a word and the room for one piece.
+    """
+    for first, end, data, offsets in slices(column, piece):
+        if end == first + 1 and len(data) > 2 * piece:
+            words = _long_text(data, piece)
+            yield first, words, np.array([0, len(words)])
+        else:
+            yield first, *_words(data, offsets)
