@@ -14,8 +14,8 @@ def _cents(column):
 
 
 def base(spark, sf):
-    """Orders that are no longer open; the log brings the others."""
-    return table(spark, sf, "orders").filter("o_orderstatus <> 'O'").select(
+    """All orders; the log replaces, removes and adds some."""
+    return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("key"), _cents("o_totalprice").alias("cents"))
 
 
@@ -55,7 +55,7 @@ def snapshot_diff(spark, sf):
 
 
 LOG_SQL = """base AS (SELECT o_orderkey AS key, CAST(round(o_totalprice * 100) AS BIGINT) AS cents
-    FROM orders WHERE o_orderstatus <> 'O'),
+    FROM orders),
   log AS (SELECT l_orderkey AS key, CAST(l_linenumber AS BIGINT) AS seq,
       CASE l_returnflag WHEN 'A' THEN 'add' WHEN 'R' THEN 'remove' ELSE 'put' END AS op,
       CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,

@@ -21,6 +21,7 @@ from tidepool.streaming import crawl as crawl_streams
 from tidepool.streaming import events as streams
 
 HOUR = 3_600_000_000
+PAGE_PARTS = 10  # enough micro-batches for two levels of merged blocks
 
 
 def _events(spark, sf):
@@ -28,17 +29,23 @@ def _events(spark, sf):
         "event_id", "user_id", "event_type", epoch_us("ts").alias("us"))
 
 
-def _event_stream(spark, sf):
-    """The events in four files, each of which is a micro-batch."""
-    folder = common.in_files(table(spark, sf, "events"), "event_id")
+def _event_stream(spark, sf, parts=4):
+    """The events in ranges of their ids, each of which is a micro-batch."""
+    folder = common.in_files(table(spark, sf, "events"), "event_id", parts)
     return common.parquet_stream(spark, folder, EVENTS, files_per_trigger=1)
 
 
-def _page_stream(spark, sf):
-    folder = common.in_files(table(spark, sf, "pages"), "page_id")
+def _page_stream(spark, sf, parts=4):
+    folder = common.in_files(table(spark, sf, "pages"), "page_id", parts)
     return common.parquet_stream(spark, folder, PAGES, files_per_trigger=1)
 
 
+def _arrival_sql(column: str, source: str, parts: int = 4) -> str:
+    """The micro-batch of a row, as ``in_files`` deals them out."""
+    low, high = (f"(SELECT {f}({column}) FROM {source})" for f in ("min", "max"))
+    return f"coalesce((({column} - {low}) * {parts}) // ({high} - {low} + 1), 0)::INTEGER"
+
+
 def flow_rate(spark, sf):
     rates = ops.flow_rate(table(spark, sf, "events"), "ts", 21_600,
                           F.round(F.col("value") * 100).cast("long"), ["event_type"])
@@ -73,14 +80,9 @@ def event_batch_sink(spark, sf):
 def event_packet_stream(spark, sf):
     path = scratch_path(spark, "packets")
     streams.packet_sink(_event_stream(spark, sf), path, "event_id", _body(), 2000)
-    sent = spark.read.parquet(path).groupBy("batch", "packet").agg(
+    return spark.read.parquet(path).groupBy("batch", "packet").agg(
         F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"),
         F.min("event_id").alias("first_id"))
-    # Packets end with their batch, so what holds for all of them is reported: every event is in
-    # one packet, none is too large, and within a batch none could have held the next event.
-    return sent.agg(F.sum("n").alias("events"), F.sum("bytes").alias("bytes"),
-                    (F.max("bytes") <= 2000).alias("fit"),
-                    F.countDistinct("batch").alias("batches"))
 
 
 def frontier_stream(spark, sf):
@@ -92,17 +94,19 @@ def frontier_stream(spark, sf):
 
 def incremental_index(spark, sf):
     path = scratch_path(spark, "postings")
-    crawl_streams.incremental_index(_page_stream(spark, sf), path, CFG)
-    return crawl_streams.read_postings(spark, path)
+    query = crawl_streams.incremental_index(_page_stream(spark, sf, PAGE_PARTS), path, CFG)
+    return crawl_streams.open_index(spark, path, common.batches(query))
 
 
 def crawl_stream(spark, sf):
     frontier, index = scratch_path(spark, "frontier"), scratch_path(spark, "postings")
     pages = table(spark, sf, "pages")
-    crawl_streams.crawl_stream(_page_stream(spark, sf), frontier, index, ROOTS, CFG, snapshot=pages)
+    query = crawl_streams.crawl_stream(_page_stream(spark, sf), frontier, index, ROOTS, CFG,
+                                       snapshot=pages, fanout=2)
     found = spark.read.schema(crawl_streams.FRONTIER).parquet(frontier).select(
         F.lit("frontier").alias("part"), F.col("url").alias("name"), F.lit(1).cast("long").alias("n"))
-    terms = index_ops.term_stats(crawl_streams.read_postings(spark, index)).select(
+    postings = crawl_streams.open_index(spark, index, common.batches(query))
+    terms = index_ops.term_stats(postings).select(
         F.lit("index").alias("part"), F.col("term").alias("name"), F.col("freq").alias("n"))
     dictionary = crawl_streams.complete_index(spark, index, scratch_path(spark, "done"),
                                               pages.count(), CFG)
@@ -156,7 +160,7 @@ def meter(spark, sf):
 
 def throttle_stream(spark, sf):
     path = scratch_path(spark, "throttle")
-    events = _event_stream(spark, sf).withColumn("us", epoch_us("ts"))
+    events = _event_stream(spark, sf, 10).withColumn("us", epoch_us("ts"))
     streams.throttle_stream(events, path, "event_type", "us", "event_id", HOUR)
     return spark.read.parquet(f"{path}/passed").select("event_id", "event_type", "us")
 
@@ -196,9 +200,7 @@ def debounce_stream(spark, sf):
 def buffered_replay(spark, sf):
     path = scratch_path(spark, "replay")
     streams.buffered_replay(_event_stream(spark, sf), path, ["event_id"], minimum=50)
-    sent = spark.read.parquet(f"{path}/sent")
-    return sent.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
-                                          F.countDistinct("batch").alias("ticks"))
+    return spark.read.parquet(f"{path}/sent").select("event_id", "event_type", "batch")
 
 
 def live_query(spark, sf):
@@ -209,31 +211,35 @@ def live_query(spark, sf):
     base = changes.base(spark, sf)
     keys = [sort_key("cents", descending=True), sort_key("key")]
     streams.live_query(base, stream, lambda df: df.filter("cents > 2500000"), ["cents"], keys,
-                       path, order=changes.ORDER)
-    # The differences of all batches, summed up: how often a key came in less how often it left.
-    diffs = spark.read.parquet(f"{path}/diff")
-    net = diffs.groupBy("key").agg((
-        F.sum((F.col("removed_from") == -1).cast("long"))
-        - F.sum((F.col("inserted_into") == -1).cast("long"))).alias("net"))
-    return net.filter("net <> 0")
+                       path, order=changes.ORDER, rows_per_range=500)
+    return spark.read.schema("key BIGINT, removed_from BIGINT, inserted_into BIGINT, batch INT").parquet(
+        f"{path}/diff")
 
 
 _USER = "PARTITION BY user_id ORDER BY ts, event_id"
-_PACKETS = """
-  WITH RECURSIVE e AS (SELECT event_id, strlen(concat_ws(' ', event_id, user_id, event_type, props))
-                         AS bytes FROM events),
-  s AS (SELECT event_id, bytes, sum(bytes) OVER (ORDER BY event_id) AS hi,
-          row_number() OVER (ORDER BY event_id) AS nr FROM e),
-  p(nr, lo, packet) AS (
-    SELECT CAST(1 AS BIGINT), CAST(0 AS HUGEINT), CAST(1 AS BIGINT)
+def _packets(batch: str, columns: str) -> str:
+    """Packets of at most 2000 bytes, filled anew in every batch."""
+    return f"""
+  WITH RECURSIVE e AS (SELECT event_id, {batch} AS batch,
+                         strlen(concat_ws(' ', event_id, user_id, event_type, props)) AS bytes
+                       FROM events),
+  s AS (SELECT event_id, batch, bytes,
+          sum(bytes) OVER (PARTITION BY batch ORDER BY event_id) AS hi,
+          row_number() OVER (PARTITION BY batch ORDER BY event_id) AS nr FROM e),
+  p(batch, nr, lo, packet) AS (
+    SELECT DISTINCT batch, CAST(1 AS BIGINT), CAST(0 AS HUGEINT), CAST(1 AS BIGINT) FROM e
     UNION ALL
-    SELECT n.nr, n.hi - n.bytes, n.packet FROM (
-      SELECT s.nr, s.hi, s.bytes, p.packet + 1 AS packet,
-        row_number() OVER (ORDER BY s.nr) AS k
-      FROM p JOIN s ON s.nr > p.nr AND s.hi > p.lo + 2000) n WHERE n.k = 1),
-  filled AS (SELECT s.*, (SELECT max(packet) FROM p WHERE p.nr <= s.nr) AS packet FROM s)
-  SELECT packet, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes, min(event_id) AS first_id
-  FROM filled GROUP BY packet"""
+    SELECT n.batch, n.nr, n.hi - n.bytes, n.packet FROM (
+      SELECT s.batch, s.nr, s.hi, s.bytes, p.packet + 1 AS packet,
+        row_number() OVER (PARTITION BY s.batch ORDER BY s.nr) AS k
+      FROM p JOIN s ON s.batch = p.batch AND s.nr > p.nr AND s.hi > p.lo + 2000) n WHERE n.k = 1),
+  filled AS (SELECT s.*, (SELECT max(packet) FROM p WHERE p.batch = s.batch AND p.nr <= s.nr)
+               AS packet FROM s)
+  SELECT {columns} packet, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes,
+    min(event_id) AS first_id
+  FROM filled GROUP BY batch, packet"""
+
+
 _THROTTLED = """
   WITH RECURSIVE e AS (SELECT event_id, event_type, epoch_us(ts) AS us,
       row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS nr FROM events),
@@ -279,11 +285,9 @@ QUERIES = {
     "idle_sessions": Query(idle_sessions, _sessions("<=", "CAST(session AS BIGINT) AS session")),
     "session_stream": Query(session_stream, _sessions(
         "<=", "max_by(event_id, (ts, event_id)) AS event_id")),
-    "event_batch_sink": Query(event_batch_sink, _PACKETS),
-    "event_packet_stream": Query(event_packet_stream, """
-        SELECT count(*) AS events, true AS fit, CAST(4 AS BIGINT) AS batches,
-          CAST(sum(strlen(concat_ws(' ', event_id, user_id, event_type, props))) AS BIGINT) AS bytes
-        FROM events"""),
+    "event_batch_sink": Query(event_batch_sink, _packets("0", "")),
+    "event_packet_stream": Query(event_packet_stream, _packets(
+        _arrival_sql("event_id", "events"), "batch,")),
     "frontier_stream": Query(frontier_stream, f"""
         WITH {LINKS_SQL} SELECT DISTINCT dst AS url FROM links
         WHERE {accept('dst')} AND {scope('dst')}"""),
@@ -302,13 +306,30 @@ QUERIES = {
         SELECT 'links' AS branch, count(*) AS n FROM links
         UNION ALL SELECT 'accepted', count(*) FROM pages WHERE {accept('url')}
         UNION ALL SELECT 'postings', count(*) FROM postings"""),
-    "buffered_replay": Query(buffered_replay, """
+    "buffered_replay": Query(buffered_replay, f"""
         WITH e AS (SELECT event_type, event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos,
-                     count(*) OVER () AS n FROM events)
-        SELECT event_type, count(*) AS n, CAST(5 AS BIGINT) AS ticks FROM e GROUP BY event_type"""),
+                     {_arrival_sql('event_id', 'events')} AS part FROM events),
+        seen AS (SELECT part, sum(count(*)) OVER (ORDER BY part) AS n FROM e GROUP BY part)
+        SELECT event_id, event_type,
+          coalesce((SELECT min(part) FROM seen WHERE seen.n - 50 > e.pos), 4)::INTEGER AS batch
+        FROM e"""),
     "live_query": Query(live_query, f"""
-        WITH {changes.LOG_SQL}, o AS (SELECT key FROM base WHERE cents > 2500000),
-        n AS (SELECT key FROM state WHERE cents > 2500000)
-        SELECT key, CAST(1 AS BIGINT) AS net FROM n WHERE key NOT IN (SELECT key FROM o)
-        UNION ALL SELECT key, CAST(-1 AS BIGINT) FROM o WHERE key NOT IN (SELECT key FROM n)"""),
+        WITH {changes.LOG_SQL},
+        b AS (SELECT unnest(range(-1, 4))::INTEGER AS b),
+        upto AS (SELECT b, key, op, cents FROM (
+            SELECT b, c.*, row_number() OVER (PARTITION BY b, key ORDER BY nr DESC) AS k
+            FROM (SELECT *, {_arrival_sql('seq', 'log')} AS part FROM checked) c
+            JOIN b ON c.part <= b.b WHERE NOT error) WHERE k = 1),
+        states AS (
+          SELECT b, key, cents FROM base, b WHERE NOT EXISTS (
+            SELECT 1 FROM upto u WHERE u.b = b.b AND u.key = base.key)
+          UNION ALL SELECT b, key, cents FROM upto WHERE op <> 'remove'),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY cents DESC, key) - 1 AS pos
+          FROM states WHERE cents > 2500000),
+        o AS (SELECT b + 1 AS b, key, cents, pos FROM placed WHERE b < 3),
+        n AS (SELECT * FROM placed WHERE b >= 0)
+        SELECT coalesce(o.b, n.b)::INTEGER AS batch, coalesce(o.key, n.key) AS key,
+          coalesce(o.pos, -1) AS removed_from, coalesce(n.pos, -1) AS inserted_into
+        FROM o FULL JOIN n ON o.b = n.b AND o.key = n.key
+        WHERE o.cents IS DISTINCT FROM n.cents AND coalesce(o.pos, -1) <> coalesce(n.pos, -1)"""),
 }

@@ -110,3 +110,20 @@ def sized_join(big: DataFrame, small: DataFrame, on: list[str], spread: str,
     copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1).cast("long")) - 1)
     repeated = small.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def narrow_join(big: DataFrame, side: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join wide rows with a table (unique in ``on``) that concerns some of them, ``inner`` or ``left``.
+
+    ``side`` is written once.  If its keys alone were measured to fit a broadcast, they pick the rows
+    that meet it, and only those are shuffled; the others of a left join stay where they are.  If not,
+    it is one plain join.  Skewed keys are left to adaptive execution, which can split them.
+    """
+    side = materialize(side, "side")
+    keys = side.select(*on)
+    if not fits_broadcast(keys):
+        return big.join(side, on, how)
+    met = big.join(F.broadcast(keys), on, "left_semi").join(side, on)
+    if how == "inner":
+        return met
+    return met.unionByName(big.join(F.broadcast(keys), on, "left_anti"), allowMissingColumns=True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -18,21 +20,45 @@ def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType, patte
     return reader.parquet(folder)
 
 
-def in_files(df: DataFrame, order: str, parts: int = 4) -> str:
-    """Write a table as files in ranges of ``order``, oldest first, and return their folder."""
+def arrival(df: DataFrame, order: str, parts: int) -> Column:
+    """The part, from 0, of a row: ranges of equal width of ``order``, a whole number; nulls first."""
+    ends = df.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
+    if ends["low"] is None:
+        return F.lit(0)
+    low, width = int(ends["low"]), int(ends["high"]) - int(ends["low"]) + 1
+    place = (F.col(order).cast("long") - F.lit(low)) * F.lit(parts)
+    return F.coalesce(F.floor(place / F.lit(width)).cast("int"), F.lit(0))
+
+
+def in_files(df: DataFrame, order: str, parts: int = 4, files: int = 1) -> str:
+    """Write a table as it might arrive and return the folder: one range of ``order`` after the other,
+    each in ``files`` files, so that ``files_per_trigger=files`` makes every range a micro-batch.
+
+    The table is read once.  Rows without an order come with the first range.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, "arriving")
-    bounds = df.approxQuantile(order, [i / parts for i in range(1, parts)], 0.001)
-    for low, high in zip([None, *bounds], [*bounds, None]):
-        part = df
-        if low is not None:
-            part = part.filter(F.col(order) >= low)
-        if high is not None:
-            part = part.filter(F.col(order) < high)
-        part.coalesce(1).write.mode("append").parquet(path)
+    staged, path = scratch_path(spark, "ranges"), scratch_path(spark, "arriving")
+    df.withColumn("_part", arrival(df, order, parts)).write.partitionBy("_part").parquet(staged)
+    found = spark.read.schema("_part INT").parquet(staged).select("_part").distinct()
+    for part in sorted(r["_part"] for r in found.collect()):  # at most ``parts`` rows
+        rows = spark.read.schema(df.schema).parquet(f"{staged}/_part={part}")
+        rows.repartition(files).write.mode("append").parquet(path)
     return path
 
 
+@contextmanager
+def state_store(spark: SparkSession):
+    """Let queries that start inside keep their state in RocksDB, which operators with state of their
+    own need; larger than memory, with changes written to the checkpoint."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def run_available(writer: DataStreamWriter, checkpoint: str | None = None,
                   spark: SparkSession | None = None):
     """Process everything there is, in micro-batches, and stop."""
@@ -43,6 +69,11 @@ def run_available(writer: DataStreamWriter, checkpoint: str | None = None,
     return query
 
 
+def batches(query) -> int:
+    """How many micro-batches a query that has ended has run since its checkpoint began."""
+    return 0 if query.lastProgress is None else query.lastProgress["batchId"] + 1
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """One folder per micro-batch; a batch that is run again replaces its own folder."""
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

@@ -17,52 +17,109 @@ from tidepool.operators.index import (build_dictionary, document_index, inverted
 from tidepool.sources.index_files import write_dictionary, write_index
 from tidepool.storage import materialize, sized_join
 from tidepool.streaming.common import run_available, write_batch
+from tidepool.streaming.tiers import Block, Tiers, VisitedSet
 
 FRONTIER = "url STRING, batch BIGINT"
 POSTINGS = "url STRING, term STRING, tf BIGINT, batch BIGINT"
 
 
-def _earlier(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-    """What batches before this one wrote; a rerun of the batch does not see itself."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).filter(F.col("batch") < batch_id)
-
-
 def dedupe_stream(urls: DataFrame, event_time: str, delay: str = "10 minutes") -> DataFrame:
     """Each URL once while it stays within the watermark, so the state does not grow for ever."""
     return urls.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["url"])
 
 
+def visited_set(spark: SparkSession, path: str) -> VisitedSet:
+    """What the frontier below ``path`` has seen, kept beside it."""
+    return VisitedSet(spark, f"{path.rstrip('/')}-visited")
+
+
 def frontier_stream(urls: DataFrame, path: str, checkpoint: str | None = None):
-    """Append unseen acceptable URLs of a stream (url) to the frontier table below ``path``."""
+    """Append unseen acceptable URLs of a stream (url) to the frontier table below ``path``.
+
+    What was seen is kept in hash buckets with Bloom filters, of which a batch opens those that its
+    own URLs fall into.
+    """
     def add(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = not_visited(batch.filter(acceptable_path("url")),
-                          _earlier(spark, path, FRONTIER, batch_id))
+        visited = visited_set(batch.sparkSession, path)
+        new = visited.unseen(batch.filter(acceptable_path("url")), batch_id)
+        visited.add(new, batch_id)
         write_batch(new, path, batch_id)
 
     return run_available(urls.writeStream.foreachBatch(add), checkpoint)
 
 
+def _latest(rows: DataFrame) -> DataFrame:
+    """The rows of each page's latest batch."""
+    last = rows.groupBy("url").agg(F.max("batch").alias("batch"))
+    return sized_join(rows, last, ["url", "batch"], spread="term")
+
+
+def index_tiers(spark: SparkSession, path: str, fanout: int = 4) -> Tiers:
+    """The blocks of the index below ``path``, merged in tiers beside it.
+
+    Merging keeps each page's latest version.  A page without terms leaves a row without a term,
+    which hides the page's older postings; it goes when nothing older is left.
+    """
+    def read(block: Block) -> DataFrame:
+        rows = spark.read.schema("url STRING, term STRING, tf BIGINT, batch BIGINT" if block.level
+                                 else "url STRING, term STRING, tf BIGINT").parquet(block.folder)
+        return rows if block.level else rows.withColumn("batch", F.lit(block.batch).cast("long"))
+
+    def merge(rows: DataFrame, everything: bool) -> DataFrame:
+        kept = _latest(rows)
+        return kept.filter("term IS NOT NULL") if everything else kept
+
+    def write(rows: DataFrame, folder: str) -> None:
+        rows.repartitionByRange("term", "url").sortWithinPartitions("term", "url").write.mode(
+            "overwrite").parquet(folder)
+
+    return Tiers(spark, f"{path.rstrip('/')}-tiers", merge, read, write, fanout)
+
+
+def page_postings(pages: DataFrame, cfg: IndexConfig) -> DataFrame:
+    """(url, term, tf) of pages, and for each page a row without a term, which says that it came."""
+    text = page_text(pages, cfg.mode)
+    came = text.select("url", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf"))
+    return document_index(text, cfg).unionByName(came.distinct())
+
+
+def _add_block(pages: DataFrame, path: str, cfg: IndexConfig, batch_id: int, fanout: int) -> None:
+    write_batch(page_postings(pages, cfg), path, batch_id)
+    index_tiers(pages.sparkSession, path, fanout).append(f"{path}/batch={batch_id}", batch_id)
+
+
 def incremental_index(pages: DataFrame, path: str, cfg: IndexConfig = IndexConfig(),
-                      checkpoint: str | None = None):
-    """Index a stream of pages; every micro-batch adds one block of postings below ``path``."""
+                      checkpoint: str | None = None, fanout: int = 4):
+    """Index a stream of pages; every micro-batch adds one block of postings below ``path``.
+
+    ``fanout`` blocks of a level are merged into one of the next; read them by :func:`open_index`.
+    """
     def add(batch: DataFrame, batch_id: int) -> None:
-        write_batch(document_index(page_text(batch, cfg.mode), cfg), path, batch_id)
+        _add_block(batch, path, cfg, batch_id, fanout)
 
     return run_available(pages.writeStream.foreachBatch(add), checkpoint)
 
 
+def open_index(spark: SparkSession, path: str, batches: int) -> DataFrame:
+    """The postings (url, term, tf) after a number of batches, from the merged blocks.
+
+    A page that came more than once counts as its latest batch has it.
+    """
+    tiers = index_tiers(spark, path)
+    rows = tiers.read(tiers.blocks(batches))
+    if rows is None:
+        return spark.createDataFrame([], "url STRING, term STRING, tf BIGINT")
+    return _latest(rows).filter("term IS NOT NULL").select("url", "term", "tf")
+
+
 def read_postings(spark: SparkSession, path: str) -> DataFrame:
-    """The postings (url, term, tf) of all blocks.
+    """The postings (url, term, tf) of all blocks as they came.
 
     A page that came more than once, as it may from a source that delivers at least once, counts as
-    its latest batch has it.
+    its latest batch has it, even if that has no term.
     """
     blocks = spark.read.schema(POSTINGS).parquet(path)
-    last = blocks.groupBy("url").agg(F.max("batch").alias("batch"))
-    return sized_join(blocks, last, ["url", "batch"], spread="term").select("url", "term", "tf")
+    return _latest(blocks).filter("term IS NOT NULL").select("url", "term", "tf")
 
 
 def complete_index(spark: SparkSession, index_path: str, out: str, docs: int,
@@ -88,37 +145,38 @@ def fan_out(batch: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> N
 
 def crawl_stream(pages: DataFrame, frontier_path: str, index_path: str,
                  roots: Sequence[str] | None = None, cfg: IndexConfig = IndexConfig(),
-                 checkpoint: str | None = None, snapshot: DataFrame | None = None):
-    """Links to the frontier and text to the index from one pass over each micro-batch of pages.
+                 checkpoint: str | None = None, snapshot: DataFrame | None = None, fanout: int = 4):
+    """Links to the frontier and text to the index; each micro-batch of pages is read once and cached
+    for both.
 
     With a ``snapshot`` (url, html) the links found are fetched from it at once, and so on until a
     round finds nothing new.  When it returns, the stream is complete and :func:`complete_index`
     merges the blocks.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = _earlier(spark, frontier_path, FRONTIER, batch_id).select("url")
+        visited = visited_set(batch.sparkSession, frontier_path)
         found: list[DataFrame] = []
+        batch = batch.persist()
         pages = [batch]
 
         def to_frontier(rows: DataFrame) -> None:
             links = extract_links(rows, roots).select(F.col("dst").alias("url"))
-            known = reduce(DataFrame.union, found, seen)
-            found.append(materialize(not_visited(links.filter(acceptable_path("url")), known), "new"))
-
-        def to_index(rows: DataFrame) -> None:
-            everything = reduce(lambda a, b: a.unionByName(b), pages[:-1], rows)
-            write_batch(document_index(page_text(everything, cfg.mode), cfg), index_path, batch_id)
+            new = visited.unseen(links.filter(acceptable_path("url")), batch_id)
+            found.append(materialize(not_visited(new, reduce(DataFrame.union, found)), "new")
+                         if found else new)
 
-        fan_out(batch, [to_frontier])
+        to_frontier(batch)
         while snapshot is not None and not found[-1].isEmpty():
             fetched = materialize(scan_pages(found[-1], snapshot), "fetched")
             if fetched.isEmpty():
                 break
             pages.append(fetched)
             to_frontier(fetched)
-        pages = [p.select("url", "html") for p in pages]
-        to_index(pages[-1])
-        write_batch(reduce(DataFrame.union, found), frontier_path, batch_id)
+        everything = reduce(DataFrame.unionByName, [p.select("url", "html") for p in pages])
+        _add_block(everything, index_path, cfg, batch_id, fanout)
+        new = reduce(DataFrame.union, found)
+        visited.add(new, batch_id)
+        write_batch(new, frontier_path, batch_id)
+        batch.unpersist()
 
     return run_available(pages.writeStream.foreachBatch(step), checkpoint)
