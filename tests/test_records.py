@@ -11,7 +11,7 @@ from tidepool.functions import predicates as P
 from tidepool.operators import joins, records, sets, stats
 from tidepool.operators.hierarchy import tree_flatten
 from tidepool.operators.records import page_with_total, sort_key
-from tidepool.storage import sized_join
+from tidepool.storage import materialize, sized_join
 
 
 @pytest.fixture
@@ -131,6 +131,21 @@ def test_tree(spark):
         tree_flatten(ring, roots)
 
 
+def test_deep_trees_take_few_rounds(spark, monkeypatch):
+    import tidepool.operators.hierarchy as hierarchy
+    tables = []
+    monkeypatch.setattr(hierarchy, "materialize", lambda df, name: tables.append(name) or materialize(df, name))
+    edges = spark.range(1, 1500).select((F.col("id") - 1).alias("parent"), F.col("id").alias("child"))
+    extra = spark.createDataFrame([(3, 10_000), (7, 10_000), (10_000, 10_001), (20_000, 20_001)], edges.schema)
+    out = tree_flatten(edges.unionByName(extra), spark.createDataFrame([(0,), (1490,)], "node LONG"))
+    assert sum(t.startswith("ways") for t in tables) <= 13
+    assert out.filter("node = 1499").count() == 2
+    deep = out.filter("node = 1499 AND depth = 1499").first()
+    assert deep["path"] == "/".join(map(str, range(1500)))
+    assert rows(out.filter("node >= 10000"), "node", "depth") == [
+        (10_000, 4), (10_000, 8), (10_001, 5), (10_001, 9)]
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, how):
     big = spark.range(600).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(

@@ -45,6 +45,52 @@ def test_outline(spark):
         (7, 0, None, 0, "a & b"), (7, 1, 0, 1, "c"), (7, 2, 1, 2, None), (7, 3, None, 0, "d")]
 
 
+def test_outlines_that_are_not_well_formed(spark):
+    fine = ("<opml><!-- <outline text='no'/> --><body><outline title=\"text='x'\" text='it&apos;s &lt;&#65;'>"
+            "<outline\ntext = \"a\nb\"></outline></outline><other text='no'/></body></opml>")
+    docs = [(1, fine), (2, "<opml><body><outline text='a'></body></opml>"), (3, ""), (4, None), (1, "plain"),
+            (5, "<opml><body>" + "<outline text='d'>" * 40 + "</outline>" * 40 + "</body></opml>")]
+    df = spark.createDataFrame(docs, "id INT, xml STRING")
+    found = markup.outline_items(df, "id", "xml", errors=True)
+    assert not any(w in found._jdf.queryExecution().toString() for w in ("Python", "Pandas", "Arrow"))
+    got = rows(found)
+    bad = "not well formed"
+    assert [r for r in got if r[5]] == [(i, None, None, None, None, bad) for i in (1, 2, 3)]
+    assert [r for r in got if r[0] == 1 and not r[5]] == [
+        (1, 0, None, 0, "it's <A", None), (1, 1, 0, 1, "a b", None)]
+    assert [r[1:4] for r in sorted(r for r in got if r[0] == 5)] == [
+        (i, i - 1 if i else None, i) for i in range(40)]
+    assert markup.outline_items(df, "id", "xml").count() == 42
+
+
+def test_records_of_one_file_in_many_tasks(spark, tmp_path):
+    import random
+    rng = random.Random(5)
+    cells = ["plain", 'say "hi"', "two\nlines", "a,b", "", '"', '""', "x\n\n,\n\"y\"", " pad "]
+    data = [(str(i), rng.choice(cells) * rng.randrange(1, 9), rng.choice(cells)) for i in range(3000)]
+    quoted = lambda v: '"' + v.replace('"', '""') + '"' if set(v) & set(',"\n') else v
+    text = "id,a,b\n" + "".join(",".join(map(quoted, r)) + rng.choice(["\n", "\n", "\n\n"]) for r in data)
+    (tmp_path / "one.csv").write_text(text)
+    (tmp_path / "two.csv").write_text('id,a,b\nz,"1\n2",\n')
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2000")
+    try:
+        found = csv_files.records(spark, str(tmp_path)).groupBy("file").count()
+        assert sorted(r[1] for r in found.collect()) == [2, 3001]
+        lines = spark.read.text(str(tmp_path / "one.csv"))
+        assert lines.rdd.getNumPartitions() > 30
+        got = rows(csv_files.read_csv(spark, str(tmp_path), ["id", "a", "b"]))
+        named = csv_files.read_csv(spark, str(tmp_path))
+        assert named.columns == ["id", "a", "b"] and rows(named) == got
+    finally:
+        spark.conf.set(name, before)
+    whole = spark.read.options(header=True, quote='"', escape='"', multiLine=True, emptyValue="").csv(
+        str(tmp_path / "one.csv"))
+    want = sorted([tuple((v or "").strip() for v in r) for r in whole.collect()] + [("z", "1\n2", "")])
+    assert got == want == sorted([tuple(v.strip() for v in r) for r in data] + [("z", "1\n2", "")])
+
+
 def test_files_and_pairs(spark, sf):
     names = {r["name"] for r in files.file_listing(spark, sf, "*.parquet").collect()}
     assert "pages.parquet" in names and len(names) == 14

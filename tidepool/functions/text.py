@@ -88,24 +88,36 @@ def _character(code: Column) -> Column:
 
 
 def decode_entities(text: Column | str) -> Column:
-    """Named and numeric entities to characters in one pass; an unknown one stays as it is."""
+    """Named and numeric entities to characters in one pass; an unknown one stays as it is.
+
+    The markup characters, nearly all there is in most texts, are replaced one by one, the ampersand
+    last, so that what it brings about is not decoded again.  Only a text in which some other
+    reference is left is taken to pieces.
+    """
     src = F.col(text) if isinstance(text, str) else text
-    chars = _literal_map({**MARKUP_ENTITIES, **named_entities()})
+    for name, char in MARKUP_ENTITIES.items():
+        if name != "amp":
+            src = F.replace(src, F.lit(f"&{name};"), F.lit(char))
+    return F.when(src.rlike("&(?!amp;)"), _decode_pieces(src)).otherwise(
+        F.replace(src, F.lit("&amp;"), F.lit("&")))
+
+
+def _decode_pieces(src: Column) -> Column:
+    chars = _literal_map({"amp": "&", **named_entities()})
     pieces = F.split(src, "&")
 
     def restore(piece: Column) -> Column:
         name = F.regexp_extract(piece, "^(#?[A-Za-z0-9]+);", 1)
-        decimal = F.regexp_extract(name, "^#([0-9]{1,7})$", 1)
-        digits = F.regexp_extract(name, "^#[xX]([0-9A-Fa-f]{1,6})$", 1)
-        char = (F.when(decimal != "", _character(decimal.try_cast("long")))
-                .when(digits != "", _character(F.conv(digits, 16, 10).cast("long")))
-                .otherwise(F.try_element_at(chars, name)))
+        digits = F.regexp_extract(name, "^#(?:([0-9]{1,7})|[xX]([0-9A-Fa-f]{1,6}))$", 0)
+        code = F.when(digits.rlike("^#[0-9]"), F.substr(digits, F.lit(2)).try_cast("long")).otherwise(
+            F.conv(F.substr(digits, F.lit(3)), 16, 10).cast("long"))
+        char = F.when(digits != "", _character(code)).when(
+            name != "", F.try_element_at(chars, name))
         return F.when(char.isNotNull(), F.concat(char, F.substr(piece, F.length(name) + 2))
                       ).otherwise(F.concat(F.lit("&"), piece))
 
-    tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), restore)
-    return F.when(src.contains("&"), F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))
-                  ).otherwise(src)
+    tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces) - 1), restore)
+    return F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))
 
 
 def percent_escape(value: Column | str, chars: str) -> Column:

@@ -131,9 +131,11 @@ def feed_outline_extract(spark, sf):
     xml = F.concat(
         F.lit('<opml><head><title>t</title></head><body><outline text="'), "event_type",
         F.lit('"><outline text="u'), F.col("user_id").cast("string"),
-        F.lit('"><outline text="e"/></outline><outline text="last"/></outline></body></opml>'))
+        F.lit('"><outline text="e"/></outline><outline text="last"/></outline>'),
+        # every tenth document is cut off before its end
+        F.when(F.col("event_id") % 10 == 3, F.lit("")).otherwise(F.lit("</body></opml>")))
     docs = table(spark, sf, "events").select("event_id", xml.alias("xml"))
-    return markup.outline_items(docs, "event_id", "xml")
+    return markup.outline_items(docs, "event_id", "xml", errors=True)
 
 
 _TURNS = """turns AS (SELECT conv_id, turn, list_transform(regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+'),
@@ -204,9 +206,12 @@ QUERIES = {
         UNION ALL SELECT url, 1, 'who', CAST(turn AS VARCHAR) FROM c
         UNION ALL SELECT url, 1, 'size & id', CAST(conv_id AS VARCHAR) FROM c"""),
     "feed_outline_extract": Query(feed_outline_extract, """
-        SELECT event_id, 0 AS item, CAST(NULL AS INTEGER) AS parent, 0 AS depth, event_type AS text
-          FROM events
-        UNION ALL SELECT event_id, 1, 0, 1, 'u' || user_id FROM events
-        UNION ALL SELECT event_id, 2, 1, 2, 'e' FROM events
-        UNION ALL SELECT event_id, 3, 0, 1, 'last' FROM events"""),
+        WITH good AS (SELECT * FROM events WHERE event_id % 10 <> 3)
+        SELECT event_id, 0 AS item, CAST(NULL AS INTEGER) AS parent, 0 AS depth, event_type AS text,
+          CAST(NULL AS VARCHAR) AS error FROM good
+        UNION ALL SELECT event_id, 1, 0, 1, 'u' || user_id, NULL FROM good
+        UNION ALL SELECT event_id, 2, 1, 2, 'e', NULL FROM good
+        UNION ALL SELECT event_id, 3, 0, 1, 'last', NULL FROM good
+        UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, 'not well formed' FROM events
+          WHERE event_id % 10 = 3"""),
 }

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import io
-import xml.etree.ElementTree as ET
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.functions.text import html_to_text
+from tidepool.functions.text import decode_entities, html_to_text
 
 
 def html_table_extract(pages: DataFrame, table_id: str, key: str = "url",
@@ -35,37 +30,53 @@ def html_table_extract(pages: DataFrame, table_id: str, key: str = "url",
         html_to_text(F.col("_cell")).alias("value"))
 
 
-def outline_items(docs: DataFrame, key: str, xml: str) -> DataFrame:
+_QUOTED = r"(?:\"[^\"]*\"|'[^']*')"
+_OUTLINE = rf"(?s)</outline\s*>|<outline(?=[\s/>])(?:[^>\"']|{_QUOTED})*>"
+_TEXT = rf"(?s)^<outline(?:\s+(?!text\s*=)[^\s=]+\s*=\s*{_QUOTED})*\s+text\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+
+
+def outline_items(docs: DataFrame, key: str, xml: str, errors: bool = False) -> DataFrame:
     """(key, item, parent, depth, text) of the nested ``outline`` elements, in document order.
 
-    ``parent`` is null at the top.  Each document is parsed by itself with an event parser; one that
-    is null or not well formed has no items.
+    ``parent`` is null at the top.  A null document has no items.  With ``errors`` there is a further
+    column ``error``, null for items, and a document that is not well formed has one row, which says
+    so; without, it has none.  Documents are checked by Spark's XML reader, which stops at the end of
+    the root element, and their tags are told apart by expressions, so nothing leaves the JVM.
     """
-    schema = (f"{key} {docs.schema[key].dataType.simpleString()}, item INT, parent INT, depth INT, "
-              "text STRING")
+    checked = F.from_xml(F.col(xml), "body STRING, _bad STRING",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    bare = F.regexp_replace(xml, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    rows = docs.filter(F.col(xml).isNotNull()).select(
+        F.col(key), bare.alias("_xml"), checked["_bad"].isNotNull().alias("_bad"),
+        F.monotonically_increasing_id().alias("_doc"))
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for ident, doc in zip(batch[key], batch[xml]):
-                stack: list[int] = []
-                items: list[tuple] = []
-                try:
-                    for event, node in ET.iterparse(io.BytesIO((doc or "").encode("utf-8")),
-                                                    events=("start", "end")):
-                        if node.tag != "outline":
-                            continue
-                        if event == "end":
-                            stack.pop()
-                            node.clear()
-                            continue
-                        items.append((ident, len(items), stack[-1] if stack else None, len(stack),
-                                      node.get("text")))
-                        stack.append(len(items) - 1)
-                except ET.ParseError:
-                    continue
-                found += items
-            frame = pd.DataFrame(found, columns=[key, "item", "parent", "depth", "text"])
-            yield frame.astype({"parent": "Int32"})
+    tags = rows.filter("NOT _bad").select(key, "_doc", F.posexplode(
+        F.regexp_extract_all("_xml", F.lit(_OUTLINE), F.lit(0))).alias("_pos", "_tag"))
+    closing, empty = F.col("_tag").startswith("</"), F.col("_tag").endswith("/>")
+    document = Window.partitionBy("_doc").orderBy("_pos")
+    before = document.rowsBetween(Window.unboundedPreceding, -1)
+    step = F.when(closing, -1).when(empty, 0).otherwise(1)
+    opened = tags.withColumn("depth", F.coalesce(F.sum(step).over(before), F.lit(0)).cast("int"))
+    opened = opened.withColumn("item", (F.sum(F.when(closing, 0).otherwise(1)).over(document) - 1)
+                               .cast("int")).filter(~closing)
+    raw = F.coalesce(F.nullif(F.regexp_extract("_tag", _TEXT, 1), F.lit("")),
+                     F.regexp_extract("_tag", _TEXT, 2))
+    plain = F.replace(F.translate(raw, "\t\r\n", "   "), F.lit("&apos;"), F.lit("'"))
+    text = F.when(F.col("_tag").rlike(_TEXT), decode_entities(plain))
+    items = opened.select(key, "_doc", "item", "depth", text.alias("text"))
 
-    return docs.select(key, xml).mapInPandas(parse, schema)
+    # A parent is the last item above on the level before: every item stands once on the level of its
+    # siblings, to ask, and once on that of its children, to answer.
+    places = F.array(F.struct(F.col("depth").alias("level"), F.lit(None).cast("int").alias("above")),
+                     F.struct((F.col("depth") + 1).alias("level"), F.col("item").alias("above")))
+    asked = items.withColumn("_at", F.explode(places)).select("*", "_at.*")
+    level = Window.partitionBy("_doc", "level").orderBy("item").rowsBetween(
+        Window.unboundedPreceding, -1)
+    found = asked.withColumn("parent", F.last("above", ignorenulls=True).over(level)).filter(
+        "above IS NULL").select(key, "item", "parent", "depth", "text")
+    if not errors:
+        return found
+    none = {"item": "int", "parent": "int", "depth": "int", "text": "string"}
+    bad = rows.filter("_bad").select(key, *[F.lit(None).cast(t).alias(c) for c, t in none.items()],
+                                     F.lit("not well formed").alias("error"))
+    return found.withColumn("error", F.lit(None).cast("string")).unionByName(bad)
