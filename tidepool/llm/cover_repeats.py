@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.batches import SequenceHash, mix, word_runs
-from tidepool.storage import materialize, sized_join
+from tidepool.storage import materialize, narrow_join, sized_join
 
 NO_ID = -(1 << 63)
+_SHIFT = 20
 _U = np.uint64
 
 
@@ -49,7 +50,7 @@ class CoverSettings:
         shifts = {(a - b) % self.period for a in self.cover for b in self.cover}
         if shifts != set(range(self.period)):
             raise ValueError("the cover leaves out some shift of its period")
-        if self.gram < 1:
+        if self.gram < 1 or self.window + self.period >= 1 << _SHIFT:
             raise ValueError("a window must be at least as long as the period")
 
     @property
@@ -180,7 +181,8 @@ def _extended_hot(kinds: DataFrame, s: CoverSettings) -> DataFrame:
 def repeated_windows(docs: DataFrame, s: CoverSettings) -> DataFrame:
     """``k, h, spans``: for every text (by id and hash) the word spans that its repeated windows cover.
 
-    Spans may overlap and, at the ends, reach beyond the text by less than a window.
+    A span is one long: its first word, from ``_SHIFT`` up, and its length in the lowest bits.  Spans
+    may overlap and, at the ends, reach beyond the text by less than a window.
     """
     counted = _gram_rows(docs, s, False).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     twice = materialize(counted.filter("n > 1").select("g"), "grams")
@@ -203,7 +205,7 @@ def repeated_windows(docs: DataFrame, s: CoverSettings) -> DataFrame:
     wanted = several.groupBy("k", "h").agg(F.collect_list(F.struct("g", "p", "once")).alias("wanted"))
     # equal rows give their windows more than once, which changes nothing: none of them occurs once
     texts = docs.select("k", "h", F.col("text").cast("binary").alias("t"))
-    windows = _window_hashes(sized_join(texts, wanted, ["k", "h"], spread="t"), s)
+    windows = _window_hashes(narrow_join(texts, wanted, ["k", "h"]), s)
     hot = several.filter(F.col("kinds") > s.hot_kinds)
     if hot.isEmpty():
         found = whole.unionByName(_extended(windows, s))
@@ -213,7 +215,8 @@ def repeated_windows(docs: DataFrame, s: CoverSettings) -> DataFrame:
         rest = sized_join(windows, grams, ["g"], spread="p", how="left_anti")
         hot = sized_join(windows, grams, ["g"], spread="p", how="left_semi")
         found = whole.unionByName(_extended(rest, s)).unionByName(_extended_hot(hot, s))
-    return found.groupBy("k", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    packed = F.shiftleft(F.col("start").cast("long"), _SHIFT) + (F.col("end") - F.col("start"))
+    return found.groupBy("k", "h").agg(F.collect_set(packed).alias("spans"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -226,7 +229,10 @@ def _kept(words: list[bytes], spans: pa.Scalar) -> list[bytes]:
     if spans.values is None or not len(spans.values):
         return words
     mark = np.zeros(len(words) + 1, np.int64)
-    start, end = (spans.values.field(c).to_numpy().clip(0, len(words)) for c in ("start", "end"))
+    packed = spans.values.to_numpy()
+    start = packed >> _SHIFT
+    end = (start + (packed & ((1 << _SHIFT) - 1))).clip(0, len(words))
+    start = start.clip(0, len(words))
     np.add.at(mark, start, 1)
     np.add.at(mark, end, -1)
     return [words[i] for i in np.flatnonzero(np.cumsum(mark[:-1]) == 0)]
@@ -244,8 +250,8 @@ def window_digest(docs: DataFrame, settings: CoverSettings | None = None) -> Dat
     """
     s = settings or CoverSettings()
     keyed = _keyed(docs.select("doc_id", "text"))
-    rows = sized_join(keyed.select("doc_id", "k", "h", F.col("text").cast("binary").alias("t")),
-                      repeated_windows(keyed, s), ["k", "h"], spread="t", how="left")
+    rows = narrow_join(keyed.select("doc_id", "k", "h", F.col("text").cast("binary").alias("t")),
+                       repeated_windows(keyed, s), ["k", "h"], "left")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,12 +283,11 @@ def without_repeated_windows(docs: DataFrame, settings: CoverSettings | None = N
     keyed = _keyed(held.select(*names, F.col(known["doc_id"]).alias("doc_id"),
                                F.col(known["text"]).alias("text")))
     spans = repeated_windows(keyed.select("doc_id", "text", "k", "h"), s)
-    rows = sized_join(keyed, spans, ["k", "h"], spread="text", how="left")
+    rows = narrow_join(keyed, spans, ["k", "h"], "left")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        lists = pa.array([None if x is None else list(x) for x in spans], kind)
+        lists = pa.array([None if x is None else list(x) for x in spans], pa.list_(pa.int64()))
         return pd.Series([None if t is None else b" ".join(_kept(t.encode().split(), x)).decode()
                           for t, x in zip(texts, lists)], dtype=object)
 
