@@ -36,6 +36,18 @@ def test_lines_that_fail(spark):
     assert not judge(spark, [PROSE], min_words=21)[0]["kept"]
 
 
+@pytest.mark.parametrize("line, clean", [
+    ("It rained." + " " * 200, True), ("It rained.\t\t\t\t\t\t\t\t\t\t", True), ('"It rained!"))  ', True),
+    ("\u092f\u0939 \u090f\u0915 \u0935\u093e\u0915\u094d\u092f \u0939\u0948\u0964", True),
+    ("\u0647\u0644 \u0647\u0630\u0627 \u0633\u0624\u0627\u0644\u061f", True),
+    ("\u8fd9\u662f\u4e00\u4e2a\u53e5\u5b50\u3002\u300d", True), ("\u12ed\u1205 \u1290\u12cd\u1362", True),
+    ("\u053f\u0561\u057f\u0578\u0582\u0589", True), ("No end", False), ("The 1. item", False), ('")  ', False),
+    ("Ends with a comma,", False)])
+def test_ends_of_lines_in_any_script(spark, line, clean):
+    got = judge(spark, [line + "\n" + PROSE])[0]
+    assert got["n_clean_lines"] == 1 + clean
+
+
 def test_odd_texts(spark):
     got = judge(spark, [None, "", " \t\n ", "\n\n", "x"])
     for i in range(4):

@@ -16,7 +16,7 @@ def op1_quality_rules(spark, sf):
 
 def _sql(r: LineRules = LineRules()) -> str:
     separators = ", ".join(f"'{s}'" for s in SEPARATORS)
-    terminal = lines.TERMINAL.replace("'", "''")
+    trimmed, ends = ((chars.replace("'", "''")) for chars in (lines.BLANK + lines.CLOSING, lines.SENTENCE_ENDS))
     return f"""
 WITH base AS (
   SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS text FROM documents),
@@ -43,7 +43,7 @@ judged AS (
 line_sums AS (
   SELECT rid, count(*) AS n_lines, sum(length(l)) AS line_chars,
     count(*) FILTER (ok) AS n_clean_lines, coalesce(sum(length(l)) FILTER (ok), 0) AS clean_chars
-  FROM (SELECT *, (n >= {r.short_line} OR regexp_matches(right(l, {lines.LINE_END}), '{terminal}'))
+  FROM (SELECT *, (n >= {r.short_line} OR rtrim(l, '{trimmed}') <> '' AND contains('{ends}', right(rtrim(l, '{trimmed}'), 1)))
       AND symbols * 100 <= length(l) * {r.symbol_percent}
       AND (shouts < 1 OR shouts * {r.shout_words} < n)
       AND (separators < 2 OR separators * {r.separator_words} < n)

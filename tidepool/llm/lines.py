@@ -16,9 +16,14 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
-# What ends a sentence, what separates menu entries, what boilerplate says.
-TERMINAL = r"[.!?\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"')\]\x{201D}\x{2019}\x{BB}]*[\x20\x09-\x0D]*$"
-LINE_END = 8  # the characters at the end of a line in which its terminal mark must stand
+# What ends a sentence in any script (Unicode's sentence terminals of the scripts in
+# wide use, and the ellipsis), what may close it, what separates menu entries, what boilerplate says.
+SENTENCE_ENDS = (
+    ".!?\u2026\u0589\u061d\u061e\u061f\u06d4\u0700\u0701\u0702\u0964\u0965\u104a\u104b\u1362\u1367\u1368"
+    "\u166e\u1803\u1809\u17d4\u17d5\u1944\u1945\u203c\u203d\u2047\u2048\u2049\u2e2e\u3002\ua4ff\ua60e"
+    "\ua60f\ua876\ua877\ua8ce\ua8cf\ufe52\ufe56\ufe57\uff01\uff0e\uff1f\uff61")
+CLOSING = "\"')]}*_\u2019\u201c\u201d\u00bb\u203a\u300b\u300d\u300f\uff02\uff09"
+BLANK = " \t\n\x0b\x0c\r\u00a0\u3000"
 SEPARATORS = ("|", ">", ">>", "»", "›", "·", "•")
 BOILERPLATE = (
     "all rights reserved", "click here", "cookie policy", "enable javascript",
@@ -61,6 +66,12 @@ def symbols_in(text: Column) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]+", ""))
 
 
+def ends_a_sentence(line: Column) -> Column:
+    """Whether the last character of a line, white space and closing marks aside, ends a sentence."""
+    last = F.right(F.rtrim(line, F.lit(BLANK + CLOSING)), F.lit(1))
+    return (last != "") & F.lit(SENTENCE_ENDS).contains(last)
+
+
 def line_passes(line: Column, rules: LineRules, symbols: Column) -> Column:
     """True if the line meets the punctuation, navigation and boilerplate rules.
 
@@ -70,7 +81,7 @@ def line_passes(line: Column, rules: LineRules, symbols: Column) -> Column:
         n = F.size(words)
         shouts = (F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("")))) / 2
         separators = F.size(F.filter(words, lambda w: w.isin(*SEPARATORS)))
-        punctuated = (n >= rules.short_line) | F.right(line, F.lit(LINE_END)).rlike(TERMINAL)
+        punctuated = (n >= rules.short_line) | ends_a_sentence(line)
         few_symbols = (symbols == 0) | (
             symbols_in(line) * 100 <= F.length(line) * rules.symbol_percent)
         calm = ~line.contains("!!") | (shouts * rules.shout_words < n)
