@@ -1,8 +1,9 @@
 """Mixing to target weights by iterative proportional fitting, with DataFrame functions only.
 
 Documents are summed up into cells of source, language and topic.  The cells' token weights are raked
-to the three target marginals in turn until all agree, and documents are then sampled with the
-probabilities that the fitted weights call for.  Only sums per cell are ever shuffled.
+to the three target marginals in turn until all agree, and documents are then sampled by the fitted
+weights: a weight below 1 is a probability, one above it is so many copies and a probability for one
+more, so no target is cut short.  Only sums per cell are ever shuffled.
 """
 
 from __future__ import annotations
@@ -117,66 +118,90 @@ def fitted_cells(rows: DataFrame, s: MixSettings) -> DataFrame:
     return raked(cells, targets, s.rounds)
 
 
+def residual(fitted: DataFrame, targets: dict[str, DataFrame]) -> float:
+    """How far the fitted marginals are from the targets: the largest difference of a share."""
+    total = fitted.agg(F.sum(F.col("tokens") * F.col("ratio")).alias("t")).first()["t"] or 1.0
+    worst = 0.0
+    for dimension, target in targets.items():
+        now = fitted.groupBy(dimension).agg(
+            (F.sum(F.col("tokens") * F.col("ratio")) / F.lit(total)).alias("now"))
+        gap = now.join(target, dimension).agg(F.max(F.abs(F.col("now") - F.col("target")))).first()[0]
+        worst = max(worst, gap or 0.0)
+    return worst
+
+
 def fitted_mix(rows: DataFrame, s: MixSettings) -> DataFrame:
-    """The fitted ``ratio`` and ``probability`` of every cell of the weighed ``rows``."""
+    """The fitted ``ratio`` and ``weight``, share * ratio, of every cell of the weighed ``rows``.
+
+    Rows of a cell without tokens change no marginal; their weight is 1 at most.
+    """
+    ratio = F.round("ratio", s.digits)
+    weight = ratio * F.lit(float(s.share))
+    return fitted_cells(rows, s).select(
+        *DIMENSIONS, ratio.alias("ratio"),
+        F.when(F.col("tokens") > 0, weight).otherwise(F.least(F.lit(1.0), weight)).alias("weight"))
+
+
+def capped_mix(rows: DataFrame, s: MixSettings) -> DataFrame:
+    """The ``probability`` of every cell where no row may be there twice: min(1, factor * ratio)."""
     fitted = fitted_cells(rows, s)
     scale = scale_for(fitted, s.share, s.cap_rounds)
-    return fitted.select(
-        *DIMENSIONS, F.round("ratio", s.digits).alias("ratio"),
-        F.round(F.least(F.lit(1.0), F.col("ratio") * F.lit(scale)), s.digits).alias("probability"))
+    return fitted.select(*DIMENSIONS, F.round(
+        F.least(F.lit(1.0), F.col("ratio") * F.lit(scale)), s.digits).alias("probability"))
+
+
+def copies(weight: Column, draw: Column) -> Column:
+    """The whole part of the weight, and one more if the draw is below the fraction."""
+    return F.floor(weight) + (draw < weight - F.floor(weight)).cast("long")
 
 
 def mix_documents(docs: DataFrame, settings: MixSettings | None = None) -> DataFrame:
-    """One row per row of ``docs``: its cell, ``ratio``, ``probability`` and whether it is ``kept``.
+    """One row per row of ``docs``: its cell, ``ratio``, ``weight``, how many ``copies`` of it the mix
+    holds and whether that is any (``kept``).
 
-    A missing source or language is the label ``(none)``, a missing text has no tokens and the topic
-    ``empty``.  Equal ids share one draw, so repeated rows are kept or left together.  No documents
-    give no rows.  Other columns of ``docs`` are not looked at.
+    Copies are expected to sum up to ``share`` of the tokens with the fitted marginals; nothing is
+    capped.  A missing source or language is the label ``(none)``, a missing text has no tokens and
+    the topic ``empty``.  Equal ids share one draw, so repeated rows are kept or left together.  No
+    documents give no rows.  Other columns of ``docs`` are not looked at.
     """
     s = settings or MixSettings()
     rows = materialize(weighed(docs.select("doc_id", "source", "lang", "text")), "weighed")
     out = sized_join(rows, fitted_mix(rows, s), list(DIMENSIONS), spread="doc_id")
-    return out.select("doc_id", *DIMENSIONS, "tokens", "ratio", "probability").withColumn(
-        "kept", chance(F.col("doc_id"), s.seed) < F.col("probability"))
+    number = copies(F.col("weight"), chance(F.col("doc_id"), s.seed))
+    return out.select("doc_id", *DIMENSIONS, "tokens", "ratio", "weight", number.alias("copies")
+                      ).withColumn("kept", F.col("copies") > 0)
 
 
 def _placed(docs: DataFrame, fitted: DataFrame, value: str, s: MixSettings) -> DataFrame:
-    """``docs`` with ``_mix_chance``, its draw, and ``_mix_value``, the ``value`` of its cell."""
-    cell = [f"_mix_{d}" for d in DIMENSIONS]
-    placed = docs.select("*", *[c.alias(name) for c, name in zip(cell_columns(), cell)],
-                         chance(F.col("doc_id"), s.seed).alias("_mix_chance"))
+    """The columns of ``docs``, named by position, with ``draw`` and the ``value`` of each row's cell."""
+    cell = [f"cell_{d}" for d in DIMENSIONS]
+    placed = docs.select(
+        *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)],
+        *[c.alias(name) for c, name in zip(cell_columns(), cell)],
+        chance(F.col("doc_id"), s.seed).alias("draw"))
     fitted = fitted.select(*[F.col(d).alias(name) for d, name in zip(DIMENSIONS, cell)],
-                           F.col(value).alias("_mix_value"))
-    return sized_join(placed, fitted, cell, spread="_mix_chance")
+                           F.col(value).alias("value"))
+    return sized_join(placed, fitted, cell, spread="draw")
+
+
+def _unplaced(placed: DataFrame, docs: DataFrame) -> DataFrame:
+    return placed.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def sampled(docs: DataFrame, settings: MixSettings | None = None) -> DataFrame:
-    """The rows of ``docs`` that :func:`mix_documents` keeps, with all their columns.
+    """Rows of ``docs`` with all their columns, none of them twice.
 
-    No row is there twice, so a cell whose tokens should become more stays behind its target; see
-    :func:`repeated`.
+    A cell whose tokens should become more stays behind its target; see :func:`repeated`.
     """
     s = settings or MixSettings()
-    fitted = fitted_mix(weighed(docs.select("doc_id", "source", "lang", "text")), s)
-    kept = _placed(docs, fitted, "probability", s).filter("_mix_chance < _mix_value")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    fitted = capped_mix(weighed(docs.select("doc_id", "source", "lang", "text")), s)
+    return _unplaced(_placed(docs, fitted, "probability", s).filter("draw < value"), docs)
 
 
 def repeated(docs: DataFrame, settings: MixSettings | None = None) -> DataFrame:
-    """The rows of ``docs``, each as often as its weight ``share * ratio`` says, with all columns.
-
-    A row is there as often as the whole part of its weight, and once more if its draw is below the
-    fraction.  Nothing is capped, so the tokens are expected to sum up to ``share`` of all and to
-    have the fitted marginals, rare cells included.  Rows of a cell without tokens change neither
-    and are there once at most.  Equal ids share one draw.
-    """
+    """The rows of ``docs``, each as often as :func:`mix_documents` says, with all columns."""
     s = settings or MixSettings()
-    fitted = fitted_cells(weighed(docs.select("doc_id", "source", "lang", "text")), s)
-    weight = F.col("ratio") * F.lit(float(s.share))
-    fitted = fitted.withColumn("weight", F.when(F.col("tokens") > 0, weight).otherwise(
-        F.least(F.lit(1.0), weight)))
-    whole = F.floor("_mix_value")
-    more = (F.col("_mix_chance") < F.col("_mix_value") - whole).cast("long")
-    placed = _placed(docs, fitted, "weight", s).withColumn("_mix_copies", (whole + more).cast("int"))
-    placed = placed.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), F.col("_mix_copies"))))
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    fitted = fitted_mix(weighed(docs.select("doc_id", "source", "lang", "text")), s)
+    placed = _placed(docs, fitted, "weight", s)
+    number = copies(F.col("value"), F.col("draw")).cast("int")
+    return _unplaced(placed.withColumn("copy", F.explode(F.array_repeat(F.lit(0), number))), docs)

@@ -40,22 +40,17 @@ def mixing_sql(documents: str = "documents", s: MixSettings = MixSettings()) ->
   FROM (SELECT *, sum(tokens * ratio) OVER (PARTITION BY {d}) AS now FROM {last})
   LEFT JOIN target_{d} USING ({d}), total)""")
             last = name
-    ctes.append(f"scale_0 AS (SELECT {s.share}::DOUBLE AS scale)")
-    for k in range(s.cap_rounds):
-        ctes.append(f"""scale_{k + 1} AS MATERIALIZED (
-  SELECT CASE WHEN coalesce(sum(tokens * ratio) FILTER (ratio * scale < 1), 0) = 0
-    THEN any_value(scale) ELSE ({s.share} * any_value(total)
-      - coalesce(sum(tokens) FILTER (ratio * scale >= 1), 0))
-      / sum(tokens * ratio) FILTER (ratio * scale < 1) END AS scale
-  FROM {last}, scale_{k}, total)""")
     return f"""WITH {', '.join(ctes)}
-SELECT doc_id, source, lang, topic, r.tokens, ratio, probability,
-  ('0x' || substr(md5('{s.seed}:' || coalesce(doc_id::VARCHAR, '{NONE}')), 1, 13))::BIGINT
-    / {float(16 ** 13)!r} < probability AS kept
-FROM rows r JOIN (
-  SELECT source, lang, topic, round(ratio, {s.digits}) AS ratio,
-    round(least(1, ratio * scale), {s.digits}) AS probability
-  FROM {last}, scale_{s.cap_rounds}) USING (source, lang, topic)"""
+SELECT * EXCLUDE (draw), copies > 0 AS kept FROM (
+  SELECT *, floor(weight)::BIGINT + (draw < weight - floor(weight))::BIGINT AS copies
+  FROM (SELECT doc_id, source, lang, topic, r.tokens, ratio, weight,
+      ('0x' || substr(md5('{s.seed}:' || coalesce(doc_id::VARCHAR, '{NONE}')), 1, 13))::BIGINT
+        / {float(16 ** 13)!r} AS draw
+    FROM rows r JOIN (
+      SELECT source, lang, topic, round(ratio, {s.digits}) AS ratio,
+        CASE WHEN tokens > 0 THEN round(ratio, {s.digits}) * {s.share}::DOUBLE
+          ELSE least(1, round(ratio, {s.digits}) * {s.share}::DOUBLE) END AS weight
+      FROM {last}) USING (source, lang, topic)))"""
 
 
 QUERIES = {"op7_mixing": Query(op7_mixing, mixing_sql())}
