@@ -145,3 +145,24 @@ def test_shards_bound_the_postings(spark):
     index = ix.inverted_index(ix.document_index(docs), ix.shard_count(docs, cfg))
     sizes = [len(r["postings"]) for r in index.collect()]
     assert sum(sizes) == 2000 and len(sizes) == 20 and max(sizes) < 200
+
+
+def test_set_operations_on_bits(spark):
+    import random
+
+    rng = random.Random(3)
+    has = {t: {f"http://h/{rng.randrange(70_000)}" for _ in range(n)}
+           for t, n in (("often", 9000), ("some", 300), ("rare", 2), ("other", 8000))}
+    postings = spark.createDataFrame([(u, t, 1) for t, urls in has.items() for u in urls] + [("x", None, 0)],
+                                     "url STRING, term STRING, tf LONG").repartition(4)
+    numbers = ix.number_urls(postings)
+    bitmaps = ix.term_bitmaps(postings, numbers).cache()
+    assert bitmaps.filter("size(words) > 512").count() == 0
+    assert bitmaps.filter("term = 'often'").agg(F.sum(F.size("words"))).first()[0] < 400
+    got = lambda bits: {r["url"] for r in ix.urls_of(bits, numbers).collect()}
+    assert got(ix.bits_of_all(bitmaps, ["often", "OTHER"])) == has["often"] & has["other"]
+    assert got(ix.bits_of_all(bitmaps, ["often", "often"])) == has["often"]
+    assert got(ix.bits_of_all(bitmaps, ["rare", "none"])) == set()
+    assert got(ix.bits_of_any(bitmaps, ["some", "rare"])) == has["some"] | has["rare"]
+    assert got(ix.bits_without(bitmaps, "often", "other")) == has["often"] - has["other"]
+    assert got(ix.bits_without(bitmaps, "some", "none")) == has["some"]

@@ -175,3 +175,21 @@ def test_live_positions_of_every_batch(spark, tmp_path):
     ranges = Parts(spark, f"{path}/ranges", "key BIGINT, v BIGINT", 16)
     versions = [r["version"] for r in ranges.manifest(1).collect()]
     assert -1 in versions and 0 in versions  # a batch leaves ranges that it does not touch alone
+
+
+def test_late_rows_are_those_behind_the_watermark(spark, tmp_path):
+    schema = "id LONG, at LONG"
+    for batch in [[(1, 1000), (2, 1600)], [(3, 990), (4, 1000), (5, 1001), (6, None)], [(7, 5000)],
+                  [(8, 4399), (9, 4400), (10, 4401), (11, 900)]]:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    live = common.parquet_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema,
+                                 files_per_trigger=1).withColumn("ts", F.timestamp_seconds("at"))
+    path = str(tmp_path / "out")
+    events.late_rows_sink(live, "ts", path, "10 minutes")
+    late = spark.read.parquet(f"{path}/late")
+    assert {r["id"] for r in late.collect()} == {3, 4, 8, 9, 11}
+    # Spark drops none but those, and lets some of them through for another batch
+    counted = live.withWatermark("ts", "10 minutes").dropDuplicates(["id", "ts"])
+    query = common.run_available(counted.writeStream.format("noop"), spark=spark)
+    dropped = sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress)
+    assert 0 < dropped <= late.count()

@@ -176,6 +176,64 @@ def search_without(postings: DataFrame, term: str, without: str) -> DataFrame:
     return flags.filter("_has AND NOT _not").select("url")
 
 
+def number_urls(postings: DataFrame) -> DataFrame:
+    """(url, doc): the documents numbered from 0 in the order of their URLs, as a written table."""
+    urls = postings.select("url").distinct()
+    return materialize(row_numbers(urls, ["url"], "doc"), "numbers")
+
+
+def term_bitmaps(postings: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(term, shard, words): which documents have a term, 64 to a word; a shard is 2^15 documents.
+
+    ``words`` holds (word, bits) for words that are not zero, at most 512, in order; so a rare term
+    takes a word for a document and a frequent one a bit.
+    """
+    placed = sized_join(postings.select("term", "url").filter("term IS NOT NULL"), numbers, ["url"],
+                        spread="term")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("doc") % 64).cast("int"))
+    words = placed.groupBy("term", F.expr("doc div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return words.groupBy("term", F.expr("word div 512").alias("shard")).agg(
+        F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("words"))
+
+
+def _term_words(bitmaps: DataFrame, terms: Sequence[str]) -> DataFrame:
+    return bitmaps.filter(F.col("term").isin(list(terms))).select(
+        "term", F.explode("words").alias("w")).select("term", "w.*")
+
+
+def bits_of_all(bitmaps: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """(word, bits) of the documents that hold every term; terms are lower-cased like the index."""
+    wanted = list(dict.fromkeys(t.lower() for t in terms))
+    met = _term_words(bitmaps, wanted).groupBy("word").agg(
+        F.bit_and("bits").alias("bits"), F.count(F.lit(1)).alias("_n"))
+    return met.filter((F.col("_n") == len(wanted)) & (F.col("bits") != 0)).drop("_n")
+
+
+def bits_of_any(bitmaps: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """(word, bits) of the documents that hold some of the terms."""
+    return _term_words(bitmaps, [t.lower() for t in terms]).groupBy("word").agg(
+        F.bit_or("bits").alias("bits"))
+
+
+def bits_without(bitmaps: DataFrame, term: str, without: str) -> DataFrame:
+    """(word, bits) of the documents that hold ``term`` and not ``without``."""
+    has, lacks = term.lower(), without.lower()
+    both = _term_words(bitmaps, [has, lacks]).groupBy("word").agg(
+        F.bit_or(F.when(F.col("term") == has, F.col("bits"))).alias("_has"),
+        F.bit_or(F.when(F.col("term") == lacks, F.col("bits"))).alias("_not"))
+    left = F.col("_has").bitwiseAND(F.bitwise_not(F.coalesce("_not", F.lit(0).cast("long"))))
+    return both.select("word", left.alias("bits")).filter("bits <> 0")
+
+
+def urls_of(bits: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The URLs that the bits stand for: the only step with a row for each of them."""
+    places = F.filter(F.sequence(F.lit(0), F.lit(63)),
+                      lambda k: F.getbit("bits", k) == 1)
+    docs = bits.select((F.col("word") * 64).alias("_first"), F.explode(places).alias("_k")).select(
+        (F.col("_first") + F.col("_k")).alias("doc"))
+    return sized_join(numbers, docs, ["doc"], spread="url", how="left_semi").select("url")
+
+
 def save_postings(postings: DataFrame, path: str) -> None:
     """Range-partitioned by (term, url) and sorted, so a term filter prunes files and row groups."""
     postings.repartitionByRange("term", "url").sortWithinPartitions("term", "url").write.parquet(

@@ -158,6 +158,17 @@ def meter(spark, sf):
     return spark.read.schema("n BIGINT").parquet(path).agg(F.sum("n").alias("n"))
 
 
+def late_rows(spark, sf):
+    """Events that come in the order of a hash of their ids, so that many are late."""
+    path = scratch_path(spark, "late")
+    events = table(spark, sf, "events").withColumn("turn", F.conv(F.substring(
+        F.md5(F.col("event_id").cast("string")), 1, 4), 16, 10).cast("int"))
+    folder = common.in_files(events, "turn", 6)
+    live = common.parquet_stream(spark, folder, events.schema, files_per_trigger=1)
+    streams.late_rows_sink(live.withColumn("ts", instant("ts")), "ts", path, "3 days")
+    return spark.read.parquet(f"{path}/late").select("event_id", "batch")
+
+
 def throttle_stream(spark, sf):
     path = scratch_path(spark, "throttle")
     events = _event_stream(spark, sf, 10).withColumn("us", epoch_us("ts"))
@@ -278,6 +289,14 @@ QUERIES = {
         SELECT CAST(epoch_us(ts) // 21600000000 * 21600000000 AS BIGINT) AS start_us,
           round(count(*) / 21600.0, 9) AS rate FROM events GROUP BY 1"""),
     "meter": Query(meter, "SELECT count(*) AS n FROM events"),
+    "late_rows": Query(late_rows, f"""
+        WITH t AS (SELECT event_id, ts, ('0x' || substr(md5(event_id::VARCHAR), 1, 4))::INT AS turn
+                   FROM events),
+        e AS (SELECT event_id, ts, {_arrival_sql('turn', 't', 6)} AS batch FROM t),
+        seen AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING
+                   AND 1 PRECEDING) AS latest FROM e GROUP BY batch)
+        SELECT event_id, batch FROM e JOIN seen USING (batch)
+        WHERE ts <= date_trunc('millisecond', latest) - INTERVAL 3 DAYS"""),
     "debounce": Query(debounce, _DEBOUNCED),
     "debounce_stream": Query(debounce_stream, _DEBOUNCED),
     "throttle": Query(throttle, _THROTTLED),

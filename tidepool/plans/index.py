@@ -11,7 +11,7 @@ from tidepool.operators import sets
 from tidepool.plans import Query, table
 from tidepool.plans.crawl import quoted, text_sql
 from tidepool.sources import index_files
-from tidepool.storage import scratch_path
+from tidepool.storage import materialize, scratch_path
 
 # Small shards, so that a test table already has several.
 CFG = IndexConfig(docs_per_shard=100, block_bytes=50_000)
@@ -197,16 +197,24 @@ def read_dictionary(spark, sf):
     return index_files.read_dictionary(spark, _dictionary_file(spark, sf))
 
 
+def _bitmaps(spark, sf):
+    postings = _saved(spark, sf)
+    numbers = ops.number_urls(postings)
+    return materialize(ops.term_bitmaps(postings, numbers), "bitmaps"), numbers
+
+
 def set_union(spark, sf):
     return ops.search_any(_saved(spark, sf), ["and", "und"])
 
 
 def set_intersection(spark, sf):
-    return ops.search_all(_saved(spark, sf), ["the", "and"])
+    bitmaps, numbers = _bitmaps(spark, sf)
+    return ops.urls_of(ops.bits_of_all(bitmaps, ["the", "and"]), numbers)
 
 
 def set_difference(spark, sf):
-    return ops.search_without(_saved(spark, sf), "the", "and")
+    bitmaps, numbers = _bitmaps(spark, sf)
+    return ops.urls_of(ops.bits_without(bitmaps, "the", "and"), numbers)
 
 
 def table_set_operations(spark, sf):

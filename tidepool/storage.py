@@ -53,6 +53,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once and continue from the written table."""
     spark = df.sparkSession
+    ship_package(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -27,6 +27,30 @@ def flow_rate_stream(events: DataFrame, ts: str, seconds: int, metric: Column |
     return flow_rate(events.withWatermark(ts, delay), ts, seconds, metric)
 
 
+def late_rows_sink(events: DataFrame, ts: str, path: str, delay: str = WATERMARK,
+                   checkpoint: str | None = None):
+    """Keep the rows that come behind a watermark of this delay on ``ts``, below ``path/late``.
+
+    The watermark of a micro-batch is the latest time of all batches before it, less the delay; rows
+    that are not after it come late.  Operators with that watermark drop no other rows; they may take
+    some of these for a batch longer.  Each batch notes its own latest time below ``path/latest``, so
+    a batch that runs again, or a query that starts anew from its checkpoint, finds the same rows.  A
+    row without a time is never late.  Nothing but one row a batch is kept besides.
+    """
+    spark = events.sparkSession
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        before = None if batch_id == 0 else spark.read.schema("latest TIMESTAMP, batch BIGINT").parquet(
+            f"{path}/latest").filter(F.col("batch") < batch_id).agg(F.max("latest")).first()[0]
+        # milliseconds, as watermarks count
+        mark = F.date_trunc("millisecond", F.lit(before)) - F.expr(f"INTERVAL {delay}")
+        late = batch.filter(F.lit(False) if before is None else F.col(ts) <= mark)
+        write_batch(late, f"{path}/late", batch_id)
+        write_batch(batch.agg(F.max(ts).alias("latest")), f"{path}/latest", batch_id)
+
+    return run_available(events.writeStream.foreachBatch(keep), checkpoint, spark)
+
+
 def meter(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Pass rows through and count them; read ``observation.get["n"]`` after an action."""
     seen = Observation(name)
