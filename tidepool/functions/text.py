@@ -31,6 +31,10 @@ WORD_OR_MARK = r"[\p{L}\p{M}\p{N}_]+|[^\p{Z}\s]"
 # The five markup characters, encoded before and decoded apart from the others.
 MARKUP_ENTITIES = {"amp": "&", "quot": '"', "lt": "<", "gt": ">", "nbsp": "\u00a0"}
 
+# Further names that occur in most pages.
+COMMON_ENTITIES = ("middot", "bull", "copy", "reg", "trade", "ndash", "mdash", "hellip", "lsquo", "rsquo",
+                   "ldquo", "rdquo", "laquo", "raquo")
+
 
 def named_entities() -> dict[str, str]:
     """The other named entities of HTML 4, from the Latin ones to the symbols, by character."""
@@ -90,12 +94,14 @@ def _character(code: Column) -> Column:
 def decode_entities(text: Column | str) -> Column:
     """Named and numeric entities to characters in one pass; an unknown one stays as it is.
 
-    The markup characters, nearly all there is in most texts, are replaced one by one, the ampersand
+    The names that make up nearly all there is in most texts are replaced one by one, the ampersand
     last, so that what it brings about is not decoded again.  Only a text in which some other
     reference is left is taken to pieces.
     """
     src = F.col(text) if isinstance(text, str) else text
-    for name, char in MARKUP_ENTITIES.items():
+    names = named_entities()
+    common = MARKUP_ENTITIES | {name: names[name] for name in COMMON_ENTITIES}
+    for name, char in common.items():
         if name != "amp":
             src = F.replace(src, F.lit(f"&{name};"), F.lit(char))
     return F.when(src.rlike("&(?!amp;)"), _decode_pieces(src)).otherwise(

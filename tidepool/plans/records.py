@@ -119,13 +119,11 @@ def interval_overlap_join(spark, sf):
     e = events(spark, sf).select(
         "event_id", "user_id", "event_type", epoch_us("ts").alias("start"),
         (epoch_us("ts") + (F.round(F.col("value") * 100) * 600_000).cast("long")).alias("end"))
-    a = e.filter("event_type = 'purchase'").select(
-        "user_id", F.col("event_id").alias("a_id"), F.col("start").alias("a0"),
-        F.col("end").alias("a1"))
-    b = e.filter("event_type = 'error'").select(
-        "user_id", F.col("event_id").alias("b_id"), F.col("start").alias("b0"),
-        F.col("end").alias("b1"))
-    return overlap_join(a, b, ("a0", "a1"), ("b0", "b1"), on=["user_id"]).select(
+    side = lambda s: e.select("user_id", *[
+        F.col(c).alias(f"{s}{name}") for c, name in (("event_id", "_id"), ("event_type", "_type"),
+                                                     ("start", "0"), ("end", "1"))])
+    met = overlap_join(side("a"), side("b"), ("a0", "a1"), ("b0", "b1"), on=["user_id"])
+    return met.filter("a_type < b_type").select(
         "user_id", "a_id", "b_id", (F.least("a1", "b1") - F.greatest("a0", "b0")).alias("shared"))
 
 
@@ -275,7 +273,7 @@ QUERIES = {
         SELECT a.user_id, a.event_id AS a_id, b.event_id AS b_id,
           least(a.f, b.f) - greatest(a.s, b.s) AS shared
         FROM e a JOIN e b ON a.user_id = b.user_id AND a.s < b.f AND b.s < a.f
-        WHERE a.event_type = 'purchase' AND b.event_type = 'error'"""),
+        WHERE a.event_type < b.event_type"""),
     "query_by_example_join": Query(query_by_example_join, """
         WITH ex AS (SELECT min(s_suppkey) AS example, n, m FROM (SELECT s_suppkey,
             CASE WHEN s_acctbal > 1000 THEN s_nationkey END AS n,
