@@ -290,3 +290,27 @@ def test_rollup_and_bounds(spark):
     bars = spark.createDataFrame([("s", 2, 9, 1, 3), ("s", 4, 5, 4, 5)],
                                  "s STRING, open INT, high INT, low INT, close INT")
     assert rows(stats.series_bounds(bars, ["s"], ymin=-1)) == [("s", -1.0, 9, 2)]
+
+
+def test_tax_numbers(spark):
+    from tidepool.functions import rules as R
+    persons = {"111.444.777-35": True, "11144477735": True, "111444777-35": True, "111.444.777-36": False,
+               "11111111111": False, "111.444.77735": False, "abc": False, "": False}
+    companies = {"11.222.333/0001-81": True, "11222333/0001-81": True, "112223330001-81": True,
+                 "11222333000181": True, "11222333000180": False, "00000000000000": False, "11.222.3330001-81": False}
+    for check, cases in ((R.br_cpf, persons), (R.br_cnpj, companies)):
+        df = spark.createDataFrame([(v,) for v in cases] + [(None,)], "v STRING")
+        got = {r["v"]: r["ok"] for r in df.select("v", check("v").alias("ok")).collect()}
+        assert got.pop(None) is False and got == cases
+
+
+def test_hexadecimal_addresses_and_labels(spark):
+    from tidepool.functions import rules as R
+    cases = {"0xff.0x0.0x01.0x00ff": True, "0x100.0x0.0x0.0x0": False, "0x0000ffffffff": True, "0x100000000": False,
+             "0x": False, "0xg1.0x1.0x1.0x1": False, "0x" + "0" * 40 + "1": True, "0x" + "f" * 40: False}
+    df = spark.createDataFrame([(v,) for v in cases], "v STRING")
+    got = {r["v"]: r["ok"] for r in df.select("v", R.ip_address("v").alias("ok")).collect()}
+    assert got == cases
+    hosts = {"a.b": True, "a-.b": False, "-a.b": False, "a" * 63 + ".org": True, "a" * 64 + ".org": False, "a_b.org": False}
+    df = spark.createDataFrame([(v,) for v in hosts], "v STRING")
+    assert {r["v"]: r["ok"] for r in df.select("v", R.host_name(F.col("v")).alias("ok")).collect()} == hosts

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -38,8 +40,12 @@ CA_PROVINCES = "AB BC MB NB NL NS NT NU ON PE QC SK YT".split()
 
 # Characters of a mail name's atoms (RFC 5322, 3.2.3) and of a host's labels (RFC 1123, 2.1).
 ATOM = r"^[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+$"
-LABEL = r"^[a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?$"
-ADDRESS_MAX = 0xFFFFFFFF
+LABEL_CHARACTERS = string.ascii_lowercase + string.digits + "-"
+LABEL_MAX, ADDRESS_MAX = 63, 0xFFFFFFFF
+
+# How Brazilian tax numbers of persons and of companies are written.
+BR_CPF = ["###.###.###-##", "#########-##", "###########"]
+BR_CNPJ = ["##.###.###/####-##", "########/####-##", "############-##", "##############"]
 
 
 def _text(value: Column | str) -> Column:
@@ -107,8 +113,21 @@ def _octet(part: Column) -> Column:
     return part.rlike("^(0|[1-9][0-9]{0,2})$") & (part.try_cast("int") <= 255)
 
 
+def _made_of(value: Column, characters: str) -> Column:
+    return (value != "") & (F.translate(value, characters, "") == "")
+
+
+def _hex_up_to(value: Column, most: int) -> Column:
+    """``0x`` and hexadecimal digits that stand for at most ``most``."""
+    digits = F.substr(value, F.lit(3))
+    short = F.ltrim(digits, F.lit("0"))
+    known = value.startswith("0x") & _made_of(digits, "0123456789abcdef") & (F.length(short) < 16)
+    return known & F.when(known & (short != ""), F.conv(short, 16, 10).cast("long") <= most).otherwise(
+        F.lit(True))
+
+
 def _hex_octet(part: Column) -> Column:
-    return part.rlike("^0x0*[0-9a-f]{1,2}$")
+    return _hex_up_to(part, 255)
 
 
 def _octal_octet(part: Column) -> Column:
@@ -129,7 +148,7 @@ def _dotted(value: Column) -> Column:
 def _number(value: Column) -> Column:
     """An address as one number of 32 bits."""
     decimal = value.rlike("^(0|[1-9][0-9]{0,9})$") & (value.try_cast("long") <= ADDRESS_MAX)
-    return decimal | value.rlike("^0x0*[0-9a-f]{1,8}$")
+    return decimal | _hex_up_to(value, ADDRESS_MAX)
 
 
 def _colons(value: Column) -> Column:
@@ -149,8 +168,12 @@ def ip_address(value: Column | str) -> Column:
 def host_name(value: Column) -> Column:
     """Two labels or more, the last one beginning with a letter; a closing dot is allowed."""
     labels = F.split(F.regexp_replace(value, r"\.$", ""), r"\.")
-    return (F.size(labels) >= 2) & F.forall(labels, lambda x: x.rlike(LABEL)) & F.element_at(
-        labels, -1).rlike("^[a-z]")
+    return (F.size(labels) >= 2) & F.forall(labels, _label) & F.element_at(labels, -1).rlike("^[a-z]")
+
+
+def _label(part: Column) -> Column:
+    return (_made_of(part, LABEL_CHARACTERS) & (F.length(part) <= LABEL_MAX)
+            & ~part.startswith("-") & ~part.endswith("-"))
 
 
 def _host(value: Column) -> Column:
@@ -240,3 +263,30 @@ def credit_card(value: Column | str, kind: str) -> Column:
 def cvv(value: Column | str, kind: str) -> Column:
     size = CVV_LENGTH.get(kind.lower())
     return whole(value, rf"\d{{{size}}}") if size else F.lit(False)
+
+
+def _closes(digits: Column, n: int, weight) -> Column:
+    """The digit behind the first ``n`` is their check digit modulo 11, weighted from the right."""
+    digit = lambda i: F.substring(digits, i + 1, 1).try_cast("int")
+    total = F.lit(0)
+    for i in range(n):
+        total = total + digit(i) * weight(n - 1 - i)
+    return digit(n) == total * 10 % 11 % 10
+
+
+def _tax_number(value: Column | str, formats: list[str], size: int, weight) -> Column:
+    digits = F.regexp_replace(_text(value), "[^0-9]", "")
+    mixed = F.translate(digits, "0123456789", "0000000000") == "0" * size
+    varied = digits != F.repeat(F.substring(digits, 1, 1), F.lit(size))
+    return number_format(value, formats) & _sure(
+        mixed & varied & _closes(digits, size - 2, weight) & _closes(digits, size - 1, weight))
+
+
+def br_cpf(value: Column | str) -> Column:
+    """A person's tax number: nine digits and two check digits, not all alike."""
+    return _tax_number(value, BR_CPF, 11, lambda k: k + 2)
+
+
+def br_cnpj(value: Column | str) -> Column:
+    """A company's tax number: twelve digits and two check digits, not all alike."""
+    return _tax_number(value, BR_CNPJ, 14, lambda k: k % 8 + 2)

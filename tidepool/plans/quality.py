@@ -31,6 +31,29 @@ def rule_report(spark, sf):
         "cvv": R.cvv(t, "ax"), "card": F.size(R.card_types(t)) > 0}, weight="n")
 
 
+def tax_numbers(spark, sf):
+    """Numbers made from order keys, some with check digits that fit, in all ways of writing them."""
+    key = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.lpad((key * 998_244_353 % 10 ** 11).cast("string"), 11, "0").alias("p"),
+        F.lpad((key * 998_244_353 * 13 % 10 ** 14).cast("string"), 14, "0").alias("c"))
+    part = lambda c, a, n: F.substring(c, a, n)
+    person = F.when(key % 3 == 0, F.col("p")).when(key % 3 == 1, F.concat(
+        part("p", 1, 9), F.lit("-"), part("p", 10, 2))).otherwise(F.concat(
+            part("p", 1, 3), F.lit("."), part("p", 4, 3), F.lit("."), part("p", 7, 3), F.lit("-"),
+            part("p", 10, 2)))
+    company = F.when(key % 2 == 0, F.col("c")).otherwise(F.concat(
+        part("c", 1, 8), F.lit("/"), part("c", 9, 4), F.lit("-"), part("c", 13, 2)))
+    return o.select("o_orderkey", R.br_cpf(person).alias("cpf"), R.br_cnpj(company).alias("cnpj"))
+
+
+def _closes_sql(digits: str, n: int, weight: str) -> str:
+    """Weights go by k, from the right."""
+    total = (f"list_sum(list_transform(range(0, {n}), lambda k: ({weight}) * "
+             f"substr({digits}, {n} - k::INT, 1)::INT))")
+    return f"substr({digits}, {n + 1}, 1)::INT = {total} * 10 % 11 % 10"
+
+
 def rule_failures(spark, sf):
     c = table(spark, sf, "customer").withColumn("digits", F.substring("c_name", 10, 9))
     return ops.rule_failures(c, {
@@ -170,6 +193,14 @@ QUERIES = {
         + " FROM t WHERE token <> '')\n" + " UNION ALL ".join(
             f"SELECT '{name}' AS rule, n, {name} AS n_pass, n - {name} AS n_fail FROM n"
             for name in _RULES)),
+    "tax_numbers": Query(tax_numbers, f"""
+        WITH o AS (SELECT o_orderkey,
+            lpad((o_orderkey * 998244353 % 100000000000)::VARCHAR, 11, '0') AS p,
+            lpad((o_orderkey * 998244353 * 13 % 100000000000000)::VARCHAR, 14, '0') AS c FROM orders)
+        SELECT o_orderkey, {_closes_sql('p', 9, 'k + 2')} AND {_closes_sql('p', 10, 'k + 2')}
+            AND p <> repeat(p[1], 11) AS cpf,
+          {_closes_sql('c', 12, 'k % 8 + 2')} AND {_closes_sql('c', 13, 'k % 8 + 2')}
+            AND c <> repeat(c[1], 14) AS cnpj FROM o"""),
     "rule_failures": Query(rule_failures, f"""
         WITH c AS (SELECT *, substr(c_name, 10, 9) AS digits, '0' || substr(c_name, 10, 9) AS book
                    FROM customer)
