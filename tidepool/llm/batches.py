@@ -6,20 +6,52 @@ vector operations for all bytes of a slice, whatever the texts' lengths.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
-SLICE_ROWS = 4096
+SLICE_BYTES = 1 << 19
+SLICE_ROWS = 1024
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE = None
 
 
+def release_memory() -> None:
+    """Give what is free back to the system: Python workers are used again by later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not a C library that can
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function for ``mapInArrow`` that leaves no free memory behind in its worker."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
+def lean_group(work: Callable[[pa.Table], pa.Table]):
+    """The same for ``applyInArrow`` on groups."""
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return work(table)
+        finally:
+            release_memory()
+
+    return run
+
+
 def slices(column: pa.Array, max_bytes: int = SLICE_BYTES, max_rows: int = SLICE_ROWS
            ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) for runs of rows; a longer text is a run of its own."""
@@ -58,11 +90,22 @@ def byte_values() -> np.ndarray:
     return _BYTE
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: int) -> np.ndarray:
+    """The first powers of a base; those for usual slices are computed once in a process."""
+    if n <= 2 * SLICE_BYTES:
+        if base not in _POWERS:
+            _POWERS[base] = _powers(2 * SLICE_BYTES, base)
+        return _POWERS[base][:n]
+    return _powers(n, base)
+
+
+def _powers(n: int, base: int) -> np.ndarray:
     out = np.full(n, base, _U)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out, dtype=_U) if n else out
+    out[0] = 1
+    return np.multiply.accumulate(out, dtype=_U)
 
 
 class SpanHash:
@@ -79,6 +122,11 @@ class SpanHash:
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.back[starts])
 
+    def windows(self, width: int) -> np.ndarray:
+        """The hashes of all spans of one width, as :meth:`spans` gives them."""
+        n = len(self.sums) - width
+        return mix((self.sums[width:] - self.sums[:n]) * self.back[:n])
+
 
 class SequenceHash:
     """Hashes of spans of a sequence of 64-bit values: equal values give equal hashes."""
@@ -99,8 +147,13 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _words(data: np.ndarray, offsets: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, first word of every text) of texts that stand end to end."""
+    data = _LOWER[data] if fold else data
     solid = ~_BLANK[data]
     begins = np.zeros(len(data) + 1, bool)
     begins[offsets] = True  # a text starts a word even if the one before ends in one
@@ -116,7 +169,7 @@ def _long_word(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
-def _long_text(data: np.ndarray, piece: int) -> np.ndarray:
+def _long_text(data: np.ndarray, piece: int, fold: bool) -> np.ndarray:
     """Hashes of the words of one text, worked on in pieces that end at a blank."""
     raw, out, at = memoryview(data), [], 0
     while at < len(data):
@@ -130,24 +183,25 @@ def _long_text(data: np.ndarray, piece: int) -> np.ndarray:
                     step = np.flatnonzero(_BLANK[data[end:end + piece]])
                     end = end + int(step[0]) if len(step) else min(end + piece, len(data))
                 if end - at > LONG_WORD:
-                    out.append(np.array([_long_word(bytes(raw[at:end]))], _U))
+                    word = bytes(raw[at:end])
+                    out.append(np.array([_long_word(word.lower() if fold else word)], _U))
                     at = end
                     continue
-        out.append(_words(data[at:end], np.array([0, end - at]))[0])
+        out.append(_words(data[at:end], np.array([0, end - at]), fold)[0])
         at = end
     return np.concatenate([np.zeros(0, _U), *out])
 
 
-def word_runs(column: pa.Array, piece: int = SLICE_BYTES
+def word_runs(column: pa.Array, piece: int = SLICE_BYTES, fold: bool = False
               ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, hashes of the words, first word of every row and their end) for runs of rows.
 
-    Words are separated by ASCII white space.  A text longer than ``piece`` is a run of its own; beyond
+    Words are separated by ASCII white space; with ``fold``, A-Z count as a-z.  A text longer than ``piece`` is a run of its own; beyond
     its bytes it takes eight bytes a word and the room for one piece.
     """
     for first, end, data, offsets in slices(column, piece):
         if end == first + 1 and len(data) > 2 * piece:
-            words = _long_text(data, piece)
+            words = _long_text(data, piece, fold)
             yield first, words, np.array([0, len(words)])
         else:
-            yield first, *_words(data, offsets)
+            yield first, *_words(data, offsets, fold)
