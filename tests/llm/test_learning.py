@@ -12,7 +12,7 @@ from tidepool.llm.language import (
 )
 from tidepool.llm.language_queries import op10_language_id
 from tidepool.llm.mixing import (
-    DIMENSIONS, MixSettings, mix_documents, raked, repeated, sampled, scale_for, smoothed_targets,
+    DIMENSIONS, MixSettings, mix_documents, raked, repeated, residual, sampled, scale_for, smoothed_targets,
     topic_of, weighed,
 )
 from tidepool.llm.permutation_index import IndexSettings, nearest, spread_out
@@ -67,6 +67,28 @@ def test_ngram_counts_by_hand():
     assert counts[2].sum() == 6 and counts[3].sum() == 1 and counts[1].sum() == 0
 
 
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    import tidepool.llm.language as language
+    s = LanguageSettings(features=512)
+    texts = ["Ein  Haus, das — dort steht. ".encode() * 30, "漢字かな交じり文".encode() * 40, b"", b"ab",
+             b"12 34 " * 50, b"a" * 300 + b"  " + b"b" * 7]
+    whole = ngram_counts(texts, s)
+    monkeypatch.setattr(language, "PIECE", 37)
+    parts = ngram_counts(texts, s)
+    assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+
+
+def test_accepted_rows_keep_all_columns(spark):
+    import tidepool.llm.language as language
+    rows = [(i, "the cat and the dog " * 3, "en") for i in range(30)]
+    rows += [(100 + i, "der hund und die katze " * 3, "de") for i in range(30)] + [(7, None, "en"), (8, "", "x")]
+    docs = docs_table(spark, rows)
+    model = fit_language_model(docs, F.xxhash64("doc_id"))
+    got = language.accepted_rows(docs, model, 0.5)
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(r[0] for r in rows[:60])
+
+
 def test_penalties_make_weights_sparse():
     rng = np.random.default_rng(0)
     x = (rng.random((300, 40)) < 0.2).astype(np.float32)
@@ -199,6 +221,7 @@ def test_raking_reaches_the_targets(spark):
         for r in got:
             if r[d] in want:
                 assert abs(r["w"] / total - want[r[d]]) < 1e-6
+    assert residual(fitted, targets) < 1e-6 < residual(cells.withColumn("ratio", F.lit(1.0)), targets)
     scale = scale_for(fitted, 0.9, 30)
     kept = sum(r["tokens"] * min(1.0, scale * r["ratio"]) for r in fitted.collect())
     assert abs(kept - 0.9 * total) < 1e-3 * total
@@ -212,24 +235,40 @@ def test_mixing_odd_rows(spark):
     assert len(got) == len(rows)
     by = {r["doc_id"]: r for r in got}
     assert by[1]["lang"] == "(none)" and by[1]["topic"] == "empty" and by[1]["tokens"] == 0
-    assert all(0 <= r["probability"] <= 1 for r in got)
+    assert all(r["weight"] >= 0 and r["copies"] in (math.floor(r["weight"]), math.floor(r["weight"]) + 1)
+               and r["kept"] == (r["copies"] > 0) for r in got)
+    assert all(r["weight"] <= 1 for r in got if r["tokens"] == 0)
     twice = [r for r in got if r["doc_id"] == 4]
     assert twice[0] == twice[1]
-    kept = sampled(docs)
+    kept = repeated(docs)
     assert kept.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(
-        str(r["doc_id"]) for r in got if r["kept"])
+        str(r["doc_id"]) for r in got for _ in range(r["copies"]))
+    once = sampled(docs)
+    assert once.columns == docs.columns and once.exceptAll(docs).count() == 0
     assert mix_documents(docs_table(spark, [])).count() == 0
-    assert sampled(docs_table(spark, [])).count() == 0
+    assert repeated(docs_table(spark, [])).count() == sampled(docs_table(spark, [])).count() == 0
+
+
+def test_mixing_takes_columns_of_any_name(spark):
+    names = ["draw", "value", "copy", "_mix_chance", "cell_source", "_c0"]
+    docs = docs_table(spark, [(i, "a b c", "en") for i in range(30)]).select(
+        "doc_id", "text", "lang", "source", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    for mix in (repeated, sampled):
+        got = mix(docs)
+        assert got.columns == docs.columns and got.exceptAll(docs.unionAll(docs)).count() == 0
+        assert [got.first()[c] for c in names] == list(range(6))
 
 
 def test_sample_has_the_share_it_should(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     settings = MixSettings(share=0.6)
     got = mix_documents(docs, settings).cache()
-    tokens = got.agg(F.sum("tokens").alias("all"), F.sum(F.when(F.col("kept"), F.col("tokens")))
+    tokens = got.agg(F.sum("tokens").alias("all"), F.sum(F.col("copies") * F.col("tokens"))
                      .alias("kept")).first()
     assert abs(tokens["kept"] / tokens["all"] - 0.6) < 0.02
+    once = weighed(sampled(docs, settings)).agg(F.sum("tokens")).first()[0]
+    assert abs(once / tokens["all"] - 0.6) < 0.02
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 

@@ -17,7 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.llm.batches import lean
+from tidepool.storage import materialize, sized_join
+
 UNDETERMINED = "und"
+PIECE = 4 << 20
+_MOST = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
@@ -46,6 +51,7 @@ class LanguageModel:
     settings: LanguageSettings = field(default_factory=LanguageSettings)
 
 
+SparseRows = list[tuple[np.ndarray, np.ndarray]]
 _LETTER: np.ndarray | None = None
 
 
@@ -59,11 +65,41 @@ def _letters() -> np.ndarray:
 def ngram_counts(texts: list[bytes], settings: LanguageSettings) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-gram counts (texts, features) and how many letters each text has.
 
-    Texts are lower-cased; whatever is not a letter counts as a blank, runs of blanks as one.
+    Texts are lower-cased; whatever is not a letter counts as a blank, runs of blanks as one.  A text
+    longer than ``PIECE`` bytes is counted in pieces, cut at blanks if it has any.
     """
+    long = [i for i, t in enumerate(texts) if len(t) > PIECE]
+    if not long:
+        return _counted([t.decode("utf-8", "replace") for t in texts], settings)[:2]
+    counts, letters = ngram_counts([t if len(t) <= PIECE else b"" for t in texts], settings)
+    for i in long:
+        before = ""  # the end of the piece before, as far as n-grams reach into the next one
+        for piece in _pieces(texts[i]):
+            both, n, ends = _counted([before + piece.decode("utf-8", "replace"), before], settings)
+            counts[i] += both[0] - both[1]
+            letters[i] += n[0] - n[1]
+            before = ends[0]
+    return counts, letters
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    at = 0
+    while at < len(raw):
+        end = at + PIECE
+        if end < len(raw):
+            blank = raw.rfind(b" ", at, end)
+            end = blank + 1 if blank >= 0 else end
+            while blank < 0 and end < len(raw) and raw[end] & 0xC0 == 0x80:
+                end += 1  # whole characters
+        yield raw[at:end]
+        at = end
+
+
+def _counted(texts: list[str], settings: LanguageSettings
+             ) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Counts and letters of each text, and its last characters as they were counted."""
     size = settings.features
-    codes = [np.frombuffer(t.decode("utf-8", "replace").lower().encode("utf-32-le", "replace"),
-                           np.uint32) for t in texts]
+    codes = [np.frombuffer(t.lower().encode("utf-32-le", "replace"), np.uint32) for t in texts]
     lengths = np.array([len(c) for c in codes], np.int64)
     row = np.repeat(np.arange(len(texts)), lengths)
     code = np.concatenate([*codes, np.zeros(0, np.uint32)])
@@ -73,6 +109,10 @@ def ngram_counts(texts: list[bytes], settings: LanguageSettings) -> tuple[np.nda
     blank_run = np.zeros(len(code), bool)
     blank_run[1:] = ~letter[1:] & ~letter[:-1] & (row[1:] == row[:-1])
     code, row = code[~blank_run], row[~blank_run]
+    last = np.searchsorted(row, np.arange(len(texts)), "right")
+    first = np.searchsorted(row, np.arange(len(texts)))
+    ends = ["".join(map(chr, code[max(a, b - settings.longest + 1):b].tolist()))
+            for a, b in zip(first.tolist(), last.tolist())]
     counts = np.zeros(len(texts) * size, np.int64)
     key = np.zeros(len(code), np.uint64)
     for n in range(1, settings.longest + 1):
@@ -84,10 +124,10 @@ def ngram_counts(texts: list[bytes], settings: LanguageSettings) -> tuple[np.nda
         cell = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(size)
         cell = cell.astype(np.int64) + row[:end] * size
         counts += np.bincount(cell[inside], minlength=len(counts))
-    return counts.reshape(len(texts), size), letters
+    return counts.reshape(len(texts), size), letters, ends
 
 
-def _text_groups(column: pa.Array, max_bytes: int = 1 << 20, max_rows: int = 256):
+def _text_groups(column: pa.Array, max_bytes: int = 1 << 19, max_rows: int = 128):
     held, size = [], 0
     for value in column:
         held.append(value.as_py() or b"")
@@ -105,6 +145,16 @@ def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
+def sparse_tf_idf(cells, counts, idf: np.ndarray) -> SparseRows:
+    """(features, values) of each row, from its features and their counts."""
+    out = []
+    for columns, n in zip(cells, counts):
+        columns = np.asarray(columns, np.int32)
+        x = np.log1p(np.asarray(n), dtype=np.float32) * idf[columns].astype(np.float32)
+        out.append((columns, x / np.sqrt((x * x).sum()) if len(x) else x))
+    return out
+
+
 def document_frequencies(texts: DataFrame, settings: LanguageSettings) -> tuple[int, np.ndarray]:
     """Rows, and rows per feature, over all of ``texts``; each task adds up what it has seen."""
     size = settings.features
@@ -120,7 +170,7 @@ def document_frequencies(texts: DataFrame, settings: LanguageSettings) -> tuple[
         yield pa.RecordBatch.from_arrays(
             [pa.array(cells), pa.array(np.append(found[found > 0], rows))], ["feature", "n"])
 
-    counted = texts.mapInArrow(count, "feature long, n long").groupBy("feature").agg(
+    counted = texts.mapInArrow(lean(count), "feature long, n long").groupBy("feature").agg(
         F.sum("n").alias("n"))
     out, rows = np.zeros(size, np.int64), 0
     for feature, n in counted.collect():  # at most one row per feature
@@ -131,15 +181,20 @@ def document_frequencies(texts: DataFrame, settings: LanguageSettings) -> tuple[
     return rows, out
 
 
-def follow_the_leader(x: np.ndarray, y: np.ndarray, languages: int, settings: LanguageSettings
-                      ) -> tuple[np.ndarray, np.ndarray]:
+def follow_the_leader(x: np.ndarray | SparseRows, y: np.ndarray, languages: int,
+                      settings: LanguageSettings) -> tuple[np.ndarray, np.ndarray]:
     """Weights and bias of multinomial logistic regression, one row at a time.
 
+    ``x`` is a matrix, or (features, values) of each row for all ``settings.features``.
+
     Each weight is the minimiser of the linearised losses so far plus the two penalties; weights
     whose accumulated gradient stays within ``l1`` are exactly zero.
     """
     s = settings
-    width = x.shape[1] + 1  # the last column is the bias, which is not penalised
+    width = s.features + 1  # the last column is the bias, which is not penalised
+    if isinstance(x, np.ndarray):
+        width = x.shape[1] + 1
+        x = [(np.flatnonzero(row), row[row != 0]) for row in x]
     z, n = np.zeros((languages, width)), np.zeros((languages, width))
     l1 = np.append(np.full(width - 1, s.l1), 0.0)
 
@@ -150,8 +205,7 @@ def follow_the_leader(x: np.ndarray, y: np.ndarray, languages: int, settings: La
 
     for epoch in range(s.epochs):
         for i in np.random.default_rng(epoch).permutation(len(x)):
-            columns = np.append(np.flatnonzero(x[i]), width - 1)
-            value = np.append(x[i, columns[:-1]], 1.0)
+            columns, value = np.append(x[i][0], width - 1), np.append(x[i][1], 1.0)
             w = solve(columns)
             p = _softmax(w @ value)
             p[y[i]] -= 1
@@ -187,21 +241,23 @@ def fit_temperature(scores: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
-def _sample(training: DataFrame, order, settings: LanguageSettings) -> DataFrame:
-    """For each language the rows that come first by ``order``, a hash; found without their texts."""
-    narrow = training.select("lang", order.alias("_order"))
-    languages = narrow.select("lang").distinct().count()
-    each = max(2, min(settings.per_language, settings.max_sample // max(1, languages)))
+def _sample(training: DataFrame, settings: LanguageSettings) -> DataFrame:
+    """For each language the rows that come first by ``_order``, a hash; found without their texts.
+
+    A language's rows are thinned by a threshold on the hash that leaves about twice as many as are
+    wanted, so a window over a language sees a bounded number of rows however many it has.
+    """
+    narrow = training.select("lang", "_order")
+    counted = materialize(narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows")), "languages")
+    each = max(2, min(settings.per_language, settings.max_sample // max(1, counted.count())))
+    place = F.pmod(F.xxhash64("_order", F.lit("sample")), F.lit(1 << 52)) / float(1 << 52)
+    thinned = sized_join(narrow, counted, ["lang"], spread="_order").filter(
+        place * F.col("_rows") <= 2 * each + 16)
     first = Window.partitionBy("lang").orderBy("_order")
-    last = narrow.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= each).groupBy(
-        "lang").agg(F.max("_order").alias("_last"))  # ranks are limited before the shuffle
-    bounds = {r["lang"]: r["_last"] for r in last.collect()}  # one row per language
-    if not bounds:
-        return training.limit(0).withColumn("_order", order)
-    chosen = F.lit(False)
-    for lang, bound in bounds.items():
-        chosen = chosen | ((F.col("lang") == lang) & (order <= bound))
-    return training.filter(chosen).withColumn("_order", order).dropDuplicates(["lang", "_order"])
+    chosen = thinned.select("lang", "_order").distinct().withColumn(
+        "_n", F.row_number().over(first)).filter(F.col("_n") <= each).drop("_n")
+    chosen = sized_join(training, chosen, ["lang", "_order"], spread="_order", how="left_semi")
+    return chosen.dropDuplicates(["lang", "_order"])
 
 
 def fit_language_model(training: DataFrame, order, settings: LanguageSettings | None = None
@@ -226,29 +282,30 @@ def fit_language_model(training: DataFrame, order, settings: LanguageSettings |
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(letters),
                      pa.array([c.astype(np.int32) for c in cells], pa.list_(pa.int32())),
-                     pa.array([counts[i, c] for i, c in enumerate(cells)], pa.list_(pa.int64()))],
+                     pa.array([np.minimum(counts[i, c], _MOST).astype(np.int32)
+                               for i, c in enumerate(cells)], pa.list_(pa.int32()))],
                     ["lang", "_order", "letters", "cells", "counts"])
                 done += len(group)
 
-    sample = _sample(usable.select("lang", "text", order.alias("_key")), F.col("_key"), settings)
+    sample = _sample(usable.select("lang", "text", order.alias("_order")), settings)
     sample = sample.select("lang", "_order", F.col("text").cast("binary").alias("text")).mapInArrow(
-        features, "lang string, _order long, letters long, cells array<int>, counts array<bigint>")
-    got: pd.DataFrame = sample.filter("letters > 0").toPandas()  # at most max_sample rows
-    got = got.sort_values(["_order", "lang"], kind="stable")
-    languages = sorted(got["lang"].unique())
-    size = settings.features
+        lean(features), "lang string, _order long, letters long, cells array<int>, counts array<int>")
+    got = sample.filter("letters > 0").toArrow()  # at most max_sample sparse rows
+    got = got.sort_by([("_order", "ascending"), ("lang", "ascending")]).combine_chunks()
+    lang = np.array(got["lang"].to_pylist(), object)
+    languages = sorted(set(lang))
     if not languages:
-        empty = np.zeros((0, size), np.float32)
+        empty = np.zeros((0, settings.features), np.float32)
         return LanguageModel([], idf, empty, np.zeros(0, np.float32), 1.0, settings)
-    counts = np.zeros((len(got), size), np.int64)
-    for i, (cells, values) in enumerate(zip(got["cells"], got["counts"])):
-        counts[i, cells] = values
-    x, y = tf_idf(counts, idf), np.searchsorted(languages, got["lang"])
-    held = np.arange(len(got)) % settings.calibration_part == 0
+    x = sparse_tf_idf(got["cells"].to_numpy(), got["counts"].to_numpy(), idf)
+    y = np.array([languages.index(one) for one in lang])
+    held = np.arange(len(x)) % settings.calibration_part == 0
     if len(np.unique(y[~held])) < len(languages):
         held[:] = False
-    weights, bias = follow_the_leader(x[~held], y[~held], len(languages), settings)
-    temperature = fit_temperature(x[held] @ weights.T + bias, y[held])
+    some = lambda mask: [x[i] for i in np.flatnonzero(mask)]
+    weights, bias = follow_the_leader(some(~held), y[~held], len(languages), settings)
+    scores = [weights[:, columns] @ value + bias for columns, value in some(held)]
+    temperature = fit_temperature(np.array(scores), y[held])
     return LanguageModel(languages, idf, weights, bias, temperature, settings)
 
 
@@ -285,7 +342,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, keys: list[str]) ->
                      pa.array(names[best], pa.string()), pa.array(top)],
                     [*keys, "lang_pred", "score"])
 
-    return rows.mapInArrow(predict, schema)
+    return rows.mapInArrow(lean(predict), schema)
 
 
 def accepts(model: LanguageModel, min_score: float):
@@ -299,3 +356,21 @@ def accepts(model: LanguageModel, min_score: float):
         return pd.Series((best < len(model.languages)) & (top >= min_score))
 
     return accepted
+
+
+def accepted_rows(docs: DataFrame, model: LanguageModel, min_score: float) -> DataFrame:
+    """The rows of ``docs`` whose language is told with that probability, all columns as they are."""
+    names = docs.columns
+    held = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    text = names.index("text")
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for group in _text_groups(batch.column(text).cast(pa.binary())):
+                best, top = _predicted(group, model)
+                good = (best < len(model.languages)) & (top >= min_score)
+                yield batch.slice(done, len(group)).filter(pa.array(good))
+                done += len(group)
+
+    return held.mapInArrow(lean(choose), held.schema).toDF(*names)
