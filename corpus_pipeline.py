@@ -9,7 +9,8 @@ empty texts, repeated rows and empty tables are defined by the operators' docstr
   rows that agree in both one stays.  Of a group one row stays, that of the smallest id; ids that are
   missing come last, and texts that share an id in the order of the hash.
 * repeats: a null text stays null; ``n_chars`` follows a text that got shorter.
-* mixing: rows that share an id stay or leave together, unless their labels or texts differ.
+* mixing: rows that share an id stay or leave together, unless their labels or texts differ; a row
+  whose cell should weigh more than it does comes several times.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.language import accepts
+from tidepool.llm.language import accepted_rows
 from tidepool.llm.language_queries import learned
-from tidepool.llm.mixing import sampled
+from tidepool.llm.mixing import repeated
 from tidepool.llm.near_duplicates import NearSettings, near_duplicates
 from tidepool.llm.packing import pack_documents
 from tidepool.llm.repeats import RepeatSettings, without_repeats
@@ -34,7 +35,7 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with some certainty (operator 10)."""
-    return docs.filter(accepts(learned(docs), MIN_SCORE)(F.col("text").cast("binary")))
+    return accepted_rows(docs, learned(docs), MIN_SCORE)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,8 +79,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with raked source, language and topic weights (operator 7)."""
-    return sampled(docs)
+    """A mix with raked source, language and topic weights (operator 7)."""
+    return repeated(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
