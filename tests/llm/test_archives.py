@@ -111,3 +111,17 @@ def test_a_broken_archive_ends_at_the_break(spark, tmp_path):
     assert read("cut.warc") == [0, 1, 2, 3]
     assert read("broken.warc") == [0, 1]
     assert read("late.warc") == []
+
+
+def test_both_versions_of_the_format(spark, tmp_path):
+    def record(version, kind, page, payload):
+        block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
+        return (f"WARC/{version}\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:{page}>\r\n"
+                f"Content-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+    (tmp_path / "a.warc").write_bytes(record("1.0", "response", 1, b"one WARC/1.1\r\n inside WARC/1.0\r\n x")
+                                      + record("1.0", "response", 2, b"two"))
+    (tmp_path / "b.warc").write_bytes(record("1.1", "warcinfo", 3, b"") + record("1.1", "response", 4, b"WARC/1.0"))
+    got = warc.read_warc(spark, str(tmp_path)).collect()
+    assert sorted((r["page_id"], r["record_type"], r["payload_bytes"]) for r in got) == [
+        (1, "response", 34), (2, "response", 3), (3, "warcinfo", 0), (4, "response", 8)]

@@ -13,6 +13,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +23,7 @@ from tidepool.storage import materialize, sized_join
 
 # Fixed values of the format.
 MAGIC = "WARC/1.0\r\n"
+MAGICS = (MAGIC, "WARC/1.1\r\n")  # of the versions that are read, equally long
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -124,9 +126,9 @@ def _record(fields: dict[str, str], block: bytes) -> tuple:
             fields.get("warc-target-uri"), size, digest)
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
+def _pieces(spark: SparkSession, path: str, magic: str) -> DataFrame:
     """What stands between magic lines, in the order of the file within each split."""
-    lines = spark.read.option("lineSep", MAGIC).text(path)
+    lines = spark.read.option("lineSep", magic).text(path)
     return lines.select(F.col("_metadata.file_path").alias("file"),
                         F.col("_metadata.file_block_start").alias("split"),
                         F.col("value").cast("binary").alias("value"))
@@ -222,14 +224,27 @@ def _walk(rows: pa.Table) -> pa.Table:
         "end", pa.array(ends, pa.int64()))
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """The magic lines that stand in the first splits of the files, as the first ones must."""
+    lines = spark.read.option("lineSep", "\r\n").text(path).filter("_metadata.file_block_start = 0")
+    found = lines.filter(F.col("value").isin([m.strip() for m in MAGICS])).select("value").distinct()
+    return [f"{r['value']}\r\n" for r in found.collect()]  # two at most
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The records that a chain from the start of their file reaches.
+    """The records that a chain from the start of their file reaches, for archives of versions 1.0 and
+    1.1, which may stand in one folder; a file has one version.
 
     ``page_id, record_type, refers_to, target_uri, payload_bytes, payload_digest``: size and digest
     of a response are taken from the payload as read.  A file that does not begin with a record, and
     whatever follows a broken record, yields none.  A folder without archives yields no rows.
     """
-    scanned = materialize(_pieces(spark, path).mapInArrow(_candidates, _CANDIDATE), "candidates")
+    read = [_read_version(spark, path, magic) for magic in _versions(spark, path)]
+    return reduce(DataFrame.unionByName, read) if read else spark.createDataFrame([], _RECORD)
+
+
+def _read_version(spark: SparkSession, path: str, magic: str) -> DataFrame:
+    scanned = materialize(_pieces(spark, path, magic).mapInArrow(_candidates, _CANDIDATE), "candidates")
     splits = scanned.groupBy("file", "split").agg(F.sum(F.col("size") + len(MAGIC)).alias("n"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = materialize(splits.select("file", "split", F.coalesce(
@@ -255,10 +270,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         return plain
     pieces = walked.join(broken.select("file", "end").distinct(), ["file", "end"]).select(
         "file", "split", (F.col("place") - F.col("base")).alias("local"), "place", "end")
-    return plain.union(_joined(spark, path, materialize(pieces, "parts")))
+    return plain.union(_joined(spark, path, magic, materialize(pieces, "parts")))
 
 
-def _joined(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
+def _joined(spark: SparkSession, path: str, magic: str, parts: DataFrame) -> DataFrame:
     """Records whose payload holds magic lines: their pieces are read again and put together."""
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for file, split, place, piece in _placed(batches):
@@ -266,7 +281,7 @@ def _joined(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
                 [{"file": file, "split": split, "local": place, "piece": piece}])
 
     schema = "file string, split long, local long, piece binary"
-    found = sized_join(_pieces(spark, path).mapInArrow(again, schema), parts,
+    found = sized_join(_pieces(spark, path, magic).mapInArrow(again, schema), parts,
                        ["file", "split", "local"], spread="piece")
     found = materialize(found, "pieces")
     if found.count() != parts.count():
@@ -279,7 +294,7 @@ def _joined(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for pieces in batch.column(0):
-                text = _MAGIC.join(p["piece"] for p in pieces.as_py())
+                text = magic.encode().join(p["piece"] for p in pieces.as_py())
                 start, length, fields = _header(text)
                 if text[start + length:] == _END:
                     out.append(_record(fields, text[start:start + length]))
