@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.batches import SequenceHash, mix, word_runs
+from tidepool.llm.batches import SequenceHash, lean, lean_group, mix, word_runs
 from tidepool.storage import materialize, narrow_join, sized_join
 
 NO_ID = -(1 << 63)
@@ -96,7 +96,7 @@ def _gram_rows(docs: DataFrame, s: CoverSettings, located: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["g", "c", "k", "h", "p"][:len(columns)])
 
     rows = docs.select(F.col("text").cast("binary"), *(["k", "h"] if located else []))
-    return rows.mapInArrow(find, "g long, c long, k long, h long, p int" if located else "g long")
+    return rows.mapInArrow(lean(find), "g long, c long, k long, h long, p int" if located else "g long")
 
 
 def _signed(h: np.ndarray) -> pa.Array:
@@ -133,7 +133,7 @@ def _window_hashes(texts: DataFrame, s: CoverSettings) -> DataFrame:
                     ["g", "k", "h", "p", "once", "windows"])
 
     return texts.select("t", "k", "h", "wanted").mapInArrow(
-        cut, "g long, k long, h long, p int, once boolean, windows array<bigint>")
+        lean(cut), "g long, k long, h long, p int, once boolean, windows array<bigint>")
 
 
 def _extended(kinds: DataFrame, s: CoverSettings) -> DataFrame:
@@ -165,7 +165,7 @@ def _extended(kinds: DataFrame, s: CoverSettings) -> DataFrame:
                          "start": starts, "end": (starts + s.window).astype(np.int32)})
 
     dealt = kinds.withColumn("task", F.pmod(F.xxhash64("g", F.lit("task")), F.lit(tasks)))
-    return dealt.groupBy("task").applyInArrow(compare, "k long, h long, start int, end int")
+    return dealt.groupBy("task").applyInArrow(lean_group(compare), "k long, h long, start int, end int")
 
 
 def _extended_hot(kinds: DataFrame, s: CoverSettings) -> DataFrame:
@@ -267,7 +267,7 @@ def window_digest(docs: DataFrame, settings: CoverSettings | None = None) -> Dat
                     ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return rows.select(F.col("doc_id").cast("long"), "t", "spans").mapInArrow(
-        digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+        lean(digest), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_repeated_windows(docs: DataFrame, settings: CoverSettings | None = None) -> DataFrame:

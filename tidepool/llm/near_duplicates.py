@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.batches import SpanHash, mix, slices
+from tidepool.llm.batches import lean, lean_group, mix, release_memory, word_runs
 from tidepool.llm.components import connected_components
 from tidepool.storage import materialize, sized_join
 
 BLOCK = 1000                   # classes of one key that are compared with as many others at once
-TASK_ROWS = 40_000             # rows of keys in a group of such comparisons
-CELL_BYTES = 64 << 20          # of the sets, each counted for every pair, that are confirmed together
+TASK_ROWS = 20_000             # rows of keys in a group of such comparisons
+CELL_BYTES = 32 << 20          # of the sets, each counted for every pair, that are confirmed together
 HUB_PAIRS = 2000               # pairs of one class that are confirmed together
 NO_ID = -(1 << 63)
 
@@ -64,16 +64,7 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.nd
     A-Z count as a-z.  A text with fewer words than a shingle is one shingle, one without any has an
     empty set.
     """
-    for first, end, data, offsets in slices(column):
-        data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
-        blank = (data == 32) | ((data >= 9) & (data <= 13))
-        inner = np.ones(len(data) + 1, bool)
-        inner[offsets] = False  # a text starts a word even if the one before ends in one
-        solid = ~blank
-        starts = np.flatnonzero(solid & np.append(True, blank[:-1] | ~inner[1:-1]))
-        ends = np.flatnonzero(solid & np.append(blank[1:] | ~inner[1:-1], True)) + 1
-        word = SpanHash(data).spans(starts, ends)
-        bounds = np.searchsorted(starts, offsets)
+    for first, word, bounds in word_runs(column, fold=True):
         sets = []
         for a, b in zip(bounds[:-1], bounds[1:]):
             n = b - a
@@ -155,7 +146,7 @@ def sketches(docs: DataFrame, settings: NearSettings) -> DataFrame:
                      _lists(_keys(signatures, settings)).take(known)],
                     ["doc_id", "n_shingles", "d1", "d2", "bits", "keys"])
 
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(sketch, schema)
+    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(lean(sketch), schema)
 
 
 def differing_bits(a: Column, b: Column, settings: NearSettings) -> Column:
@@ -234,7 +225,7 @@ def _left_pairs(buckets: DataFrame, roots: DataFrame, classes: DataFrame, s: Nea
         none = np.zeros(0, np.int64)
         return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])})
 
-    return rows.groupBy("task").applyInArrow(compare, "a long, b long")
+    return rows.groupBy("task").applyInArrow(lean_group(compare), "a long, b long")
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -273,6 +264,8 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: NearSet
             at = np.searchsorted(large, small)
             shared = int((large[np.minimum(at, len(large) - 1)] == small).sum())
             good[row] = 100 * shared >= s.similarity_percent * (len(small) + len(large) - shared)
+        held.clear()
+        release_memory()
         return pa.table({"a": a[good], "b": b[good]})
 
     placed = needed.withColumnRenamed("cell", "home").join(sets, "node")
@@ -297,7 +290,7 @@ def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, s: NearSet
                      pa.array([x.tobytes() for x in sets], pa.binary())], ["d1", "d2", "shingles"])
 
     found = texts.select(F.col("text").cast("binary")).mapInArrow(
-        collect, "d1 long, d2 long, shingles binary")
+        lean(collect), "d1 long, d2 long, shingles binary")
     sets = wanted.select("node", "d1", "d2").join(found, ["d1", "d2"])
     return materialize(sets.groupBy("node").agg(F.any_value("shingles").alias("shingles")), "sets")
 

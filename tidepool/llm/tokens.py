@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_ID = 2
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 BATCH_IDS = 1_000_000
 
 _BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
