@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 1 << 19
 SLICE_ROWS = 1024
@@ -30,9 +31,32 @@ def release_memory() -> None:
         pass  # not a C library that can
 
 
-def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """A function for ``mapInArrow`` that leaves no free memory behind in its worker."""
+BATCH_ROWS = 1000
+
+
+def whole_texts(docs: DataFrame) -> DataFrame:
+    """``docs``, after making sure that its session sends whole texts in small Arrow batches.
+
+    A batch stands in the memory of both the JVM and the worker, and 10,000 texts, the default, have
+    no bound worth the name.  A session that sets ``spark.sql.execution.arrow.maxRecordsPerBatch``
+    itself keeps its own value.
+    """
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", docs.sparkSession.conf
+    if conf.get(name, "10000") == "10000":
+        conf.set(name, str(BATCH_ROWS))
+    return docs
+
+
+CACHES: list[Callable[[], None]] = []  # what empties the caches that outlive a task
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: bool = False):
+    """A function for ``mapInArrow`` that leaves no free memory behind in its worker, and, unless it
+    is to ``keep`` them, empties the caches that functions of another kind have left there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            for empty in CACHES:
+                empty()
         try:
             yield from work(batches)
         finally:
@@ -44,6 +68,8 @@ def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
 def lean_group(work: Callable[[pa.Table], pa.Table]):
     """The same for ``applyInArrow`` on groups."""
     def run(table: pa.Table) -> pa.Table:
+        for empty in CACHES:
+            empty()
         try:
             return work(table)
         finally:

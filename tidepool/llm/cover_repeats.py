@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.batches import SequenceHash, lean, lean_group, mix, word_runs
+from tidepool.llm.batches import SequenceHash, lean, lean_group, mix, whole_texts, word_runs
 from tidepool.storage import materialize, narrow_join, sized_join
 
 NO_ID = -(1 << 63)
@@ -184,7 +184,7 @@ def repeated_windows(docs: DataFrame, s: CoverSettings) -> DataFrame:
     A span is one long: its first word, from ``_SHIFT`` up, and its length in the lowest bits.  Spans
     may overlap and, at the ends, reach beyond the text by less than a window.
     """
-    counted = _gram_rows(docs, s, False).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    counted = _gram_rows(whole_texts(docs), s, False).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     twice = materialize(counted.filter("n > 1").select("g"), "grams")
     again = materialize(_gram_rows(docs, s, True).join(twice, "g"), "again")
 

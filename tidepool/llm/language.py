@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.batches import lean
+from tidepool.llm.batches import lean, whole_texts
 from tidepool.storage import materialize, sized_join
 
 UNDETERMINED = "und"
@@ -268,7 +268,7 @@ def fit_language_model(training: DataFrame, order, settings: LanguageSettings |
     and hash count once there).  Without any usable row the model knows no language.
     """
     settings = settings or LanguageSettings()
-    usable = training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    usable = whole_texts(training).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows, found = document_frequencies(usable.select(F.col("text").cast("binary")), settings)
     idf = np.log((1 + rows) / (1 + found)) + 1
 
@@ -327,7 +327,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, keys: list[str]) ->
     A text that is null or has no letter is ``und`` with score 0, and so is any text if the model
     knows no language.
     """
-    rows = docs.select(*keys, F.col("text").cast("binary").alias("_text"))
+    rows = whole_texts(docs).select(*keys, F.col("text").cast("binary").alias("_text"))
     schema = ", ".join([*(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys),
                         "lang_pred string, score double"])
     names = np.array([*model.languages, UNDETERMINED], object)
@@ -361,7 +361,7 @@ def accepts(model: LanguageModel, min_score: float):
 def accepted_rows(docs: DataFrame, model: LanguageModel, min_score: float) -> DataFrame:
     """The rows of ``docs`` whose language is told with that probability, all columns as they are."""
     names = docs.columns
-    held = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    held = whole_texts(docs).toDF(*[f"_c{i}" for i in range(len(names))])
     text = names.index("text")
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

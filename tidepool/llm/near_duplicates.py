@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.batches import lean, lean_group, mix, release_memory, word_runs
+from tidepool.llm.batches import lean, lean_group, mix, release_memory, whole_texts, word_runs
 from tidepool.llm.components import connected_components
 from tidepool.storage import materialize, sized_join
 
@@ -250,7 +250,7 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: NearSet
     dealt = materialize(pairs.select("a", "b", F.pmod(F.xxhash64(
         "a", F.pmod(F.xxhash64("b"), F.lit(salts))), F.lit(cells)).alias("cell")), "dealt")
     needed = dealt.select("cell", F.col("a").alias("node")).union(dealt.select("cell", "b")).distinct()
-    sets = _full_sets(docs, classes, needed.select("node").distinct(), s)
+    sets = _full_sets(docs, classes, needed, s)
 
     def confirm(_, pairs: pa.Table, sets: pa.Table) -> pa.Table:
         if not pairs.num_rows or not sets.num_rows:
@@ -268,15 +268,16 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: NearSet
         release_memory()
         return pa.table({"a": a[good], "b": b[good]})
 
-    placed = needed.withColumnRenamed("cell", "home").join(sets, "node")
-    return dealt.groupBy("cell").cogroup(placed.groupBy("home")).applyInArrow(
+    return dealt.groupBy("cell").cogroup(sets.groupBy("home")).applyInArrow(
         confirm, "a long, b long")
 
 
-def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, s: NearSettings) -> DataFrame:
-    """``node, shingles`` (sorted 64-bit hashes) of some classes, from one text of each."""
-    wanted = materialize(classes.join(nodes, "node").select(
-        "node", "d1", "d2", F.coalesce("min_id", F.lit(NO_ID)).alias("k")), "wanted")
+def _full_sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, s: NearSettings) -> DataFrame:
+    """``home, node, shingles`` (sorted 64-bit hashes) for the cells and classes that are ``needed``,
+    from one text of each class."""
+    wanted = materialize(needed.join(classes, "node").select(
+        F.col("cell").alias("home"), "node", "d1", "d2",
+        F.coalesce("min_id", F.lit(NO_ID)).alias("k")), "wanted")
     keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), "text")
     texts = sized_join(keyed, wanted.select("k").distinct(), ["k"], spread="text", how="left_semi")
 
@@ -291,8 +292,10 @@ def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, s: NearSet
 
     found = texts.select(F.col("text").cast("binary")).mapInArrow(
         lean(collect), "d1 long, d2 long, shingles binary")
-    sets = wanted.select("node", "d1", "d2").join(found, ["d1", "d2"])
-    return materialize(sets.groupBy("node").agg(F.any_value("shingles").alias("shingles")), "sets")
+    # texts of one class meet where they meet the cells that need it: one shuffle of the sets
+    found = found.groupBy("d1", "d2").agg(F.any_value("shingles").alias("shingles"))
+    return wanted.select("home", "node", "d1", "d2").join(found, ["d1", "d2"]).select(
+        "home", "node", "shingles")
 
 
 def near_duplicates(docs: DataFrame, settings: NearSettings | None = None) -> DataFrame:
@@ -306,7 +309,7 @@ def near_duplicates(docs: DataFrame, settings: NearSettings | None = None) -> Da
     Other columns of ``docs`` are not looked at.
     """
     s = settings or NearSettings()
-    docs = docs.select("doc_id", "text")
+    docs = whole_texts(docs).select("doc_id", "text")
     drawn = materialize(sketches(docs, s), "sketches")
     classes = drawn.filter("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(
         F.min("doc_id").alias("min_id"), F.any_value("bits").alias("bits"),

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.batches import lean
+from tidepool.llm.batches import lean, whole_texts
 from tidepool.llm.tokens import END_ID, crc32, default_tokenizer, encoded_texts
 from tidepool.storage import materialize, sized_join
 
@@ -137,7 +137,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int | No
                         ["doc_id", "n", "tail", "tail_crc", "full_crcs", "ids"])
                     first, held, size = i + 1, [], 0
 
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(lean(encode), schema)
+    return whole_texts(docs).select("doc_id", F.col("text").cast("binary")).mapInArrow(lean(encode, keep=True), schema)
 
 
 def running_start(df: DataFrame, index: str, value: str, out: str) -> DataFrame:

@@ -16,8 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.llm.batches import CACHES
+
 END_ID = 2
-CACHE_WORDS = 150_000
+CACHE_WORDS = 500_000
 BATCH_IDS = 1_000_000
 
 _BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
@@ -120,6 +122,7 @@ class Encoder:
 
 _MARK_BYTES = _MARK.encode()
 _encoders: dict[str, Encoder] = {}
+CACHES.append(_encoders.clear)
 
 
 def encoder(path: str) -> Encoder:
