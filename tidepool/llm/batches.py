@@ -57,6 +57,7 @@ def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], k
         if not keep:
             for empty in CACHES:
                 empty()
+        release_memory()
         try:
             yield from work(batches)
         finally:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.batches import CACHES
+from tidepool.llm.batches import CACHES, release_memory
 
 END_ID = 2
 CACHE_WORDS = 500_000
@@ -129,6 +129,7 @@ def encoder(path: str) -> Encoder:
     """The worker's encoder; workers are reused, so its cache outlives a task."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+        release_memory()  # what reading the file took
     return _encoders[path]
 
 
