@@ -139,6 +139,20 @@ def test_rows_without_an_order_arrive_first(spark):
     assert os.path.basename(common.in_files(empty, "k")).startswith("arriving")
 
 
+def test_a_large_range_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(common, "FILE_ROWS", 100)
+    df = spark.createDataFrame([(i if i < 450 else 997 + i % 3, i) for i in range(500)], "k LONG, v LONG")
+    df = df.filter("k < 997 OR v < 452")  # two rows in the last range, none in the one before
+    folder, files = common.dealt(df, "k")
+    stored = spark.read.parquet(folder).groupBy(F.input_file_name()).count()
+    assert files == 3 and max(r["count"] for r in stored.collect()) <= 100
+    path = scratch_path(spark, "seen")
+    common.run_available(common.arriving(df, "k").writeStream.foreachBatch(
+        lambda batch, n: common.write_batch(batch, path, n)), spark=spark)
+    seen = spark.read.parquet(path).groupBy("batch").agg(F.count("k"), F.min("k"), F.max("k"))
+    assert sorted(map(tuple, seen.collect())) == [(0, 250, 0, 249), (1, 200, 250, 449), (2, 2, 997, 998)]
+
+
 def test_parts_replace_only_what_changes(spark, tmp_path):
     parts = Parts(spark, str(tmp_path / "p"), "k BIGINT", 4)
     table = spark.range(40).select(F.col("id").alias("k"), (F.col("id") % 4).cast("int").alias("part"))

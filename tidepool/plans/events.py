@@ -31,17 +31,15 @@ def _events(spark, sf):
 
 def _event_stream(spark, sf, parts=4):
     """The events in ranges of their ids, each of which is a micro-batch."""
-    folder = common.in_files(table(spark, sf, "events"), "event_id", parts)
-    return common.parquet_stream(spark, folder, EVENTS, files_per_trigger=1)
+    return common.arriving(table(spark, sf, "events"), "event_id", parts, EVENTS)
 
 
 def _page_stream(spark, sf, parts=4):
-    folder = common.in_files(table(spark, sf, "pages"), "page_id", parts)
-    return common.parquet_stream(spark, folder, PAGES, files_per_trigger=1)
+    return common.arriving(table(spark, sf, "pages"), "page_id", parts, PAGES)
 
 
 def _arrival_sql(column: str, source: str, parts: int = 4) -> str:
-    """The micro-batch of a row, as ``in_files`` deals them out."""
+    """The micro-batch of a row, as ``arriving`` deals them out."""
     low, high = (f"(SELECT {f}({column}) FROM {source})" for f in ("min", "max"))
     return f"coalesce((({column} - {low}) * {parts}) // ({high} - {low} + 1), 0)::INTEGER"
 
@@ -163,8 +161,7 @@ def late_rows(spark, sf):
     path = scratch_path(spark, "late")
     events = table(spark, sf, "events").withColumn("turn", F.conv(F.substring(
         F.md5(F.col("event_id").cast("string")), 1, 4), 16, 10).cast("int"))
-    folder = common.in_files(events, "turn", 6)
-    live = common.parquet_stream(spark, folder, events.schema, files_per_trigger=1)
+    live = common.arriving(events, "turn", 6)
     streams.late_rows_sink(live.withColumn("ts", instant("ts")), "ts", path, "3 days")
     return spark.read.parquet(f"{path}/late").select("event_id", "batch")
 
@@ -179,11 +176,11 @@ def throttle_stream(spark, sf):
 def _sessions_done(spark, sf, gap):
     """A last file with one event of no user, days later, lets the watermark pass all sessions."""
     table_ = table(spark, sf, "events")
-    folder = common.in_files(table_, "event_id")
+    folder, files = common.dealt(table_, "event_id")
     late = table_.agg((F.max("ts") + F.expr("INTERVAL 3 DAYS")).alias("ts"))
     late.select(*[(F.col("ts") if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name)
                   for f in EVENTS]).write.mode("append").parquet(folder)
-    events = common.parquet_stream(spark, folder, EVENTS, files_per_trigger=1)
+    events = common.parquet_stream(spark, folder, EVENTS, files_per_trigger=files)
     sessions = streams.session_stream(events.withColumn("ts", instant("ts")), ["user_id"], "ts",
                                       "event_id", gap)
     path = scratch_path(spark, "sessions")
@@ -217,8 +214,7 @@ def buffered_replay(spark, sf):
 def live_query(spark, sf):
     path = scratch_path(spark, "live")
     lines = table(spark, sf, "lineitem")
-    folder = common.in_files(lines, "l_linenumber")
-    stream = changes.log_of(common.parquet_stream(spark, folder, lines.schema, files_per_trigger=1))
+    stream = changes.log_of(common.arriving(lines, "l_linenumber"))
     base = changes.base(spark, sf)
     keys = [sort_key("cents", descending=True), sort_key("key")]
     streams.live_query(base, stream, lambda df: df.filter("cents > 2500000"), ["cents"], keys,

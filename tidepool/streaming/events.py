@@ -230,7 +230,7 @@ def live_query(base: DataFrame, changes: DataFrame, result: Callable[[DataFrame]
         own = Window.partitionBy("part").orderBy(*sort)
         borders = placed.read(batch_id + 1).withColumn("_first", F.row_number().over(own)).filter(
             "_first = 1 AND part > 0").drop("_first")  # a row for each range
-        borders.coalesce(1).write.mode("overwrite").parquet(f"{path}/borders/batch={batch_id}")
+        borders.repartition(1).write.mode("overwrite").parquet(f"{path}/borders/batch={batch_id}")
 
     def borders_before(batch_id: int) -> DataFrame:
         known = spark.read.schema(f"{columns}, part INT, batch BIGINT").parquet(f"{path}/borders")
