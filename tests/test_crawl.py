@@ -156,3 +156,20 @@ def test_text_and_entities(spark):
     assert r[0] == "Onetwo three four <x> &amp; © end"
     assert r[1] == "&auml; &amp; &quot;&eacute;&quot; &lt;&ntilde;&gt;"
     assert r[2] == "ä&lt;&unknown;&& ÿ"
+
+
+def test_links_are_extracted_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def fetch(html):
+        read.add(1)
+        return html
+
+    pages = spark.createDataFrame([(f"http://a.org/{i}", f'<a href="/{i + 1}">') for i in range(40)],
+                                  "url STRING, html STRING")
+    seeds = spark.createDataFrame([("http://a.org/37",)], "url STRING")
+    got = crawl.crawl_bfs(pages.withColumn("html", fetch("html")), seeds, ["a.org"])
+    assert rows(got) == [("http://a.org/37", 0, "fetched"), ("http://a.org/38", 1, "fetched"),
+                         ("http://a.org/39", 2, "fetched"), ("http://a.org/40", 3, "missing")]
+    assert read.value == 40

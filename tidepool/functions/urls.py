@@ -93,7 +93,7 @@ def base_parts(base: Column | str) -> Column:
 
 def resolve_ref(parts: Column, ref: Column) -> Column:
     """Absolute form of ``ref``; the common root-relative reference needs no pattern at all."""
-    path = F.regexp_extract(ref, r"^[^?#]*", 0)
+    path = F.substring_index(F.substring_index(ref, "#", 1), "?", 1)
     rest = F.regexp_extract(ref, r"^[^?#]*(.*)$", 1)
     joined = F.when(path.startswith("/"), path).otherwise(F.concat(parts["folder"], path))
     return (

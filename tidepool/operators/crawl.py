@@ -13,6 +13,8 @@ from tidepool.operators.ordered import row_numbers
 from tidepool.schemas import FRONTIER
 from tidepool.storage import fits_broadcast, materialize, scratch_path, sized_join
 
+BUCKET_EDGES = 2_000_000  # edges of a hash bucket
+
 
 def seed_source(spark: SparkSession, roots: Sequence[str] | DataFrame) -> DataFrame:
     """The root URLs, configured or a table with a column ``url``, as a frontier of depth 0."""
@@ -33,12 +35,15 @@ def extract_links(pages: DataFrame, roots: Sequence[str] | None = None,
 
     References are resolved against the document's base.
     """
-    refs = pages.select(F.col("url").alias("src"), base_parts(document_base("url", "html")).alias(
-        "_base"), hrefs("html").alias("_refs")).filter("_base IS NOT NULL")
+    # A column of its own: the base is then found once for all parts that are taken from it.
+    refs = pages.select(F.col("url").alias("src"), document_base("url", "html").alias("_at"),
+                        hrefs("html").alias("_refs"))
+    refs = refs.select("src", base_parts("_at").alias("_base"), "_refs")
     # Resolving inside the generator makes ``dst`` a plain column: filters on it are then evaluated
-    # on its value, instead of being pushed down with a copy of the whole expression each.
-    links = refs.select("src", F.explode(F.transform(
-        "_refs", lambda ref: resolve_ref(F.col("_base"), ref))).alias("dst")).filter(
+    # on its value, instead of being pushed down with a copy of the whole expression each.  Pages
+    # without a base are left out in the same place for the same reason.
+    links = refs.select("src", F.explode(F.when(F.col("_base").isNotNull(), F.transform(
+        "_refs", lambda ref: resolve_ref(F.col("_base"), ref)))).alias("dst")).filter(
             fetchable("dst"))
     return links if roots is None else links.filter(in_scope("dst", roots, scope))
 
@@ -70,24 +75,37 @@ def link_graph(links: DataFrame) -> DataFrame:
     return ends.groupBy("url").agg(F.sum("o").alias("out_degree"), F.sum("i").alias("in_degree"))
 
 
+def _by_source(edges: DataFrame) -> DataFrame:
+    """The edges, written once in hash buckets of ``src``, so that no round shuffles them again."""
+    spark = edges.sparkSession
+    edges = materialize(edges, "settled")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  -(-edges.count() // BUCKET_EDGES))
+    path = scratch_path(spark, "edges")
+    name = "tidepool_" + path.rsplit("/", 1)[-1].replace("-", "_")
+    edges.repartition(buckets, "src").write.bucketBy(buckets, "src").sortBy("src").option(
+        "path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def crawl_bfs(pages: DataFrame, seeds: DataFrame, roots: Sequence[str] | None = None,
               max_depth: int | None = None, scope: str = "contains") -> DataFrame:
     """(url, depth, status) of every URL the crawl reaches, status ``fetched`` or ``missing``.
 
-    Links are extracted once, and whether a link's target is in the snapshot is settled once, too.
-    Each round is then a semi join of the edges with the round's URLs and an anti join with what was
-    seen.  Rounds are written to the shared folder, so a lost executor costs one round.  The loop
-    ends when a round brings nothing new.
+    Links are extracted once and written before anything measures them, and whether a link's target
+    is in the snapshot is settled once, too.  Each round is then a semi join of the edges with the
+    round's URLs and an anti join with what was seen.  Rounds are written to the shared folder, so a
+    lost executor costs one round.  The loop ends when a round brings nothing new.
     """
     spark = pages.sparkSession
     status = F.when(F.col("_known"), "fetched").otherwise("missing").alias("status")
     known = materialize(pages.select("url").distinct().withColumn("_known", F.lit(True)), "known")
     links = extract_links(pages, roots, scope).filter(acceptable_path("dst")).distinct()
+    links = materialize(links, "links")
     targets = F.broadcast(known) if fits_broadcast(known) else known
     settled = sized_join(links.withColumnRenamed("dst", "url"), known, ["url"], spread="src",
                          how="left").select("src", "url", status)
-    # In ranges of the source, so that a round reads only the row groups that hold its pages.
-    edges = materialize(settled.repartitionByRange("src").sortWithinPartitions("src"), "edges")
+    edges = _by_source(settled)
     rounds = scratch_path(spark, "rounds")
     row = "url STRING, status STRING"
 
