@@ -49,6 +49,24 @@ def test_words_encode_like_whole_texts(spark, sf, path):
         assert encoder.text(text.encode()) == want, text[:80]
 
 
+def test_signs_and_case_do_not_change_ids(whole):
+    coder = tokens.Encoder(PATH)
+    texts = ["Word word. WORD,. word$$$ word.'s it's IT'S (word) \"Word\" 12. 12.5% -word- É. ÉTÉ!!",
+             "J\u030c j\u030c \u01f0 I\u0307 i\u0307 \u0130 \u212a K", "--.. .,; a.b.c. …. ß. Σας ΣΑΣ.",
+             "<|ENDOFTEXT|> Word", "x\u00a0y. Ab\u2014.. ab\u2014.."]
+    for text in texts:
+        assert coder.text(text.encode()) == whole(text)[:-1].tobytes(), text
+
+
+def test_a_stem_is_encoded_once(monkeypatch):
+    coder, stems, slow = tokens.Encoder(PATH), [], []
+    model, encode = coder.tokenize, coder._encode
+    monkeypatch.setattr(coder, "tokenize", lambda word: stems.append(word) or model(word))
+    monkeypatch.setattr(coder, "_encode", lambda text: slow.append(text) or encode(text))
+    coder.text(b"Heaned heaned. heaned$$$ HEANED!! heaned,")
+    assert stems == ["heaned"] and set(slow) == {".", "$$$", "!!", ","}
+
+
 def test_a_full_cache_changes_nothing(monkeypatch, whole):
     monkeypatch.setattr(tokens, "CACHE_WORDS", 3)
     encoder = tokens.Encoder(PATH)

@@ -9,6 +9,7 @@ encoding is by far the dearest part.  Otherwise every text is encoded as it is.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +24,13 @@ CACHE_WORDS = 500_000
 BATCH_IDS = 1_000_000
 
 _BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
+_FOLDED = _BLANKS.translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
 _MARK = "\x01"
+_NATIVE = array("I", [1]).tobytes() == b"\x01\0\0\0"
 # Latin letters that lower-case one to one and are already in composed form.
 _LETTERS = "".join(chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)]
                    if chr(c) not in "×÷ß")
+_SIGNS = b".,;:!?$%&*#)(\"-"  # what a word may end in, probed as well
 _PROBES = ["a b", " a  b ", "one\ttwo\nthree\r\nfour", "l'été, ÉTÉ. it's 12 %% x",
            "Mary had\na little lamb."]
 
@@ -37,6 +41,13 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers; an array of the machine's own is quicker."""
+    if _NATIVE:
+        return array("I", ids).tobytes()
+    return np.array(ids, "<u4").tobytes()
+
+
 class _Words(dict):
     """Ids of words as little-endian bytes; keeps the words met of late, in two generations."""
 
@@ -60,8 +71,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.by_word = all(self._words_add_up(p) for p in _PROBES)
         self.letters = self._letter_table() if self.by_word else None
+        self.plain_ascii = self.letters is not None and all(
+            self.letters[chr(c)] == chr(c).lower() for c in [*range(65, 91), *range(97, 123)])
+        self.signs = self._border_signs() if self.letters is not None else b""
         self.words = _Words(self)
 
     def text(self, raw: bytes) -> bytes:
@@ -71,35 +86,48 @@ class Encoder:
         if not self.by_word or _MARK_BYTES in raw or b"<|" in raw:
             return self._encode(raw.decode("utf-8", "replace"))
         words = self.words
-        return b"".join([words[w] for w in raw.translate(_BLANKS).split(b" ")])
+        # Combining marks (their first bytes are CC and CD) may compose with one case of a letter only.
+        fold = self.plain_ascii and b"\xcc" not in raw and b"\xcd" not in raw
+        return b"".join([words[w] for w in raw.translate(_FOLDED if fold else _BLANKS).split(b" ")])
 
     def word(self, word: bytes) -> bytes:
         if not word:
             return b""
         if self.letters is not None:
-            if word[-1:] in (b".", b",") and len(word) > 1 and self._plain(word[:-1]) is not None:
-                return self.words[word[:-1]] + self.words[word[-1:]]
-            plain = self._plain(word)
-            if plain is not None:
-                ids = [t.id for t in self.tokenizer.model.tokenize(plain)]
-                return np.array(ids, "<u4").tobytes()
+            if word[-1] in self.signs:
+                stem = word.rstrip(self.signs)
+                if stem and self._plain(stem) is not None:
+                    return self.words[stem] + self.words[word[len(stem):]]
+            else:
+                plain = self._plain(word)
+                if plain is not None:
+                    return _packed([t.id for t in self.tokenize(plain)])
         return self._encode(word.decode("utf-8", "replace"))
 
     def _plain(self, word: bytes) -> str | None:
         """The word as the model gets it, if it consists of letters that need no further look."""
+        if self.plain_ascii and word.isalpha():  # of bytes: ASCII letters only
+            return word.lower().decode("ascii")
         try:
             return "".join([self.letters[c] for c in word.decode("utf-8")])
         except (KeyError, UnicodeDecodeError):
             return None
 
     def _encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _words_add_up(self, text: str) -> bool:
         parts = b"".join(self._encode(w) for w in text.split())
         return bool(parts) and parts == self._encode(text)
 
+    def _border_signs(self) -> bytes:
+        """The signs that, one or more in any order, are pieces of their own behind a word."""
+        ends = [stem + a + b for stem in ("wordes", "É") for a in _SIGNS.decode()
+                for b in ["", *_SIGNS.decode()]] + ["wordes" + _SIGNS.decode()]
+        apart = all(self._encode(w) == self._encode(w.rstrip(_SIGNS.decode()))
+                    + self._encode(w[len(w.rstrip(_SIGNS.decode())):]) for w in ends)
+        return _SIGNS if apart else b""
+
     def _letter_table(self) -> dict[str, str] | None:
         """What normalising and pre-tokenising make of each letter, if letters do not interact."""
         t = self.tokenizer
