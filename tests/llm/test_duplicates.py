@@ -12,7 +12,8 @@ from tidepool.llm import near_duplicates as near
 from tidepool.llm.bwt import repeated_prefixes
 from tidepool.llm.components import connected_components
 from tidepool.llm.near_duplicates import NearSettings, near_duplicates
-from tidepool.llm.repeats import RepeatSettings, _halves, repeat_digest, without_repeats
+from tidepool.llm.repeats import (RepeatSettings, _halves, _whole_keys, repeat_digest,
+                                  without_repeats)
 
 SCHEMA = "doc_id long, text string, kept string, key int, spans string"
 
@@ -260,3 +261,15 @@ def test_merge_matches_brute_force():
                 want.setdefault(bytes(data[p:p + depth]), []).append(p)
             at += n
         assert sorted(map(sorted, got.values())) == sorted(x for x in want.values() if len(x) > 1)
+
+
+def test_segments_are_merged_in_portions_of_whole_keys():
+    rng = np.random.default_rng(1)
+    keys, lengths = rng.integers(0, 40, 500), rng.integers(100, 180, 500)
+    keys[:90] = 7
+    portions = _whole_keys(keys, lengths, 4000)
+    assert sorted(np.concatenate(portions).tolist()) == list(range(500))
+    found = [set(keys[p].tolist()) for p in portions]
+    assert sum(map(len, found)) == len(set(keys.tolist()))  # no key is in two of them
+    assert all(lengths[p].sum() <= 4000 or len(k) == 1 for p, k in zip(portions, found))
+    assert len(portions) > 10 and [len(p) for p in _whole_keys(keys[:0], lengths[:0], 4000)] == [0]
