@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,8 +13,8 @@ from tidepool.llm import near_duplicates as near
 from tidepool.llm.bwt import repeated_prefixes
 from tidepool.llm.components import connected_components
 from tidepool.llm.near_duplicates import NearSettings, near_duplicates
-from tidepool.llm.repeats import (RepeatSettings, _halves, _whole_keys, repeat_digest,
-                                  without_repeats)
+from tidepool.llm.repeats import (RepeatSettings, _halves, _text_segments, _wanted_segments,
+                                  _whole_keys, repeat_digest, without_repeats)
 
 SCHEMA = "doc_id long, text string, kept string, key int, spans string"
 
@@ -273,3 +274,24 @@ def test_segments_are_merged_in_portions_of_whole_keys():
     assert sum(map(len, found)) == len(set(keys.tolist()))  # no key is in two of them
     assert all(lengths[p].sum() <= 4000 or len(k) == 1 for p, k in zip(portions, found))
     assert len(portions) > 10 and [len(p) for p in _whole_keys(keys[:0], lengths[:0], 4000)] == [0]
+
+
+def test_segments_of_many_texts_are_cut_at_once():
+    rng, s = random.Random(4), RepeatSettings(length=20, gram=8)
+    texts = [bytes(rng.choices(b"abcd ", k=n)) for n in (0, 19, 20, 300, 90, 5, 400, 20)]
+    expected, wanted = [], []
+    for i, text in enumerate(texts):
+        wanted.append([])
+        for _, lo, windows, (anchor, gram), _ in _text_segments(
+                np.frombuffer(text, np.uint8), np.array([0, len(text)]), s):
+            assert lo[0] == 0 and list(lo[1:]) == list((lo + windows)[:-1])
+            assert lo[-1] + windows[-1] == len(text) - s.length + 1
+            for a, n, at, g in list(zip(lo, windows, anchor, gram.view(np.int64)))[::2]:
+                wanted[-1].append(int(a))
+                expected.append((100 + i, a, n, at, g, text[a:a + n - 1 + s.length]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(99, 108)), pa.array([b"a" * 50, *texts], pa.binary()),
+         pa.array([[1], *wanted], pa.list_(pa.int32()))], ["r", "t", "wanted"]).slice(1)
+    got = list(_wanted_segments(batch, s))
+    assert len(got) == 1
+    assert [tuple(r.values()) for r in got[0].to_pylist()] == expected
