@@ -1,16 +1,20 @@
 """Token encoding, token files, length histograms and packing against the tokenizer itself."""
 
+import gc
+import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidepool.llm import tokens
+from tidepool.llm import batches, tokens
 from tidepool.llm.lengths import length_histogram, length_quantile, suffix_sums, truncated_total
 from tidepool.llm.packing import (
-    PackSettings, combinations, non_negative_least_squares, pack_documents, solve_repeats,
+    PackSettings, _driver_rows, combinations, non_negative_least_squares, pack_documents,
+    solve_repeats,
 )
 from tidepool.llm.token_files import read_token_files, token_file_digest, write_token_files
 from tidepool.storage import scratch_path
@@ -196,3 +200,24 @@ def test_repeats_never_exceed_the_supply():
             windows += repeats
         assert all(used[u] <= supply.get(u, 0) for u in range(1, 65))
         assert windows * s.window <= tokens_left
+
+
+def test_a_worker_gives_an_encoder_and_hashing_tables_back():
+    tokens._encoders.clear()
+    gc.disable()  # as long as nothing collects cycles by chance
+    try:
+        left = weakref.ref(tokens.encoder(tokens.default_tokenizer()).words)
+        list(tokens.encoded_texts(pa.array([b"some words"]), tokens.default_tokenizer(), 2))
+        batches.powers(10, 3)
+        assert list(batches.lean(lambda rows: rows, keep=True)(iter([1]))) == [1]
+        assert left() is not None and not batches._POWERS
+        assert list(batches.lean(lambda rows: rows)(iter([1]))) == [1]
+        assert left() is None
+    finally:
+        gc.enable()
+
+
+def test_rows_of_the_driver(spark):
+    for rows in ([], [(1, np.int64(5)), (2, 6)]):
+        table = _driver_rows(spark, rows, "units", "used")
+        assert [tuple(r) for r in table.collect()] == [tuple(r) for r in rows]

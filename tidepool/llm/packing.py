@@ -14,10 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.batches import lean, whole_texts
+from tidepool.llm.batches import lean, release_memory, whole_texts
 from tidepool.llm.tokens import END_ID, crc32, default_tokenizer, encoded_texts
 from tidepool.storage import materialize, sized_join
 
@@ -136,6 +136,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int | No
                          pa.array(full, pa.list_(pa.int64())), pa.array(held, pa.binary())],
                         ["doc_id", "n", "tail", "tail_crc", "full_crcs", "ids"])
                     first, held, size = i + 1, [], 0
+            release_memory()  # the cache of words stays, and grows; the batch must not
 
     return whole_texts(docs).select("doc_id", F.col("text").cast("binary")).mapInArrow(lean(encode, keep=True), schema)
 
@@ -162,6 +163,17 @@ def ranked(df: DataFrame, group: str, key: str, out: str, chunks: int) -> DataFr
         out, F.col("_at") + F.row_number().over(within) - 1).drop("_chunk", "_at")
 
 
+def _driver_rows(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+    """A table of whole numbers that the driver computed.
+
+    It comes from Arrow: rows given as a list pass through Python on the executors, in workers of
+    another kind than those of Arrow functions, which stay in memory beside them.
+    """
+    columns = list(zip(*rows)) or [()] * len(names)
+    return spark.createDataFrame(pa.table(
+        [pa.array([int(x) for x in c], pa.int64()) for c in columns], names=list(names)))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str | None = None,
                    settings: PackSettings | None = None, end_id: int | None = END_ID) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
@@ -199,10 +211,8 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None,
             slots.append((units, first, used[units], times, base, place))
             place += times
         base += repeats
-    slots = spark.createDataFrame(
-        slots, "units int, lo long, hi long, times int, base long, place int")
-    rests = spark.createDataFrame(
-        [(u, n) for u, n in used.items()], "units int, used long")
+    slots = _driver_rows(spark, slots, "units", "lo", "hi", "times", "base", "place")
+    rests = _driver_rows(spark, list(used.items()), "units", "used")
 
     chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                  sum(supply.values()) // 100_000 + 1)
@@ -225,9 +235,9 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None,
     own = spark.range(more).select(
         (F.col("id") + windows).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
         F.lit(s.window).cast("long").alias("gap"))
-    tail_windows = spark.createDataFrame(
-        [(windows + more + i, 0, size) for i, size in enumerate(ends)],
-        "sequence_id long, offset long, gap long")
+    tail_windows = _driver_rows(
+        spark, [(windows + more + i, 0, size) for i, size in enumerate(ends)],
+        "sequence_id", "offset", "gap")
     gaps = running_start(gaps.filter("gap > 0").unionByName(own).unionByName(tail_windows),
                          "sequence_id", "gap", "from")
     windows += more + len(ends)

@@ -8,6 +8,7 @@ encoding is by far the dearest part.  Otherwise every text is encoded as it is.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -150,7 +151,15 @@ class Encoder:
 
 _MARK_BYTES = _MARK.encode()
 _encoders: dict[str, Encoder] = {}
-CACHES.append(_encoders.clear)
+
+
+def _forget() -> None:
+    if _encoders:
+        _encoders.clear()
+        gc.collect()  # words lie in cycles, which would stay until the collector happens to run
+
+
+CACHES.append(_forget)
 
 
 def encoder(path: str) -> Encoder:
