@@ -227,6 +227,36 @@ def test_raking_reaches_the_targets(spark):
     assert abs(kept - 0.9 * total) < 1e-3 * total
 
 
+def test_raking_takes_one_sum_and_one_join_at_a_time(spark, monkeypatch):
+    from tidepool.llm import mixing
+
+    plans, write = [], mixing.materialize
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(mixing, "materialize", noted)
+    rows = [("a", "x", "t", 10), ("a", "y", "t", 30), ("b", "x", "u", 5), ("b", "y", "u", 0), ("c", "x", "t", 7),
+            (None, "y", "u", 3), ("d", "z", "v", 0)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    want = {"source": {"a": 0.5, "b": 0.2, "d": 0.1}, "lang": {"x": 0.3, "y": 0.7}, "topic": {"t": 0.6, "u": 0.4}}
+    targets = {d: spark.createDataFrame(list(t.items()), f"{d} string, target double") for d, t in want.items()}
+    got = raked(cells, targets, 3)
+    assert got.columns == [*DIMENSIONS, "tokens", "ratio"]
+    got = {tuple(r)[:3]: r["ratio"] for r in got.collect()}
+    ratio = dict.fromkeys([r[:3] for r in rows], 1.0)
+    for _ in range(3):
+        for k, d in enumerate(DIMENSIONS):
+            now = {v: sum(r[3] * ratio[r[:3]] for r in rows if r[k] == v) for v in {r[k] for r in rows}}
+            for cell in ratio:
+                if now[cell[k]] > 0 and cell[k] in want[d]:
+                    ratio[cell] *= want[d][cell[k]] * 55 / now[cell[k]]
+    assert got.keys() == ratio.keys() and all(math.isclose(got[c], ratio[c], rel_tol=1e-9) for c in ratio)
+    steps = [p for p in plans if "Aggregate" in p]
+    assert len(steps) == 9 and all(p.count("Aggregate") == p.count("Join") == 1 for p in steps)
+
+
 def test_mixing_odd_rows(spark):
     rows = [(1, None, None), (2, "", "en"), (3, "word " * 50_000, "en"), (4, "one two", "de"),
             (4, "one two", "de"), (None, "no id", "en")] + [(i, "a b c.", "en") for i in range(10, 60)]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.batches import lean, whole_texts
+from tidepool.llm.batches import lean, release_memory, whole_texts
 from tidepool.storage import materialize, sized_join
 
 UNDETERMINED = "und"
@@ -306,6 +306,8 @@ def fit_language_model(training: DataFrame, order, settings: LanguageSettings |
     weights, bias = follow_the_leader(some(~held), y[~held], len(languages), settings)
     scores = [weights[:, columns] @ value + bias for columns, value in some(held)]
     temperature = fit_temperature(np.array(scores), y[held])
+    del got, x, scores
+    release_memory()  # the driver's Python goes on through all that follows
     return LanguageModel(languages, idf, weights, bias, temperature, settings)
 
 

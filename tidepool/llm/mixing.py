@@ -73,19 +73,24 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataF
 
     One round scales the cells to each marginal in turn.  A value without tokens keeps its factor;
     so does one that the targets do not name.  Fitted weights sum up to the tokens that there are.
+    Targets stand beside the cells, and every step is written: a plan has one sum and one join, where
+    steps planned together would repeat those before them and hold their broadcasts on the driver.
     """
     total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0
     fitted = cells.withColumn("ratio", F.lit(1.0))
+    for dimension, target in targets.items():
+        target = target.select(dimension, F.col("target").alias(f"target_{dimension}"))
+        fitted = fitted.join(target, dimension, "left")
+    fitted = materialize(fitted, "raked")
     for _ in range(rounds):
-        for dimension, target in targets.items():
+        for dimension in targets:
             now = fitted.groupBy(dimension).agg(
                 F.sum(F.col("tokens") * F.col("ratio")).alias("now"))
-            step = now.join(target, dimension).filter("now > 0").select(
-                dimension, (F.col("target") * F.lit(float(total)) / F.col("now")).alias("step"))
-            fitted = fitted.join(step, dimension, "left").withColumn(
-                "ratio", F.col("ratio") * F.coalesce("step", F.lit(1.0))).drop("step")
-        fitted = materialize(fitted, "raked")
-    return fitted
+            step = F.col(f"target_{dimension}") * F.lit(float(total)) / F.col("now")
+            fitted = fitted.join(now, dimension, "left").withColumn("ratio", F.col("ratio") * F.coalesce(
+                F.when(F.col("now") > 0, step), F.lit(1.0))).drop("now")
+            fitted = materialize(fitted, "raked")
+    return fitted.select(*cells.columns, "ratio")
 
 
 def scale_for(fitted: DataFrame, share: float, rounds: int) -> float:
