@@ -22,12 +22,13 @@ from tidepool.llm.language import accepted_rows
 from tidepool.llm.language_queries import learned
 from tidepool.llm.mixing import repeated
 from tidepool.llm.near_duplicates import NearSettings, near_duplicates
-from tidepool.llm.packing import pack_documents
+from tidepool.llm.packing import PackSettings, pack_documents
 from tidepool.llm.repeats import RepeatSettings, without_repeats
 from tidepool.plans import Query, table
 from tidepool.storage import materialize, sized_join
 
 MIN_SCORE = 0.5
+CACHE_WORDS = 100_000  # a worker of the last stage stands beside a JVM that four stages have filled
 
 #: SQL cannot express a learned language model, so the stages are tested against brute force.
 ORACLE_SQL = None
@@ -85,7 +86,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All that is left, in sequences of 4096 tokens (operator 5)."""
-    return pack_documents(docs)
+    return pack_documents(docs, settings=PackSettings(cache_words=CACHE_WORDS))
 
 
 STAGES = [("language", language), ("near_duplicates", near_copies), ("repeats", repeats),

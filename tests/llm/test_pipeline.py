@@ -135,6 +135,13 @@ def test_stages_take_odd_tables(spark, name):
         assert out.columns == odd.columns
 
 
+def test_packing_keeps_few_words_on_the_workers(monkeypatch):
+    asked = {}
+    monkeypatch.setattr(corpus_pipeline, "pack_documents", lambda docs, **given: asked.update(given))
+    corpus_pipeline.packing(None, None, "")
+    assert asked["settings"].cache_words <= 100_000
+
+
 def test_run_over_the_test_table(spark, sf):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language", "near_duplicates", "repeats", "mixing", "packing"]

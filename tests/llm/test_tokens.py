@@ -217,6 +217,31 @@ def test_a_worker_gives_an_encoder_and_hashing_tables_back():
         gc.enable()
 
 
+def test_a_small_cache_of_words_changes_no_piece(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 3000, 400))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, got = (sorted(tuple(r) for r in pack_documents(docs, settings=s).collect())
+                 for s in (PackSettings(), PackSettings(cache_words=50)))
+    assert got == want
+    path = tokens.default_tokenizer()
+    texts = pa.array([t.encode() for _, t in rows])
+    assert list(tokens.encoded_texts(texts, path, 2, 50)) == list(tokens.encoded_texts(texts, path, 2))
+    list(tokens.encoded_texts(texts, path, 2, 50))
+    words = tokens.encoder(path, 50).words
+    assert 0 < len(words) <= 50 and 0 < len(words.older) <= 50
+
+
+def test_sessions_read_whole_texts_in_small_batches(spark):
+    session = spark.newSession()
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    batches.whole_texts(session.range(1))
+    assert session.conf.get(name) == str(batches.READ_ROWS)
+    session.conf.set(name, "77")
+    batches.whole_texts(session.range(1))
+    assert session.conf.get(name) == "77"
+
+
 def test_rows_of_the_driver(spark):
     for rows in ([], [(1, np.int64(5)), (2, 6)]):
         table = _driver_rows(spark, rows, "units", "used")

@@ -29,6 +29,7 @@ class PackSettings:
     window: int = 4096
     unit: int = 64       # lengths are rounded up to units for the combinations
     depth: int = 6       # documents in a combination at most
+    cache_words: int | None = None  # that a worker remembers twice at most; None: as many as elsewhere
 
     @property
     def units(self) -> int:
@@ -114,14 +115,15 @@ def solve_repeats(histogram: dict[int, int], tokens: int, s: PackSettings
     return [(combos[c], int(repeats[c])) for c in np.flatnonzero(repeats)]
 
 
-def encode_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int | None) -> DataFrame:
+def encode_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int | None,
+                  cache_words: int | None = None) -> DataFrame:
     """``doc_id, n, tail, tail_crc, full_crcs, ids``: the checksums of full windows and of the rest."""
     schema = "doc_id long, n long, tail int, tail_crc long, full_crcs array<bigint>, ids binary"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, first, held, size = batch.column(0), 0, [], 0
-            for i, ids in enumerate(encoded_texts(batch.column(1), tokenizer, end_id)):
+            for i, ids in enumerate(encoded_texts(batch.column(1), tokenizer, end_id, cache_words)):
                 held.append(ids)
                 size += len(ids)
                 if size >= 1 << 22 or i + 1 == len(keys):
@@ -186,7 +188,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None,
     s = settings or PackSettings()
     spark = docs.sparkSession
     path = tokenizer or default_tokenizer()
-    encoded = encode_pieces(docs.select("doc_id", "text"), path, s.window, end_id)
+    encoded = encode_pieces(docs.select("doc_id", "text"), path, s.window, end_id, s.cache_words)
     encoded = materialize(encoded.withColumn("row", F.monotonically_increasing_id()), "encoded")
     piece = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -319,4 +321,4 @@ def _checksums(parts: DataFrame, encoded: DataFrame) -> DataFrame:
     wanted = pa.schema([(c, pa.int64()) for c in (
         "doc_id", "doc_tokens", "start", "length", "sequence_id", "offset", "ids_crc32")])
     return rows.select("ids", "cuts").mapInArrow(
-        check, ", ".join(f"`{f.name}` long" for f in wanted))
+        lean(check), ", ".join(f"`{f.name}` long" for f in wanted))

@@ -52,15 +52,15 @@ def _packed(ids: list[int]) -> bytes:
 class _Words(dict):
     """Ids of words as little-endian bytes; keeps the words met of late, in two generations."""
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, encoder: Encoder, most: int):
         super().__init__()
-        self.encoder, self.older = encoder, {}
+        self.encoder, self.most, self.older = encoder, most, {}
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
             ids = self.encoder.word(word)
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[word] = ids
@@ -68,7 +68,7 @@ class _Words(dict):
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -78,7 +78,7 @@ class Encoder:
         self.plain_ascii = self.letters is not None and all(
             self.letters[chr(c)] == chr(c).lower() for c in [*range(65, 91), *range(97, 123)])
         self.signs = self._border_signs() if self.letters is not None else b""
-        self.words = _Words(self)
+        self.words = _Words(self, cache_words or CACHE_WORDS)
 
     def text(self, raw: bytes) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -162,17 +162,19 @@ def _forget() -> None:
 CACHES.append(_forget)
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache_words: int | None = None) -> Encoder:
     """The worker's encoder; workers are reused, so its cache outlives a task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
+    if path not in _encoders or _encoders[path].words.most != (cache_words or CACHE_WORDS):
+        _forget()
+        _encoders[path] = Encoder(path, cache_words)
         release_memory()  # what reading the file took
     return _encoders[path]
 
 
-def encoded_texts(column: pa.Array, path: str, end_id: int | None) -> Iterator[bytes]:
+def encoded_texts(column: pa.Array, path: str, end_id: int | None,
+                  cache_words: int | None = None) -> Iterator[bytes]:
     """Ids of each text of a binary column, with the end id; a null text has none of its own."""
-    encode = encoder(path).text
+    encode = encoder(path, cache_words).text
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
     for value in column:
         yield encode(value.as_py() or b"") + end
